@@ -118,3 +118,16 @@ def stage_readings(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
         F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"),
     )
     return out
+
+
+def stage_readings_only(readings: DataFrame) -> DataFrame:
+    """Readings as vault input without their dimensions: enough for the asset hub
+    and the measurement satellite (hub keys are the natural keys)."""
+    return (readings.filter(F.col("asset_id").isNotNull())
+            .select(F.col("asset_id").alias("asset_hk"), "asset_id",
+                    F.col("id").alias("reading_id"), "reading_value", "interval_start",
+                    "interval_end", "reading_type", "unit_of_measure", "quality_code",
+                    F.col("status").alias("reading_status"),
+                    F.col("creation_time").alias("load_ts"),
+                    F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE))
+                     .alias("record_source")))

@@ -266,3 +266,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in dict(globals()).items()
     if name.startswith("q_") and callable(fn)
 }
+
+
+def _with_io() -> None:
+    from .catalog_io import IO_QUERIES
+    QUERIES.update(IO_QUERIES)
+
+
+_with_io()
