@@ -21,7 +21,7 @@ from ..operators.staging import stage_readings
 from ..operators.vault import (LOAD_DAY, SAT_ASSET_MEASUREMENTS, VaultFrames, build_vault,
                                with_load_day)
 from ..sources.fixtures import Sources
-from .sinks import append, create_view, read_or_none, write_checkpoint
+from .sinks import append, create_view, observed, read_or_none, write_checkpoint
 
 VAULT_TABLES = ("hub_customer", "hub_customer_account", "hub_asset",
                 "link_customer_account", "link_account_asset", "sat_customer_details",
@@ -86,7 +86,7 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
             df = with_load_day(df)
         obs = Observation(f"load_{name}")
         append(df.observe(obs, F.count(F.lit(1)).alias("rows")), table_path(root, name), part)
-        return name, int(obs.get.get("rows", 0))
+        return name, int(observed(obs, "rows"))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         appended = dict(pool.map(load, VAULT_TABLES))

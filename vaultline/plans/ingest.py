@@ -23,7 +23,7 @@ from ..functions.keys import hash_key
 from ..sources.readers import extract, source_frame
 from ..sources.schema import TableDef
 from ..sources.state import DEFAULT_WATERMARK, WatermarkStore
-from .sinks import append, read_or_none
+from .sinks import append, observed, read_or_none
 
 log = logging.getLogger(__name__)
 ROW_HASH = "__row_hash"
@@ -100,15 +100,15 @@ def ingest(spark: SparkSession, table: TableDef, kind: str, options: dict, targe
     if wm_field:
         metrics.append(F.max(wm_field).alias("wm"))
     obs = Observation(f"ingest_{table.name}")
-    observed = rows.observe(obs, *metrics)
-    append(observed, target, [table.partition_field] if table.partition_field else None)
-    got = obs.get
+    watched = rows.observe(obs, *metrics)
+    append(watched, target, [table.partition_field] if table.partition_field else None)
+    wm = observed(obs, "wm", None) if wm_field else None
     watermark = None
-    if wm_field and got.get("wm") is not None:
-        watermark = got["wm"].strftime("%Y-%m-%d %H:%M:%S.%f")
+    if wm is not None:
+        watermark = wm.strftime("%Y-%m-%d %H:%M:%S.%f")
         if state is not None:
             state.save(table.name, wm_field, watermark)
-    return IngestResult(table.name, int(got.get("rows", 0)), watermark)
+    return IngestResult(table.name, int(observed(obs, "rows")), watermark)
 
 
 def ingest_all(spark: SparkSession, tables: Sequence[TableDef], kind: str,
@@ -166,4 +166,4 @@ def register_new_files(spark: SparkSession, landing_path: str, schema, target: s
     rows = unregistered_rows(landing, manifest).withColumnRenamed("__file", file_col)
     obs = Observation("register_files")
     append(rows.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
-    return int(obs.get.get("rows", 0))
+    return int(observed(obs, "rows"))

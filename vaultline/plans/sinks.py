@@ -116,3 +116,13 @@ def write_checkpoint(df: DataFrame, name: str) -> DataFrame:
 
 def distinct_files(df: DataFrame) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+
+
+def observed(obs, key: str, default=0):
+    """A metric of a finished ``Observation``. When AQE proves the observed plan
+    empty it removes the plan, metrics node included, and the observation ends
+    with an empty row: nothing was written, so the default applies."""
+    try:
+        return obs.get.get(key, default)
+    except Exception:
+        return default
