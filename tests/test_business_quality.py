@@ -56,7 +56,8 @@ def test_reports(spark):
     assert q[0].reading_count == 3
     recent = reports.recent_measurements(business.asset_measurements(v))
     assert recent.count() == 4
-    active = reports.active_hierarchy(business.customer_asset_hierarchy(v), v.sat_customer_details)
+    active = reports.active_hierarchy(business.customer_asset_hierarchy(v),
+                                      business.current_customer(v))
     assert [r.customer_name for r in active.collect()] == ["Ann"]
 
 

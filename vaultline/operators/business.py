@@ -22,12 +22,12 @@ def current_asset_details(sat_asset_details: DataFrame) -> DataFrame:
     asset_status, load_ts."""
     d = sat_asset_details.select("asset_hk", "load_ts", "asset_type",
                                  "asset_installation_date", "asset_status")
-    return latest_by(d, ["asset_hk"], ["load_ts"])
+    return latest_by(d, ["asset_hk"], ["load_ts"], reduce_first=True)
 
 
 def current_customer_details(sat_customer_details: DataFrame) -> DataFrame:
     d = sat_customer_details.select("customer_hk", "load_ts", "customer_name", "customer_type")
-    return latest_by(d, ["customer_hk"], ["load_ts"])
+    return latest_by(d, ["customer_hk"], ["load_ts"], reduce_first=True)
 
 
 def customer_accounts(v: VaultFrames) -> DataFrame:
@@ -51,9 +51,23 @@ def customer_accounts(v: VaultFrames) -> DataFrame:
                      "customer_load_ts", "account_load_ts", "link_load_ts"))
 
 
+def _current_asset(v: VaultFrames) -> DataFrame:
+    if v.current_asset is not None:
+        return v.current_asset.select("asset_hk", "load_ts", "asset_type",
+                                      "asset_installation_date", "asset_status")
+    return current_asset_details(v.sat_asset_details)
+
+
+def current_customer(v: VaultFrames) -> DataFrame:
+    if v.current_customer is not None:
+        return v.current_customer.select("customer_hk", "load_ts", "customer_name",
+                                         "customer_type")
+    return current_customer_details(v.sat_customer_details)
+
+
 def asset_details(v: VaultFrames) -> DataFrame:
     a = v.hub_asset.select("asset_hk", "asset_id", F.col("load_ts").alias("asset_load_ts"))
-    d = current_asset_details(v.sat_asset_details)
+    d = _current_asset(v)
     return (a.join(d, "asset_hk", "left")
              .select(F.col("asset_id").alias("meter_id"), "asset_hk",
                      F.col("asset_type").alias("meter_type"),
@@ -65,8 +79,8 @@ def asset_details(v: VaultFrames) -> DataFrame:
 def asset_measurements(v: VaultFrames) -> DataFrame:
     """Every measurement with its meter and the meter's current type and status."""
     meters = (v.hub_asset.select("asset_hk", "asset_id")
-              .join(current_asset_details(v.sat_asset_details)
-                    .select("asset_hk", "asset_type", "asset_status"), "asset_hk", "left"))
+              .join(_current_asset(v).select("asset_hk", "asset_type", "asset_status"),
+                    "asset_hk", "left"))
     m = v.sat_asset_measurements.select(
         "asset_hk", "reading_id", "reading_value", "interval_start", "interval_end",
         "reading_type", "unit_of_measure", "quality_code", "reading_status", "load_ts")
@@ -87,7 +101,7 @@ def customer_asset_hierarchy(v: VaultFrames) -> DataFrame:
     ast = v.hub_asset.select("asset_hk", F.col("asset_id").alias("asset_meter_id"))
     lca = v.link_customer_account.select("customer_hk", "customer_account_hk")
     laa = v.link_account_asset.select("customer_account_hk", "asset_hk")
-    d = current_asset_details(v.sat_asset_details)
+    d = _current_asset(v)
     assets = ast.join(d, "asset_hk", "left")
     return (c.join(lca, "customer_hk").join(acc, "customer_account_hk")
              .join(laa, "customer_account_hk").join(assets, "asset_hk")

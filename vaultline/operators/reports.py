@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .business import current_customer_details
 from .vault import VaultFrames
 
 RECENT_LIMIT = 20
 
 
-def active_hierarchy(hierarchy: DataFrame, sat_customer_details: DataFrame) -> DataFrame:
-    """Active meters in the hierarchy with the customer's current name and type."""
-    cd = current_customer_details(sat_customer_details).select(
-        "customer_hk", "customer_name", "customer_type")
+def active_hierarchy(hierarchy: DataFrame, customers_current: DataFrame) -> DataFrame:
+    """Active meters in the hierarchy with the customer's current name and type.
+
+    ``customers_current`` is one row per customer (``business.current_customer``).
+    """
+    cd = customers_current.select("customer_hk", "customer_name", "customer_type")
     return (hierarchy.filter(F.col("meter_status") == "ACTIVE")
             .join(cd, "customer_hk", "left")
             .select("installation_id", "customer_name", "customer_type", "account_meter_id",

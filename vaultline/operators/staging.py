@@ -65,6 +65,51 @@ def dimension_chain(assets: DataFrame, accounts: DataFrame, customers: DataFrame
     return a.join(ca, "account_id").join(c, "installation_id")
 
 
+def _keys_and_hashes(chain: DataFrame, key_mode: str) -> DataFrame:
+    """Hub keys, link keys and hash diffs, computed once per asset (they depend on
+    dimension columns only), before the chain meets the fact."""
+    s = chain.schema
+
+    def hk(c):
+        return F.col(c) if key_mode == "natural" else hash_key(c)
+
+    return chain.select(
+        "*",
+        hk("installation_id").alias("customer_hk"),
+        hk("account_id").alias("customer_account_hk"),
+        hk("asset_id").alias("asset_hk"),
+        hash_key("installation_id", "account_id").alias("link_customer_account_hk"),
+        hash_key("account_id", "asset_id").alias("link_account_asset_hk"),
+        hash_key(*CUSTOMER_HASHDIFF, schema=s).alias("customer_hashdiff"),
+        hash_key(*ACCOUNT_HASHDIFF, schema=s).alias("customer_account_hashdiff"),
+        hash_key(*ASSET_HASHDIFF, schema=s).alias("asset_details_hashdiff"))
+
+
+def keyed_dimensions(assets: DataFrame, accounts: DataFrame, customers: DataFrame,
+                     key_mode: str = "natural", dedup_sources: bool = False) -> DataFrame:
+    """The dimension chain with its keys and hash diffs: one row per asset."""
+    if key_mode not in ("natural", "md5"):
+        raise ValueError(f"key_mode must be 'natural' or 'md5', not {key_mode!r}")
+    if dedup_sources:
+        assets = dedup_by_key(assets, "asset_id")
+        accounts = dedup_by_key(accounts, "account_id")
+        customers = dedup_by_key(customers, "installation_id")
+    chain = dimension_chain(assets, accounts, customers)
+    chain = chain.filter(F.col("installation_id").isNotNull()
+                         & F.col("account_id").isNotNull()
+                         & F.col("asset_id").isNotNull())
+    return _keys_and_hashes(chain, key_mode)
+
+
+_DIM_OUT = [c for c in STAGED_COLUMNS[:33]]  # everything before the reading columns
+
+
+def _staged_dimension_columns(dims: DataFrame) -> list:
+    return [F.col("installation_id").alias("customer_id"),
+            F.col("account_id").alias("customer_account_id"),
+            *[F.col(c) for c in _DIM_OUT[2:]]]
+
+
 def stage_readings(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
                    customers: DataFrame, key_mode: str = "natural",
                    dedup_sources: bool = False) -> DataFrame:
@@ -74,50 +119,66 @@ def stage_readings(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
     compute); ``"md5"`` hashes them. ``dedup_sources`` keeps the latest row per
     primary key of each dimension first (needed when raw tables hold re-loads).
     """
-    if key_mode not in ("natural", "md5"):
-        raise ValueError(f"key_mode must be 'natural' or 'md5', not {key_mode!r}")
-    if dedup_sources:
-        assets = dedup_by_key(assets, "asset_id")
-        accounts = dedup_by_key(accounts, "account_id")
-        customers = dedup_by_key(customers, "installation_id")
+    dims = keyed_dimensions(assets, accounts, customers, key_mode, dedup_sources)
     r = readings.select(
         "asset_id", F.col("id").alias("reading_id"), "reading_value", "interval_start",
         "interval_end", "creation_time", "reading_type", "unit_of_measure", "quality_code",
         F.col("status").alias("reading_status"), "source_system")
-    enriched = r.join(dimension_chain(assets, accounts, customers), "asset_id")
-    enriched = enriched.filter(F.col("installation_id").isNotNull()
-                               & F.col("account_id").isNotNull()
-                               & F.col("asset_id").isNotNull())
-    s = enriched.schema
-
-    def hk(c):
-        return F.col(c) if key_mode == "natural" else hash_key(c)
-
-    out = enriched.select(
-        F.col("installation_id").alias("customer_id"),
-        F.col("account_id").alias("customer_account_id"),
-        F.col("asset_id"),
-        hk("installation_id").alias("customer_hk"),
-        hk("account_id").alias("customer_account_hk"),
-        hk("asset_id").alias("asset_hk"),
-        hash_key("installation_id", "account_id").alias("link_customer_account_hk"),
-        hash_key("account_id", "asset_id").alias("link_account_asset_hk"),
-        hash_key(*CUSTOMER_HASHDIFF, schema=s).alias("customer_hashdiff"),
-        hash_key(*ACCOUNT_HASHDIFF, schema=s).alias("customer_account_hashdiff"),
-        hash_key(*ASSET_HASHDIFF, schema=s).alias("asset_details_hashdiff"),
-        "customer_name", "customer_type", "address", "city", "postal_code", "country",
-        "registration_date", "customer_status",
-        "account_number", "account_type", "billing_cycle", "account_opened_date",
-        "account_closed_date", "account_status",
-        "asset_serial_number", "asset_type", "manufacturer", "model",
-        "asset_installation_date", "last_calibration_date", "next_calibration_date",
-        "asset_status",
+    enriched = r.join(dims, "asset_id")
+    return enriched.select(
+        *_staged_dimension_columns(dims),
         "reading_id", "reading_value", "interval_start", "interval_end", "reading_type",
         "unit_of_measure", "quality_code", "reading_status",
         F.col("creation_time").alias("load_ts"),
         F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"),
     )
-    return out
+
+
+def stage_asset_span(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
+                     customers: DataFrame, key_mode: str = "natural",
+                     dedup_sources: bool = False) -> DataFrame:
+    """Staging at asset grain: one row per asset and record source that has
+    readings, with the first and last ``load_ts`` of those readings
+    (``first_load_ts``, ``last_load_ts``) and all dimension columns and hashes.
+
+    Hubs and links keep each key's first-seen row and current-state lookups keep
+    the last one. Both are a ``min``/``max`` over readings and decompose: the min
+    per customer is the min over its assets' minima. So readings are reduced per
+    (asset, record source) first, by a hash aggregate that combines map-side
+    before any shuffle, and only that result meets the dimensions. NULL load
+    times follow the struct ordering used by ``first_by`` (NULL first).
+    """
+    r = readings.filter(F.col("asset_id").isNotNull()).select(
+        "asset_id", F.col("creation_time").alias("load_ts"),
+        F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"))
+    ts = F.col("load_ts")
+    per_asset = r.groupBy("asset_id", "record_source").agg(
+        F.when(F.max(ts.isNull()), F.lit(None).cast("timestamp_ntz")).otherwise(F.min(ts))
+         .alias("first_load_ts"),
+        F.max(ts).alias("last_load_ts"))
+    dims = keyed_dimensions(assets, accounts, customers, key_mode, dedup_sources)
+    return per_asset.join(dims, "asset_id").select(
+        *_staged_dimension_columns(dims), "first_load_ts", "last_load_ts", "record_source")
+
+
+def seen_rows(span: DataFrame, seen: str = "first") -> DataFrame:
+    """Asset-grain staging rows with ``load_ts`` = first or last load time. Fed to
+    ``hub_rows``/``link_rows`` (first) or current-state lookups (last), it gives
+    exactly what those return on the full reading-grain staging."""
+    if seen not in ("first", "last"):
+        raise ValueError("seen must be 'first' or 'last'")
+    cols = [c for c in span.columns if c not in ("first_load_ts", "last_load_ts",
+                                                 "record_source")]
+    t = "first_load_ts" if seen == "first" else "last_load_ts"
+    return span.select(*cols, F.col(t).alias("load_ts"), "record_source")
+
+
+def stage_assets(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
+                 customers: DataFrame, seen: str = "first", key_mode: str = "natural",
+                 dedup_sources: bool = False) -> DataFrame:
+    """``seen_rows`` of ``stage_asset_span``: asset-grain staging in one call."""
+    return seen_rows(stage_asset_span(readings, assets, accounts, customers, key_mode,
+                                      dedup_sources), seen)
 
 
 def stage_readings_only(readings: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ SATELLITES = (SAT_CUSTOMER_DETAILS, SAT_CUSTOMER_ACC_DETAILS, SAT_ASSET_DETAILS)
 def hub_rows(staged: DataFrame, hub: Hub, existing: DataFrame | None = None) -> DataFrame:
     """First-seen row per hub key (by load time, then record source); new keys only."""
     src = _not_null(staged.select(*hub.columns), [hub.hk])
-    rows = first_by(src, [hub.hk], [LOAD_TS, RECORD_SOURCE])
+    rows = first_by(src, [hub.hk], [LOAD_TS, RECORD_SOURCE], reduce_first=True)
     if existing is not None:
         rows = rows.join(existing.select(hub.hk), hub.hk, "left_anti")
     return rows
@@ -120,7 +120,7 @@ def hub_rows(staged: DataFrame, hub: Hub, existing: DataFrame | None = None) ->
 def link_rows(staged: DataFrame, link: Link, existing: DataFrame | None = None) -> DataFrame:
     """First-seen row per link key; new link keys only."""
     src = _not_null(staged.select(*link.columns), [link.hk, *link.fks])
-    rows = first_by(src, [link.hk], [LOAD_TS, RECORD_SOURCE])
+    rows = first_by(src, [link.hk], [LOAD_TS, RECORD_SOURCE], reduce_first=True)
     if existing is not None:
         rows = rows.join(existing.select(link.hk), link.hk, "left_anti")
     return rows
@@ -128,8 +128,8 @@ def link_rows(staged: DataFrame, link: Link, existing: DataFrame | None = None)
 
 def latest_versions(existing: DataFrame, sat: Satellite) -> DataFrame:
     """(hk, hashdiff) of the latest stored version per key (ties: larger hashdiff)."""
-    return latest_by(existing.select(sat.hk, LOAD_TS, sat.hashdiff), [sat.hk], [LOAD_TS]) \
-        .select(sat.hk, sat.hashdiff)
+    return latest_by(existing.select(sat.hk, LOAD_TS, sat.hashdiff), [sat.hk], [LOAD_TS],
+                     reduce_first=True).select(sat.hk, sat.hashdiff)
 
 
 def satellite_rows(staged: DataFrame, sat: Satellite, existing: DataFrame | None = None,
@@ -192,7 +192,12 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
 
 @dataclass
 class VaultFrames:
-    """The raw-vault tables of one build, as DataFrames."""
+    """The raw-vault tables of one build, as DataFrames.
+
+    ``current_asset`` / ``current_customer`` optionally carry the latest version
+    per key, precomputed; without them the business views derive it from the
+    satellites.
+    """
     hub_customer: DataFrame
     hub_customer_account: DataFrame
     hub_asset: DataFrame
@@ -202,19 +207,27 @@ class VaultFrames:
     sat_customer_acc_details: DataFrame
     sat_asset_details: DataFrame
     sat_asset_measurements: DataFrame
+    current_asset: DataFrame | None = None
+    current_customer: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("current_")}
 
 
-def build_vault(staged: DataFrame, existing: dict[str, DataFrame] | None = None) -> VaultFrames:
-    """All nine raw-vault loads over one staged input (lazy; rows to append)."""
+def build_vault(staged: DataFrame, existing: dict[str, DataFrame] | None = None,
+                first_seen: DataFrame | None = None) -> VaultFrames:
+    """All nine raw-vault loads over one staged input (lazy; rows to append).
+
+    ``first_seen`` (asset-grain staging, see ``stage_assets``) feeds the hub and
+    link loads when given; they then never touch the reading-grain rows.
+    """
     ex = existing or {}
+    keyed = first_seen if first_seen is not None else staged
     out = {}
     for h in HUBS:
-        out[h.name] = hub_rows(staged, h, ex.get(h.name))
+        out[h.name] = hub_rows(keyed, h, ex.get(h.name))
     for ln in LINKS:
-        out[ln.name] = link_rows(staged, ln, ex.get(ln.name))
+        out[ln.name] = link_rows(keyed, ln, ex.get(ln.name))
     for s in SATELLITES:
         out[s.name] = satellite_rows(staged, s, ex.get(s.name))
     out[SAT_ASSET_MEASUREMENTS.name] = measurement_rows(

@@ -37,13 +37,41 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg) -> Data
                          ).select(*df.columns)
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Earliest row per key by ``order`` (ascending), ties broken by the other columns."""
+def reduce_lead(df: DataFrame, keys: Sequence[str], lead: str, earliest: bool) -> DataFrame:
+    """Collapse rows that agree on ``keys`` and every column but ``lead`` to one row
+    holding the smallest (``earliest``) or largest ``lead``.
+
+    The aggregate buffer is fixed-width, so Spark runs it as a hash aggregate with
+    map-side combine (no sort). It leaves the result of ``first_by``/``latest_by``
+    unchanged and shrinks their input to the distinct versions per key. NULLs
+    follow the struct ordering: a NULL ``lead`` is the earliest value.
+    """
+    others = [c for c in df.columns if c not in keys and c != lead]
+    c = F.col(lead)
+    if earliest:
+        v = F.when(F.max(c.isNull()), F.lit(None).cast(df.schema[lead].dataType)).otherwise(F.min(c))
+    else:
+        v = F.max(c)
+    return df.groupBy(*keys, *others).agg(v.alias(lead)).select(*df.columns)
+
+
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+             reduce_first: bool = False) -> DataFrame:
+    """Earliest row per key by ``order`` (ascending), ties broken by the other columns.
+
+    ``reduce_first`` pre-collapses repeated versions with ``reduce_lead`` (worth it
+    when many rows share a key's other columns, e.g. one row per reading).
+    """
+    if reduce_first and order:
+        df = reduce_lead(df, keys, order[0], earliest=True)
     return _pick(df, keys, order, F.min)
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+              reduce_first: bool = False) -> DataFrame:
     """Latest row per key by ``order`` (descending), ties broken by the other columns."""
+    if reduce_first and order:
+        df = reduce_lead(df, keys, order[0], earliest=False)
     return _pick(df, keys, order, F.max)
 
 

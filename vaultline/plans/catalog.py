@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_key
 from ..operators import business, quality, reports
 from ..operators.references import reference_codes
-from ..operators.staging import stage_readings
+from ..operators.staging import stage_asset_span, stage_readings, seen_rows
+from ..operators.window import latest_by
 from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
                                LINK_ACCOUNT_ASSET, LINK_CUSTOMER_ACCOUNT,
                                SAT_ASSET_DETAILS, SAT_ASSET_MEASUREMENTS,
                                SAT_CUSTOMER_ACC_DETAILS, SAT_CUSTOMER_DETAILS,
                                VaultFrames, build_vault, compact_satellite, hub_rows,
                                link_rows, measurement_rows, satellite_rows, upsert_rows)
-from ..session import apply_conf
+from ..session import apply_conf, checkpoint_root
 from ..sources import fixtures
 
 # Fixed parameters of the registered queries.
@@ -37,8 +38,33 @@ def staged(spark: SparkSession, sf_dir: str, changed: bool = False,
     return stage_readings(s.readings, s.assets, s.customer_accounts, s.customers)
 
 
+def span(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+    """Asset-grain staging with first and last load times (lazy)."""
+    apply_conf(spark)
+    s = fixtures.sources(spark, sf_dir, batch=batch)
+    return stage_asset_span(s.readings, s.assets, s.customer_accounts, s.customers)
+
+
+def seen(spark: SparkSession, sf_dir: str, which: str = "first",
+         batch: int | None = None) -> DataFrame:
+    """Asset-grain staging (readings pre-aggregated per asset before the join)."""
+    return seen_rows(span(spark, sf_dir, batch), which)
+
+
 def vault(spark: SparkSession, sf_dir: str) -> VaultFrames:
-    return build_vault(staged(spark, sf_dir))
+    """The vault of one first load. Hubs, links and current details all come from
+    the asset-grain staging, computed once and checkpointed to the shared
+    checkpoint folder (so its five consumers do not each re-read the fact);
+    satellites and measurements come from the reading-grain staging (lazy)."""
+    checkpoint_root(spark)
+    sp = span(spark, sf_dir).checkpoint(eager=True)
+    v = build_vault(staged(spark, sf_dir), first_seen=seen_rows(sp, "first"))
+    last = seen_rows(sp, "last")
+    v.current_asset = latest_by(last.select("asset_hk", "load_ts", "asset_type",
+                                            "asset_installation_date", "asset_status"),
+                                ["asset_hk"], ["load_ts"])
+    v.current_customer = business.current_customer_details(last)
+    return v
 
 
 def _sat_cd_history(spark, sf_dir) -> DataFrame:
@@ -94,33 +120,33 @@ def q_stage_null_key_filter(spark, sf_dir):
 # -- hubs, links -----------------------------------------------------------------
 
 def q_hub_customer(spark, sf_dir):
-    return hub_rows(staged(spark, sf_dir), HUB_CUSTOMER)
+    return hub_rows(seen(spark, sf_dir), HUB_CUSTOMER)
 
 
 def q_hub_customer_account(spark, sf_dir):
-    return hub_rows(staged(spark, sf_dir), HUB_CUSTOMER_ACCOUNT)
+    return hub_rows(seen(spark, sf_dir), HUB_CUSTOMER_ACCOUNT)
 
 
 def q_hub_asset(spark, sf_dir):
-    return hub_rows(staged(spark, sf_dir), HUB_ASSET)
+    return hub_rows(seen(spark, sf_dir), HUB_ASSET)
 
 
 def q_hub_customer_incremental(spark, sf_dir):
-    first = hub_rows(staged(spark, sf_dir, batch=1), HUB_CUSTOMER)
-    return hub_rows(staged(spark, sf_dir), HUB_CUSTOMER, existing=first)
+    first = hub_rows(seen(spark, sf_dir, batch=1), HUB_CUSTOMER)
+    return hub_rows(seen(spark, sf_dir), HUB_CUSTOMER, existing=first)
 
 
 def q_link_customer_account(spark, sf_dir):
-    return link_rows(staged(spark, sf_dir), LINK_CUSTOMER_ACCOUNT)
+    return link_rows(seen(spark, sf_dir), LINK_CUSTOMER_ACCOUNT)
 
 
 def q_link_account_asset(spark, sf_dir):
-    return link_rows(staged(spark, sf_dir), LINK_ACCOUNT_ASSET)
+    return link_rows(seen(spark, sf_dir), LINK_ACCOUNT_ASSET)
 
 
 def q_link_account_asset_incremental(spark, sf_dir):
-    first = link_rows(staged(spark, sf_dir, batch=1), LINK_ACCOUNT_ASSET)
-    return link_rows(staged(spark, sf_dir), LINK_ACCOUNT_ASSET, existing=first)
+    first = link_rows(seen(spark, sf_dir, batch=1), LINK_ACCOUNT_ASSET)
+    return link_rows(seen(spark, sf_dir), LINK_ACCOUNT_ASSET, existing=first)
 
 
 # -- satellites ------------------------------------------------------------------
@@ -198,7 +224,8 @@ def q_as_of_customer(spark, sf_dir):
 
 def q_active_hierarchy(spark, sf_dir):
     v = vault(spark, sf_dir)
-    return reports.active_hierarchy(business.customer_asset_hierarchy(v), v.sat_customer_details)
+    return reports.active_hierarchy(business.customer_asset_hierarchy(v),
+                                    business.current_customer(v))
 
 
 def q_recent_measurements(spark, sf_dir):
@@ -258,7 +285,8 @@ def q_row_counts(spark, sf_dir):
     apply_conf(spark)
     s = fixtures.sources(spark, sf_dir)
     st = stage_readings(s.readings, s.assets, s.customer_accounts, s.customers)
-    v = build_vault(st)
+    v = build_vault(st, first_seen=seen_rows(stage_asset_span(
+        s.readings, s.assets, s.customer_accounts, s.customers), "first"))
     return quality.row_counts({**s.as_dict(), "stg_meter_data": st, **v.as_dict()})
 
 
