@@ -140,3 +140,15 @@ def as_of(df: DataFrame, ts: str | Column, keys: list[str] | None = None,
     if keys:
         past = latest_by(past, keys, [order])
     return past
+
+
+def time_travel(spark, table: str, ts: str, keys: list[str] | None = None,
+                order: str = "load_ts") -> DataFrame:
+    """``FOR SYSTEM_TIME AS OF``: a table format's snapshot read when the catalog
+    supports it (Iceberg, Delta), otherwise ``as_of`` on the insert-only table."""
+    try:
+        snap = spark.sql(f"SELECT * FROM {table} TIMESTAMP AS OF '{ts}'")
+        snap.schema  # noqa: B018 - analysis fails on formats without time travel
+        return latest_by(snap, keys, [order]) if keys else snap
+    except Exception:
+        return as_of(spark.table(table), ts, keys, order)

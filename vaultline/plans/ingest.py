@@ -48,6 +48,23 @@ def incremental_filter(df: DataFrame, field: str, last_value: str,
     return df.filter(F.col(field) > bound)
 
 
+LOOKBACK_FLOOR = "1970-01-01 00:00:00"
+
+
+def late_filter(df: DataFrame, existing: DataFrame | None, ts_col: str,
+                lookback_hours: int = 24) -> DataFrame:
+    """Rows newer than ``max(ts_col)`` of the target minus a lookback; all rows on a
+    first run. The maximum is one scalar computed before the filter is planned,
+    so the bound is a literal and can prune partitions and row groups."""
+    if existing is None:
+        return df
+    top = existing.agg(F.coalesce(F.max(ts_col), F.to_timestamp_ntz(F.lit(LOOKBACK_FLOOR)))
+                       .alias("m")).first()["m"]
+    bound = F.timestamp_add("HOUR", F.lit(-int(lookback_hours)),
+                            F.to_timestamp_ntz(F.lit(top.strftime("%Y-%m-%d %H:%M:%S.%f"))))
+    return df.filter(F.col(ts_col) > bound)
+
+
 def anti_join_null_safe(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` with no row in ``existing`` equal on ``keys``, NULL equal to NULL
     (an equi-join on ``<=>``, so it still hashes/sorts on the keys)."""

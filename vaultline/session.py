@@ -34,7 +34,10 @@ def build_session(master: str = "local[8]", app: str = "vaultline",
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.memory", "8g")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         # one JVM: listing thousands of day folders on the driver beats a
+         # distributed listing job (cluster sessions keep Spark's default)
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000"))
     for k, v in {**BASE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
