@@ -8,6 +8,7 @@ feature.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
                                SAT_CUSTOMER_ACC_DETAILS, SAT_CUSTOMER_DETAILS,
                                VaultFrames, build_vault, compact_satellite, hub_rows,
                                link_rows, measurement_rows, satellite_rows, upsert_rows)
-from ..session import apply_conf, checkpoint_root
+from ..session import apply_conf, worth_sharing
+from .sinks import write_checkpoint
 from ..sources import fixtures
 
 # Fixed parameters of the registered queries.
@@ -51,20 +53,75 @@ def seen(spark: SparkSession, sf_dir: str, which: str = "first",
     return seen_rows(span(spark, sf_dir, batch), which)
 
 
-def vault(spark: SparkSession, sf_dir: str) -> VaultFrames:
-    """The vault of one first load. Hubs, links and current details all come from
-    the asset-grain staging, computed once and checkpointed to the shared
-    checkpoint folder (so its five consumers do not each re-read the fact);
-    satellites and measurements come from the reading-grain staging (lazy)."""
-    checkpoint_root(spark)
-    sp = span(spark, sf_dir).checkpoint(eager=True)
-    v = build_vault(staged(spark, sf_dir), first_seen=seen_rows(sp, "first"))
-    last = seen_rows(sp, "last")
-    v.current_asset = latest_by(last.select("asset_hk", "load_ts", "asset_type",
-                                            "asset_installation_date", "asset_status"),
-                                ["asset_hk"], ["load_ts"])
-    v.current_customer = business.current_customer_details(last)
-    return v
+class LazyVault:
+    """The vault of one first load, planned lazily and table by table (the same
+    attributes as ``VaultFrames``): a query plans only the tables it reads.
+
+    Hubs, links and current details come from the asset-grain staging; with
+    ``share_span`` that staging is computed once and written as Parquet under the
+    shared checkpoint folder (a lineage cut that survives executor loss), worth
+    it when many of those tables are read together over a large fact; ``"auto"``
+    decides from Spark's size estimate of the readings.
+    Satellites and measurements come from the reading-grain staging.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, share_span: bool | str = False):
+        self.spark, self.sf_dir, self.share_span = spark, sf_dir, share_span
+
+    @cached_property
+    def _staged(self) -> DataFrame:
+        return staged(self.spark, self.sf_dir)
+
+    @cached_property
+    def _span(self) -> DataFrame:
+        sp = span(self.spark, self.sf_dir)
+        share = self.share_span
+        if share == "auto":  # decided by the size of the fact behind it
+            share = worth_sharing(self.spark, fixtures.sources(self.spark, self.sf_dir).readings)
+        if share:  # columnar copy: each consumer reads only its columns
+            sp = write_checkpoint(sp, "asset-span")
+        return sp
+
+    def _hub(self, h):
+        return hub_rows(seen_rows(self._span, "first"), h)
+
+    def _link(self, ln):
+        return link_rows(seen_rows(self._span, "first"), ln)
+
+    hub_customer = cached_property(lambda self: self._hub(HUB_CUSTOMER))
+    hub_customer_account = cached_property(lambda self: self._hub(HUB_CUSTOMER_ACCOUNT))
+    hub_asset = cached_property(lambda self: self._hub(HUB_ASSET))
+    link_customer_account = cached_property(lambda self: self._link(LINK_CUSTOMER_ACCOUNT))
+    link_account_asset = cached_property(lambda self: self._link(LINK_ACCOUNT_ASSET))
+    sat_customer_details = cached_property(
+        lambda self: satellite_rows(self._staged, SAT_CUSTOMER_DETAILS))
+    sat_customer_acc_details = cached_property(
+        lambda self: satellite_rows(self._staged, SAT_CUSTOMER_ACC_DETAILS))
+    sat_asset_details = cached_property(
+        lambda self: satellite_rows(self._staged, SAT_ASSET_DETAILS))
+    sat_asset_measurements = cached_property(
+        lambda self: measurement_rows(self._staged, SAT_ASSET_MEASUREMENTS))
+
+    @cached_property
+    def current_asset(self) -> DataFrame:
+        last = seen_rows(self._span, "last")
+        return latest_by(last.select("asset_hk", "load_ts", "asset_type",
+                                     "asset_installation_date", "asset_status"),
+                         ["asset_hk"], ["load_ts"])
+
+    @cached_property
+    def current_customer(self) -> DataFrame:
+        return business.current_customer_details(seen_rows(self._span, "last"))
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        names = ("hub_customer", "hub_customer_account", "hub_asset", "link_customer_account",
+                 "link_account_asset", "sat_customer_details", "sat_customer_acc_details",
+                 "sat_asset_details", "sat_asset_measurements")
+        return {n: getattr(self, n) for n in names}
+
+
+def vault(spark: SparkSession, sf_dir: str, share_span: bool | str = False) -> LazyVault:
+    return LazyVault(spark, sf_dir, share_span)
 
 
 def _sat_cd_history(spark, sf_dir) -> DataFrame:
@@ -202,7 +259,7 @@ def q_bv_asset_measurements(spark, sf_dir):
 
 
 def q_bv_customer_asset_hierarchy(spark, sf_dir):
-    return business.customer_asset_hierarchy(vault(spark, sf_dir))
+    return business.customer_asset_hierarchy(vault(spark, sf_dir, share_span="auto"))
 
 
 def q_meters_legacy(spark, sf_dir):
@@ -223,7 +280,7 @@ def q_as_of_customer(spark, sf_dir):
 # -- reports -------------------------------------------------------------------------
 
 def q_active_hierarchy(spark, sf_dir):
-    v = vault(spark, sf_dir)
+    v = vault(spark, sf_dir, share_span="auto")
     return reports.active_hierarchy(business.customer_asset_hierarchy(v),
                                     business.current_customer(v))
 
@@ -243,11 +300,13 @@ def q_hub_counts(spark, sf_dir):
 # -- quality -----------------------------------------------------------------------
 
 def q_check_not_null(spark, sf_dir):
-    return quality.run_checks(vault(spark, sf_dir).as_dict(), tests=("not_null",))
+    return quality.run_checks(vault(spark, sf_dir, share_span="auto").as_dict(),
+                              tests=("not_null",))
 
 
 def q_check_unique(spark, sf_dir):
-    return quality.run_checks(vault(spark, sf_dir).as_dict(), tests=("unique",))
+    return quality.run_checks(vault(spark, sf_dir, share_span="auto").as_dict(),
+                              tests=("unique",))
 
 
 def q_check_orphans(spark, sf_dir):

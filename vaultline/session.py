@@ -84,3 +84,25 @@ def ensure_local_dir(path: str) -> str:
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
     return path
+
+
+# Above this estimated input size a shared intermediate is written once instead
+# of being recomputed by each consumer (override with vaultline.shareThresholdBytes).
+SHARE_THRESHOLD_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df) -> int | None:
+    """Spark's own size estimate of a DataFrame's optimized plan (file sizes for
+    scans, propagated upward); None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def worth_sharing(spark: SparkSession, df) -> bool:
+    """Whether ``df`` is large enough that recomputing it per consumer costs more
+    than writing it once to the shared checkpoint folder."""
+    limit = int(spark.conf.get("vaultline.shareThresholdBytes", str(SHARE_THRESHOLD_BYTES)))
+    size = estimated_bytes(df)
+    return size is None or size > limit
