@@ -57,13 +57,20 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; created locally only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: only the conf is visible
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="vaultline-ckpt-")
-        sc.setCheckpointDir(current)
+        if sc is not None:
+            sc.setCheckpointDir(current)
+        else:
+            spark.conf.set("spark.checkpoint.dir", current)
         return current
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
