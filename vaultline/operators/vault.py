@@ -133,34 +133,49 @@ def latest_versions(existing: DataFrame, sat: Satellite) -> DataFrame:
 
 
 def satellite_rows(staged: DataFrame, sat: Satellite, existing: DataFrame | None = None,
-                   compact: bool = False) -> DataFrame:
+                   compact: bool = False, current: DataFrame | None = None) -> DataFrame:
     """Satellite rows to insert.
 
     First load: every staged row (one per reading, as the models do). Later
     loads: rows whose (hk, hashdiff) differs from the latest stored version.
+    ``current`` may supply those latest (hk, hashdiff) pairs directly (a
+    maintained one-row-per-key table) instead of deriving them from ``existing``.
     ``compact=True`` additionally keeps only change points of each key's history.
     """
     src = _not_null(staged.select(*sat.columns), [sat.hk])
     rows = src
-    if existing is not None:
+    if current is not None:
+        rows = src.join(current.select(sat.hk, sat.hashdiff), [sat.hk, sat.hashdiff], "left_anti")
+    elif existing is not None:
         rows = src.join(latest_versions(existing, sat), [sat.hk, sat.hashdiff], "left_anti")
     if compact:
         rows = change_points(rows, [sat.hk], [LOAD_TS], sat.hashdiff)
     return rows
 
 
+def merge_current(current: DataFrame | None, new_rows: DataFrame, sat: Satellite) -> DataFrame:
+    """The one-row-per-key current-version table after appending ``new_rows``."""
+    cols = [sat.hk, LOAD_TS, sat.hashdiff]
+    parts = new_rows.select(*cols)
+    if current is not None:
+        parts = current.select(*cols).unionByName(parts)
+    return latest_by(parts, [sat.hk], [LOAD_TS])
+
+
 def compact_satellite(sat_table: DataFrame, sat: Satellite) -> DataFrame:
     """Keep only the rows where a key's hashdiff changes (first row of each run)."""
     return change_points(sat_table.select(*sat.columns), [sat.hk], [LOAD_TS], sat.hashdiff)
 
 
 def measurement_rows(staged: DataFrame, m: Measurements = SAT_ASSET_MEASUREMENTS,
-                     existing: DataFrame | None = None) -> DataFrame:
+                     existing: DataFrame | None = None, prune_days: bool = False) -> DataFrame:
     """Measurement rows to insert: all on a first load, else unseen 5-part keys.
 
-    When both sides carry the ``load_day`` partition column it joins too: same
-    ``load_ts`` implies same day, so the result is unchanged, and a partitioned
-    target can be pruned to the days present in the batch.
+    When the stored target carries the ``load_day`` partition column it joins
+    too (same ``load_ts`` implies same day, so the result is unchanged), and
+    with ``prune_days`` the batch's day range is computed first (one scalar
+    aggregate) so only those day partitions of the target are read. Spark's
+    dynamic partition pruning does not apply to anti-joins, hence the literal.
     """
     src = _not_null(staged.select(*m.columns), [m.hk])
     if existing is None:
@@ -169,7 +184,13 @@ def measurement_rows(staged: DataFrame, m: Measurements = SAT_ASSET_MEASUREMENTS
     if LOAD_DAY in existing.columns:
         src = src.withColumn(LOAD_DAY, F.to_date(LOAD_TS))
         keys = keys + [LOAD_DAY]
-        return src.join(existing.select(*keys), keys, "left_anti").drop(LOAD_DAY)
+        ex = existing
+        if prune_days:  # static partition pruning to the batch's day range
+            lo, hi = src.agg(F.min(LOAD_DAY), F.max(LOAD_DAY)).first()
+            if lo is None:  # empty batch
+                return src.drop(LOAD_DAY).limit(0)
+            ex = ex.filter(F.col(LOAD_DAY).between(F.lit(lo), F.lit(hi)))
+        return src.join(ex.select(*keys), keys, "left_anti").drop(LOAD_DAY)
     return src.join(existing.select(*keys), keys, "left_anti")
 
 

@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 
 from ..operators import business, quality
 from ..operators.references import REFERENCE_ROWS, reference_table
-from ..operators.staging import stage_readings
-from ..operators.vault import (LOAD_DAY, SAT_ASSET_MEASUREMENTS, VaultFrames, build_vault,
-                               with_load_day)
+from ..operators.staging import seen_rows, stage_asset_span, stage_readings
+from ..operators.vault import (HUBS, LINKS, LOAD_DAY, LOAD_TS, SAT_ASSET_MEASUREMENTS,
+                               SATELLITES, Satellite, VaultFrames, hub_rows, link_rows,
+                               measurement_rows, merge_current, satellite_rows, with_load_day)
+from ..operators.window import latest_by
+from ..session import scratch_path
 from ..sources.fixtures import Sources
 from .sinks import append, create_view, observed, read_or_none, write_checkpoint
 
@@ -65,27 +68,84 @@ def register_views(spark: SparkSession, root: str, load_ts: str | None = None) -
     return views
 
 
+CURRENT_SUFFIX = "__current"
+MARKER = "sat_rows"
+
+
+def _load_current(spark: SparkSession, root: str, sat: Satellite,
+                  stored: DataFrame | None) -> tuple[DataFrame | None, int]:
+    """The satellite's one-row-per-key current-version table and the satellite's
+    row count. The table records the count it was built for; if a run died
+    between appending rows and replacing the table, the counts differ and the
+    table is rebuilt from the satellite (the only full scan, and a rare one)."""
+    if stored is None:
+        return None, 0
+    n = stored.count()  # Parquet footers only
+    cur = read_or_none(spark, table_path(root, sat.name + CURRENT_SUFFIX))
+    if cur is not None:
+        marker = cur.agg(F.max(MARKER)).first()[0]
+        if marker == n:
+            return cur.drop(MARKER), n
+    rebuilt = latest_by(stored.select(sat.hk, LOAD_TS, sat.hashdiff), [sat.hk], [LOAD_TS],
+                        reduce_first=True)
+    return rebuilt, n
+
+
+def _load_satellite(spark: SparkSession, root: str, staged: DataFrame, sat: Satellite,
+                    stored: DataFrame | None) -> int:
+    """Append new satellite versions and keep the current-version table in step:
+    merged table -> scratch, append rows, then swap the merged table in."""
+    current, n = _load_current(spark, root, sat, stored)
+    rows = satellite_rows(staged, sat, existing=stored, current=current)
+    obs = Observation(f"versions_{sat.name}")
+    merged = merge_current(current, rows.observe(obs, F.count(F.lit(1)).alias("rows")), sat)
+    scratch = scratch_path(spark, f"{sat.name}-current")
+    merged.write.mode("overwrite").parquet(scratch)
+    k = int(observed(obs, "rows"))
+    if k:
+        append(rows, table_path(root, sat.name))
+    (spark.read.parquet(scratch).withColumn(MARKER, F.lit(n + k).cast("long"))
+     .write.mode("overwrite").parquet(table_path(root, sat.name + CURRENT_SUFFIX)))
+    return k
+
+
 def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None = None,
               key_mode: str = "natural", dedup_sources: bool = False,
               run_checks: bool = True, raise_on_check_failure: bool = True,
               parallelism: int = 4) -> BuildResult:
-    """Build (or incrementally extend) the vault stored under ``root``."""
+    """Build (or incrementally extend) the vault stored under ``root``.
+
+    Hubs and links come from the asset-grain staging (readings reduced per asset
+    before the join); satellites and measurements from the reading-grain staging,
+    which is written once and read by those four loads. Incremental runs compare
+    satellites against their current-version tables and measurements against the
+    day partitions the batch touches, so their cost follows the batch, not the
+    history.
+    """
     staged = stage_readings(src.readings, src.assets, src.customer_accounts, src.customers,
                             key_mode=key_mode, dedup_sources=dedup_sources)
     staged = write_checkpoint(staged, "stg_meter_data")
-    existing = {n: df for n in VAULT_TABLES
-                if (df := read_or_none(spark, table_path(root, n))) is not None}
-    existing = {n: (df.drop(LOAD_DAY) if n not in PARTITIONED and LOAD_DAY in df.columns else df)
-                for n, df in existing.items()}
-    frames = build_vault(staged, existing).as_dict()
+    first_seen = seen_rows(stage_asset_span(src.readings, src.assets, src.customer_accounts,
+                                            src.customers, key_mode, dedup_sources), "first")
+    stored = {n: df for n in VAULT_TABLES
+              if (df := read_or_none(spark, table_path(root, n))) is not None}
+    by_name = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES)}
+
+    def plan(name: str) -> DataFrame:
+        ex = stored.get(name)
+        if name in {h.name for h in HUBS}:
+            return hub_rows(first_seen, by_name[name], ex)
+        if name in {ln.name for ln in LINKS}:
+            return link_rows(first_seen, by_name[name], ex)
+        return with_load_day(measurement_rows(staged, SAT_ASSET_MEASUREMENTS, ex,
+                                              prune_days=True))
 
     def load(name: str) -> tuple[str, int]:
-        df = frames[name]
-        part = PARTITIONED.get(name)
-        if part:
-            df = with_load_day(df)
+        if name in {s.name for s in SATELLITES}:
+            return name, _load_satellite(spark, root, staged, by_name[name], stored.get(name))
         obs = Observation(f"load_{name}")
-        append(df.observe(obs, F.count(F.lit(1)).alias("rows")), table_path(root, name), part)
+        append(plan(name).observe(obs, F.count(F.lit(1)).alias("rows")),
+               table_path(root, name), PARTITIONED.get(name))
         return name, int(observed(obs, "rows"))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -97,8 +157,8 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
 
     checks = None
     if run_checks:
-        stored = read_vault(spark, root).as_dict()
-        checks = quality.run_checks(stored)
+        stored_now = read_vault(spark, root).as_dict()
+        checks = quality.run_checks(stored_now)
         p = table_path(root, "_checks")
         checks.write.mode("overwrite").parquet(p)
         checks = spark.read.parquet(p)
