@@ -38,7 +38,7 @@ def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> N
     elif name in {ln.name for ln in LINKS}:
         rows = link_rows(staged, b, existing)
     elif name == SAT_ASSET_MEASUREMENTS.name:
-        rows = with_load_day(measurement_rows(staged, b, existing))
+        rows = with_load_day(measurement_rows(staged, b, existing, prune_days=True))
         append(rows, path, [LOAD_DAY])
         return
     else:
