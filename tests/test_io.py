@@ -282,3 +282,27 @@ def test_incremental_build_equals_pure_loaders_and_survives_stale_current(spark,
         .parquet(table_path(root, "sat_customer_details__current"))
     r3 = run_build(spark, b2, root, run_checks=False)
     assert all(n == 0 for n in r3.appended.values())
+
+
+def test_documented_sql_queries_run_on_the_views(spark, tmp_root):
+    root = f"{tmp_root}/vault"
+    run_build(spark, fixtures.sources(spark, SF_SMALL), root, run_checks=False)
+    register_views(spark, root)
+    active = spark.sql("""SELECT installation_id, customer_name, customer_type, account_meter_id,
+        meter_type, meter_status FROM rpt_active_hierarchy WHERE meter_status = 'ACTIVE'
+        ORDER BY installation_id""").collect()
+    assert active and all(r.customer_name for r in active)
+    day = spark.sql("SELECT max(DATE(interval_start)) AS d FROM bv_asset_measurements").first().d
+    recent = spark.sql(f"""SELECT meter_id AS asset_id, reading_value, interval_start, reading_type,
+        unit_of_measure, quality_code FROM bv_asset_measurements
+        WHERE DATE(interval_start) = DATE'{day}' ORDER BY interval_start DESC LIMIT 20""").collect()
+    assert 0 < len(recent) <= 20
+    q = spark.sql("""SELECT quality_code, reading_status, COUNT(*) AS reading_count
+        FROM sat_asset_measurements GROUP BY 1, 2 ORDER BY 3 DESC""").collect()
+    assert q[0].reading_count >= q[-1].reading_count
+    counts = spark.sql("""SELECT 'Customers' AS entity, COUNT(*) AS n FROM hub_customer
+        UNION ALL SELECT 'Accounts', COUNT(*) FROM hub_customer_account
+        UNION ALL SELECT 'Assets', COUNT(*) FROM hub_asset""").collect()
+    assert {r.entity: r.n for r in counts} == \
+        {r.entity: r.record_count for r in spark.table("rpt_hub_counts").collect()}
+    assert spark.sql("SELECT * FROM bv_customer_asset_hierarchy LIMIT 5").count() == 5

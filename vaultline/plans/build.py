@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import business, quality
+from ..operators import business, quality, reports
 from ..operators.references import REFERENCE_ROWS, reference_table
 from ..operators.staging import seen_rows, stage_asset_span, stage_readings
 from ..operators.vault import (HUBS, LINKS, LOAD_DAY, LOAD_TS, SAT_ASSET_MEASUREMENTS,
@@ -65,6 +65,13 @@ def register_views(spark: SparkSession, root: str, load_ts: str | None = None) -
                                                  "bv_asset_measurements")
     views["bv_customer_asset_hierarchy"] = create_view(business.customer_asset_hierarchy(v),
                                                        "bv_customer_asset_hierarchy")
+    # the reports, as views (the hierarchy report adds the customer's current name/type)
+    views["rpt_active_hierarchy"] = create_view(
+        reports.active_hierarchy(views["bv_customer_asset_hierarchy"],
+                                 business.current_customer(v)), "rpt_active_hierarchy")
+    views["rpt_quality_counts"] = create_view(reports.quality_counts(v.sat_asset_measurements),
+                                              "rpt_quality_counts")
+    views["rpt_hub_counts"] = create_view(reports.hub_counts(v), "rpt_hub_counts")
     return views
 
 
