@@ -306,3 +306,20 @@ def test_documented_sql_queries_run_on_the_views(spark, tmp_root):
     assert {r.entity: r.n for r in counts} == \
         {r.entity: r.record_count for r in spark.table("rpt_hub_counts").collect()}
     assert spark.sql("SELECT * FROM bv_customer_asset_hierarchy LIMIT 5").count() == 5
+
+
+def test_register_new_files_recovers_missing_manifest(spark, tmp_root):
+    import shutil
+    from vaultline.plans.ingest import manifest_path
+    from vaultline.session import local_path
+    schema = to_struct(meter_tables()["readings"])
+    r = fixtures.sources(spark, SF_SMALL).readings
+    landing, target = f"{tmp_root}/landing", f"{tmp_root}/raw"
+    r.write.mode("append").parquet(landing)
+    n = register_new_files(spark, landing, schema, target)
+    assert n == r.count()
+    assert "_manifest" not in " ".join(spark.read.parquet(target).inputFiles())
+    # the run died after the data append: the manifest never got written
+    shutil.rmtree(local_path(manifest_path(target)))
+    assert register_new_files(spark, landing, schema, target) == 0
+    assert spark.read.parquet(target).count() == r.count()

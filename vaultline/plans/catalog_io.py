@@ -18,8 +18,8 @@ from ..sources import fixtures
 from ..sources.schema import meter_tables, to_struct
 from ..sources.state import WatermarkStore
 from ..streaming.loads import stream_load
-from .ingest import ingest, plan_ingest, register_new_files, unregistered_rows
-from .sinks import read_or_none
+from .ingest import (ingest, plan_ingest, register_new_files, registered_files,
+                     unregistered_rows)
 
 # Fixed parameters of the scenarios.
 LATE_WINDOW_HOURS = 48     # late rows: created within this many hours before batch 1 ended
@@ -87,9 +87,8 @@ def q_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(r.filter(_before_batch_end()), landing)
     register_new_files(spark, landing, schema, target)
     _land(r.filter(~_before_batch_end()), landing)
-    manifest = read_or_none(spark, target).select(F.col("source_file").alias("file_path")) \
-        .distinct()
-    return unregistered_rows(spark.read.schema(schema).parquet(landing), manifest).drop("__file")
+    return unregistered_rows(spark.read.schema(schema).parquet(landing),
+                             registered_files(spark, target)).drop("__file")
 
 
 def q_stream_hub_load(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ during the write itself (``DataFrame.observe``), so the data is read once.
 
 ``register_new_files`` is the file-level variant: a landing folder's files are
 diffed against a manifest of registered paths (``left_anti``), and only rows of
-unregistered files are appended.
+unregistered files are appended; each row keeps its source file.
 """
 
 from __future__ import annotations
@@ -165,22 +165,58 @@ def unregistered_rows(landing: DataFrame, manifest: DataFrame | None) -> DataFra
     return with_file
 
 
+MANIFEST = "_manifest"
+
+
+def manifest_path(target: str) -> str:
+    """The target's file manifest (a leading underscore hides it from table reads)."""
+    return f"{target.rstrip('/')}/{MANIFEST}"
+
+
 def register_new_files(spark: SparkSession, landing_path: str, schema, target: str,
                        partition_by: Sequence[str] | None = None,
                        file_col: str = SOURCE_FILE) -> int:
-    """Append the rows of landing files that the target does not hold yet.
-
-    The target keeps each row's source file in ``file_col``; its distinct
-    values are the manifest. Registration and load are therefore one atomic
-    append: a failed run registers nothing, a repeated run adds nothing.
-    Returns the number of rows appended.
+    """Append the rows of landing files that are not registered in the target yet.
+
+    The manifest holds one row per registered file, so finding new files is a
+    join over file names, not over the table's rows. Data is appended first and
+    the manifest second; if a run died in between, the next run finds those
+    files' rows in the target (an ``IN`` filter on ``file_col``, which Parquet
+    row-group statistics prune) and records them instead of loading them again.
+    Only the names of newly arrived files reach the driver. Returns the number
+    of rows appended.
     """
     landing = spark.read.schema(schema).parquet(landing_path)
+    files = landing.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+    manifest = read_or_none(spark, manifest_path(target))
+    if manifest is not None:
+        files = files.join(manifest.select("file_path"), "file_path", "left_anti")
+    new_files = sorted(r.file_path for r in files.collect())
+    if not new_files:
+        return 0
     existing = read_or_none(spark, target)
-    manifest = None
-    if existing is not None:
-        manifest = existing.select(F.col(file_col).alias("file_path")).distinct()
-    rows = unregistered_rows(landing, manifest).withColumnRenamed("__file", file_col)
+    if existing is not None:  # recover from a run that appended data but not the manifest
+        done = {r[0] for r in existing.filter(F.col(file_col).isin(new_files))
+                .select(file_col).distinct().collect()}
+        if done:
+            _record(spark, sorted(done), target)
+            new_files = [f for f in new_files if f not in done]
+        if not new_files:
+            return 0
+    rows = (landing.withColumn(file_col, F.col("_metadata.file_path"))
+            .filter(F.col(file_col).isin(new_files)))
     obs = Observation("register_files")
     append(rows.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
+    _record(spark, new_files, target)
     return int(observed(obs, "rows"))
+
+
+def _record(spark: SparkSession, files: list[str], target: str) -> None:
+    (spark.createDataFrame([(f,) for f in files], "file_path string")
+     .withColumn("registered_at", F.localtimestamp())
+     .coalesce(1).write.mode("append").parquet(manifest_path(target)))
+
+
+def registered_files(spark: SparkSession, target: str) -> DataFrame | None:
+    """The manifest of a target (``file_path``, ``registered_at``)."""
+    return read_or_none(spark, manifest_path(target))
