@@ -323,3 +323,28 @@ def test_register_new_files_recovers_missing_manifest(spark, tmp_root):
     shutil.rmtree(local_path(manifest_path(target)))
     assert register_new_files(spark, landing, schema, target) == 0
     assert spark.read.parquet(target).count() == r.count()
+
+
+def test_watermark_filter_reaches_the_parquet_scan(spark, tmp_root):
+    t = meter_tables()["readings"]
+    lake = f"{tmp_root}/lake_readings"
+    fixtures.sources(spark, SF_SMALL).readings.write.parquet(lake)
+    st = WatermarkStore(spark, f"{tmp_root}/state")
+    st.save("readings", "creation_time", "1998-01-01 00:00:00", load_id=1)
+    rows_ = plan_ingest(spark, t, source_frame(spark, t, "parquet", {"path": lake}),
+                        f"{tmp_root}/raw", st)
+    plan = rows_._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(creation_time" in plan
+
+
+def test_shuffle_sizing_only_raises(spark):
+    from vaultline.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    small = spark.range(10)
+    assert size_shuffles(spark, small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(spark, small, target_bytes=1) > 8
+    if before is None:
+        spark.conf.unset(key)
+    else:
+        spark.conf.set(key, before)

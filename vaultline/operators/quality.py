@@ -3,8 +3,8 @@
 Every check yields rows ``(table_name, column_name, test, failures, passed)``.
 All ``not_null`` checks of one table are a single pass (one ``count_if`` per
 column, partially aggregated); ``unique`` is a grouped count per key; orphan and
-code-domain checks are ``left_anti`` joins (code lists are a handful of fixed
-rows and are broadcast).
+code-domain checks are ``left_anti`` joins (the bundled code lists are a handful
+of fixed rows and carry a broadcast hint).
 """
 
 from __future__ import annotations
@@ -57,10 +57,12 @@ def orphans(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -
 
 
 def accepted_values(df: DataFrame, table: str, column: str, codes: DataFrame) -> DataFrame:
-    """Rows whose non-null code is not in the (broadcast) code list."""
+    """Rows whose non-null code is not in the code list. The bundled code lists
+    carry a broadcast hint (a handful of fixed rows); any other list is left to
+    Spark's size-checked join choice."""
     code_col = codes.columns[0]
     v = df.select(F.col(column).alias("__v")).filter(F.col("__v").isNotNull())
-    bad = v.join(F.broadcast(codes.select(F.col(code_col).alias("__v"))), "__v", "left_anti")
+    bad = v.join(codes.select(F.col(code_col).alias("__v")), "__v", "left_anti")
     return _result(bad.agg(F.count(F.lit(1)).alias("failures")), table, column,
                    "accepted_values")
 

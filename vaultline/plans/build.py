@@ -22,7 +22,7 @@ from ..operators.vault import (HUBS, LINKS, LOAD_DAY, LOAD_TS, SAT_ASSET_MEASURE
                                SATELLITES, Satellite, VaultFrames, hub_rows, link_rows,
                                measurement_rows, merge_current, satellite_rows, with_load_day)
 from ..operators.window import latest_by
-from ..session import scratch_path
+from ..session import scratch_path, size_shuffles
 from ..sources.fixtures import Sources
 from .sinks import append, create_view, observed, read_or_none, write_checkpoint
 
@@ -129,6 +129,7 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
     day partitions the batch touches, so their cost follows the batch, not the
     history.
     """
+    size_shuffles(spark, src.readings)
     staged = stage_readings(src.readings, src.assets, src.customer_accounts, src.customers,
                             key_mode=key_mode, dedup_sources=dedup_sources)
     staged = write_checkpoint(staged, "stg_meter_data")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
+from ..session import size_shuffles
 from ..sources.readers import extract, source_frame
 from ..sources.schema import TableDef
 from ..sources.state import DEFAULT_WATERMARK, WatermarkStore
@@ -111,6 +112,7 @@ def ingest(spark: SparkSession, table: TableDef, kind: str, options: dict, targe
     """Load one table from a source into the Parquet table at ``target``."""
     src = extract(source, table) if source is not None else source_frame(spark, table, kind,
                                                                           options)
+    size_shuffles(spark, src)
     rows = plan_ingest(spark, table, src, target, state, lookback_hours, dedup_keys)
     wm_field = table.incremental_field if table.is_incremental else None
     metrics = [F.count(F.lit(1)).alias("rows")]

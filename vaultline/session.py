@@ -113,3 +113,22 @@ def worth_sharing(spark: SparkSession, df) -> bool:
     limit = int(spark.conf.get("vaultline.shareThresholdBytes", str(SHARE_THRESHOLD_BYTES)))
     size = estimated_bytes(df)
     return size is None or size > limit
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Raise AQE's initial shuffle partition number to about one partition per
+    ``target_bytes`` of estimated input (never lowers it); AQE then coalesces
+    small partitions at runtime. Returns the number in effect."""
+    current = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return current
+    wanted = min(100_000, -(-size // target_bytes))
+    if wanted > current:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        return wanted
+    return current
