@@ -341,7 +341,10 @@ def test_shuffle_sizing_only_raises(spark):
     from vaultline.session import size_shuffles
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
+    spark.conf.unset(key)
     small = spark.range(10)
+    joined = fixtures.sources(spark, SF_SMALL).customers  # a 3-way join over small files
+    assert size_shuffles(spark, joined) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert size_shuffles(spark, small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert size_shuffles(spark, small, target_bytes=1) > 8
     if before is None:

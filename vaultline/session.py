@@ -99,10 +99,15 @@ SHARE_THRESHOLD_BYTES = 256 * 1024 * 1024
 
 
 def estimated_bytes(df) -> int | None:
-    """Spark's own size estimate of a DataFrame's optimized plan (file sizes for
-    scans, propagated upward); None when unavailable."""
+    """Input size of a DataFrame: the sum of Spark's size statistics of the leaves
+    of its optimized plan (file sizes for scans). Leaves, not the root: without
+    cost-based statistics Spark estimates a join as the product of its inputs."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while leaves.hasNext():
+            total += int(str(leaves.next().stats().sizeInBytes()))
+        return total
     except Exception:
         return None
 
