@@ -20,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import stage_readings, stage_readings_only
 from ..operators.vault import (HUBS, LINKS, LOAD_DAY, SAT_ASSET_MEASUREMENTS, SATELLITES,
-                               hub_rows, link_rows, measurement_rows, satellite_rows,
-                               with_load_day)
+                               hub_rows, link_rows, measurement_rows, with_load_day)
+from ..plans.build import _load_satellite
 from ..plans.sinks import append, read_or_none
 
 BINDINGS = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES, SAT_ASSET_MEASUREMENTS)}
@@ -41,8 +41,9 @@ def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> N
         rows = with_load_day(measurement_rows(staged, b, existing, prune_days=True))
         append(rows, path, [LOAD_DAY])
         return
-    else:
-        rows = satellite_rows(staged, b, existing)
+    else:  # versions against the maintained current-version table, as in the batch build
+        _load_satellite(spark, root, staged, b, existing)
+        return
     append(rows, path)
 
 
