@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_key
 from ..session import size_shuffles
 from ..sources.readers import extract, source_frame
 from ..sources.schema import TableDef
@@ -27,7 +26,7 @@ from ..sources.state import DEFAULT_WATERMARK, WatermarkStore
 from .sinks import append, observed, read_or_none
 
 log = logging.getLogger(__name__)
-ROW_HASH = "__row_hash"
+ROW_HASH = "row_hash"
 SOURCE_FILE = "source_file"
 
 
@@ -80,15 +79,28 @@ def anti_join_null_safe(df: DataFrame, existing: DataFrame, keys: Sequence[str])
 
 def new_versions(df: DataFrame, existing: DataFrame | None, key: str | Sequence[str]) -> DataFrame:
     """Rows whose (key, content) is not stored yet: re-extracting an unchanged
-    dimension adds nothing, a changed row adds one new version."""
+    dimension adds nothing, a changed row adds one new version.
+
+    The content hash is kept in the stored table (``row_hash``), so a run reads
+    only ``(key, row_hash)`` of what is stored instead of re-hashing every
+    stored version; tables written without it are hashed on the fly.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [c for c in df.columns]
-    hashed = df.withColumn(ROW_HASH, hash_key(*cols, schema=df.schema))
+    cols = [c for c in df.columns if c != ROW_HASH]
+    hashed = df.select(*cols).withColumn(ROW_HASH, row_hash(cols))
     if existing is None:
-        return hashed.drop(ROW_HASH)
-    ex = existing.select(*cols)
-    ex = ex.withColumn(ROW_HASH, hash_key(*cols, schema=ex.schema)).select(*keys, ROW_HASH)
-    return hashed.join(ex, [*keys, ROW_HASH], "left_anti").drop(ROW_HASH)
+        return hashed
+    if ROW_HASH in existing.columns:
+        ex = existing.select(*keys, ROW_HASH)
+    else:
+        ex = existing.select(*keys, row_hash(cols).alias(ROW_HASH))
+    return hashed.join(ex, [*keys, ROW_HASH], "left_anti")
+
+
+def row_hash(cols: Sequence[str]):
+    """Content hash of a row for version detection within Spark: MD5 of the row as
+    JSON (every type renders; a NULL field differs from any value)."""
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in cols])))
 
 
 def plan_ingest(spark: SparkSession, table: TableDef, source: DataFrame, target: str,
