@@ -88,3 +88,15 @@ def test_run_checks_on_clean_vault_pass(spark):
     assert res.count() == 44
     assert res.filter(~F.col("passed")).count() == 0
     quality.raise_on_failure(res)
+
+
+def test_one_pass_checks_equal_separate_checks(spark):
+    df = spark.createDataFrame(
+        [("k1", "A", None), ("k1", "B", "x"), (None, "C", "y"), (None, None, "z"), ("k2", "D", "w"),
+         ("k3", "E", None), ("k3", "E", None), ("k3", "F", "v")], "hk string, bk string, v string")
+    sep = quality.not_null(df, "t", ["hk", "bk", "v"]).unionByName(quality.unique(df, "t", "hk"))
+    one = quality.not_null_and_unique(df, "t", ["hk", "bk", "v"], "hk")
+    assert rows(one) == rows(sep)
+    empty = df.limit(0)
+    assert {r.failures for r in quality.not_null_and_unique(empty, "t", ["hk", "v"], "hk")
+            .collect()} == {0}

@@ -107,12 +107,40 @@ def check(df: DataFrame, table: str, not_null_cols: Sequence[str] = (),
     return _union(parts) if parts else None
 
 
+def not_null_and_unique(df: DataFrame, table: str, not_null_cols: Sequence[str],
+                        key: str) -> DataFrame:
+    """``not_null`` on several columns and ``unique`` on ``key`` in one pass: a
+    grouped count per key (NULL counts of the other columns ride along, all
+    fixed-width, partially aggregated), then one global sum."""
+    others = [c for c in not_null_cols if c != key]
+    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"),
+                            *[F.count_if(F.col(c).isNull()).alias(c) for c in others])
+    zero = F.lit(0).cast("long")
+    tot = g.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in others],
+                F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("__n"))), zero).alias("__key"),
+                F.count_if(F.col(key).isNotNull() & (F.col("__n") > 1)).alias("__dup"))
+    cols = [c if c != key else "__key" for c in not_null_cols]
+    nn = tot.select(*[F.col(c).cast("long").alias(n) for c, n in zip(cols, not_null_cols)]) \
+        .unpivot([], list(not_null_cols), "column_name", "failures")
+    nn = nn.select(F.lit(table).alias("table_name"), "column_name",
+                   F.lit("not_null").alias("test"), F.col("failures").cast("long"),
+                   (F.col("failures") == 0).alias("passed"))
+    return nn.unionByName(_result(tot.select(F.col("__dup").alias("failures")), table, key,
+                                  "unique"))
+
+
 def run_checks(tables: dict[str, DataFrame], checks: dict[str, TableChecks] = VAULT_CHECKS,
                tests: Sequence[str] = ("not_null", "unique")) -> DataFrame:
-    """All configured checks over the given tables, as one DataFrame."""
+    """All configured checks over the given tables, as one DataFrame. A table
+    with both kinds of checks is read once."""
     parts = []
     for name, tc in checks.items():
         df = tables[name]
+        both = "not_null" in tests and "unique" in tests and tc.not_null and tc.unique
+        if both:
+            parts.append(not_null_and_unique(df, name, tc.not_null, tc.unique[0]))
+            parts += [unique(df, name, c) for c in tc.unique[1:]]
+            continue
         if "not_null" in tests and tc.not_null:
             parts.append(not_null(df, name, tc.not_null))
         if "unique" in tests:
