@@ -81,10 +81,12 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     The history of a key is ordered by ``order`` and then by ``value`` and the
     remaining columns (a total order). A window over the key would sort a hot
-    key's whole history in one task, so the history is cut into per-day pieces:
-    a window inside each (key, day) piece finds the changes, and the first row of
-    each piece is compared with the last value of the key's previous piece, which
-    comes from a one-row-per-piece summary (grouped ``max`` over a struct).
+    key's whole history in one task, so the history is cut into per-day pieces.
+    One window pass over (key, piece) gives each row its predecessor, its
+    position and its piece's size; the last row of every piece (one row per
+    piece) then feeds a small window over the key that hands each piece the
+    previous piece's last value, and that joins back on (key, piece), which is
+    the partitioning the big side already has.
     """
     from pyspark.sql import Window
 
@@ -94,12 +96,12 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     piece = "__piece"
     pieced = df.withColumn(piece, F.to_date(F.col(order[0])))
     w = Window.partitionBy(*keys, piece).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
-    with_prev = pieced.withColumn("__prev", F.lag(value).over(w)) \
-                      .withColumn("__pos", F.row_number().over(w))
-    # last value per (key, piece), then the previous piece's last value per key
-    tails = (pieced.groupBy(*keys, piece)
-                   .agg(F.max(F.struct(*sort_cols)).alias("__t"))
-                   .select(*keys, piece, F.col(f"__t.{value}").alias("__tail")))
+    w_piece = Window.partitionBy(*keys, piece)
+    with_prev = (pieced.withColumn("__prev", F.lag(value).over(w))
+                 .withColumn("__pos", F.row_number().over(w))
+                 .withColumn("__size", F.count(F.lit(1)).over(w_piece)))
+    tails = with_prev.filter(F.col("__pos") == F.col("__size")) \
+        .select(*keys, piece, F.col(value).alias("__tail"))
     wk = Window.partitionBy(*keys).orderBy(piece)
     prev_tail = tails.select(*keys, piece,
                              F.lag("__tail").over(wk).alias("__prev_tail"),
