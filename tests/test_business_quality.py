@@ -100,3 +100,15 @@ def test_one_pass_checks_equal_separate_checks(spark):
     empty = df.limit(0)
     assert {r.failures for r in quality.not_null_and_unique(empty, "t", ["hk", "v"], "hk")
             .collect()} == {0}
+
+
+def test_source_checks_report_declared_integrity(spark):
+    from vaultline.sources import fixtures
+    from .conftest import SF_SMALL
+    src = fixtures.sources(spark, SF_SMALL).as_dict()
+    res = {(r.table_name, r.column_name, r.test): r.failures
+           for r in quality.source_checks(spark, src).collect()}
+    assert res[("customers", "installation_id", "unique")] == 0
+    assert res[("readings", "asset_id", "relationships")] == 0
+    assert res[("customer_accounts", "status", "accepted_values")] > 0  # CLOSED is not coded
+    assert res[("readings", "id", "unique")] > 0  # the mapped reading id repeats

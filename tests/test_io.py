@@ -237,6 +237,7 @@ def test_command_line_ingest_build_sql(spark, tmp_root, capsys):
                  "2025-01-01 00:00:00"]) == 0
     assert main(["sql", "--vault", vault,
                  "SELECT count(*) AS n FROM bv_asset_measurements"]) == 0
+    assert main(["check", "--vault", vault, "--lake", lake]) == 0  # source findings only report
     out = capsys.readouterr().out
     assert "hub_customer: +" in out
 

@@ -4,6 +4,7 @@
     python -m vaultline ingest --config tables.json --kind jdbc --option url=... \\
         --option driver=... --source-schema meter_data --lake LAKE
     python -m vaultline build --lake LAKE --vault VAULT
+    python -m vaultline check --vault VAULT --lake LAKE
     python -m vaultline sql --vault VAULT "SELECT ... FROM bv_customer_asset_hierarchy"
 
 Runs on whatever master ``spark-submit`` / ``SPARK_*`` settings provide; the
@@ -84,6 +85,33 @@ def cmd_build(a) -> int:
     return 0
 
 
+def cmd_check(a) -> int:
+    from pyspark.sql import functions as F
+
+    from .operators import quality
+    from .operators.staging import dedup_by_key
+    from .plans.build import read_vault
+    spark = _session()
+    vault = quality.run_checks(read_vault(spark, a.vault).as_dict()) \
+        .withColumn("scope", F.lit("vault"))
+    report = vault
+    if a.lake:
+        lake = a.lake.rstrip("/")
+        src = {n: spark.read.parquet(f"{lake}/{n}")
+               for n in ("customers", "customer_accounts", "assets", "readings")}
+        # the lake keeps row versions of the dimensions; judge the current ones
+        for n, pk in (("customers", "installation_id"), ("customer_accounts", "account_id"),
+                      ("assets", "asset_id")):
+            src[n] = dedup_by_key(src[n], pk)
+        report = report.unionByName(quality.source_checks(spark, src)
+                                    .withColumn("scope", F.lit("source")))
+    report = report.persist()  # a few dozen rows, shown and counted
+    report.orderBy("scope", "table_name", "column_name", "test").show(200, truncate=False)
+    failed = report.filter("scope = 'vault' AND NOT passed").count()
+    report.unpersist()
+    return 1 if failed else 0
+
+
 def cmd_sql(a) -> int:
     from .plans.build import register_views
     spark = _session()
@@ -112,6 +140,10 @@ def main(argv=None) -> int:
     b.add_argument("--key-mode", default="natural", choices=["natural", "md5"])
     b.add_argument("--no-checks", action="store_true")
     b.set_defaults(fn=cmd_build)
+    c = sub.add_parser("check", help="data-quality report: vault tests and source integrity")
+    c.add_argument("--vault", required=True)
+    c.add_argument("--lake", help="raw lake with the four source tables (source checks)")
+    c.set_defaults(fn=cmd_check)
     q = sub.add_parser("sql", help="run SQL over the vault and business views")
     q.add_argument("--vault", required=True)
     q.add_argument("--limit", type=int, default=20)

@@ -148,6 +148,43 @@ def run_checks(tables: dict[str, DataFrame], checks: dict[str, TableChecks] = VA
     return _union(parts)
 
 
+# Integrity the source schema declares (primary keys, unique and NOT NULL columns),
+# foreign keys and code domains (fixed lists).
+SOURCE_CHECKS = {
+    "customers": TableChecks(["installation_id", "customer_name", "customer_type",
+                              "registration_date"], ["installation_id"]),
+    "customer_accounts": TableChecks(["account_id", "installation_id", "account_number",
+                                      "account_type", "account_opened_date"],
+                                     ["account_id", "account_number"]),
+    "assets": TableChecks(["asset_id", "account_id", "asset_serial_number", "asset_type",
+                           "installation_date"], ["asset_id", "asset_serial_number"]),
+    "readings": TableChecks(["id", "asset_id", "reading_value", "interval_start",
+                             "interval_end", "creation_time", "reading_type",
+                             "unit_of_measure"], ["id"]),
+}
+SOURCE_REFERENCES = (("customer_accounts", "installation_id", "customers", "installation_id"),
+                     ("assets", "account_id", "customer_accounts", "account_id"),
+                     ("readings", "asset_id", "assets", "asset_id"))
+SOURCE_DOMAINS = (("assets", "asset_type", "ref_meter_type"),
+                  ("readings", "reading_type", "ref_reading_type"),
+                  ("readings", "quality_code", "ref_quality_code"),
+                  ("customers", "status", "ref_status"),
+                  ("customer_accounts", "status", "ref_status"),
+                  ("assets", "status", "ref_status"),
+                  ("readings", "status", "ref_status"))
+
+
+def source_checks(spark, sources: dict[str, DataFrame]) -> DataFrame:
+    """Declared integrity of the four source tables: not-null and unique columns,
+    orphaned foreign keys and values outside the reference code lists."""
+    from .references import reference_codes
+    parts = [run_checks(sources, SOURCE_CHECKS)]
+    parts += [orphans(sources[c], c, fk, sources[p], pk) for c, fk, p, pk in SOURCE_REFERENCES]
+    parts += [accepted_values(sources[t], t, col, reference_codes(spark, ref))
+              for t, col, ref in SOURCE_DOMAINS]
+    return _union(parts)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)`` for each table."""
     return _union([df.agg(F.count(F.lit(1)).alias("row_count"))
