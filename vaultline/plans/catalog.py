@@ -22,7 +22,7 @@ from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
                                LINK_ACCOUNT_ASSET, LINK_CUSTOMER_ACCOUNT,
                                SAT_ASSET_DETAILS, SAT_ASSET_MEASUREMENTS,
                                SAT_CUSTOMER_ACC_DETAILS, SAT_CUSTOMER_DETAILS,
-                               VaultFrames, build_vault, compact_satellite, hub_rows,
+                               build_vault, compact_satellite, hub_rows,
                                link_rows, measurement_rows, satellite_rows, upsert_rows)
 from ..session import apply_conf, worth_sharing
 from .sinks import write_checkpoint
