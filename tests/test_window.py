@@ -75,3 +75,11 @@ def test_change_points_across_day_pieces(spark):
     df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
     got = rows(change_points(df, ["k"], ["load_ts"], "hd"))
     assert [r[2] for r in sorted(got, key=lambda r: r[1])] == ["A", "B", "A"]
+
+
+def test_change_points_passes_rows_without_key_through(spark):
+    data = [("k", ts(1), "A", "x"), ("k", ts(2), "A", "x"), (None, ts(1), "A", "x"),
+            (None, ts(2), "A", "x")]
+    df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
+    got = rows(change_points(df, ["k"], ["load_ts"], "hd"))
+    assert got == rows(spark.createDataFrame([data[0], data[2], data[3]], df.schema))

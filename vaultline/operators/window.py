@@ -86,7 +86,8 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     position and its piece's size; the last row of every piece (one row per
     piece) then feeds a small window over the key that hands each piece the
     previous piece's last value, and that joins back on (key, piece), which is
-    the partitioning the big side already has.
+    the partitioning the big side already has. Rows with a NULL key are returned
+    unchanged.
     """
     from pyspark.sql import Window
 
@@ -94,7 +95,14 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     rest = [c for c in df.columns if c not in keys and c not in order and c != value]
     sort_cols = order + [value] + rest
     piece = "__piece"
-    pieced = df.withColumn(piece, F.to_date(F.col(order[0])))
+    keyed = None
+    for k in keys:
+        keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
+    # A row without a key has no history to compare with: it is returned as is.
+    # Filtering the keyed rows explicitly (the join below would infer it on one
+    # branch only) keeps both branches on one shared exchange.
+    unkeyed = df.filter(~keyed)
+    pieced = df.filter(keyed).withColumn(piece, F.to_date(F.col(order[0])))
     w = Window.partitionBy(*keys, piece).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
     w_piece = Window.partitionBy(*keys, piece)
     with_prev = (pieced.withColumn("__prev", F.lag(value).over(w))
@@ -110,4 +118,4 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     prev = F.when(F.col("__pos") == 1, F.col("__prev_tail")).otherwise(F.col("__prev"))
     has_prev = (F.col("__pos") > 1) | F.col("__has_prev")
     changed = ~has_prev | ~F.col(value).eqNullSafe(prev)
-    return joined.filter(changed).select(*df.columns)
+    return joined.filter(changed).select(*df.columns).unionByName(unkeyed)
