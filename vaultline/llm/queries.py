@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language, mixing, quality
+from . import bpe, chat, katz, language, lines, mixing, quality
 from .tables import held_out, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "text", "n_lines", "n_removed", "words_removed")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -43,12 +48,18 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(given.unionByName(extra))
 
 
+def op9_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = katz.score(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id"), 7))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_bpe, op4_language_id,
-                                   op7_chat_windows, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id,
+                                   op7_chat_windows, op9_katz_score, op10_source_mix)}
 ORACLE: dict[str, str] = {}
