@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import map_arrow, to_arrow
+from .words import slices
 
 SPACE, GAP = 0x20, 0x0A
 UNKNOWN = "und"
@@ -104,21 +105,16 @@ def learn(docs: DataFrame, s: Settings = Settings()) -> dict[str, list[int]]:
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
     def run(batches):
-        for b in batches:
-            langs = b.column("lang").dictionary_encode()
-            names = langs.dictionary.to_pylist()
-            of = langs.indices.to_pylist()
-            parts = []
-            for start in range(0, b.num_rows, 2_000):
-                texts = _clean(b.column("text").slice(start, 2_000)).to_pylist()
-                for block, group, _ in _blocks(texts, of[start:start + 2_000], s.piece):
-                    parts.append(_counted(block, group))
-                parts = [_merged(parts)] if parts else []
-            if not parts:
-                continue
+        names, parts = {}, []  # languages are numbered as they come
+        for b in (x for batch in batches for x in slices(batch, "text")):
+            of = [names.setdefault(x, len(names)) for x in b.column("lang").to_pylist()]
+            for block, group, _ in _blocks(_clean(b.column("text")).to_pylist(), of, s.piece):
+                parts.append(_counted(block, group))
+            parts = [_merged(parts)] if parts else []
+        if parts:
             key, n = parts[0]
             yield pa.record_batch({
-                "lang": pa.array(names).take(pa.array((key >> np.uint64(48)).astype(np.int64))),
+                "lang": pa.array(list(names)).take(pa.array((key >> np.uint64(48)).astype(np.int64))),
                 "gram": pa.array((key & np.uint64(0xFFFFFFFFFFFF)).astype(np.int64)),
                 "n": pa.array(n.astype(np.int64))})
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
@@ -180,28 +176,19 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], s: Settings = Sett
     to = to_arrow(schema)
 
     def run(batches):
-        for b in batches:
-            best, score = [], []
-            for start in range(0, b.num_rows, 2_000):
-                texts = _clean(b.column("__text").slice(start, 2_000)).to_pylist()
-                at, held = 0, []  # of the text whose pieces are being counted
-                for block, group, last in _blocks(texts, list(range(len(texts))), s.piece):
-                    key, n = _counted(block, group)
-                    if not last:
-                        held = [_merged([*held, (key, n)])]
-                        continue
-                    if held:
-                        key, n = _merged([*held, (key, n)])
-                        held = []
-                    base = group[0]
-                    i, x = model.nearest(key - (np.uint64(base) << np.uint64(48)), n, len(group))
+        for b in (x for batch in batches for x in slices(batch, "__text")):
+            best, score, held = [], [], []  # held: counts of a long text, piece by piece
+            for block, group, last in _blocks(_clean(b.column("__text")).to_pylist(),
+                                              list(range(b.num_rows)), s.piece):
+                key, n = _merged([*held, _counted(block, group)])
+                held = [] if last else [(key, n)]
+                if last:
+                    first = np.uint64(group[0]) << np.uint64(48)
+                    i, x = model.nearest(key - first, n, len(group))
                     best.append(i)
                     score.append(x)
-                    at = group[-1] + 1
-                assert at == len(texts)
             lang = pa.array(model.langs + [UNKNOWN]).take(pa.array(
-                np.concatenate(best) if best else np.zeros(0, np.int64)).cast(pa.int64()).to_numpy() % (
-                len(model.langs) + 1))
-            cols = [*b.columns[:-1], lang, pa.array(np.concatenate(score) if score else np.zeros(0))]
+                np.concatenate(best) % (len(model.langs) + 1)))  # -1 is the last one
+            cols = [*b.columns[:-1], lang, pa.array(np.concatenate(score))]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
     return given.mapInArrow(run, schema)

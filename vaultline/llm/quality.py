@@ -168,7 +168,7 @@ def vote_counts(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Number of documents with each vote pattern: ``(code, n)``."""
     def run(batches):
         total: dict[int, int] = {}
-        for b in batches:
+        for b in (x for batch in batches for x in W.slices(batch, "text")):
             code, n = np.unique(_codes(measures(b.column(0), s.window), s.rules), return_counts=True)
             for c, k in zip(code.tolist(), n.tolist()):
                 total[c] = total.get(c, 0) + k
@@ -254,7 +254,7 @@ def judge(docs: DataFrame, model: Model, s: Settings = Settings(), carry: bool =
     row = given.schema["row"].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in (x for batch in batches for x in W.slices(batch, "text")):
             m = measures(b.column("text"), s.window)
             code = _codes(m, s.rules)
             failed = _base_failed(m, s)
