@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, katz, language, lines, mixing, quality
+from . import bpe, chat, katz, language, lines, mixing, neighbours, quality
 from .tables import held_out, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -48,6 +48,10 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(given.unionByName(extra))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = katz.score(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id"), 7))
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
@@ -61,5 +65,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id,
-                                   op7_chat_windows, op9_katz_score, op10_source_mix)}
+                                   op7_chat_windows, op8_permutation_index, op9_katz_score, op10_source_mix)}
 ORACLE: dict[str, str] = {}
