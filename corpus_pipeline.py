@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultline.llm import bpe, mixing, quality
+from vaultline.llm import bpe, lines, mixing, neardup, quality
 from vaultline.llm.queries import bpe_settings
 from vaultline.llm.tables import stored, table
 
@@ -18,6 +18,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.quality_filter(docs)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes later copies of repeated line runs, and documents of which nothing is left."""
+    return lines.deduplicated(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return neardup.without_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight draws it."""
     return mixing.mixed_documents(docs)
@@ -30,6 +40,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near-dedup", drop_near_duplicates),
     ("mixing", mix_sources),
     ("byte-level BPE", encode),
 ]

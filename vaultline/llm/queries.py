@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, katz, language, lines, mixing, neighbours, private, quality
+from . import bpe, chat, katz, language, lines, mixing, neardup, neighbours, private, quality
 from .tables import held_out, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                              keep={"doc_id": F.col("doc_id"), "held_out": F.col("held_out")})
 
 
+def op5_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.find(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,6 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id, op6_private_data,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id, op5_setsketch_dedup, op6_private_data,
                                    op7_chat_windows, op8_permutation_index, op9_katz_score, op10_source_mix)}
 ORACLE: dict[str, str] = {}

@@ -14,13 +14,14 @@ import xxhash
 
 def slices(batch: pa.RecordBatch, name: str, most: int = 2 << 20):
     """The batch in slices of whole rows whose texts in column ``name`` have about ``most`` bytes
-    together, so that what is derived from a slice stays small."""
+    together, so that what is derived from a slice stays small. Rows are copied: some Arrow
+    kernels read past an array's offset."""
     size = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(size.astype(np.int64) + 64) // most
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges[:-1], edges[1:]):
         if b > a:
-            yield batch.slice(a, b - a)
+            yield batch.take(pa.array(np.arange(a, b)))
 
 
 def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
