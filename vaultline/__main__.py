@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,8 @@ def cmd_ingest(a) -> int:
     from .sources.state import WatermarkStore
     spark = _session()
     tables = load_config(a.config) if a.config else list(meter_tables().values())
+    if a.lookback_hours is not None:
+        tables = [replace(t, lookback_hours=a.lookback_hours) for t in tables]
     base = _options(a.option)
     lake = a.lake.rstrip("/")
 
@@ -63,7 +66,7 @@ def cmd_ingest(a) -> int:
     state = WatermarkStore(spark, a.state or f"{lake}/_load_state")
     status = ingest_all(spark, tables, a.kind, options_for, lambda t: f"{lake}/{t.name}", state,
                         raise_on_error=False)
-    status.show(truncate=False)
+    status.show(len(tables), truncate=False)
     return 1 if status.filter("error IS NOT NULL").count() else 0
 
 
@@ -76,15 +79,21 @@ def cmd_build(a) -> int:
                     for n in ("customers", "customer_accounts", "assets", "readings")))
     res = run_build(spark, src, a.vault, load_ts=a.load_ts, key_mode=a.key_mode,
                     dedup_sources=True, run_checks=not a.no_checks,
-                    raise_on_check_failure=False)
+                    raise_on_check_failure=False, compact=a.compact,
+                    lookback_hours=a.lookback_hours)
     for name, n in res.appended.items():
         print(f"{name}: +{n}")
     if res.checks is not None:
-        res.checks.orderBy("table_name", "column_name", "test").show(100, truncate=False)
+        res.checks.orderBy("table_name", "column_name", "test").show(res.checks.count(), truncate=False)
         return 1 if res.checks.filter("NOT passed").count() else 0
     return 0
 
 
+def cmd_run(a) -> int:
+    """The whole pipeline: later steps run only if the earlier ones succeeded."""
+    return cmd_ingest(a) or cmd_build(a) or cmd_check(a)
+
+
 def cmd_check(a) -> int:
     from pyspark.sql import functions as F
 
@@ -103,10 +112,10 @@ def cmd_check(a) -> int:
         for n, pk in (("customers", "installation_id"), ("customer_accounts", "account_id"),
                       ("assets", "asset_id")):
             src[n] = dedup_by_key(src[n], pk)
-        report = report.unionByName(quality.source_checks(spark, src)
+        report = report.unionByName(quality.source_checks(src)
                                     .withColumn("scope", F.lit("source")))
     report = report.persist()  # a few dozen rows, shown and counted
-    report.orderBy("scope", "table_name", "column_name", "test").show(200, truncate=False)
+    report.orderBy("scope", "table_name", "column_name", "test").show(report.count(), truncate=False)
     failed = report.filter("scope = 'vault' AND NOT passed").count()
     report.unpersist()
     return 1 if failed else 0
@@ -116,7 +125,11 @@ def cmd_sql(a) -> int:
     from .plans.build import register_views
     spark = _session()
     register_views(spark, a.vault)
-    spark.sql(a.query).show(a.limit, truncate=False)
+    out = spark.sql(a.query)
+    if a.output:  # the whole answer, as files
+        out.write.mode("errorifexists").format(a.format).save(a.output)
+    else:
+        out.show(a.limit, truncate=False)
     return 0
 
 
@@ -132,6 +145,7 @@ def main(argv=None) -> int:
     i.add_argument("--source-schema", help="schema/namespace of the source tables")
     i.add_argument("--lake", required=True)
     i.add_argument("--state", help="watermark table path (default LAKE/_load_state)")
+    i.add_argument("--lookback-hours", type=int, help="look this far behind the watermark for late rows")
     i.set_defaults(fn=cmd_ingest)
     b = sub.add_parser("build", help="stage, load the raw vault, run the checks")
     b.add_argument("--lake", required=True)
@@ -139,14 +153,24 @@ def main(argv=None) -> int:
     b.add_argument("--load-ts", help="fixed load time for reference tables")
     b.add_argument("--key-mode", default="natural", choices=["natural", "md5"])
     b.add_argument("--no-checks", action="store_true")
+    b.add_argument("--compact", action="store_true", help="satellites keep change points only")
+    b.add_argument("--lookback-hours", type=int, help="stage only readings this far behind the newest")
     b.set_defaults(fn=cmd_build)
+    r = sub.add_parser("run", help="ingest, build and check in one job")
+    for p in (i, b):
+        for arg in p._actions[1:]:
+            if arg.option_strings[0] not in {x for y in r._actions for x in y.option_strings}:
+                r._add_action(arg)
+    r.set_defaults(fn=cmd_run)
     c = sub.add_parser("check", help="data-quality report: vault tests and source integrity")
     c.add_argument("--vault", required=True)
     c.add_argument("--lake", help="raw lake with the four source tables (source checks)")
     c.set_defaults(fn=cmd_check)
     q = sub.add_parser("sql", help="run SQL over the vault and business views")
     q.add_argument("--vault", required=True)
-    q.add_argument("--limit", type=int, default=20)
+    q.add_argument("--limit", type=int, default=20, help="rows shown (not written)")
+    q.add_argument("--output", help="write the whole result to this folder instead")
+    q.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     q.add_argument("query")
     q.set_defaults(fn=cmd_sql)
     a = ap.parse_args(argv)

@@ -9,6 +9,8 @@ following joins on that key reuse the partitioning.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,21 +97,20 @@ def asset_measurements(v: VaultFrames) -> DataFrame:
 
 def customer_asset_hierarchy(v: VaultFrames) -> DataFrame:
     """customer -> account -> asset through both links, with current asset details."""
-    c = v.hub_customer.select("customer_hk", F.col("customer_id").alias("installation_id"))
-    acc = v.hub_customer_account.select("customer_account_hk",
-                                        F.col("customer_account_id").alias("account_meter_id"))
-    ast = v.hub_asset.select("asset_hk", F.col("asset_id").alias("asset_meter_id"))
-    lca = v.link_customer_account.select("customer_hk", "customer_account_hk")
-    laa = v.link_account_asset.select("customer_account_hk", "asset_hk")
-    d = _current_asset(v)
-    assets = ast.join(d, "asset_hk", "left")
-    return (c.join(lca, "customer_hk").join(acc, "customer_account_hk")
-             .join(laa, "customer_account_hk").join(assets, "asset_hk")
-             .select("installation_id", "account_meter_id", "asset_meter_id",
-                     F.col("asset_type").alias("meter_type"),
-                     F.col("asset_installation_date").alias("installation_date"),
-                     F.col("asset_status").alias("meter_status"),
-                     "customer_hk", "customer_account_hk", "asset_hk"))
+    owners = v.hub_customer.select("customer_hk", F.col("customer_id").alias("installation_id"))
+    contracts = v.hub_customer_account.select("customer_account_hk",
+                                              F.col("customer_account_id").alias("account_meter_id"))
+    devices = (v.hub_asset.select("asset_hk", F.col("asset_id").alias("asset_meter_id"))
+               .join(_current_asset(v), "asset_hk", "left"))
+    held = v.link_customer_account.select("customer_hk", "customer_account_hk")
+    supplied = v.link_account_asset.select("customer_account_hk", "asset_hk")
+    return (owners.join(held, "customer_hk").join(contracts, "customer_account_hk")
+                  .join(supplied, "customer_account_hk").join(devices, "asset_hk")
+                  .select("installation_id", "account_meter_id", "asset_meter_id",
+                          F.col("asset_type").alias("meter_type"),
+                          F.col("asset_installation_date").alias("installation_date"),
+                          F.col("asset_status").alias("meter_status"),
+                          "customer_hk", "customer_account_hk", "asset_hk"))
 
 
 def meters(assets: DataFrame, accounts: DataFrame, readings: DataFrame) -> DataFrame:
@@ -142,13 +143,20 @@ def as_of(df: DataFrame, ts: str | Column, keys: list[str] | None = None,
     return past
 
 
+SNAPSHOT_FORMATS = ("iceberg", "delta", "hudi")
+
+
 def time_travel(spark, table: str, ts: str, keys: list[str] | None = None,
                 order: str = "load_ts") -> DataFrame:
-    """``FOR SYSTEM_TIME AS OF``: a table format's snapshot read when the catalog
-    supports it (Iceberg, Delta), otherwise ``as_of`` on the insert-only table."""
-    try:
-        snap = spark.sql(f"SELECT * FROM {table} TIMESTAMP AS OF '{ts}'")
-        snap.schema  # noqa: B018 - analysis fails on formats without time travel
+    """``FOR SYSTEM_TIME AS OF``: a snapshot read where the table's format has snapshots,
+    otherwise ``as_of`` on the insert-only table. Errors of a snapshot read (an expired
+    snapshot, no permission) are raised, not answered with something else."""
+    when = datetime.fromisoformat(ts).strftime("%Y-%m-%d %H:%M:%S.%f")
+    provider = None
+    if not spark.catalog.getTable(table).isTemporary:
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        provider = (about.get("Provider") or "").lower()
+    if provider in SNAPSHOT_FORMATS:
+        snap = spark.sql(f"SELECT * FROM {table} TIMESTAMP AS OF '{when}'")
         return latest_by(snap, keys, [order]) if keys else snap
-    except Exception:
-        return as_of(spark.table(table), ts, keys, order)
+    return as_of(spark.table(table), ts, keys, order)

@@ -23,17 +23,18 @@ def active_hierarchy(hierarchy: DataFrame, customers_current: DataFrame) -> Data
             .orderBy("installation_id"))
 
 
-def recent_measurements(measurements: DataFrame, on_date=None,
-                        limit: int = RECENT_LIMIT) -> DataFrame:
+def recent_measurements(measurements: DataFrame, on_date=None, limit: int = RECENT_LIMIT,
+                        days_of: DataFrame | None = None) -> DataFrame:
     """Top ``limit`` measurements of one day, newest interval first.
 
-    ``on_date`` defaults to the latest day present (a scalar subquery, evaluated
+    ``on_date`` defaults to the latest day of ``days_of`` (the measurement table behind the view, so
+    that its one column is read and not the view evaluated twice; a scalar subquery, evaluated
     by Spark, not on the driver). The sort key is the full output row, so the
     top-k is deterministic under ties.
     """
     day = F.to_date("interval_start")
     if on_date is None:
-        target = measurements.select(F.max(day)).scalar()
+        target = (measurements if days_of is None else days_of).select(F.max(day)).scalar()
     else:
         target = F.to_date(F.lit(on_date))
     cols = ["asset_id", "reading_value", "interval_start", "reading_type",

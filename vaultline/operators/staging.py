@@ -24,6 +24,7 @@ ACCOUNT_HASHDIFF = ["account_number", "account_type", "billing_cycle", "account_
 ASSET_HASHDIFF = ["asset_serial_number", "asset_type", "manufacturer", "model",
                   "asset_installation_date", "asset_status"]
 DEFAULT_RECORD_SOURCE = "METER_DATA_SYSTEM"
+LOAD_ID = "load_id"  # of raw row versions: which load wrote them
 
 STAGED_COLUMNS = [
     "customer_id", "customer_account_id", "asset_id",
@@ -44,8 +45,10 @@ STAGED_COLUMNS = [
 
 
 def dedup_by_key(df: DataFrame, key: str, changed_col: str = "last_modified") -> DataFrame:
-    """Latest row per primary key (for raw tables that were appended to twice)."""
-    return latest_by(df, [key], [changed_col])
+    """Latest row per primary key (for raw tables that were appended to twice): the last
+    load's where loads are numbered, else the last changed."""
+    order = ([LOAD_ID] if LOAD_ID in df.columns else []) + [changed_col]
+    return latest_by(df, [key], order)
 
 
 def dimension_chain(assets: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -173,14 +176,6 @@ def seen_rows(span: DataFrame, seen: str = "first") -> DataFrame:
     return span.select(*cols, F.col(t).alias("load_ts"), "record_source")
 
 
-def stage_assets(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
-                 customers: DataFrame, seen: str = "first", key_mode: str = "natural",
-                 dedup_sources: bool = False) -> DataFrame:
-    """``seen_rows`` of ``stage_asset_span``: asset-grain staging in one call."""
-    return seen_rows(stage_asset_span(readings, assets, accounts, customers, key_mode,
-                                      dedup_sources), seen)
-
-
 def stage_readings_only(readings: DataFrame) -> DataFrame:
     """Readings as vault input without their dimensions: enough for the asset hub
     and the measurement satellite (hub keys are the natural keys)."""

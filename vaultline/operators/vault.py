@@ -173,9 +173,9 @@ def measurement_rows(staged: DataFrame, m: Measurements = SAT_ASSET_MEASUREMENTS
 
     When the stored target carries the ``load_day`` partition column it joins
     too (same ``load_ts`` implies same day, so the result is unchanged), and
-    with ``prune_days`` the batch's day range is computed first (one scalar
-    aggregate) so only those day partitions of the target are read. Spark's
-    dynamic partition pruning does not apply to anti-joins, hence the literal.
+    with ``prune_days`` the batch's days are computed first (as many values as it
+    touches days) so only those partitions of the target are read, however late a
+    row is. Spark's dynamic partition pruning does not apply to anti-joins, hence the literals.
     """
     src = _not_null(staged.select(*m.columns), [m.hk])
     if existing is None:
@@ -185,11 +185,9 @@ def measurement_rows(staged: DataFrame, m: Measurements = SAT_ASSET_MEASUREMENTS
         src = src.withColumn(LOAD_DAY, F.to_date(LOAD_TS))
         keys = keys + [LOAD_DAY]
         ex = existing
-        if prune_days:  # static partition pruning to the batch's day range
-            lo, hi = src.agg(F.min(LOAD_DAY), F.max(LOAD_DAY)).first()
-            if lo is None:  # empty batch
-                return src.drop(LOAD_DAY).limit(0)
-            ex = ex.filter(F.col(LOAD_DAY).between(F.lit(lo), F.lit(hi)))
+        if prune_days:
+            days = [r[0] for r in src.select(LOAD_DAY).distinct().collect()]
+            ex = ex.filter(F.col(LOAD_DAY).isin(days))
         return src.join(ex.select(*keys), keys, "left_anti").drop(LOAD_DAY)
     return src.join(existing.select(*keys), keys, "left_anti")
 
@@ -199,16 +197,20 @@ def with_load_day(df: DataFrame) -> DataFrame:
     return df.withColumn(LOAD_DAY, F.to_date(LOAD_TS))
 
 
-def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge semantics on ``keys``: source rows replace target rows with the same key.
 
-    Source rows are first reduced to one per key (latest by the remaining columns)
-    because a real MERGE rejects duplicate source keys.
+    Source rows are first reduced to one per key (latest by ``load_ts`` where there is one, then by
+    the remaining columns) because a real MERGE rejects duplicate source keys. NULL keys match
+    nothing, as in a MERGE condition.
     """
     keys = list(keys)
-    src = latest_by(source.select(*target.columns), keys, [LOAD_TS] if LOAD_TS not in keys else [])
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    return kept.unionByName(src)
+    columns = source.columns if target is None else target.columns
+    order = [LOAD_TS] if LOAD_TS in columns and LOAD_TS not in keys else []
+    src = latest_by(source.select(*columns), keys, order)
+    if target is None:
+        return src
+    return target.join(src.select(*keys), keys, "left_anti").unionByName(src)
 
 
 @dataclass
@@ -239,7 +241,7 @@ def build_vault(staged: DataFrame, existing: dict[str, DataFrame] | None = None,
                 first_seen: DataFrame | None = None) -> VaultFrames:
     """All nine raw-vault loads over one staged input (lazy; rows to append).
 
-    ``first_seen`` (asset-grain staging, see ``stage_assets``) feeds the hub and
+    ``first_seen`` (asset-grain staging, see ``stage_asset_span``) feeds the hub and
     link loads when given; they then never touch the reading-grain rows.
     """
     ex = existing or {}

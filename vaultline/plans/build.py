@@ -1,10 +1,11 @@
 """One vault build: stage -> raw vault loads -> reference tables -> views -> checks.
 
-The staged relation feeds nine loads; it is computed once and written under
-the shared checkpoint folder (a lineage cut that survives executor loss), and
-every load reads that copy. The nine loads are independent jobs and are
-submitted together from a small thread pool so the cluster runs them side by
-side. Check failures are collected and raised at the end of the run.
+The reading-grain staging feeds four loads and the asset-grain staging five; each is
+computed once and written under the shared checkpoint folder (a lineage cut
+that survives executor loss), so the fact is read twice however many loads there
+are. The loads are independent jobs and are submitted together from a small thread
+pool so the cluster runs them side by side. Check failures are collected and
+raised at the end of the run; the staged copies are deleted.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from ..operators.vault import (HUBS, LINKS, LOAD_DAY, LOAD_TS, SAT_ASSET_MEASURE
                                SATELLITES, Satellite, VaultFrames, hub_rows, link_rows,
                                measurement_rows, merge_current, satellite_rows, with_load_day)
 from ..operators.window import latest_by
-from ..session import scratch_path, size_shuffles
+from ..session import delete_path, scratch_path, sized_shuffles
 from ..sources.fixtures import Sources
-from .sinks import append, create_view, observed, read_or_none, write_checkpoint
+from .ingest import late_filter
+from .sinks import append, create_view, observed, read_or_none
 
 VAULT_TABLES = ("hub_customer", "hub_customer_account", "hub_asset",
                 "link_customer_account", "link_account_asset", "sat_customer_details",
@@ -76,50 +78,86 @@ def register_views(spark: SparkSession, root: str, load_ts: str | None = None) -
 
 
 CURRENT_SUFFIX = "__current"
+MARKER_SUFFIX = "__current_marker"
 MARKER = "sat_rows"
+BUCKET = "key_bucket"
+BUCKETS = 256
+
+
+def _bucketed(df: DataFrame, sat: Satellite) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(sat.hk), F.lit(BUCKETS)).cast("int"))
 
 
 def _load_current(spark: SparkSession, root: str, sat: Satellite,
-                  stored: DataFrame | None) -> tuple[DataFrame | None, int]:
-    """The satellite's one-row-per-key current-version table and the satellite's
-    row count. The table records the count it was built for; if a run died
-    between appending rows and replacing the table, the counts differ and the
-    table is rebuilt from the satellite (the only full scan, and a rare one)."""
+                  stored: DataFrame | None) -> tuple[DataFrame | None, int, bool]:
+    """The satellite's one-row-per-key current-version table, the satellite's row count,
+    and whether the table had to be rebuilt. A marker records the count the table was
+    built for; if a run died between appending rows and replacing buckets, the counts differ and
+    the table is rebuilt from the satellite (the only full scan, and a rare one)."""
     if stored is None:
-        return None, 0
+        return None, 0, True
     n = stored.count()  # Parquet footers only
     cur = read_or_none(spark, table_path(root, sat.name + CURRENT_SUFFIX))
-    if cur is not None:
-        marker = cur.agg(F.max(MARKER)).first()[0]
-        if marker == n:
-            return cur.drop(MARKER), n
+    marker = read_or_none(spark, table_path(root, sat.name + MARKER_SUFFIX))
+    if cur is not None and marker is not None and BUCKET in cur.columns:
+        row = marker.first()
+        if row is not None and row[MARKER] == n:
+            return cur, n, False
     rebuilt = latest_by(stored.select(sat.hk, LOAD_TS, sat.hashdiff), [sat.hk], [LOAD_TS],
                         reduce_first=True)
-    return rebuilt, n
+    return _bucketed(rebuilt, sat), n, True
+
+
+def _unstored(rows: DataFrame, stored: DataFrame, sat: Satellite) -> DataFrame:
+    """Rows that are not stored already with the same key, time and content: a replayed batch
+    adds nothing, even where it holds several versions of a key. Only stored rows
+    of the batch's time range are read."""
+    lo, hi = rows.agg(F.min(LOAD_TS), F.max(LOAD_TS)).first()
+    if lo is None:
+        return rows
+    same = [sat.hk, LOAD_TS, sat.hashdiff]
+    near = stored.filter(F.col(LOAD_TS).between(F.lit(lo).cast("timestamp_ntz"),
+                                                F.lit(hi).cast("timestamp_ntz")))
+    return rows.join(near.select(*same), same, "left_anti").select(*rows.columns)
 
 
 def _load_satellite(spark: SparkSession, root: str, staged: DataFrame, sat: Satellite,
                     stored: DataFrame | None) -> int:
-    """Append new satellite versions and keep the current-version table in step:
-    merged table -> scratch, append rows, then swap the merged table in."""
-    current, n = _load_current(spark, root, sat, stored)
+    """Append new satellite versions and keep the current-version table in step: new rows and
+    the buckets of the table that they touch -> scratch, append the rows, replace those buckets."""
+    current, n, whole = _load_current(spark, root, sat, stored)
+    scratch = scratch_path(spark, f"{sat.name}-load")
     rows = satellite_rows(staged, sat, existing=stored, current=current)
+    if stored is not None:  # a batch's changes, read several times below
+        _unstored(rows, stored, sat).write.parquet(f"{scratch}/rows")
+        rows = spark.read.parquet(f"{scratch}/rows")
+    before = current
+    if not whole:
+        touched = [r[0] for r in _bucketed(rows.select(sat.hk), sat).select(BUCKET).distinct().collect()]
+        before = current.filter(F.col(BUCKET).isin(touched))  # at most BUCKETS values
     obs = Observation(f"versions_{sat.name}")
-    merged = merge_current(current, rows.observe(obs, F.count(F.lit(1)).alias("rows")), sat)
-    scratch = scratch_path(spark, f"{sat.name}-current")
-    merged.write.mode("overwrite").parquet(scratch)
+    merged = merge_current(before, rows.observe(obs, F.count(F.lit(1)).alias("rows")), sat)
+    _bucketed(merged, sat).write.parquet(f"{scratch}/current")
     k = int(observed(obs, "rows"))
     if k:
         append(rows, table_path(root, sat.name))
-    (spark.read.parquet(scratch).withColumn(MARKER, F.lit(n + k).cast("long"))
-     .write.mode("overwrite").parquet(table_path(root, sat.name + CURRENT_SUFFIX)))
+    if k or whole:
+        mode = "static" if whole else "dynamic"
+        (spark.read.parquet(f"{scratch}/current").hint("rebalance", BUCKET).write.mode("overwrite")
+         .option("partitionOverwriteMode", mode).partitionBy(BUCKET)
+         .parquet(table_path(root, sat.name + CURRENT_SUFFIX)))
+        spark.range(1).select(F.lit(n + k).cast("long").alias(MARKER)).coalesce(1) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .parquet(table_path(root, sat.name + MARKER_SUFFIX))
+    delete_path(spark, scratch)
     return k
 
 
 def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None = None,
-              key_mode: str = "natural", dedup_sources: bool = False,
+              key_mode: str = "natural", dedup_sources: bool = True,
               run_checks: bool = True, raise_on_check_failure: bool = True,
-              parallelism: int = 4) -> BuildResult:
+              parallelism: int = 4, compact: bool = False,
+              lookback_hours: int | None = None) -> BuildResult:
     """Build (or incrementally extend) the vault stored under ``root``.
 
     Hubs and links come from the asset-grain staging (readings reduced per asset
@@ -128,13 +166,36 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
     satellites against their current-version tables and measurements against the
     day partitions the batch touches, so their cost follows the batch, not the
     history.
+
+    ``dedup_sources`` (lake tables keep row versions) uses each dimension's current row.
+    ``compact`` stores only the change points of satellites. ``lookback_hours`` stages only readings
+    that arrived later than that before the newest stored measurement (default: all).
     """
-    size_shuffles(spark, src.readings)
-    staged = stage_readings(src.readings, src.assets, src.customer_accounts, src.customers,
-                            key_mode=key_mode, dedup_sources=dedup_sources)
-    staged = write_checkpoint(staged, "stg_meter_data")
-    first_seen = seen_rows(stage_asset_span(src.readings, src.assets, src.customer_accounts,
-                                            src.customers, key_mode, dedup_sources), "first")
+    scratch = scratch_path(spark, "build")
+    with sized_shuffles(spark, src.readings):
+        try:
+            return _run_build(spark, src, root, scratch, load_ts, key_mode, dedup_sources, run_checks,
+                              raise_on_check_failure, parallelism, compact, lookback_hours)
+        finally:
+            delete_path(spark, scratch)
+
+
+def _run_build(spark, src, root, scratch, load_ts, key_mode, dedup_sources, run_checks,
+               raise_on_check_failure, parallelism, compact, lookback_hours) -> BuildResult:
+    readings = src.readings
+    measured = read_or_none(spark, table_path(root, SAT_ASSET_MEASUREMENTS.name))
+    if lookback_hours is not None and measured is not None:
+        readings = late_filter(readings, measured.select(F.col(LOAD_TS).alias("creation_time")),
+                               "creation_time", lookback_hours)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    staged = written(stage_readings(readings, src.assets, src.customer_accounts, src.customers,
+                                    key_mode=key_mode, dedup_sources=dedup_sources), "staged")
+    first_seen = seen_rows(written(stage_asset_span(readings, src.assets, src.customer_accounts,
+                                                    src.customers, key_mode, dedup_sources), "span"), "first")
     stored = {n: df for n in VAULT_TABLES
               if (df := read_or_none(spark, table_path(root, n))) is not None}
     by_name = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES)}
@@ -150,7 +211,11 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
 
     def load(name: str) -> tuple[str, int]:
         if name in {s.name for s in SATELLITES}:
-            return name, _load_satellite(spark, root, staged, by_name[name], stored.get(name))
+            sat = by_name[name]
+            rows = staged
+            if compact:
+                rows = satellite_rows(staged, sat, compact=True)
+            return name, _load_satellite(spark, root, rows, sat, stored.get(name))
         obs = Observation(f"load_{name}")
         append(plan(name).observe(obs, F.count(F.lit(1)).alias("rows")),
                table_path(root, name), PARTITIONED.get(name))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
 from ..operators import business, quality, reports
-from ..operators.references import reference_codes
 from ..operators.staging import stage_asset_span, stage_readings, seen_rows
 from ..operators.window import latest_by
 from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
@@ -24,9 +23,9 @@ from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
                                SAT_CUSTOMER_ACC_DETAILS, SAT_CUSTOMER_DETAILS,
                                build_vault, compact_satellite, hub_rows,
                                link_rows, measurement_rows, satellite_rows, upsert_rows)
-from ..session import apply_conf, worth_sharing
-from .sinks import write_checkpoint
+from ..session import apply_conf
 from ..sources import fixtures
+from .ingest import late_filter
 
 # Fixed parameters of the registered queries.
 AS_OF_MEASUREMENTS = "1997-01-01 00:00:00"
@@ -57,16 +56,14 @@ class LazyVault:
     """The vault of one first load, planned lazily and table by table (the same
     attributes as ``VaultFrames``): a query plans only the tables it reads.
 
-    Hubs, links and current details come from the asset-grain staging; with
-    ``share_span`` that staging is computed once and written as Parquet under the
-    shared checkpoint folder (a lineage cut that survives executor loss), worth
-    it when many of those tables are read together over a large fact; ``"auto"``
-    decides from Spark's size estimate of the readings.
-    Satellites and measurements come from the reading-grain staging.
+    Hubs, links and current details come from the asset-grain staging, satellites and
+    measurements from the reading-grain staging. Nothing runs or is written while a query is
+    planned, at any size: consumers of the same staging share its exchanges. A stored vault
+    (``run_build``) materialises both stagings once instead.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, share_span: bool | str = False):
-        self.spark, self.sf_dir, self.share_span = spark, sf_dir, share_span
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
     def _staged(self) -> DataFrame:
@@ -74,13 +71,7 @@ class LazyVault:
 
     @cached_property
     def _span(self) -> DataFrame:
-        sp = span(self.spark, self.sf_dir)
-        share = self.share_span
-        if share == "auto":  # decided by the size of the fact behind it
-            share = worth_sharing(self.spark, fixtures.sources(self.spark, self.sf_dir).readings)
-        if share:  # columnar copy: each consumer reads only its columns
-            sp = write_checkpoint(sp, "asset-span")
-        return sp
+        return span(self.spark, self.sf_dir)
 
     def _hub(self, h):
         return hub_rows(seen_rows(self._span, "first"), h)
@@ -120,8 +111,8 @@ class LazyVault:
         return {n: getattr(self, n) for n in names}
 
 
-def vault(spark: SparkSession, sf_dir: str, share_span: bool | str = False) -> LazyVault:
-    return LazyVault(spark, sf_dir, share_span)
+def vault(spark: SparkSession, sf_dir: str) -> LazyVault:
+    return LazyVault(spark, sf_dir)
 
 
 def _sat_cd_history(spark, sf_dir) -> DataFrame:
@@ -193,6 +184,21 @@ def q_hub_customer_incremental(spark, sf_dir):
     return hub_rows(seen(spark, sf_dir), HUB_CUSTOMER, existing=first)
 
 
+def q_hub_customer_account_incremental(spark, sf_dir):
+    first = hub_rows(seen(spark, sf_dir, batch=1), HUB_CUSTOMER_ACCOUNT)
+    return hub_rows(seen(spark, sf_dir), HUB_CUSTOMER_ACCOUNT, existing=first)
+
+
+def q_hub_asset_incremental(spark, sf_dir):
+    first = hub_rows(seen(spark, sf_dir, batch=1), HUB_ASSET)
+    return hub_rows(seen(spark, sf_dir), HUB_ASSET, existing=first)
+
+
+def q_link_customer_account_incremental(spark, sf_dir):
+    first = link_rows(seen(spark, sf_dir, batch=1), LINK_CUSTOMER_ACCOUNT)
+    return link_rows(seen(spark, sf_dir), LINK_CUSTOMER_ACCOUNT, existing=first)
+
+
 def q_link_customer_account(spark, sf_dir):
     return link_rows(seen(spark, sf_dir), LINK_CUSTOMER_ACCOUNT)
 
@@ -220,6 +226,25 @@ def q_sat_asset_details(spark, sf_dir):
     return satellite_rows(staged(spark, sf_dir), SAT_ASSET_DETAILS)
 
 
+def _renamed(readings_batch: DataFrame, column: str, hashdiff_input: str) -> DataFrame:
+    """Staged rows in which every third asset has another value, with its new hash diff."""
+    third = F.pmod(F.substring("asset_id", 6, 20).cast("long"), F.lit(3)) == 0
+    return readings_batch.withColumn(column, F.when(third, F.lit("RELOCATED")).otherwise(F.col(column))) \
+        .withColumn(hashdiff_input, F.when(third, F.md5(F.col(hashdiff_input))).otherwise(F.col(hashdiff_input)))
+
+
+def q_sat_customer_acc_details_incremental(spark, sf_dir):
+    first = satellite_rows(staged(spark, sf_dir, batch=1), SAT_CUSTOMER_ACC_DETAILS)
+    new = _renamed(staged(spark, sf_dir), "account_status", "customer_account_hashdiff")
+    return satellite_rows(new, SAT_CUSTOMER_ACC_DETAILS, existing=first)
+
+
+def q_sat_asset_details_incremental(spark, sf_dir):
+    first = satellite_rows(staged(spark, sf_dir, batch=1), SAT_ASSET_DETAILS)
+    new = _renamed(staged(spark, sf_dir), "asset_status", "asset_details_hashdiff")
+    return satellite_rows(new, SAT_ASSET_DETAILS, existing=first)
+
+
 def q_sat_customer_details_incremental(spark, sf_dir):
     _, new = _sat_cd_history(spark, sf_dir)
     return new
@@ -259,7 +284,7 @@ def q_bv_asset_measurements(spark, sf_dir):
 
 
 def q_bv_customer_asset_hierarchy(spark, sf_dir):
-    return business.customer_asset_hierarchy(vault(spark, sf_dir, share_span="auto"))
+    return business.customer_asset_hierarchy(vault(spark, sf_dir))
 
 
 def q_meters_legacy(spark, sf_dir):
@@ -280,13 +305,28 @@ def q_as_of_customer(spark, sf_dir):
 # -- reports -------------------------------------------------------------------------
 
 def q_active_hierarchy(spark, sf_dir):
-    v = vault(spark, sf_dir, share_span="auto")
+    v = vault(spark, sf_dir)
     return reports.active_hierarchy(business.customer_asset_hierarchy(v),
                                     business.current_customer(v))
 
 
 def q_recent_measurements(spark, sf_dir):
-    return reports.recent_measurements(business.asset_measurements(vault(spark, sf_dir)))
+    v = vault(spark, sf_dir)
+    return reports.recent_measurements(business.asset_measurements(v), days_of=v.sat_asset_measurements)
+
+
+def q_sql_ordinals(spark, sf_dir):
+    """SQL text with positional grouping and ordering over a registered view."""
+    vault(spark, sf_dir).sat_asset_measurements.createOrReplaceTempView("measured")
+    return spark.sql("SELECT reading_type, unit_of_measure, count(*) AS readings, sum(reading_value) AS total "
+                     "FROM measured GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2")
+
+
+def q_late_filter(spark, sf_dir):
+    """Readings newer than the first delivery's latest minus a day, in a staged model's own filter."""
+    first = staged(spark, sf_dir, batch=1)
+    return late_filter(staged(spark, sf_dir), first, "load_ts", 24).select(
+        "reading_id", "asset_hk", "load_ts", "reading_value")
 
 
 def q_quality_counts(spark, sf_dir):
@@ -300,12 +340,12 @@ def q_hub_counts(spark, sf_dir):
 # -- quality -----------------------------------------------------------------------
 
 def q_check_not_null(spark, sf_dir):
-    return quality.run_checks(vault(spark, sf_dir, share_span="auto").as_dict(),
+    return quality.run_checks(vault(spark, sf_dir).as_dict(),
                               tests=("not_null",))
 
 
 def q_check_unique(spark, sf_dir):
-    return quality.run_checks(vault(spark, sf_dir, share_span="auto").as_dict(),
+    return quality.run_checks(vault(spark, sf_dir).as_dict(),
                               tests=("unique",))
 
 
@@ -323,21 +363,13 @@ def q_check_orphans(spark, sf_dir):
 
 def q_check_code_domain(spark, sf_dir):
     apply_conf(spark)
-    s = fixtures.sources(spark, sf_dir)
-    status = reference_codes(spark, "ref_status")
-    parts = [
-        quality.accepted_values(s.assets, "assets", "asset_type",
-                                reference_codes(spark, "ref_meter_type")),
-        quality.accepted_values(s.readings, "readings", "reading_type",
-                                reference_codes(spark, "ref_reading_type")),
-        quality.accepted_values(s.readings, "readings", "quality_code",
-                                reference_codes(spark, "ref_quality_code")),
-        quality.accepted_values(s.customers, "customers", "status", status),
-        quality.accepted_values(s.customer_accounts, "customer_accounts", "status", status),
-        quality.accepted_values(s.assets, "assets", "status", status),
-        quality.accepted_values(s.readings, "readings", "status", status),
-    ]
-    return quality._union(parts)
+    return quality.code_checks(fixtures.sources(spark, sf_dir).as_dict())
+
+
+def q_source_checks(spark, sf_dir):
+    """Declared integrity of the source tables; closed accounts violate the status list."""
+    apply_conf(spark)
+    return quality.source_checks(fixtures.sources(spark, sf_dir).as_dict())
 
 
 def q_row_counts(spark, sf_dir):

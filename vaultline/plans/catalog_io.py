@@ -8,24 +8,30 @@ split into deliveries (batch 1, then everything) is the scenario, not a cap.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.temporal import ntz_literal
-from ..operators.vault import SAT_ASSET_MEASUREMENTS
+from ..operators import quality
+from ..operators.staging import seen_rows, stage_asset_span, stage_readings
+from ..operators.vault import (HUB_CUSTOMER, SAT_ASSET_MEASUREMENTS, hub_rows,
+                               measurement_rows)
 from ..session import apply_conf, scratch_path
 from ..sources import fixtures
 from ..sources.schema import meter_tables, to_struct
 from ..sources.state import WatermarkStore
-from ..streaming.loads import stream_load
-from .ingest import (ingest, plan_ingest, register_new_files, registered_files,
+from ..streaming.loads import batch_loader, stream_load
+from .build import read_vault, run_build
+from .ingest import (ingest, ingest_all, plan_ingest, register_new_files, registered_files,
                      unregistered_rows)
+from .sinks import save_table, upsert
 
 # Fixed parameters of the scenarios.
 LATE_WINDOW_HOURS = 48     # late rows: created within this many hours before batch 1 ended
 LOOKBACK_HOURS = 24        # re-read window behind the watermark
 EVENTS_WAVE2_START = "2024-01-16 00:00:00"
-DEDUP_DELAY = "24 hours"
 
 READINGS = meter_tables()["readings"]
 
@@ -77,6 +83,122 @@ def q_late_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
                        lookback_hours=LOOKBACK_HOURS)
 
 
+def q_ingest_null_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries in which some readings carry no creation time: each row is stored once."""
+    apply_conf(spark)
+    root = scratch_path(spark, "null-timestamps")
+    state = WatermarkStore(spark, f"{root}/_state")
+    r = fixtures.sources(spark, sf_dir).readings
+    r = r.withColumn("__delivered", _before_batch_end()).withColumn(
+        "creation_time", F.when(F.col("unit_of_measure") != "L", F.col("creation_time")))
+    for part in (r.filter("__delivered"), r):
+        ingest(spark, READINGS, "parquet", {}, f"{root}/raw_readings", state, source=part)
+    return spark.read.parquet(f"{root}/raw_readings")
+
+
+def q_incremental_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings stamped by day: half of the last day's rows come with the first delivery, the rest,
+    equal to the watermark, with the second."""
+    apply_conf(spark)
+    root = scratch_path(spark, "incremental-ties")
+    state = WatermarkStore(spark, f"{root}/_state")
+    r = fixtures.sources(spark, sf_dir).readings
+    r = r.withColumn("creation_time", F.date_trunc("DAY", F.col("creation_time")).cast("timestamp_ntz"))
+    end = ntz_literal(fixtures.BATCH1_END)
+    first = r.filter((F.col("creation_time") < end)
+                     | ((F.col("creation_time") == end) & (F.col("id") % 2 == 0)))
+    for part in (first, r):
+        ingest(spark, READINGS, "parquet", {}, f"{root}/raw_readings", state, source=part)
+    return spark.read.parquet(f"{root}/raw_readings")
+
+
+def q_dimension_revert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers change and change back, their change time standing still: three versions."""
+    apply_conf(spark)
+    root = scratch_path(spark, "dimension-revert")
+    target, table = f"{root}/customers", meter_tables()["customers"]
+    for changed in (False, True, True, False):
+        ingest(spark, table, "parquet", {}, target,
+               source=fixtures.sources(spark, sf_dir, changed=changed).customers)
+    return spark.read.parquet(target).drop("row_hash", "load_id")
+
+
+def q_partitioned_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a partition field is laid out in its folders."""
+    apply_conf(spark)
+    root = scratch_path(spark, "partitioned-export")
+    table = replace(READINGS, partition_field="reading_type")
+    ingest(spark, table, "parquet", {}, f"{root}/raw_readings",
+           source=fixtures.sources(spark, sf_dir).readings)
+    return spark.read.parquet(f"{root}/raw_readings").select(*READINGS.names)
+
+
+def q_sorted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a primary key: each written file is sorted by it."""
+    apply_conf(spark)
+    root = scratch_path(spark, "sorted-ingest")
+    table = meter_tables()["assets"]
+    ingest(spark, table, "parquet", {}, f"{root}/assets", source=fixtures.sources(spark, sf_dir).assets)
+    return spark.read.parquet(f"{root}/assets").select(*table.names)
+
+
+def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table, created with its namespace on the first of two appends, then scanned."""
+    apply_conf(spark)
+    name = "vaultline_raw.accounts_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    accounts = fixtures.sources(spark, sf_dir).customer_accounts
+    active, location = F.col("status") == "ACTIVE", scratch_path(spark, "catalog-table")
+    for part in (accounts.filter(active), accounts.filter(~active)):
+        save_table(part, name, location=location)
+    return spark.table(name)
+
+
+def q_hub_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored hub merged on its key: the first delivery's customers come again from another system."""
+    apply_conf(spark)
+    path = f"{scratch_path(spark, 'hub-upsert')}/hub_customer"
+    s1, s = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir)
+
+    def hub(x):
+        return hub_rows(seen_rows(stage_asset_span(x.readings, x.assets, x.customer_accounts, x.customers),
+                                  "first"), HUB_CUSTOMER)
+    upsert(spark, hub(s), path, ["customer_hk"])
+    upsert(spark, hub(s1).withColumn("record_source", F.lit("MERGED")), path, ["customer_hk"])
+    return spark.read.parquet(path)
+
+
+def q_measurements_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored measurements merged on their five-part key: demand readings are corrected."""
+    apply_conf(spark)
+    path = f"{scratch_path(spark, 'measurements-upsert')}/sat_asset_measurements"
+    keys = SAT_ASSET_MEASUREMENTS.key
+    s1, s = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir)
+
+    def rows(x):
+        staged = stage_readings(x.readings, x.assets, x.customer_accounts, x.customers)
+        return measurement_rows(staged)
+    fixed = F.when(F.col("reading_type") == "DEMAND", F.lit("SUSPECT")).otherwise(F.col("quality_code"))
+    upsert(spark, rows(s1), path, keys)
+    upsert(spark, rows(s).withColumn("quality_code", fixed), path, keys)
+    return spark.read.parquet(path)
+
+
+def q_vault_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: ingest the four tables, build the vault, run the checks; rows of each vault table."""
+    apply_conf(spark)
+    root = scratch_path(spark, "vault-run")
+    s = fixtures.sources(spark, sf_dir).as_dict()
+    state = WatermarkStore(spark, f"{root}/_state")
+    for name, df in s.items():
+        _land(df, f"{root}/export/{name}", "overwrite")
+    ingest_all(spark, list(meter_tables().values()), "parquet", lambda t: {"path": f"{root}/export/{t.name}"},
+               lambda t: f"{root}/lake/{t.name}", state)
+    lake = fixtures.Sources(*(spark.read.parquet(f"{root}/lake/{n}")
+                              for n in ("customers", "customer_accounts", "assets", "readings")))
+    run_build(spark, lake, f"{root}/vault")
+    return quality.row_counts(read_vault(spark, f"{root}/vault").as_dict())
+
+
 def q_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of landing files that are not registered in the raw table yet."""
     apply_conf(spark)
@@ -107,8 +229,8 @@ def q_stream_hub_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as meter readings, two deliveries, in-stream dedup on the reading id
-    within a 24 h watermark, day-partitioned measurement appends."""
+    """Events as meter readings, two deliveries, repeats of a reading id inside a
+    batch reduced to one, day-partitioned measurement appends."""
     apply_conf(spark)
     root = scratch_path(spark, "stream-measurements")
     landing, ckpt, vault = f"{root}/landing", f"{root}/_checkpoint", f"{root}/vault"
@@ -118,10 +240,36 @@ def q_stream_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (first, ~first):
         _land(ev.filter(wave), landing)
         stream_load(spark, landing, schema, vault, ckpt, [SAT_ASSET_MEASUREMENTS.name],
-                    dedup_keys=["id"], event_time="creation_time", delay=DEDUP_DELAY)
+                    dedup_keys=["id"], event_time="creation_time")
+    return spark.read.parquet(f"{vault}/{SAT_ASSET_MEASUREMENTS.name}") \
+        .select(*SAT_ASSET_MEASUREMENTS.columns)
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half of the events arrives first, the older one weeks late: nothing is lost."""
+    apply_conf(spark)
+    root = scratch_path(spark, "stream-late")
+    landing, ckpt, vault = f"{root}/landing", f"{root}/_checkpoint", f"{root}/vault"
+    ev = fixtures.events_as_readings(fixtures.read_tables(spark, sf_dir, ("events",)))
+    newer = F.col("creation_time") >= ntz_literal(EVENTS_WAVE2_START)
+    for wave in (newer, ~newer):
+        _land(ev.filter(wave), landing)
+        stream_load(spark, landing, to_struct(READINGS), vault, ckpt, [SAT_ASSET_MEASUREMENTS.name],
+                    dedup_keys=["id"], event_time="creation_time")
     return spark.read.parquet(f"{vault}/{SAT_ASSET_MEASUREMENTS.name}") \
         .select(*SAT_ASSET_MEASUREMENTS.columns)
 
 
+def q_stream_satellite_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer versions by micro-batches, the second one delivered twice."""
+    apply_conf(spark)
+    root = scratch_path(spark, "stream-replay")
+    s1, s2 = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir, changed=True)
+    for s in (s1, s2, s2):
+        load = batch_loader(["sat_customer_details"], root, lambda s=s: (s.assets, s.customer_accounts, s.customers))
+        load(s.readings, 0)
+    return spark.read.parquet(f"{root}/sat_customer_details")
+
+
 IO_QUERIES = {name[2:]: fn for name, fn in dict(globals()).items()
               if name.startswith("q_") and callable(fn)}

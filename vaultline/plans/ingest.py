@@ -1,9 +1,12 @@
 """Config-driven, incremental and idempotent ingest into the raw (lake) layer.
 
 ``ingest`` loads one table: extract the declared columns, keep only what is new
-(watermark for incremental facts, unseen row versions for dimensions), append,
-then advance the watermark. The row count and the new watermark are observed
-during the write itself (``DataFrame.observe``), so the data is read once.
+(watermark for incremental facts, changed versions for dimensions), append,
+then advance the watermark. The row count, the new watermark and the NULLs in required
+columns are observed during the write itself (``DataFrame.observe``), so the data is read once.
+
+No row is lost to the watermark: rows equal to it and rows without a time are read
+again by every run, and what is stored already is removed by an anti-join.
 
 ``register_new_files`` is the file-level variant: a landing folder's files are
 diffed against a manifest of registered paths (``left_anti``), and only rows of
@@ -13,17 +16,19 @@ unregistered files are appended; each row keeps its source file.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import size_shuffles
+from ..operators.staging import LOAD_ID
+from ..session import delete_path, sized_shuffles
 from ..sources.readers import extract, source_frame
 from ..sources.schema import TableDef
-from ..sources.state import DEFAULT_WATERMARK, WatermarkStore
-from .sinks import append, observed, read_or_none
+from ..sources.state import WatermarkStore
+from .sinks import append, observed, path_exists, read_or_none
 
 log = logging.getLogger(__name__)
 ROW_HASH = "row_hash"
@@ -36,20 +41,19 @@ class IngestResult:
     rows: int
     watermark: str | None
     error: str | None = None
+    null_required: int = 0  # NULLs in columns that the definition requires
 
 
-def _bound(last_value: str, lookback_hours: int | None):
+def incremental_filter(df: DataFrame, field: str, last_value: str | None,
+                       lookback_hours: int | None = None) -> DataFrame:
+    """Rows a run has to look at: from ``watermark - lookback_hours`` on (the watermark itself
+    included: more rows may have its time), and rows without a time. All rows on a first run."""
+    if last_value is None:
+        return df
     bound = F.to_timestamp_ntz(F.lit(last_value))
     if lookback_hours:
         bound = F.timestamp_add("HOUR", F.lit(-int(lookback_hours)), bound)
-    return bound
-
-
-def incremental_filter(df: DataFrame, field: str, last_value: str,
-                       lookback_hours: int | None = None) -> DataFrame:
-    """Rows with ``field`` after the watermark; with a lookback, after
-    ``watermark - lookback_hours`` (late rows; duplicates are removed downstream)."""
-    return df.filter(F.col(field) > _bound(last_value, lookback_hours))
+    return df.filter(F.col(field).isNull() | (F.col(field) >= bound))
 
 
 LOOKBACK_FLOOR = "1970-01-01 00:00:00"
@@ -57,8 +61,8 @@ LOOKBACK_FLOOR = "1970-01-01 00:00:00"
 
 def late_filter(df: DataFrame, existing: DataFrame | None, ts_col: str,
                 lookback_hours: int = 24) -> DataFrame:
-    """Rows newer than ``max(ts_col)`` of the target minus a lookback; all rows on a
-    first run. The maximum is one scalar computed before the filter is planned,
+    """Rows newer than ``max(ts_col)`` of the target minus a lookback, and rows without a
+    time; all rows on a first run. The maximum is one scalar computed before the filter is planned,
     so the bound is a literal and can prune partitions and row groups."""
     if existing is None:
         return df
@@ -66,7 +70,7 @@ def late_filter(df: DataFrame, existing: DataFrame | None, ts_col: str,
                        .alias("m")).first()["m"]
     bound = F.timestamp_add("HOUR", F.lit(-int(lookback_hours)),
                             F.to_timestamp_ntz(F.lit(top.strftime("%Y-%m-%d %H:%M:%S.%f"))))
-    return df.filter(F.col(ts_col) > bound)
+    return df.filter(F.col(ts_col).isNull() | (F.col(ts_col) > bound))
 
 
 def anti_join_null_safe(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,24 +81,35 @@ def anti_join_null_safe(df: DataFrame, existing: DataFrame, keys: Sequence[str])
     return df.join(ex, cond, "left_anti")
 
 
-def new_versions(df: DataFrame, existing: DataFrame | None, key: str | Sequence[str]) -> DataFrame:
-    """Rows whose (key, content) is not stored yet: re-extracting an unchanged
-    dimension adds nothing, a changed row adds one new version.
+def new_load_id() -> int:
+    """A number larger than those of earlier loads (time-based)."""
+    return uuid.uuid1().time & ((1 << 62) - 1)
+
 
-    The content hash is kept in the stored table (``row_hash``), so a run reads
-    only ``(key, row_hash)`` of what is stored instead of re-hashing every
-    stored version; tables written without it are hashed on the fly.
+def new_versions(df: DataFrame, existing: DataFrame | None, key: str | Sequence[str],
+                 load_id: int | None = None) -> DataFrame:
+    """Rows whose content differs from the latest stored version of their key: re-extracting an
+    unchanged dimension adds nothing, a changed row adds one version, and so does a row
+    that changes back to an earlier content.
+
+    The stored table keeps each version's content hash and the number of the load that wrote it,
+    so a run reads only ``(key, row_hash, load_id)``; a table without them is hashed
+    on the fly and counts as one earlier load.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [c for c in df.columns if c != ROW_HASH]
-    hashed = df.select(*cols).withColumn(ROW_HASH, row_hash(cols))
+    cols = [c for c in df.columns if c not in (ROW_HASH, LOAD_ID)]
+    number = F.lit(new_load_id() if load_id is None else load_id).cast("long")
+    hashed = df.select(*cols).withColumn(ROW_HASH, row_hash(cols)).withColumn(LOAD_ID, number)
     if existing is None:
         return hashed
-    if ROW_HASH in existing.columns:
-        ex = existing.select(*keys, ROW_HASH)
-    else:
-        ex = existing.select(*keys, row_hash(cols).alias(ROW_HASH))
-    return hashed.join(ex, [*keys, ROW_HASH], "left_anti")
+    content = F.col(ROW_HASH) if ROW_HASH in existing.columns else row_hash(cols)
+    written = F.col(LOAD_ID) if LOAD_ID in existing.columns else F.lit(0).cast("long")
+    stored = existing.select(*keys, content.alias(ROW_HASH), F.coalesce(written, F.lit(0)).alias(LOAD_ID))
+    # a load may hold several rows of a key: all of its last load's versions are current
+    last = stored.groupBy(*keys).agg(F.max(LOAD_ID).alias("__last"))
+    same = [stored[k].eqNullSafe(last[k]) for k in keys]
+    current = stored.join(last, [*same, stored[LOAD_ID] == last["__last"]], "left_semi")
+    return anti_join_null_safe(hashed, current, [*keys, ROW_HASH])
 
 
 def row_hash(cols: Sequence[str]):
@@ -106,21 +121,24 @@ def row_hash(cols: Sequence[str]):
 def plan_ingest(spark: SparkSession, table: TableDef, source: DataFrame, target: str,
                 state: WatermarkStore | None = None, lookback_hours: int | None = None,
                 dedup_keys: Sequence[str] | None = None) -> DataFrame:
-    """The rows one ingest run would append (lazy)."""
+    """The rows one ingest run would append (lazy). ``lookback_hours`` and ``dedup_keys`` default
+    to the table's definition."""
     df = source
     existing = read_or_none(spark, target)
+    keys = list(dedup_keys or table.dedup_keys)
     if table.is_incremental and table.incremental_field:
         field = table.incremental_field
-        last = state.last_value(table.name, field) if state else DEFAULT_WATERMARK
-        df = incremental_filter(df, field, last, lookback_hours)
+        last = state.last_value(table.name, field) if state else None
+        hours = table.lookback_hours if lookback_hours is None else lookback_hours
+        df = incremental_filter(df, field, last, hours)
         if existing is not None:
-            # Stored rows inside the same window: the lookback overlap, or rows of a
-            # run that appended but died before saving its watermark. The window
-            # filter reaches the Parquet scan, so only recent row groups are read.
-            recent = existing.filter(F.col(field) > _bound(last, lookback_hours))
-            df = anti_join_null_safe(df, recent, list(dedup_keys or df.columns))
+            # Stored rows of the same window: the overlap, or rows of a run that appended
+            # but died before saving its watermark. The window filter reaches the
+            # Parquet scan, so only recent row groups are read.
+            df = anti_join_null_safe(df, incremental_filter(existing, field, last, hours),
+                                     keys or df.columns)
     elif table.primary_key:
-        df = new_versions(df, existing, dedup_keys or table.primary_key)
+        df = new_versions(df, existing, keys or table.primary_key)
     if table.primary_key:
         df = df.sortWithinPartitions(table.primary_key)
     return df
@@ -133,22 +151,29 @@ def ingest(spark: SparkSession, table: TableDef, kind: str, options: dict, targe
     """Load one table from a source into the Parquet table at ``target``."""
     src = extract(source, table) if source is not None else source_frame(spark, table, kind,
                                                                           options)
-    size_shuffles(spark, src)
     rows = plan_ingest(spark, table, src, target, state, lookback_hours, dedup_keys)
     wm_field = table.incremental_field if table.is_incremental else None
     metrics = [F.count(F.lit(1)).alias("rows")]
     if wm_field:
         metrics.append(F.max(wm_field).alias("wm"))
+    if table.required:
+        missing = F.lit(0)
+        for c in table.required:
+            missing = missing + F.count_if(F.col(c).isNull())
+        metrics.append(missing.alias("missing"))
     obs = Observation(f"ingest_{table.name}")
-    watched = rows.observe(obs, *metrics)
-    append(watched, target, [table.partition_field] if table.partition_field else None)
+    with sized_shuffles(spark, src):
+        append(rows.observe(obs, *metrics), target,
+               [table.partition_field] if table.partition_field else None)
     wm = observed(obs, "wm", None) if wm_field else None
     watermark = None
     if wm is not None:
         watermark = wm.strftime("%Y-%m-%d %H:%M:%S.%f")
-        if state is not None:
+        last = state.last_value(table.name, wm_field) if state is not None else None
+        if state is not None and (last is None or watermark > last):  # late rows don't move it back
             state.save(table.name, wm_field, watermark)
-    return IngestResult(table.name, int(observed(obs, "rows")), watermark)
+    return IngestResult(table.name, int(observed(obs, "rows")), watermark,
+                        null_required=int(observed(obs, "missing") or 0) if table.required else 0)
 
 
 def ingest_all(spark: SparkSession, tables: Sequence[TableDef], kind: str,
@@ -168,8 +193,8 @@ def ingest_all(spark: SparkSession, tables: Sequence[TableDef], kind: str,
             log.error("failed to load %s: %s", t.name, ex)
             results.append(IngestResult(t.name, 0, None, f"{type(ex).__name__}: {ex}"))
     status = spark.createDataFrame(
-        [(r.table, r.rows, r.watermark, r.error) for r in results],
-        "table_name string, rows long, watermark string, error string")
+        [(r.table, r.rows, r.watermark, r.error, r.null_required) for r in results],
+        "table_name string, rows long, watermark string, error string, null_required long")
     failed = [r for r in results if r.error]
     if failed and raise_on_error:
         raise RuntimeError("ingest failed for: " + ", ".join(f"{r.table} ({r.error})"
@@ -202,42 +227,48 @@ def register_new_files(spark: SparkSession, landing_path: str, schema, target: s
     """Append the rows of landing files that are not registered in the target yet.
 
     The manifest holds one row per registered file, so finding new files is a
-    join over file names, not over the table's rows. Data is appended first and
-    the manifest second; if a run died in between, the next run finds those
-    files' rows in the target (an ``IN`` filter on ``file_col``, which Parquet
-    row-group statistics prune) and records them instead of loading them again.
-    Only the names of newly arrived files reach the driver. Returns the number
-    of rows appended.
+    join over file names, not over the table's rows. The new names are noted as pending, the
+    data is appended, and the names go to the manifest. A run that died in between
+    leaves the note: the next run looks up which of its files have rows in the target, and
+    registers those instead of loading them again. File names stay in tables; only row
+    counts reach the driver. Returns the number of rows appended.
     """
+    _settle_pending(spark, target, file_col)
     landing = spark.read.schema(schema).parquet(landing_path)
     files = landing.select(F.col("_metadata.file_path").alias("file_path")).distinct()
     manifest = read_or_none(spark, manifest_path(target))
     if manifest is not None:
         files = files.join(manifest.select("file_path"), "file_path", "left_anti")
-    new_files = sorted(r.file_path for r in files.collect())
-    if not new_files:
-        return 0
-    existing = read_or_none(spark, target)
-    if existing is not None:  # recover from a run that appended data but not the manifest
-        done = {r[0] for r in existing.filter(F.col(file_col).isin(new_files))
-                .select(file_col).distinct().collect()}
-        if done:
-            _record(spark, sorted(done), target)
-            new_files = [f for f in new_files if f not in done]
-        if not new_files:
-            return 0
-    rows = (landing.withColumn(file_col, F.col("_metadata.file_path"))
-            .filter(F.col(file_col).isin(new_files)))
+    note = f"{manifest_path(target)}_pending"
+    files.write.mode("overwrite").parquet(note)
+    pending = spark.read.parquet(note)
+    rows = landing.withColumn(file_col, F.col("_metadata.file_path"))
+    rows = rows.join(pending.select(F.col("file_path").alias(file_col)), file_col, "left_semi")
     obs = Observation("register_files")
     append(rows.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
-    _record(spark, new_files, target)
+    _record(pending, target)
+    delete_path(spark, note)
     return int(observed(obs, "rows"))
 
 
-def _record(spark: SparkSession, files: list[str], target: str) -> None:
-    (spark.createDataFrame([(f,) for f in files], "file_path string")
-     .withColumn("registered_at", F.localtimestamp())
-     .coalesce(1).write.mode("append").parquet(manifest_path(target)))
+def _settle_pending(spark: SparkSession, target: str, file_col: str) -> None:
+    """Register the files of a run that appended their rows but died before the manifest."""
+    note = f"{manifest_path(target)}_pending"
+    if not path_exists(spark, note):
+        return
+    existing, manifest = read_or_none(spark, target), read_or_none(spark, manifest_path(target))
+    if existing is not None:
+        done = spark.read.parquet(note).join(
+            existing.select(F.col(file_col).alias("file_path")), "file_path", "left_semi")
+        if manifest is not None:
+            done = done.join(manifest.select("file_path"), "file_path", "left_anti")
+        _record(done, target)
+    delete_path(spark, note)
+
+
+def _record(files: DataFrame, target: str) -> None:
+    (files.select("file_path", F.localtimestamp().alias("registered_at"))
+     .write.mode("append").parquet(manifest_path(target)))
 
 
 def registered_files(spark: SparkSession, target: str) -> DataFrame | None:

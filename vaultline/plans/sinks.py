@@ -5,44 +5,52 @@
   lands in few files, and AQE splits a day that holds a large share of the rows
   instead of sending it to one task.
 * ``upsert``: merge semantics without MERGE INTO. The merged rows of the
-  affected partitions are written to a scratch generation first and then
-  swapped in with a dynamic partition overwrite, so the job never overwrites
-  the files it is reading.
-* ``save_table`` / ``create_view``: catalog tables (full refresh) and views.
+  affected partitions are written to a generation folder first, a pending note
+  names it, and then it replaces those partitions. A run that dies in between
+  is finished by the next read or upsert of the table.
+* ``save_table`` / ``create_view``: catalog tables (created if missing) and views.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.vault import upsert_rows
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
+
+NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds committed data (asks the Hadoop file system
-    the path lives on, so it works for any cluster store)."""
+    """Whether a table folder holds committed data. Only a missing or empty folder is
+    "no": a store that cannot be reached raises, or a load would take it for a first one."""
     try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            return False
-        return any(not s.getPath().getName().startswith(("_", "."))
-                   for s in fs.listStatus(p))
-    except Exception:  # no JVM gateway (e.g. a remote session): probe by reading
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no context: probe by reading
+        sc = None
+    if sc is None:
         try:
             spark.read.parquet(path).schema  # noqa: B018
-            return True
-        except Exception:
-            return False
+        except AnalysisException as ex:
+            if ex.getCondition() in NOT_THERE:
+                return False
+            raise
+        return True
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, after an interrupted upsert of it was finished."""
+    finish_upsert(spark, path)
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
@@ -60,13 +68,16 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
     w.save(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite",
-               partition_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Create the namespace if missing, then write a catalog table."""
+def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+               fmt: str = "parquet", location: str | None = None, replace: bool = False) -> None:
+    """Append to a catalog table, creating its namespace and the table (with ``location`` and
+    format) if missing; ``replace`` refreshes it in full."""
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    w = df.write.format(fmt).mode(mode)
+    w = df.write.format(fmt).mode("overwrite" if replace else "append")
+    if location:
+        w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
@@ -77,32 +88,68 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+PENDING = T.StructType([T.StructField("generation", T.StringType()),
+                        T.StructField("partition_by", T.ArrayType(T.StringType()))])
+
+
+def _pending_path(path: str) -> str:
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/_pending-{name}"
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Put a complete generation in place that an upsert left behind; doing it twice is the same."""
+    note = _pending_path(path)
+    if not path_exists(spark, note):
+        return
+    row = spark.read.schema(PENDING).parquet(note).first()
+    if row is not None:
+        _replace(spark, row.generation, path, row.partition_by or [])
+    delete_path(spark, note)
+    if row is not None:
+        delete_path(spark, row.generation)
+
+
+def _replace(spark: SparkSession, generation: str, path: str, partition_by: Sequence[str]) -> None:
+    staged = spark.read.parquet(generation)
+    if partition_by:
+        staged = staged.hint("rebalance", *partition_by)
+    out = staged.write.mode("overwrite").format("parquet")
+    if partition_by:  # only the partitions of the generation are replaced
+        out = out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    else:
+        out = out.option("partitionOverwriteMode", "static")
+    out.save(path)
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
            partition_by: Sequence[str] | None = None) -> None:
     """Rows of ``source`` replace rows with the same ``keys`` in the table at ``path``.
 
-    With ``partition_by`` only the partitions present in ``source`` are read and
-    rewritten (the semi-join lets Spark prune the others).
+    With ``partition_by`` only the partitions that get rows are read and rewritten. The
+    partition columns must belong to the key: a row could otherwise move to another partition
+    and stay in the old one as well. Their values in ``source`` are the one thing collected (as
+    many as the batch touches partitions); as literals they prune the scan.
     """
+    parts, keys = list(partition_by or []), list(keys)
+    if not set(parts) <= set(keys):
+        raise ValueError(f"partition columns {parts} must be part of the merge key {keys}")
     current = read_or_none(spark, path)
     if current is None:
-        append(source, path, partition_by)
+        append(upsert_rows(None, source, keys), path, parts)
         return
-    if partition_by:
-        touched = source.select(*partition_by).distinct()
-        current = current.join(touched, list(partition_by), "left_semi")
-    merged = upsert_rows(current, source.select(*current.columns), keys)
-    gen = scratch_path(spark, "upsert-generation")
-    w = merged.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(gen)
-    staged = spark.read.parquet(gen).select(*current.columns)
-    out = staged.write.mode("overwrite").format("parquet")
-    if partition_by:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out = out.partitionBy(*partition_by)
-    out.save(path)
+    columns = current.columns
+    if parts:
+        # column by column: a superset of the touched partitions, each replaced as a whole
+        for c in parts:
+            values = [r[0] for r in source.select(c).distinct().collect()]
+            named = F.col(c).isin([v for v in values if v is not None])
+            current = current.filter(named | F.col(c).isNull() if None in values else named)
+    generation = scratch_path(spark, "upsert-generation")
+    upsert_rows(current, source.select(*columns), keys).write.mode("overwrite").parquet(generation)
+    note = spark.createDataFrame([(generation, parts)], PENDING)
+    note.coalesce(1).write.mode("overwrite").parquet(_pending_path(path))
+    finish_upsert(spark, path)
 
 
 def write_checkpoint(df: DataFrame, name: str) -> DataFrame:
@@ -114,10 +161,6 @@ def write_checkpoint(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(p)
 
 
-def distinct_files(df: DataFrame) -> DataFrame:
-    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-
-
 def observed(obs, key: str, default=0):
     """A metric of a finished ``Observation``. When AQE proves the observed plan
     empty it removes the plan, metrics node included, and the observation ends

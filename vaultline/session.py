@@ -1,15 +1,17 @@
 """Session construction and the shared scratch location.
 
 Jobs that cut lineage or stage intermediate tables write under the folder the
-cluster names in ``spark.checkpoint.dir``. Only when the session has none (local
-tests) do we create one.
+cluster names in ``spark.checkpoint.dir``. Only a local session (tests, one
+machine) may leave it unset and gets a temporary one; on a cluster its absence
+is an error, because executors cannot see a folder of the driver's machine.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,7 +58,7 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; created locally only if unset."""
+    """The shared checkpoint folder of the session; created only for a local master."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote (Connect) session: only the conf is visible
@@ -64,12 +66,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = (sc.getCheckpointDir() if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster session needs a shared "
+                               "folder for intermediate tables")
         current = tempfile.mkdtemp(prefix="vaultline-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(current)
-        else:
+        if sc is None:
             spark.conf.set("spark.checkpoint.dir", current)
-        return current
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
@@ -81,21 +84,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-    return path
-
-
-# Above this estimated input size a shared intermediate is written once instead
-# of being recomputed by each consumer (override with vaultline.shareThresholdBytes).
-SHARE_THRESHOLD_BYTES = 256 * 1024 * 1024
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote (through the file system it lies on)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def estimated_bytes(df) -> int | None:
@@ -112,28 +104,26 @@ def estimated_bytes(df) -> int | None:
         return None
 
 
-def worth_sharing(spark: SparkSession, df) -> bool:
-    """Whether ``df`` is large enough that recomputing it per consumer costs more
-    than writing it once to the shared checkpoint folder."""
-    limit = int(spark.conf.get("vaultline.shareThresholdBytes", str(SHARE_THRESHOLD_BYTES)))
-    size = estimated_bytes(df)
-    return size is None or size > limit
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Raise AQE's initial shuffle partition number to about one partition per
-    ``target_bytes`` of estimated input (never lowers it); AQE then coalesces
-    small partitions at runtime. Returns the number in effect."""
-    current = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                                 None) or spark.conf.get("spark.sql.shuffle.partitions"))
+@contextmanager
+def sized_shuffles(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES) -> Iterator[int]:
+    """Within the block, AQE starts with about one shuffle partition per ``target_bytes`` of
+    estimated input (never fewer than configured) and coalesces small ones at runtime. The
+    session's own setting is restored afterwards. Yields the number in effect."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
-    if size is None:
-        return current
-    wanted = min(100_000, -(-size // target_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-        return wanted
-    return current
+    wanted = max(current, -(-size // target_bytes) if size is not None else 0)
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

@@ -61,6 +61,8 @@ class TableDef:
     is_incremental: bool = False
     incremental_field: str | None = None
     primary_key: str | None = None
+    lookback_hours: int = 0  # how far behind the watermark late rows are looked for
+    dedup_keys: tuple[str, ...] = ()  # what makes a row the same row (default: all columns)
 
     @property
     def names(self) -> list[str]:
@@ -100,7 +102,9 @@ def parse_tables(config: dict | str) -> list[TableDef]:
         tables.append(TableDef(name=t["name"], fields=fields, source_query=t.get("source_query"),
                                partition_field=t.get("partition_field"), is_incremental=inc,
                                incremental_field=t.get("incremental_field"),
-                               primary_key=t.get("primary_key")))
+                               primary_key=t.get("primary_key"),
+                               lookback_hours=int(t.get("lookback_hours") or 0),
+                               dedup_keys=tuple(t.get("dedup_keys") or ())))
     return tables
 
 
@@ -172,5 +176,9 @@ def to_config(tables) -> dict:
                 d[k] = getattr(t, k)
         if t.is_incremental:
             d["is_incremental"] = True
+        if t.lookback_hours:
+            d["lookback_hours"] = t.lookback_hours
+        if t.dedup_keys:
+            d["dedup_keys"] = list(t.dedup_keys)
         out.append(d)
     return {"tables": out}

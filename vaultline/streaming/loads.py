@@ -4,7 +4,9 @@ New reading files arrive in a landing folder; a file-source stream picks them
 up (its checkpoint records which files were consumed) and ``foreachBatch``
 runs the same hub / link / satellite / measurement loaders as the batch build
 against the stored tables. The loaders anti-join against what is stored, so
-replaying a micro-batch after a failure appends nothing twice.
+replaying a micro-batch after a failure appends nothing twice. There is no watermark: a
+reading is loaded however late it comes. Repeats inside a batch are reduced to one row, and
+those of earlier batches are in the target.
 
 ``trigger(availableNow=True)`` processes what has landed and stops, which is
 how a scheduled loader runs; ``processingTime`` keeps it running.
@@ -15,17 +17,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import stage_readings, stage_readings_only
 from ..operators.vault import (HUBS, LINKS, LOAD_DAY, SAT_ASSET_MEASUREMENTS, SATELLITES,
                                hub_rows, link_rows, measurement_rows, with_load_day)
+from ..operators.window import latest_by
 from ..plans.build import _load_satellite
 from ..plans.sinks import append, read_or_none
 
 BINDINGS = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES, SAT_ASSET_MEASUREMENTS)}
 
+FILES_PER_TRIGGER = 1000
+
 Dimensions = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
@@ -47,12 +51,16 @@ def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> N
     append(rows, path)
 
 
-def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None = None):
-    """The ``foreachBatch`` function: stage the micro-batch, run each load."""
+def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None = None,
+                 dedup_keys: Sequence[str] | None = None, event_time: str | None = None):
+    """The ``foreachBatch`` function: stage the micro-batch, run each load. Dimension tables of
+    the lake hold row versions; each key's current one is used."""
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        if dedup_keys:
+            batch = latest_by(batch, dedup_keys, [event_time] if event_time else [])
         if dimensions is not None:
-            staged = stage_readings(batch, *dimensions())
+            staged = stage_readings(batch, *dimensions(), dedup_sources=True)
         else:
             staged = stage_readings_only(batch)
         staged = staged.persist()  # bounded by the trigger's file/byte limits
@@ -67,26 +75,17 @@ def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None
 def stream_load(spark: SparkSession, landing: str, schema, root: str, checkpoint: str,
                 tables: Sequence[str], dimensions: Dimensions | None = None,
                 dedup_keys: Sequence[str] | None = None, event_time: str | None = None,
-                delay: str = "24 hours", available_now: bool = True,
-                max_files_per_trigger: int | None = None) -> StreamingQuery:
+                available_now: bool = True,
+                max_files_per_trigger: int = FILES_PER_TRIGGER) -> StreamingQuery:
     """Run the streaming load over ``landing`` and return the (finished) query.
 
-    ``dedup_keys`` + ``event_time`` drop in-stream duplicates within ``delay``
-    of the watermark. The watermark needs a zoned timestamp, so the zone-less
-    event time is cast (the session time zone is UTC).
+    ``dedup_keys`` reduce repeats inside a micro-batch to the row with the latest ``event_time``.
+    ``max_files_per_trigger`` bounds a micro-batch.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(landing)
-    if dedup_keys:
-        if not event_time:
-            raise ValueError("in-stream dedup needs an event_time column for the watermark")
-        stream = (stream.withColumn("__event_ts", F.col(event_time).cast("timestamp"))
-                  .withWatermark("__event_ts", delay)
-                  .dropDuplicatesWithinWatermark(list(dedup_keys))
-                  .drop("__event_ts"))
-    w = (stream.writeStream.foreachBatch(batch_loader(tables, root, dimensions))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(landing))
+    w = (stream.writeStream.foreachBatch(batch_loader(tables, root, dimensions, dedup_keys,
+                                                         event_time))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
