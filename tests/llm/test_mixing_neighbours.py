@@ -1,0 +1,122 @@
+import collections
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vaultline.llm import mixing, neighbours
+
+from .conftest import words
+
+
+def brute_targets(sizes, weights=(1, 2, 3), most=3.0):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
+    names += [None] * (None in sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, open_ = {}, float(sum(sizes.values())), set(names)
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if w[s] * level > most * sizes[s]}
+        if not full:
+            target.update({s: w[s] * level for s in open_})
+            break
+        for s in full:
+            target[s] = most * sizes[s]
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_targets_follow_the_resharing_rule(spark, few_docs, few):
+    docs = few_docs if not few else spark.createDataFrame(
+        [(i, "w " * n, s) for i, (s, n) in enumerate([("a", 900), ("b", 5), ("b", 7), (None, 3), ("é", 0), ("z", 40)])],
+        "doc_id long, text string, source string")
+    rows = docs.select("doc_id", "text", "source").collect()
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.source] += len(words(r.text))
+    expect = brute_targets(sizes)
+    got = mixing.mix(docs).select("row.doc_id", "size", "source_size", "target", "copies").collect()
+    source = {r.doc_id: r.source for r in rows}
+    n = {r.doc_id: len(words(r.text)) for r in rows}
+    taken = collections.Counter()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.size == n[r.doc_id] and r.source_size == sizes[source[r.doc_id]]
+        assert abs(r.target - expect[source[r.doc_id]]) < 1e-6 and 0 <= r.copies <= 3
+        taken[source[r.doc_id]] += r.copies * r.size
+    for s, t in expect.items():
+        assert abs(taken[s] - t) <= max([n[k] for k in n if source[k] == s])
+
+
+def test_each_document_comes_as_often_as_boundaries_are_crossed(spark):
+    docs = spark.createDataFrame([(i, "a b", "s") for i in range(1000)] + [(5000 + i, "a", "t") for i in range(300)],
+                                 "doc_id long, text string, source string")
+    s = mixing.Settings(weights=(1.0, 4.0))
+    got = mixing.mix(docs, s).select("row.doc_id", "copies", "target", "source_size", "size").collect()
+    for size in (1, 2):
+        own = [r for r in got if r.size == size]
+        r = own[0].target / own[0].source_size
+        assert {x.copies for x in own} <= {math.floor(r), math.ceil(r)}
+        assert abs(sum(x.copies for x in own) - r * len(own)) < 1
+    again = mixing.mix(docs.repartition(7), s).select("row.doc_id", "copies").collect()
+    assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in got)
+
+
+def test_mixing_edge_cases(odd_docs, no_docs):
+    got = mixing.mix(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    assert all(r["size"] == 0 for r in got if r.row.doc_id in (1, 2, 3))
+    out = mixing.mixed_documents(odd_docs)
+    assert out.columns == odd_docs.columns and out.filter("row != 'own row' or size != 7").count() == 0
+    assert out.count() == sum(r.copies for r in got)
+    assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).columns == no_docs.columns
+    plan = mixing.mixed_documents(odd_docs)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def brute_nearest(x, q, k):
+    ids = sorted(i for i in x if i != q)
+    return sorted(ids, key=lambda i: (-float(np.dot(x[i], x[q])), i))[:k]
+
+
+def test_recall_against_brute_force(spark):
+    from ..conftest import SF_SMALL
+    rng = np.random.default_rng(2)
+    hot = rng.normal(size=64)
+    data = {r.vec_id: np.array(r.embedding, np.float64)
+            for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()}
+    many = {10_000 + i: v for i, v in enumerate(rng.normal(size=(2500, 64)))}
+    group = {20_000 + i: hot + 0.05 * rng.normal(size=64) for i in range(1500)}  # a very common vector
+    for x, least in ((data, 0.9), (many | group, 0.9)):
+        table = spark.createDataFrame([(k, v.tolist()) for k, v in x.items()], "vec_id long, embedding array<double>")
+        s = neighbours.Settings(file_rows=200, file_queries=10)
+        got = collections.defaultdict(dict)
+        for r in neighbours.search(table, F.col("vec_id") % 20 == 0, s).collect():
+            got[r.query_id][r.rank] = r
+        asked = [k for k in x if k % 20 == 0]
+        assert sorted(got) == sorted(asked)
+        recall = []
+        for q in asked:
+            rows = [got[q][i] for i in range(1, 21)]
+            assert all(abs(r.score - float(np.dot(x[r.vec_id], x[q]))) < 1e-9 for r in rows)
+            assert [(-r.score, r.vec_id) for r in rows] == sorted((-r.score, r.vec_id) for r in rows)
+            recall.append(len({r.vec_id for r in rows} & set(brute_nearest(x, q, 20))) / 20)
+        assert np.mean(recall) >= least
+
+
+def test_neighbour_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]),
+            (120, [None, 1.0]), (3, [0.5, 0.5]), (2, [0.5, 0.5]), (1, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]),
+            (5, [-1.0, 0.0]), (5, [-1.0, 0.0]), (140, [])]
+    table = spark.createDataFrame([(*d, 1, 2) for d in data], "vec_id long, embedding array<double>, rank int, v int")
+    got = neighbours.search(table, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [
+        (0, 1, 20, 1.0), (0, 2, 2, 0.5), (0, 3, 3, 0.5), (0, 4, 5, -1.0),
+        (20, 1, 0, 1.0), (20, 2, 2, 0.5), (20, 3, 3, 0.5), (20, 4, 5, -1.0)]
+    assert neighbours.search(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    one = neighbours.search(table.filter("vec_id = 0"), F.col("vec_id") % 20 == 0)
+    assert one.count() == 0
