@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, katz, language, lines, mixing, neardup, neighbours, private, quality
+from .oracle import ORACLE  # noqa: F401  (registered with the queries)
 from .tables import held_out, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -75,4 +76,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id, op5_setsketch_dedup, op6_private_data,
                                    op7_chat_windows, op8_permutation_index, op9_katz_score, op10_source_mix)}
-ORACLE: dict[str, str] = {}
+
