@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .packed import pack, pack_keys, unpack, unpack_keys
-from .tables import stored, to_arrow
+from .tables import discard, stored, to_arrow
 
 END, START = np.uint64(0), np.uint64(1)  # keys of the end token and of the start of a text
 WORDS, PAIRS = 0, 1
@@ -292,6 +292,7 @@ def score(docs: DataFrame, training: Column, s: Settings = Settings()) -> DataFr
     answers = counts.filter("block is not null").select("block", "kind", "part", "n", "owner")
     told = stored(held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema),
                   "lm-scores")
+    discard(held, counts)
     weights = (told.filter("what = 1").groupBy("history")
                .agg(F.sum("left").alias("left"), F.sum("beneath").alias("beneath"))
                .select("history", F.log10(F.col("left") / (1 - F.col("beneath"))).alias("weight")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,8 +24,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     plans start from the files, which any executor can read."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that nothing will read again (all that came of them is stored too)."""
+    for df in frames:
+        delete_path(df.sparkSession, df.stored_at)
 
 
 def held_out(doc_id: Column, mod: int, rest: int = 2) -> Column:
