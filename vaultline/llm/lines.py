@@ -52,10 +52,11 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))),
                      lambda x: F.regexp_like(x.line, F.lit(WORD)))
     out = docs.select(F.col("doc_id").alias("doc"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    out = out.filter("text is not null").dropDuplicates([*DOC]).select(*DOC, F.posexplode(lines).alias("ord", "x"))
-    return out.select(*DOC, "ord", F.col("x.pos").alias("pos"), F.xxhash64("x.line").alias("h1"),
+    out = out.filter("text is not null").select(*DOC, F.posexplode(lines).alias("ord", "x"))
+    out = out.select(*DOC, "ord", F.col("x.pos").alias("pos"), F.xxhash64("x.line").alias("h1"),
                       F.xxhash64(F.lit(1), "x.line").alias("h2"),
                       F.regexp_count("x.line", F.lit(WORD)).alias("words"))
+    return out.dropDuplicates([*DOC, "ord"])  # repeated rows are one document
 
 
 def _ranked(pairs: DataFrame, keys: list[str], name: str) -> DataFrame:
