@@ -80,8 +80,10 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Rows whose ``value`` differs from the previous row of the same key.
 
     The history of a key is ordered by ``order`` and then by ``value`` and the
-    remaining columns (a total order). A window over the key would sort a hot
-    key's whole history in one task, so the history is cut into per-day pieces.
+    remaining columns (a total order). Rows that agree on key, order and value can only
+    repeat the first of them, so they are collapsed to it first (a grouped minimum, combined
+    before the shuffle): a bulk load stamped with one time costs a row per value. A window over
+    the key would sort a hot key's whole history in one task, so the history is cut into pieces of an hour.
     One window pass over (key, piece) gives each row its predecessor, its
     position and its piece's size; the last row of every piece (one row per
     piece) then feeds a small window over the key that hands each piece the
@@ -102,7 +104,8 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # Filtering the keyed rows explicitly (the join below would infer it on one
     # branch only) keeps both branches on one shared exchange.
     unkeyed = df.filter(~keyed)
-    pieced = df.filter(keyed).withColumn(piece, F.to_date(F.col(order[0])))
+    once = first_by(df.filter(keyed), [*keys, *order, value], rest)
+    pieced = once.withColumn(piece, F.date_trunc("HOUR", F.col(order[0])))
     w = Window.partitionBy(*keys, piece).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
     w_piece = Window.partitionBy(*keys, piece)
     with_prev = (pieced.withColumn("__prev", F.lag(value).over(w))

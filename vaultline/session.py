@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every session of this library relies on. Timestamps in the vault are
@@ -52,8 +53,9 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     for k, v in BASE_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+        except AnalysisException as ex:  # static settings stay as the cluster set them
+            if "CANNOT_MODIFY" not in (ex.getCondition() or ""):
+                raise
     return spark
 
 
