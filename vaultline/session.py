@@ -92,6 +92,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+UNKNOWN_SIZE = 1 << 60  # Spark's default for leaves it knows nothing about is larger
+
+
 def estimated_bytes(df) -> int | None:
     """Input size of a DataFrame: the sum of Spark's size statistics of the leaves
     of its optimized plan (file sizes for scans). Leaves, not the root: without
@@ -100,7 +103,10 @@ def estimated_bytes(df) -> int | None:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
         total = 0
         while leaves.hasNext():
-            total += int(str(leaves.next().stats().sizeInBytes()))
+            size = int(str(leaves.next().stats().sizeInBytes()))
+            if size >= UNKNOWN_SIZE:
+                return None
+            total += size
         return total
     except Exception:
         return None
