@@ -8,11 +8,16 @@ the maxima of registers, and two sets agree in a register with about their Jacca
 1. Documents with equal sets form one class; from here on each class has one representative.
 2. Bands of registers name buckets. Two sets with similarity 0.85 miss each other in all 48 bands of 8
    with probability below 1e-6.
-3. In each bucket every member is paired with the bucket's first one only (a star). For a pair, the counts of
+3. In each bucket every member is paired with one of them (a star), the one with the largest share of
+   shingles that other candidates have too: an original rather than an edited copy. For a pair, the counts of
    registers that are larger, smaller and equal give the maximum-likelihood similarity (the set sizes are known); pairs
    that it puts clearly below the threshold go, by ``slack`` = seven standard deviations. The rest are verified on the full sets.
 4. Connected components of the confirmed links settle most buckets: all members in one component. In the other buckets the
-   members of different components are paired, estimated and verified too, so no link is lost to the star.
+   members of different components are paired (once, in the first bucket that they share), estimated and
+   verified too, so no link is lost to the star.
+
+A pair is only made if its sets could be linked at all: shingles that no other candidate has
+cannot be common, which bounds the similarity from above without looking at the pair.
 
 Buckets are counted before they are joined; a class of equal sets never meets itself. Sets are
 read again from the texts only for documents that share a bucket, and move only for pairs that the estimate leaves.
@@ -30,12 +35,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
 from .graph import components
-from .tables import WORD, map_arrow, stored
+from .tables import WORD, discard, map_arrow, stored
 
 
 @dataclass(frozen=True)
@@ -154,7 +159,9 @@ def _sets(h: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     """``h1``, ``h2`` and ``items`` (the set, ascending) of the documents whose ``text_hash`` is wanted."""
     text = F.col("text").cast("string")
-    given = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(wanted, "text_hash", "left_semi")
+    given = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    # a sort-merge join at every size: nothing bounds the number of wanted texts
+    given = given.join(wanted.hint("merge"), "text_hash", "left_semi")
 
     def run(batches):
         for b in (x for batch in batches for x in W.slices(batch, "text", 1 << 20)):
@@ -167,12 +174,18 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     return map_arrow(given, run, "h1 long, h2 long, items array<long>")
 
 
+def _possible(na: Column, sa: Column, nb: Column, sb: Column, s: Settings) -> Column:
+    """Whether two sets of sizes ``na`` and ``nb`` can be linked if only ``sa`` and ``sb`` of their shingles
+    occur in any other set."""
+    common = F.least(sa, sb)
+    return common * 100 >= (na + nb - common) * s.percent
+
+
 def _estimated(pairs: DataFrame, held: DataFrame, s: Settings) -> DataFrame:
-    """The pairs ``a``, ``b`` whose similarity may reach the threshold: by size, and by likelihood."""
+    """The pairs ``a``, ``b`` whose similarity may reach the threshold, by likelihood."""
     one = held.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     two = held.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    sized = pairs.join(two, "b").join(one, "a").filter(
-        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * s.percent)
+    sized = pairs.join(two, "b").join(one, "a")
 
     def run(batches):
         for b in batches:
@@ -208,28 +221,46 @@ def links(docs: DataFrame, drawn: DataFrame, s: Settings = Settings()) -> DataFr
     bands = F.transform(F.sequence(F.lit(0), F.lit(s.bands - 1)), lambda j: F.xxhash64(
         F.substring(F.col("registers"), j * s.rows + 1, F.lit(s.rows)), j))
     keyed = sketch.filter(F.col("n") >= least).select("row", F.explode(bands).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("hub")).filter("size > 1")
-    members = stored(keyed.join(buckets, "key").select("key", "hub", "row"), "buckets")
-    rows = members.select("row").distinct()
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
+    met = stored(keyed.join(shared, "key"), "buckets")
+    rows = met.select("row").distinct()
     held = stored(sketch.join(rows, "row", "left_semi"), "bucket-sketches")
     full = _full_sets(docs, held.select("text_hash").distinct(), s).dropDuplicates(["h1", "h2"])
     sets = stored(held.select("row", "h1", "h2").join(full, ["h1", "h2"]).select("row", "items"), "bucket-sets")
 
+    # shingles of one candidate only, counted by their owner
+    own = (sets.select("row", F.explode("items").alias("item")).groupBy("item")
+           .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row")).filter("n = 1")
+           .groupBy("row").agg(F.count(F.lit(1)).alias("own")))
+    known = held.join(own, "row", "left").select("row", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+    members = stored(met.join(known, "row"), "bucket-members")
+    hubs = members.groupBy("key").agg(F.max(F.struct(
+        (F.col("common") / F.col("n")).alias("share"), (-F.col("row")).alias("least"), "n", "common")).alias("hub"))
+    star = members.join(hubs, "key").filter(F.col("row") != -F.col("hub.least")).filter(
+        _possible(F.col("n"), F.col("common"), F.col("hub.n"), F.col("hub.common"), s))
+
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         likely_pairs = stored(_estimated(pairs, held, s), name + "-estimated")
         return stored(_verified(likely_pairs, sets, s), name + "-links")
 
-    star = confirmed(members.filter("row != hub").select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(),
-                     "star")
-    label = components(star)
-    known = members.join(label.select(F.col("node").alias("row"), "label"), "row", "left").select(
-        "key", "hub", "row", F.coalesce("label", "row").alias("label"))
-    open_ = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
-    rest = stored(known.join(open_, "key", "left_semi").filter("row != hub"), "open-buckets")
-    one = rest.select("key", F.col("row").alias("a"), F.col("label").alias("la"))
-    two = rest.select("key", F.col("row").alias("b"), F.col("label").alias("lb"))
-    cross = one.join(two, "key").filter("a < b and la != lb").select("a", "b").distinct()
-    return components(star.unionByName(confirmed(cross, "cross")))
+    near = confirmed(star.select((-F.col("hub.least")).alias("a"), F.col("row").alias("b")).distinct(), "star")
+    label = components(near)
+    placed = members.join(label.select(F.col("node").alias("row"), "label"), "row", "left").withColumn(
+        "label", F.coalesce("label", "row"))
+    open_ = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
+    rest = placed.join(open_, "key", "left_semi")
+    keys = rest.groupBy("row").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # at most one per band
+    rest = stored(rest.join(keys, "row"), "open-buckets")
+    one, two = (rest.select("key", *[F.col(c).alias(c + x) for c in ("row", "label", "n", "common", "keys")])
+                for x in ("a", "b"))
+    cross = one.join(two, (one["key"] == two["key"]) & (F.col("rowa") < F.col("rowb"))
+                     & (F.col("labela") != F.col("labelb"))
+                     & _possible(F.col("na"), F.col("commona"), F.col("nb"), F.col("commonb"), s)
+                     & (F.get(F.array_intersect("keysa", "keysb"), F.lit(0)) == one["key"]))
+    cross = cross.select(F.col("rowa").alias("a"), F.col("rowb").alias("b"))
+    out = components(near.unionByName(confirmed(cross, "cross")))
+    discard(reps, met, held, sets, members, rest)
+    return out
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
