@@ -1,20 +1,21 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
 Words (matches of the split pattern) repeat a lot, and a word's tokens depend on
-nothing but the word. So a task gathers the distinct new words of a block of
-texts, lays their bytes end to end, and replays the merges over the whole block at once: an
-inverted index leads from each mergeable pair (named by the rank of the token it makes) to the
-positions where it stands; ranks are taken from a heap, lowest first, and each
-merge touches only its two neighbours. Texts are then encoded by looking words up.
+nothing but the word. So a task numbers the words of a large block of texts, lays the bytes of the
+new ones end to end, and replays the merges over all of them at once: an inverted index
+leads from each mergeable pair (named by the rank of the token it makes) to the
+positions where it stands; ranks are taken from a heap, lowest first, and a rank's merges are applied
+to all its positions together, touching only their neighbours. Texts are then encoded
+by looking words up.
 
 Merges are ordered as the public tokenizer library orders them: lowest rank
-first, leftmost first, and a word that is a token itself is taken whole. A merge
-can make a pair of a lower rank than its own (tokens can be split in
-several ways); the replay then breaks off, and the lower rank comes first.
+first, leftmost first, and a word that is a token itself is taken whole. A token that can be part of
+one with a lower rank (tokens can be split in several ways) is made once per word at a time, so the
+lower rank comes first.
 
 There is no shuffle. Memory per task is bounded: a block has ``block_words`` words, a
 long text is encoded over several blocks (its digests go on from block to block), and the
-word cache is emptied at ``cache_words`` entries.
+word table is emptied at ``cache_words`` entries.
 
 Edge cases: null is encoded like the empty text: no tokens, digests of nothing.
 Repeated rows give repeated results. Other columns of the table are not read.
@@ -42,9 +43,9 @@ ID = np.dtype("<u4")
 @dataclass(frozen=True)
 class Settings:
     pattern: str
-    block_words: int = 200_000
-    block_texts: int = 2_000
-    cache_words: int = 600_000
+    block_words: int = 3_000_000
+    piece_words: int = 100_000  # of a long text handled at once
+    cache_words: int = 800_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,15 +60,20 @@ class Merger:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.first = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def made_by(self, a: int, b: int) -> int:
-        """Rank of the token that two neighbours make, or -1."""
-        r = self.pairs.get((a, b))
-        if r is None:
-            r = self.pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return r
+        self.size = max(ranks.values()) + 1
+        self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        pairs = [(ranks[t[:k]] * self.size + ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t))
+                 if t[:k] in ranks and t[k:] in ranks]
+        keys = np.array(sorted(pairs) or [(-1, -1)], np.int64)
+        self.pairs, self.made = keys[:, 0].copy(), keys[:, 1].copy()
+        a, b = self.pairs // self.size, self.pairs % self.size
+        self.one_by_one = set(a[self.made < a].tolist()) | set(b[self.made < b].tolist())
+
+    def made_by(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the token that each two neighbours make, or -1."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.made[at], -1)
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit integers."""
@@ -81,79 +87,78 @@ class Merger:
                 out[i] = whole.to_bytes(4, "little")
         if not parts:
             return out
-        text = b"".join([words[i] for i in parts])
-        ids = list(map(self.first.__getitem__, text))  # -1: merged into a symbol to the left
+        length = np.array([len(words[i]) for i in parts])
+        ids = self.first[np.frombuffer(b"".join([words[i] for i in parts]), np.uint8)]
         n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        starts, at = [], 0
-        for i in parts:  # no links between words
-            starts.append(at)
-            before[at] = -1
-            if at:
-                after[at - 1] = n
-            at += len(words[i])
-
-        where: dict[int, list[int]] = {}  # the inverted index: rank -> positions of left symbols
-        pairs, made_by = self.pairs, self.made_by
-        for p in range(n - 1):
-            if after[p] < n:
-                key = (ids[p], ids[p + 1])
-                r = pairs[key] if key in pairs else made_by(*key)
-                if r >= 0:
-                    if r in where:
-                        where[r].append(p)
-                    else:
-                        where[r] = [p]
-        heap = list(where)
-        heapq.heapify(heap)
+        word = np.repeat(np.arange(len(parts)), length)
+        starts = np.cumsum(length) - length
+        before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
+        before[starts] = -1  # no links between words
+        after[starts[1:] - 1] = n
+        pair = np.full(n, -1)  # rank of what a symbol and the next one make
+        where: dict[int, list[np.ndarray]] = {}  # the inverted index
+        heap: list[int] = []
+
+        def indexed(at: np.ndarray) -> None:
+            right = after[at]
+            ok = right < n
+            rank = np.full(len(at), -1)
+            rank[ok] = self.made_by(ids[at[ok]], ids[right[ok]])
+            pair[at] = rank
+            at, rank = at[rank >= 0], rank[rank >= 0]
+            if len(at) == 0:
+                return
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            edges = np.flatnonzero(np.diff(rank)) + 1
+            for r, p in zip(rank[np.concatenate([[0], edges])].tolist(), np.split(at, edges)):
+                if r in where:
+                    where[r].append(p)
+                else:
+                    where[r] = [p]
+                    heapq.heappush(heap, r)
+
+        indexed(np.arange(n))
         while heap:
             rank = heapq.heappop(heap)
-            places = where.pop(rank, None)
-            if places is None:
+            at = np.sort(np.concatenate(where.pop(rank)))
+            fresh = pair[at] == rank  # others have changed since
+            fresh[1:] &= at[1:] != at[:-1]
+            at = at[fresh]
+            if len(at) == 0:
                 continue
-            places.sort()
-            for k, p in enumerate(places):
-                q = after[p]
-                if ids[p] < 0 or q >= n:
-                    continue
-                key = (ids[p], ids[q])
-                if (pairs[key] if key in pairs else made_by(*key)) != rank:
-                    continue  # a neighbour has changed since
-                ids[p], ids[q] = rank, -1
-                nxt = after[p] = after[q]
-                lower = False
-                if nxt < n:
-                    before[nxt] = p
-                    key = (rank, ids[nxt])
-                    r = pairs[key] if key in pairs else made_by(*key)
-                    if r >= 0:
-                        lower = r < rank
-                        if r in where:
-                            where[r].append(p)
-                        else:
-                            where[r] = [p]
-                            heapq.heappush(heap, r)
-                prv = before[p]
-                if prv >= 0:
-                    key = (ids[prv], rank)
-                    r = pairs[key] if key in pairs else made_by(*key)
-                    if r >= 0:
-                        lower |= r < rank
-                        if r in where:
-                            where[r].append(prv)
-                        else:
-                            where[r] = [prv]
-                            heapq.heappush(heap, r)
-                if lower and k + 1 < len(places):
-                    where.setdefault(rank, []).extend(places[k + 1:])
+            later = None
+            if rank in self.one_by_one:
+                of = word[at]
+                leftmost = np.append(True, of[1:] != of[:-1])
+                at, later = at[leftmost], at[~leftmost]
+            elif len(at) > 1 and (pair[after[at[:-1]]] == rank).any():  # pairs that share a symbol: leftmost first
+                taken, gone = [], -1
+                for p, q in zip(at.tolist(), after[at].tolist()):
+                    if p != gone:
+                        taken.append(p)
+                        gone = q
+                at = np.array(taken)
+            right = after[at]
+            ids[at], ids[right], pair[right] = rank, -1, -1
+            beyond = after[right]
+            after[at] = beyond
+            inside = beyond < n
+            before[beyond[inside]] = at[inside]
+            left = before[at]
+            left = left[left >= 0]
+            indexed(np.concatenate([at, left]))
+            if later is not None and len(later):
+                if rank in where:
+                    where[rank].append(later)
+                else:
+                    where[rank] = [later]
                     heapq.heappush(heap, rank)
-                    break
-        flat = np.array(ids, np.int64)
-        ends = np.cumsum(np.concatenate([[0], flat >= 0]))
-        packed = flat[flat >= 0].astype(ID).tobytes()
-        edges = ends[np.array(starts + [n])].tolist()
+        ends = np.cumsum(np.concatenate([[0], ids >= 0]))
+        packed = ids[ids >= 0].astype(ID).tobytes()
+        edges = (4 * ends[np.append(starts, n)]).tolist()
         for k, i in enumerate(parts):
-            out[i] = packed[4 * edges[k]:4 * edges[k + 1]]
+            out[i] = packed[edges[k]:edges[k + 1]]
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -174,16 +179,34 @@ def _pieces(texts, pattern, most: int):
                 yield i, words
 
 
-def _blocks(pieces, most: int):
-    block, n = [], 0
-    for piece in pieces:
-        block.append(piece)
-        n += len(piece[1])
-        if n >= most:
-            yield block
-            block, n = [], 0
-    if block:
-        yield block
+class Encoder:
+    """Numbers words as they come and encodes the new ones block by block."""
+
+    def __init__(self, ranks: dict[bytes, int], s: Settings):
+        self.merger, self.s = Merger(ranks), s
+        self.number: dict[str, int] = {}
+        self.codes: list[bytes] = []  # of the words numbered so far
+
+    def blocks(self, pieces):
+        """Lists of (number of the text, packed ids of a piece), block by block."""
+        held, n = [], 0
+        for i, words in pieces:
+            number = self.number
+            held.append((i, np.array([number.setdefault(w, len(number)) for w in words], np.int32)))
+            n += len(words)
+            if n >= self.s.block_words or len(number) >= self.s.cache_words:
+                yield self._encoded(held)
+                held, n = [], 0
+                if len(number) >= self.s.cache_words:
+                    self.number, self.codes = {}, []
+        if held:
+            yield self._encoded(held)
+
+    def _encoded(self, held):
+        new = [w.encode() for w in islice(self.number, len(self.codes), None)]
+        self.codes += self.merger.replay(new)
+        codes = self.codes
+        return ((i, b"".join([codes[w] for w in ws.tolist()])) for i, ws in held)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool = False) -> DataFrame:
@@ -196,34 +219,27 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool
     to = to_arrow(schema)
 
     def run(batches):
-        merger, pattern, cache = Merger(ranks), regex.compile(s.pattern), {}
-        for batch in batches:
-            for start in range(0, batch.num_rows, s.block_texts):
-                part = batch.slice(start, s.block_texts)
-                n = part.num_rows
-                ids = [hashlib.sha256() for _ in range(n)]
-                plain = [hashlib.sha256() for _ in range(n)]
-                count, all_ids = [0] * n, [[] for _ in range(n)]
-                texts = (x.as_py() for x in part.column("text"))
-                for block in _blocks(_pieces(texts, pattern, s.block_words), s.block_words):
-                    new = list({w for _, ws in block for w in ws if w not in cache})
-                    if len(cache) + len(new) > s.cache_words:
-                        cache.clear()
-                        new = list({w for _, ws in block for w in ws})
-                    cache.update(zip(new, merger.replay([w.encode() for w in new])))
-                    for i, ws in block:
-                        got = b"".join([cache[w] for w in ws])
-                        count[i] += len(got) // 4
-                        ids[i].update(got)
-                        plain[i].update(merger.decode(got))
-                        if with_ids:
-                            all_ids[i].append(got)
-                cols = [part.column("doc_id"), pa.array(count, pa.int64()),
-                        pa.array([x.hexdigest() for x in ids]), pa.array([x.hexdigest() for x in plain])]
-                if with_ids:
-                    joined = [b"".join(x) for x in all_ids]
-                    off = np.cumsum([0] + [len(x) // 4 for x in joined])
-                    flat = np.frombuffer(b"".join(joined), ID).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)))
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
+        encoder, pattern = Encoder(ranks, s), regex.compile(s.pattern)
+        for part in batches:
+            n = part.num_rows
+            ids = [hashlib.sha256() for _ in range(n)]
+            plain = [hashlib.sha256() for _ in range(n)]
+            count, all_ids = [0] * n, [[] for _ in range(n)]
+            texts = (x.as_py() for x in part.column("text"))
+            for block in encoder.blocks(_pieces(texts, pattern, s.piece_words)):
+                for i, got in block:
+                    count[i] += len(got) // 4
+                    ids[i].update(got)
+                    plain[i].update(encoder.merger.decode(got))
+                    if with_ids:
+                        all_ids[i].append(got)
+            cols = [part.column("doc_id"), pa.array(count, pa.int64()),
+                    pa.array([x.hexdigest() for x in ids], pa.string()),
+                    pa.array([x.hexdigest() for x in plain], pa.string())]
+            if with_ids:
+                joined = [b"".join(x) for x in all_ids]
+                off = np.cumsum([0] + [len(x) // 4 for x in joined])
+                flat = np.frombuffer(b"".join(joined), ID).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
     return given.mapInArrow(run, schema)
