@@ -168,7 +168,8 @@ def _meet(posted: DataFrame, sizes: DataFrame, pivots: Pivots | None, dim: int,
                 low_q = ((qp < s.probe)[:, :file]).astype(np.float32)
                 low_c = ((cp < s.post)[:, :file]).astype(np.float32)
                 eligible = low_q @ low_c.T == 0
-                by_pivot = np.ascontiguousarray(cp.T)
+                small = np.int16 if s.prefix * len(pivots.p) < 2 ** 15 else np.int32  # holds any footrule
+                by_pivot, steps = np.ascontiguousarray(cp.T, small), np.arange(s.prefix, dtype=small)[:, None]
             for i in range(len(qid)):
                 ok = cid != qid[i]
                 if eligible is not None:
@@ -177,7 +178,9 @@ def _meet(posted: DataFrame, sizes: DataFrame, pivots: Pivots | None, dim: int,
                 keep = max(s.least, math.ceil(s.rerank * len(at)))
                 if eligible is not None and len(at) > keep:
                     top = qo[i, :s.prefix]
-                    footrule = np.abs(by_pivot[top] - np.arange(len(top), dtype=np.int32)[:, None]).sum(0)[at]
+                    apart = by_pivot[top]
+                    apart -= steps[:len(top)]
+                    footrule = np.abs(apart, out=apart).sum(0, dtype=small)[at]
                     at = at[np.argpartition(footrule, keep)[:keep]]
                 score = cx[at] @ qx[i]
                 best = _best(score, cid[at], s.k)
