@@ -245,26 +245,36 @@ def fit(docs: DataFrame, s: Settings = Settings()) -> Model:
 def judge(docs: DataFrame, model: Model, s: Settings = Settings(), carry: bool = False,
           only_kept: bool = False) -> DataFrame:
     """Measures, votes and verdict of each document: ``row`` (all columns of ``docs`` as
-    a struct when ``carry``, else only ``doc_id``), the measures, ``votes`` (name=vote
-    pairs that are not abstentions), ``base_failed``, ``quality`` and ``kept``."""
-    names = docs.columns if carry else ["doc_id"]
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-                        F.col("text").cast("string").alias("text"))
+    a struct when ``carry``, else only ``doc_id``), the measures, ``code`` (its vote pattern),
+    ``base_failed``, ``quality`` (the posterior) and ``kept``."""
+    names = docs.columns if carry else ["doc_id", "text"]
+    given = docs.select(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) if c == "text" else F.col(f"`{c}`")
+                                   for c in names]).alias("row"))
+    at = names.index("text")  # texts come once, inside the row
     kinds = ", ".join(f"{x} long" for x in MEASURES)
-    row = given.schema["row"].dataType.simpleString()
+    out_row = given.schema["row"].dataType.simpleString() if carry else \
+        f"struct<doc_id:{given.schema['row'].dataType['doc_id'].dataType.simpleString()}>"
 
     def run(batches):
-        for b in (x for batch in batches for x in W.slices(batch, "text")):
-            m = measures(b.column("text"), s.window)
-            code = _codes(m, s.rules)
-            failed = _base_failed(m, s)
-            quality = model.posterior(code)
-            kept = ~failed & (quality >= s.threshold)
-            out = pa.record_batch({"row": b.column("row")} | {x: pa.array(m[x], pa.int64()) for x in MEASURES}
-                                  | {"code": pa.array(code), "base_failed": pa.array(failed),
-                                     "quality": pa.array(quality), "kept": pa.array(kept)})
-            yield out.filter(pa.array(kept)) if only_kept else out
-    return given.mapInArrow(run, f"row {row}, {kinds}, code long, base_failed boolean, "
+        for batch in batches:
+            rows = batch.column("row")
+            batch = pa.record_batch({"row": rows if carry else pa.StructArray.from_arrays(
+                [rows.field(names.index("doc_id"))], ["doc_id"]), "text": rows.field(at)})
+            for b in W.slices(batch, "text"):
+                yield judged(b)
+
+    def judged(b):
+        m = measures(b.column("text"), s.window)
+        code = _codes(m, s.rules)
+        failed = _base_failed(m, s)
+        quality = model.posterior(code)
+        kept = ~failed & (quality >= s.threshold)
+        out = pa.record_batch({"row": b.column("row")} | {x: pa.array(m[x], pa.int64()) for x in MEASURES}
+                              | {"code": pa.array(code), "base_failed": pa.array(failed),
+                                 "quality": pa.array(quality), "kept": pa.array(kept)})
+        return out.filter(pa.array(kept)) if only_kept else out
+
+    return given.mapInArrow(run, f"row {out_row}, {kinds}, code long, base_failed boolean, "
                                  "quality double, kept boolean")
 
 
