@@ -9,7 +9,7 @@ the maxima of registers, and two sets agree in a register with about their Jacca
 2. Bands of registers name buckets. Two sets with similarity 0.85 miss each other in all 48 bands of 8
    with probability below 1e-6.
 3. In each bucket every member is paired with one of them (a star), the one with the largest share of
-   shingles that other candidates have too: an original rather than an edited copy. For a pair, the counts of
+   shingles that other candidates have too and, of these, with the most company: an original rather than an edited copy. For a pair, the counts of
    registers that are larger, smaller and equal give the maximum-likelihood similarity (the set sizes are known); pairs
    that it puts clearly below the threshold go, by ``slack`` = seven standard deviations. The rest are verified on the full sets.
 4. Connected components of the confirmed links settle most buckets: all members in one component. In the other buckets the
@@ -221,8 +221,8 @@ def links(docs: DataFrame, drawn: DataFrame, s: Settings = Settings()) -> DataFr
     bands = F.transform(F.sequence(F.lit(0), F.lit(s.bands - 1)), lambda j: F.xxhash64(
         F.substring(F.col("registers"), j * s.rows + 1, F.lit(s.rows)), j))
     keyed = sketch.filter(F.col("n") >= least).select("row", F.explode(bands).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    met = stored(keyed.join(shared, "key"), "buckets")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    met = stored(keyed.join(shared, "key").select("key", "size", "row"), "buckets")
     rows = met.select("row").distinct()
     held = stored(sketch.join(rows, "row", "left_semi"), "bucket-sketches")
     full = _full_sets(docs, held.select("text_hash").distinct(), s).dropDuplicates(["h1", "h2"])
@@ -232,10 +232,13 @@ def links(docs: DataFrame, drawn: DataFrame, s: Settings = Settings()) -> DataFr
     own = (sets.select("row", F.explode("items").alias("item")).groupBy("item")
            .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row")).filter("n = 1")
            .groupBy("row").agg(F.count(F.lit(1)).alias("own")))
-    known = held.join(own, "row", "left").select("row", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
-    members = stored(met.join(known, "row"), "bucket-members")
+    company = met.groupBy("row").agg(F.sum("size").alias("company"))  # how many others its buckets hold
+    known = held.join(own, "row", "left").join(company, "row").select(
+        "row", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"), "company")
+    members = stored(met.drop("size").join(known, "row"), "bucket-members")
     hubs = members.groupBy("key").agg(F.max(F.struct(
-        (F.col("common") / F.col("n")).alias("share"), (-F.col("row")).alias("least"), "n", "common")).alias("hub"))
+        (F.col("common") / F.col("n")).alias("share"), "company", (-F.col("row")).alias("least"), "n", "common"))
+        .alias("hub"))
     star = members.join(hubs, "key").filter(F.col("row") != -F.col("hub.least")).filter(
         _possible(F.col("n"), F.col("common"), F.col("hub.n"), F.col("hub.common"), s))
 
