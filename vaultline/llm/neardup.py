@@ -185,8 +185,11 @@ def _estimated(pairs: DataFrame, held: DataFrame, s: Settings) -> DataFrame:
     """The pairs ``a``, ``b`` whose similarity may reach the threshold, by likelihood."""
     one = held.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     two = held.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    sized = pairs.join(two, "b").join(one, "a")
+    return _likely(pairs.join(two, "b").join(one, "a"), s)
 
+
+def _likely(pairs: DataFrame, s: Settings) -> DataFrame:
+    """Of pairs with their sizes ``na``, ``nb`` and registers ``ra``, ``rb``, the likely ones: ``a``, ``b``."""
     def run(batches):
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, s.registers)
@@ -195,7 +198,7 @@ def _estimated(pairs: DataFrame, held: DataFrame, s: Settings) -> DataFrame:
             n, m = (b.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
             j = likely(more, less, s.registers - more - less, n, m, s.base)
             yield b.select(["a", "b"]).filter(pa.array(j >= s.percent / 100 - s.slack))
-    return map_arrow(sized.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
+    return map_arrow(pairs.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -242,26 +245,28 @@ def links(docs: DataFrame, drawn: DataFrame, s: Settings = Settings()) -> DataFr
     star = members.join(hubs, "key").filter(F.col("row") != -F.col("hub.least")).filter(
         _possible(F.col("n"), F.col("common"), F.col("hub.n"), F.col("hub.common"), s))
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        likely_pairs = stored(_estimated(pairs, held, s), name + "-estimated")
-        return stored(_verified(likely_pairs, sets, s), name + "-links")
+    def confirmed(estimated: DataFrame, name: str) -> DataFrame:
+        return stored(_verified(stored(estimated, name + "-estimated"), sets, s), name + "-links")
 
-    near = confirmed(star.select((-F.col("hub.least")).alias("a"), F.col("row").alias("b")).distinct(), "star")
+    pairs = star.select((-F.col("hub.least")).alias("a"), F.col("row").alias("b")).distinct()
+    near = confirmed(_estimated(pairs, held, s), "star")
     label = components(near)
     placed = members.join(label.select(F.col("node").alias("row"), "label"), "row", "left").withColumn(
         "label", F.coalesce("label", "row"))
     open_ = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
     rest = placed.join(open_, "key", "left_semi")
     keys = rest.groupBy("row").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # at most one per band
-    rest = stored(rest.join(keys, "row"), "open-buckets")
-    one, two = (rest.select("key", *[F.col(c).alias(c + x) for c in ("row", "label", "n", "common", "keys")])
+    # rows bring their registers along, so that pairs are estimated as they are made
+    rest = stored(rest.join(keys, "row").join(held.select("row", "registers"), "row"), "open-buckets")
+    one, two = (rest.select("key", *[F.col(c).alias(c + x) for c in ("row", "label", "n", "common", "keys", "registers")])
                 for x in ("a", "b"))
     cross = one.join(two, (one["key"] == two["key"]) & (F.col("rowa") < F.col("rowb"))
                      & (F.col("labela") != F.col("labelb"))
                      & _possible(F.col("na"), F.col("commona"), F.col("nb"), F.col("commonb"), s)
                      & (F.get(F.array_intersect("keysa", "keysb"), F.lit(0)) == one["key"]))
-    cross = cross.select(F.col("rowa").alias("a"), F.col("rowb").alias("b"))
-    out = components(near.unionByName(confirmed(cross, "cross")))
+    cross = cross.select(F.col("rowa").alias("a"), F.col("rowb").alias("b"), "na", "nb",
+                         F.col("registersa").alias("ra"), F.col("registersb").alias("rb"))
+    out = components(near.unionByName(confirmed(_likely(cross, s), "cross")))
     discard(reps, met, held, sets, members, rest)
     return out
 
