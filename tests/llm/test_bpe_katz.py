@@ -121,6 +121,41 @@ def test_scores_match_brute_force_over_blocks_and_parts(spark, few_docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)  # a better model than the base
 
 
+def good_turing(n, k=5):
+    """Katz ratios from counts of counts on the least-squares line of their logarithms, solved by hand."""
+    x, y = [math.log(c) for c in range(1, k + 2)], [math.log(n[c]) for c in range(1, k + 2)]
+    mx, my = sum(x) / len(x), sum(y) / len(y)
+    b = sum((u - mx) * (v - my) for u, v in zip(x, y)) / sum((u - mx) ** 2 for u in x)
+    cut = (k + 1) ** (b + 1)
+    return [(((c + 1) / c) ** (b + 1) - cut) / (1 - cut) for c in range(1, k + 1)]
+
+
+def test_good_turing_is_in_force_on_a_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    one, two = collections.Counter(), collections.Counter()
+    for k, text in docs.collect():
+        if zlib.crc32(str(k).encode()) % 7 != 2:
+            tokens = [*words(text, lower=True), None]
+            one.update(tokens)
+            two.update(zip([0, *tokens[:-1]], tokens))
+    held = katz.blocks(docs, ~held_out(F.col("doc_id"), 7), katz.Settings())
+    model = katz.orders(katz.counted(held, 3, katz.Settings()), katz.Settings())
+    for kind, counts in ((katz.WORDS, one), (katz.PAIRS, two)):
+        n = collections.Counter(counts.values())
+        assert n[5] * 5 > n[4] * 4  # copies: a plain ratio would be over one
+        expect = good_turing(n)
+        assert model[kind].d[1:].tolist() == pytest.approx(expect, rel=1e-9)
+        assert all(0 < d < 1 and abs(d - (c - 0.5) / c) > 0.01 for c, d in enumerate(expect, 1))
+        assert model[kind].over == pytest.approx(5 * (1 - expect[4]))
+
+
+def test_smoothing_bridges_empty_counts_and_falls_back_by_the_count():
+    d, _ = katz.discounts([0, 100, 0, 9, 4, 0, 1], 5)
+    assert ((0 < d[1:]) & (d[1:] < 1)).all() and (np.diff(d[1:]) > 0).all()
+    for n in ([0] * 7, [0, 3, 0, 0, 0, 0, 0], [0, 5, 5, 5, 5, 5, 5], [0, 1, 2, 3, 4, 5, 6]):  # no line that falls fast enough
+        assert katz.discounts(n, 5)[0][1:].tolist() == [(c - 0.5) / c for c in range(1, 6)]
+
+
 def test_katz_edge_cases(odd_docs, no_docs):
     got = katz.score(odd_docs, F.lit(True)).collect()
     assert len(got) == odd_docs.count()

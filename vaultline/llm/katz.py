@@ -11,8 +11,10 @@ probability, and a word never seen has the mass that the seen words gave up:
     a(h)     = (1 - sum of p(w | h) over words seen after h) / (1 - sum of p(w) over these)
 
 so every distribution sums to one exactly. Counts over ``reliable`` lose the same absolute
-amount as ``reliable`` does; each history therefore always leaves something. Where the counts of counts
-are too irregular for Good-Turing (tiny corpora), half a count is taken off instead.
+amount as ``reliable`` does; each history therefore always leaves something. Copied documents put humps in
+the counts of counts, so these are smoothed before ratios are taken (Simple Good-Turing: a line through their logarithms).
+Only a count whose ratio still is not between 0 and 1 (no line, or one that falls too slowly: tiny
+corpora) loses half a count instead.
 
 How it runs:
 
@@ -60,18 +62,30 @@ class Settings:
     part_keys: int = 1_000_000  # of a partition of the key space, summed over blocks
 
 
+def smoothed(seen: np.ndarray) -> np.ndarray:
+    """Counts of counts on a line through them in log-log space (Simple Good-Turing); ones where no line
+    that falls can be fitted. ``seen[c]``: how many types have count c (index 0 unused)."""
+    n = np.asarray(seen, np.float64)
+    c = np.arange(len(n))
+    some = np.flatnonzero(n[1:] > 0) + 1
+    if len(some) < 2:
+        return np.ones(len(n))
+    # a count stands for the empty ones around it too
+    before, after = np.append(0, some[:-1]), np.append(some[1:], 2 * some[-1] - some[-2])
+    slope, level = np.polyfit(np.log(some), np.log(2 * n[some] / (after - before)), 1)
+    return np.exp(level + slope * np.log(np.maximum(c, 1))) if slope < 0 else np.ones(len(n))
+
+
 def discounts(seen: np.ndarray, reliable: int) -> tuple[np.ndarray, float]:
     """Good-Turing ratios ``d`` of counts 1 to ``reliable`` (index 0 unused), and the absolute
     amount that larger counts lose. ``seen[c]``: how many types have count c, up to reliable + 1."""
-    n, k = np.asarray(seen, np.float64), reliable
+    n, k = smoothed(seen[:reliable + 2]), reliable
     d = np.ones(k + 1)
     c = np.arange(1, k + 1)
-    if (n[1:k + 2] > 0).all():
-        cut = (k + 1) * n[k + 1] / n[1]
-        if cut < 1:
-            d[1:] = ((c + 1) * n[2:k + 2] / (c * n[1:k + 1]) - cut) / (1 - cut)
-    if not ((d[1:] > 0) & (d[1:] < 1)).all():
-        d[1:] = (c - 0.5) / c
+    cut = (k + 1) * n[k + 1] / n[1]
+    if cut < 1:
+        d[1:] = ((c + 1) * n[2:k + 2] / (c * n[1:k + 1]) - cut) / (1 - cut)
+    d[1:] = np.where((d[1:] > 0) & (d[1:] < 1), d[1:], (c - 0.5) / c)
     return d, k * (1 - d[k])
 
 
