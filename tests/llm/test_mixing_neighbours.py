@@ -107,6 +107,35 @@ def test_recall_against_brute_force(spark):
         assert np.mean(recall) >= least
 
 
+def test_recall_with_vectors_of_varied_length(spark):
+    rng = np.random.default_rng(7)
+    for sigma in (0.0, 1.0):
+        x = rng.normal(size=(6000, 64))
+        x *= np.exp(sigma * rng.normal(size=(len(x), 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = collections.defaultdict(set)
+        s = neighbours.Settings(per_root=3.0, least=10)
+        for r in neighbours.search(table, F.col("vec_id") % 60 == 0, s).collect():
+            got[r.query_id].add(r.vec_id)
+        recall = []
+        for q in range(0, len(x), 60):
+            score = x @ x[q]
+            score[q] = -np.inf
+            assert len(got[q]) == 20
+            recall.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+        assert np.mean(recall) >= 0.95
+
+
+def test_long_vectors_at_most_double_the_posts():
+    rng = np.random.default_rng(8)
+    s = neighbours.Settings()
+    for sigma in (0.0, 1.0, 3.0):
+        x = rng.normal(size=(5000, 16)) * np.exp(sigma * rng.normal(size=(5000, 1)))
+        pivots = neighbours.Pivots(x[:400], float(np.linalg.norm(x, axis=1).mean()))
+        posts = pivots.posts(x, s)
+        assert s.post <= posts.min() and posts.max() <= 400 and posts.mean() <= 2.05 * s.post
+
+
 def test_neighbour_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]),

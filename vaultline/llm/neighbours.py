@@ -5,7 +5,10 @@ posted in the inverted files of its ``post`` nearest pivots; a query visits
 the files of its ``probe`` nearest ones. In a file, candidates are ranked by footrule distance,
 the sum over the query's ``prefix`` nearest pivots of how many places apart a pivot stands in both
 orders; the best ``rerank`` share (at least ``least`` of them) is reranked by the exact inner
-product in double precision. A pair that meets in several files is dealt with in the one
+product in double precision. Orders tell directions only, and a long vector wins inner products from afar: a row
+longer than the mean length is posted in as many times more files as it is longer (so there are at most about
+twice as many posts, however lengths vary), and candidates are ranked by length times how far their
+footrule distance is below that of an unrelated order, an estimate of the inner product. A pair that meets in several files is dealt with in the one
 of the lowest pivot only.
 
 There are ``per_root * sqrt(rows)`` pivots, a bounded share of the rows, chosen by the digest of their
@@ -62,10 +65,22 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
 
 
 class Pivots:
-    """The pivots, scaled to length one, and orders of them."""
+    """The pivots, scaled to length one, and orders of them. ``usual``: mean length of the rows."""
 
-    def __init__(self, vectors: np.ndarray):
+    def __init__(self, vectors: np.ndarray, usual: float):
         self.p = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        self.usual = usual
+
+    def posts(self, x: np.ndarray, s: Settings) -> np.ndarray:
+        """How many files hold each vector."""
+        times = np.linalg.norm(x, axis=1) / self.usual if 0 < self.usual < math.inf else np.ones(len(x))
+        most = max(s.post, len(self.p))
+        return np.clip(np.rint(s.post * np.minimum(times, most)), s.post, most).astype(np.int32)
+
+    def unrelated(self, prefix: int) -> float:
+        """Mean footrule distance of orders that have nothing to do with each other."""
+        place = np.arange(len(self.p))
+        return float(sum(np.abs(place - i).mean() for i in place[:prefix]))
 
     def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pivots by nearness of each vector, and each pivot's place in that order."""
@@ -88,26 +103,32 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search(table: DataFrame, is_query: Column, s: Settings = Settings()) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest rows found of each query."""
     rows = stored(usable(table), "vectors")
-    lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"),
+                                                         F.avg(F.sqrt(square)).alias("usual"))
     common = lengths.orderBy(F.col("n").desc(), "dim").first()
     dim, n = (common.dim, common.n) if common else (1, 0)
     rows = rows.filter(F.size("v") == dim)
     many = max(s.least_pivots, math.ceil(s.per_root * math.sqrt(n)))
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(many).collect()  # bounded by the root of n
-    pivots = Pivots(np.array([r.v for r in chosen], np.float64).reshape(-1, dim)) if chosen else None
+    # the mean without its last digits, which depend on the order of summing
+    pivots = (Pivots(np.array([r.v for r in chosen], np.float64).reshape(-1, dim), float(f"{common.usual:.9g}"))
+              if chosen else None)
 
     def post(batches):
         for b in batches:
             x = _matrix(b.column("v"), dim)
             q = b.column("is_query").to_numpy(zero_copy_only=False)
             near = pivots.places(x)[0]
-            a, z = near[:, :s.post], near[q][:, :s.probe]
-            row = np.concatenate([np.repeat(np.arange(len(x)), a.shape[1]),
-                                  np.repeat(np.flatnonzero(q), z.shape[1])])
-            out = b.select(["vec_id", "v"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a.ravel(), z.ravel()]).astype(np.int32)),
-                 pa.array(np.arange(len(row)) >= a.size), *out.columns], names=["pivot", "asks", "vec_id", "v"])
+            held = np.arange(near.shape[1]) < pivots.posts(x, s)[:, None]
+            a, z = near[held], near[q][:, :s.probe]
+            row = np.concatenate([np.nonzero(held)[0], np.repeat(np.flatnonzero(q), z.shape[1])])
+            pivot, asks = np.concatenate([a, z.ravel()]).astype(np.int32), np.arange(len(row)) >= a.size
+            for i in range(0, len(row), 200_000):  # a batch of long vectors has many
+                out = b.select(["vec_id", "v"]).take(pa.array(row[i:i + 200_000]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pivot[i:i + 200_000]), pa.array(asks[i:i + 200_000]), *out.columns],
+                    names=["pivot", "asks", "vec_id", "v"])
 
     kind, real = (rows.schema[c].dataType.simpleString() for c in ("vec_id", "v"))
     marked = rows.withColumn("is_query", F.coalesce(is_query, F.lit(False)))
@@ -166,10 +187,11 @@ def _meet(posted: DataFrame, sizes: DataFrame, pivots: Pivots | None, dim: int,
                 co, cp = pivots.places(cx)
                 # pairs that also meet in the file of a lower pivot belong there
                 low_q = ((qp < s.probe)[:, :file]).astype(np.float32)
-                low_c = ((cp < s.post)[:, :file]).astype(np.float32)
+                low_c = ((cp < pivots.posts(cx, s)[:, None])[:, :file]).astype(np.float32)
                 eligible = low_q @ low_c.T == 0
                 small = np.int16 if s.prefix * len(pivots.p) < 2 ** 15 else np.int32  # holds any footrule
                 by_pivot, steps = np.ascontiguousarray(cp.T, small), np.arange(s.prefix, dtype=small)[:, None]
+                length, unrelated = np.linalg.norm(cx, axis=1), pivots.unrelated(s.prefix)
             for i in range(len(qid)):
                 ok = cid != qid[i]
                 if eligible is not None:
@@ -181,7 +203,7 @@ def _meet(posted: DataFrame, sizes: DataFrame, pivots: Pivots | None, dim: int,
                     apart = by_pivot[top]
                     apart -= steps[:len(top)]
                     footrule = np.abs(apart, out=apart).sum(0, dtype=small)[at]
-                    at = at[np.argpartition(footrule, keep)[:keep]]
+                    at = at[np.argpartition((footrule - unrelated) * length[at], keep)[:keep]]
                 score = cx[at] @ qx[i]
                 best = _best(score, cid[at], s.k)
                 out[0].append(np.full(len(best), qid[i]))
