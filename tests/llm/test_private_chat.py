@@ -56,6 +56,18 @@ def test_contexts_of_seeds_find_identifiers_of_another_form(spark):
     assert got[11].n_learned == 0 and got[11].spans == ""
 
 
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    cards = ["4111111111111111", "4012888888881881", "5555555555554444", "5105105105105100"]
+    names = [f"ref{1001 + i}" for i in range(7)]  # each is known only once the one before is
+    data = []
+    for i, name in enumerate(names):
+        before = cards if i == 0 else [*cards[:3], names[i - 1]]
+        data += [f"their {'abcdefg'[i] * 3} {x} {'abcdefg'[i] * 4} here" for x in [*before, name]]
+    docs = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    learned = {r.instance: r.kind for r in private.bootstrap(private.read(docs)).collect()}
+    assert learned == {name: private.KINDS.index("card") for name in names}
+
+
 def told(rows, conv):
     turns = sorted(((r.turn is not None, r.turn or 0), r.role is not None, r.role or "", r.text is not None,
                     r.text or "") for r in rows if r.conv_id == conv)

@@ -13,7 +13,7 @@ patterns form a graph of patterns and instances, scored in rounds:
 * an instance's confidence is that not all of its accepted patterns are wrong; from ``min_instance`` on
   it becomes known, with the kind that its patterns have most.
 
-Rounds end after ``rounds`` or when nothing new is found. The texts are read once; the graph holds
+Rounds end when nothing new is found, which comes since known instances only grow. The texts are read once; the graph holds
 mentions only, and all its steps are grouped aggregates and joins that Spark distributes. A frequent
 pattern or instance is pre-aggregated.
 
@@ -54,7 +54,6 @@ class Settings:
     min_pattern: float = 0.8
     min_known: int = 3
     min_instance: float = 0.8
-    rounds: int = 4
     context: int = 80  # characters on either side that may hold a mention's neighbours
 
 
@@ -183,9 +182,10 @@ def bootstrap(found: DataFrame, s: Settings = Settings()) -> DataFrame:
     edges = stored(m.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pattern-graph")
     # an instance that is a base entity anywhere is a seed
     seeds = m.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind"))
-    known = stored(seeds, "known-instances")
-    learned = known.limit(0)
-    for _ in range(s.rounds):
+    seeds = stored(seeds, "known-instances")
+    learned = seeds.limit(0)
+    while True:
+        known = seeds.unionByName(learned)
         kinds = edges.join(known, "instance", "left").groupBy("pattern", "kind").agg(
             F.count(F.lit(1)).alias("n"))
         # per pattern at most one row per kind and one for the unknown
@@ -202,10 +202,8 @@ def bootstrap(found: DataFrame, s: Settings = Settings()) -> DataFrame:
                .filter(1 - F.exp("wrong") >= s.min_instance).select("instance", F.col("best.kind").alias("kind")))
         new = stored(new, "new-instances")
         if new.isEmpty():
-            break
+            return learned
         learned = stored(learned.unionByName(new), "learned-instances")
-        known = known.unionByName(new)
-    return learned
 
 
 def find(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
