@@ -133,3 +133,10 @@ def test_language_edge_cases_and_pieces(odd_docs, no_docs):
     assert sorted(map(str, language.identify(odd_docs, learned, pieces).collect())) == sorted(map(str, got))
     assert language.learn(no_docs) == {}
     assert {r.lang_pred for r in language.identify(odd_docs, {}).collect()} == {"und"}
+
+
+def test_counts_of_any_size_order_the_n_grams_of_a_text():
+    profiles = language.Profiles({"aa": [7, 5], "bb": [5, 7]}, 2)
+    for few in (1, 1 << 24, 1 << 40):  # the n-gram of the larger code is the more frequent one
+        best, score = profiles.nearest(np.array([5, 7], np.uint64), np.array([few, 2 * few]), 1)
+        assert (profiles.langs[best[0]], score[0]) == ("aa", 1.0)

@@ -141,11 +141,8 @@ class Profiles:
     def nearest(self, key: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each of ``n`` texts the number of the nearest language (-1: no n-gram) and the score."""
         # by text, then count (largest first), then n-gram: the keys already ascend
-        most = np.minimum(count, (1 << 24) - 1).astype(np.uint64)
-        row = np.arange(len(key), dtype=np.uint64)
-        order = np.sort((key >> np.uint64(48) << np.uint64(48))
-                        | ((np.uint64((1 << 24) - 1) - most) << np.uint64(24)) | row)
-        doc, at = (order >> np.uint64(48)).astype(np.int64), (order & np.uint64((1 << 24) - 1)).astype(np.int64)
+        doc = (key >> np.uint64(48)).astype(np.int64)
+        at = np.lexsort((-count.astype(np.int64), doc))  # stable, so ties stay in the order of the keys
         first = np.searchsorted(doc, np.arange(n))
         place = np.arange(len(doc)) - first[doc]
         top = place < self.size
