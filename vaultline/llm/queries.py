@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, katz, language, lines, mixing, neardup, neighbours, private, quality
+from . import bpe, chat, katz, language, lines, merkle, mixing, neardup, neighbours, private, quality, trie, warc
 from .oracle import ORACLE  # noqa: F401  (registered with the queries)
 from .tables import held_out, table
 
@@ -74,6 +74,19 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op4_language_id, op5_setsketch_dedup, op6_private_data,
-                                   op7_chat_windows, op8_permutation_index, op9_katz_score, op10_source_mix)}
+                                   op7_chat_windows, op8_permutation_index, op9_katz_score, op10_source_mix,
+                                   op11_conversation_trie, op12_warc_archives, op13_merkle_proofs)}
 
