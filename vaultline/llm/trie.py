@@ -147,7 +147,7 @@ def burst(sequences: DataFrame, s: Settings) -> tuple[list[DataFrame], list[Data
     is its prefix, ``up`` and ``up_conv`` its head and that node's conversation."""
     heads, rest = [], []
     none = F.lit(None)
-    now = sequences.select("seq", "sizes", "conv", "n", "ends", F.lit(b"").alias("box"), F.lit(0).alias("depth"),
+    now = sequences.select("seq", "sizes", "conv", "n", "ends", _prefix(F.lit(0)).alias("box"), F.lit(0).alias("depth"),
                            none.cast("binary").alias("up"), none.cast("bigint").alias("up_conv"))
     while True:
         sized = now.groupBy("box").agg(
@@ -164,7 +164,7 @@ def burst(sequences: DataFrame, s: Settings) -> tuple[list[DataFrame], list[Data
             F.min("depth").alias("depth"), F.min("up").alias("up"), F.min("up_conv").alias("up_conv"))
         head = stored(_common(ends), "trie-heads")
         split = inner.join(head.select("box", "common", "head_conv"), "box")
-        # a sequence that ends at the head is its low one; it tells the sizes of the chain's texts otherwise too
+        # the low sequence tells the sizes of the chain's texts; if one ends at the head, it is this one
         low = inner.join(head.select("box", F.col("low").alias("seq")), ["box", "seq"]).select("box", "sizes", "ends", _turns().alias("len"))
         heads.append(stored(head.drop("low", "high").join(low, "box").select(
             "box", "depth", "up", "up_conv", "head_conv", "total", "common", F.slice("sizes", F.lit(1), F.col("common")).alias("sizes"),
@@ -267,9 +267,8 @@ def swept(sequences: DataFrame) -> DataFrame:
 
 # -- heads -------------------------------------------------------------------------
 
-def _chain(head: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes of each head's chain, and what its first node adds to the head above. ``below``: ``up``,
-    ``leaves`` and ``saved`` of each container under the heads."""
+def _chain(head: DataFrame, below: DataFrame) -> DataFrame:
+    """The nodes of each head's chain. ``below``: ``up``, ``leaves`` and ``saved`` of each container under the heads."""
     sums = below.groupBy(F.col("up").alias("box")).agg(
         F.count(F.lit(1)).alias("children"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
     j = head.join(sums, "box")
@@ -280,13 +279,12 @@ def _chain(head: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
     deeper = Window.partitionBy("box").orderBy(F.col("d").desc())
     nodes = nodes.withColumn("saved", F.col("saved") + F.sum((F.col("total") - 1) * F.col("size")).over(deeper))
     end, top = F.col("d") == F.col("common"), F.col("d") == F.col("top")
-    out = nodes.select(
+    return nodes.select(
         F.col("head_conv").alias("conv_id"), F.col("d").cast("bigint").alias("depth"),
         F.when(top, F.col("up_conv")).otherwise(F.col("head_conv")).alias("parent_conv_id"), F.col("total").alias("n_convs"),
         F.when(end, F.col("children")).otherwise(F.lit(1)).cast("bigint").alias("n_children"), F.col("leaves").alias("n_leaves"),
         F.col("saved").alias("saved_tokens"), F.when(end, F.col("ends")).otherwise(F.lit(NOTHING)).alias("ends"), "up",
         top.alias("is_top"))
-    return out
 
 
 def nodes(sequences: DataFrame, s: Settings = Settings()) -> DataFrame:

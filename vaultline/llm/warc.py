@@ -40,10 +40,11 @@ from ..session import scratch_path
 from .tables import map_arrow, to_arrow
 from .words import slices
 
-MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+MEMBER = b"\x1f\x8b\x08"
 CRLF = b"\r\n"
 MEMBER_BYTES = 8 << 20  # a member inflates to this at most; below 16 MiB its last byte is zero
-START = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+VERSION = re.compile(rb"WARC/1\.[0-9]{1,3}\r\n")
+START = re.compile(rb"\x1f\x8b\x08|" + VERSION.pattern)
 PADDING = re.compile(rb"\0+")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 
@@ -193,7 +194,7 @@ def _record_at(data: bytes, start: int) -> Record:
     if packed:
         first, after = _inflated(data, start)
         text, base = bytearray(first), 0
-    if not text.startswith(VERSION, base):
+    if not VERSION.match(text, base):
         raise Bad("no version line")
     close = text.find(b"\r\n\r\n", base, base + (1 << 16))
     if close < 0:
@@ -203,7 +204,7 @@ def _record_at(data: bytes, start: int) -> Record:
     end = body + _length(headers.get("content-length"))
     while packed and len(text) < end + 4 and data.startswith(MEMBER, after):
         more, after = _inflated(data, after)
-        if more.startswith(VERSION):
+        if VERSION.match(more):
             break  # the next record
         text += more
     if len(text) < end + 4:
