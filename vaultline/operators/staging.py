@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
+from ..functions.temporal import ntz_literal
+from .asof import BEGIN, VALID_FROM, as_of_join, chained, timeline
 from .window import latest_by
 
 # Hash diff payloads and the default record source.
@@ -51,20 +53,29 @@ def dedup_by_key(df: DataFrame, key: str, changed_col: str = "last_modified") ->
     return latest_by(df, [key], order)
 
 
-def dimension_chain(assets: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """assets x accounts x customers, renamed to staging names (one row per asset)."""
+def _named(assets: DataFrame, accounts: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three dimensions with staging's names; ``valid_from`` is kept where it is there."""
+    def extra(df: DataFrame) -> list[str]:
+        return [VALID_FROM] if VALID_FROM in df.columns else []
     a = assets.select(
+        *extra(assets),
         "asset_id", "account_id", "asset_serial_number", "asset_type", "manufacturer",
         "model", F.col("installation_date").alias("asset_installation_date"),
         "last_calibration_date", "next_calibration_date",
         F.col("status").alias("asset_status"))
     ca = accounts.select(
-        "account_id", "installation_id", "account_number", "account_type", "billing_cycle",
+        *extra(accounts), "account_id", "installation_id", "account_number", "account_type", "billing_cycle",
         "account_opened_date", "account_closed_date", F.col("status").alias("account_status"))
     c = customers.select(
-        "installation_id", "customer_name", "customer_type", "address", "city",
+        *extra(customers), "installation_id", "customer_name", "customer_type", "address", "city",
         "postal_code", "country", "registration_date",
         F.col("status").alias("customer_status"))
+    return a, ca, c
+
+
+def dimension_chain(assets: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """assets x accounts x customers, renamed to staging names (one row per asset)."""
+    a, ca, c = _named(assets, accounts, customers)
     return a.join(ca, "account_id").join(c, "installation_id")
 
 
@@ -137,6 +148,44 @@ def stage_readings(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
     )
 
 
+CHANGE_TS = "change_ts"
+
+
+def dimension_history(assets: DataFrame, accounts: DataFrame, customers: DataFrame, key_mode: str = "natural",
+                      changed: str = "last_modified") -> DataFrame:
+    """The versions of the dimension chain, with keys and hash diffs: per asset one row from each change of the
+    asset, its account or its customer on (``valid_from``). The inputs hold row versions (a lake's tables, or
+    snapshots put together); each key's first version counts from the beginning of time, as nothing earlier is known."""
+    def versions(df: DataFrame, key: str) -> DataFrame:
+        return timeline(df, key, changed, [LOAD_ID] if LOAD_ID in df.columns else [])
+    a, ca, c = _named(versions(assets, "asset_id"), versions(accounts, "account_id"), versions(customers, "installation_id"))
+    chain = chained(a, chained(ca, c, "account_id", "installation_id"), "asset_id", "account_id")
+    return _keys_and_hashes(chain, key_mode)
+
+
+def stage_as_of(readings: DataFrame, assets: DataFrame, accounts: DataFrame, customers: DataFrame,
+                key_mode: str = "natural", changed: str = "last_modified", unit: str = "DAY") -> DataFrame:
+    """``stage_readings`` true to history: each reading gets the asset, account and customer as they were at its
+    ``creation_time``, so a later change leaves what is staged for earlier readings alone.
+
+    ``change_ts`` tells since when that state has been in force (NULL: since the beginning). A reading before the first known
+    version takes the first one, one without a time the current one; readings without asset, account or customer vanish, as in
+    ``stage_readings``. The fact is shuffled once, by asset and piece of time (``unit``).
+    """
+    if key_mode not in ("natural", "md5"):
+        raise ValueError(f"key_mode must be 'natural' or 'md5', not {key_mode!r}")
+    dims = dimension_history(assets, accounts, customers, key_mode, changed)
+    r = readings.select(
+        "asset_id", F.col("id").alias("reading_id"), "reading_value", "interval_start",
+        "interval_end", F.col("creation_time").alias("load_ts"), "reading_type", "unit_of_measure", "quality_code",
+        F.col("status").alias("reading_status"),
+        F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"))
+    found = as_of_join(r, dims, "asset_id", "load_ts", unit)
+    out = found.select(*_staged_dimension_columns(dims), *STAGED_COLUMNS[33:], VALID_FROM)
+    since = F.when(F.col(VALID_FROM) > ntz_literal(BEGIN), F.col(VALID_FROM))
+    return out.withColumn(CHANGE_TS, since).drop(VALID_FROM)
+
+
 def stage_asset_span(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
                      customers: DataFrame, key_mode: str = "natural",
                      dedup_sources: bool = False) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
 from ..operators import business, quality, reports
-from ..operators.staging import stage_asset_span, stage_readings, seen_rows
+from ..operators.staging import seen_rows, stage_as_of, stage_asset_span, stage_readings
 from ..operators.window import latest_by
 from ..operators.vault import (HUB_ASSET, HUB_CUSTOMER, HUB_CUSTOMER_ACCOUNT,
                                LINK_ACCOUNT_ASSET, LINK_CUSTOMER_ACCOUNT,
@@ -152,6 +152,13 @@ def q_stage_readings(spark, sf_dir):
     return staged(spark, sf_dir)
 
 
+def q_stage_as_of(spark, sf_dir):
+    """Readings with their asset, account and customer as they were when the reading was taken."""
+    apply_conf(spark)
+    s = fixtures.history(spark, sf_dir)
+    return stage_as_of(s.readings, s.assets, s.customer_accounts, s.customers)
+
+
 def q_stage_null_key_filter(spark, sf_dir):
     """Readings from an unknown source system arrive without an asset: they must
     vanish from staging, the rest must stay."""

@@ -26,7 +26,7 @@ from ..streaming.loads import batch_loader, stream_load
 from .build import read_vault, run_build
 from .ingest import (ingest, ingest_all, plan_ingest, register_new_files, registered_files,
                      unregistered_rows)
-from .sinks import save_table, upsert
+from .sinks import BATCH, merge, save_table, upsert
 
 # Fixed parameters of the scenarios.
 LATE_WINDOW_HOURS = 48     # late rows: created within this many hours before batch 1 ended
@@ -167,20 +167,35 @@ def q_hub_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def q_measurements_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored measurements merged on their five-part key: demand readings are corrected."""
-    apply_conf(spark)
-    path = f"{scratch_path(spark, 'measurements-upsert')}/sat_asset_measurements"
-    keys = SAT_ASSET_MEASUREMENTS.key
+def _merged_measurements(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
+    """Two deliveries merged on the five-part key, the second one with corrected demand readings: the paths of
+    the table and of its rejects. Of readings with one key the one with the larger id, then value, is kept."""
+    path, rejects = f"{root}/sat_asset_measurements", f"{root}/sat_asset_measurements_rejects"
     s1, s = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir)
 
     def rows(x):
         staged = stage_readings(x.readings, x.assets, x.customer_accounts, x.customers)
         return measurement_rows(staged)
     fixed = F.when(F.col("reading_type") == "DEMAND", F.lit("SUSPECT")).otherwise(F.col("quality_code"))
-    upsert(spark, rows(s1), path, keys)
-    upsert(spark, rows(s).withColumn("quality_code", fixed), path, keys)
-    return spark.read.parquet(path)
+    for batch, df in (("first", rows(s1)), ("second", rows(s).withColumn("quality_code", fixed))):
+        merge(spark, df, path, SAT_ASSET_MEASUREMENTS.key, order=["reading_id", "reading_value"], rejects=rejects, batch=batch)
+    return path, rejects
+
+
+def q_measurements_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored measurements merged on their five-part key: demand readings are corrected."""
+    apply_conf(spark)
+    return spark.read.parquet(_merged_measurements(spark, sf_dir, scratch_path(spark, "measurements-upsert"))[0])
+
+
+def q_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that the merge of all measurements handed back: another one has their five-part key."""
+    apply_conf(spark)
+    s, root = fixtures.sources(spark, sf_dir), scratch_path(spark, "merge-conflicts")
+    rows = measurement_rows(stage_readings(s.readings, s.assets, s.customer_accounts, s.customers))
+    merge(spark, rows, f"{root}/sat_asset_measurements", SAT_ASSET_MEASUREMENTS.key, order=["reading_id", "reading_value"],
+          rejects=f"{root}/rejects")
+    return spark.read.parquet(f"{root}/rejects").drop(BATCH)
 
 
 def q_vault_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@
   partitioned append is rebalanced on the partition column first, so each day
   lands in few files, and AQE splits a day that holds a large share of the rows
   instead of sending it to one task.
-* ``upsert``: merge semantics without MERGE INTO. The merged rows of the
+* ``merge`` and ``upsert``: merge semantics without MERGE INTO. ``merge`` settles source rows that share a key first. The merged rows of the
   affected partitions are written to a generation folder first, a pending note
   names it, and then it replaces those partitions. A run that dies in between
   is finished by the next read or upsert of the table.
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.merge import require_one_row_per_key, split_conflicts
 from ..operators.vault import upsert_rows
 from ..session import delete_path, scratch_path
 
@@ -122,9 +123,39 @@ def _replace(spark: SparkSession, generation: str, path: str, partition_by: Sequ
     out.save(path)
 
 
+BATCH = "batch"
+
+
+def merge(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
+          partition_by: Sequence[str] | None = None, order: Sequence[str] = (), rejects: str | None = None,
+          batch: str = "0") -> None:
+    """``upsert`` of a source that may have several rows per key.
+
+    Different rows for one key, or a row without one, fail the merge before anything is written. With
+    ``rejects`` (a table's path) the last row by ``order`` is merged instead, and the others are stored there with a
+    reason, under the name of the ``batch``; merging a batch again replaces its rejects. The source is
+    written to the shared folder first, so that the checks and the merge see the same rows and its plan runs once.
+    """
+    scratch = scratch_path(spark, "merge-source")
+    source.write.parquet(scratch)
+    source = spark.read.parquet(scratch)
+    try:
+        if rejects is None:
+            require_one_row_per_key(source, keys)
+            clean = source
+        else:
+            clean, rejected = split_conflicts(source, keys, order)
+            (rejected.withColumn(BATCH, F.lit(batch)).write.mode("overwrite").partitionBy(BATCH)
+             .option("partitionOverwriteMode", "dynamic").parquet(rejects))
+        upsert(spark, clean, path, keys, partition_by)
+    finally:
+        delete_path(spark, scratch)
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
            partition_by: Sequence[str] | None = None) -> None:
-    """Rows of ``source`` replace rows with the same ``keys`` in the table at ``path``.
+    """Rows of ``source`` replace rows with the same ``keys`` in the table at ``path``. The source
+    must have one row per key: ``merge`` checks that, or settles it.
 
     With ``partition_by`` only the partitions that get rows are read and rewritten. The
     partition columns must belong to the key: a row could otherwise move to another partition

@@ -19,6 +19,8 @@ from ..functions.temporal import add_days, add_minutes, ntz_literal
 REGISTRATION_TS = "1995-01-01 00:00:00"
 BATCH1_END = "1998-07-01 00:00:00"      # batch 1 = readings created before this
 CHANGED_BALANCE = 2000                   # batch 2 marks these customers INACTIVE
+CUSTOMERS_MOVED = "1996-01-01 00:00:00"  # history: when they became so
+ASSET_RUNS_DAYS = 60                     # history: an INACTIVE asset was ACTIVE so long
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
@@ -158,3 +160,22 @@ def sources(spark: SparkSession, sf_dir: str, changed: bool = False,
     if batch == 1:
         r = r.filter(F.col("creation_time") < ntz_literal(BATCH1_END))
     return Sources(customers(t, changed=changed), customer_accounts(t), assets(t), r)
+
+
+def history(spark: SparkSession, sf_dir: str) -> Sources:
+    """The source entities with row versions of the dimensions: customers that became inactive, accounts that were open
+    before they closed, and assets that ran before they were taken out."""
+    t = read_tables(spark, sf_dir)
+    c, moved = customers(t), customers(t, changed=True)
+    was = c.select("installation_id", F.col("status").alias("was"))
+    moved = (moved.join(was, "installation_id").filter(F.col("status") != F.col("was")).drop("was")
+             .withColumn("last_modified", ntz_literal(CUSTOMERS_MOVED)))
+    a = customer_accounts(t)
+    opened = (a.filter((F.col("status") == "CLOSED") & (F.col("account_opened_date") < F.col("last_modified")))
+              .withColumns({"status": F.lit("ACTIVE"), "account_closed_date": _null_ts(),
+                            "last_modified": F.col("account_opened_date")}))
+    s = assets(t)
+    off = F.col("status") == "INACTIVE"
+    ran = s.filter(off).withColumn("status", F.lit("ACTIVE"))
+    s = s.withColumn("last_modified", F.when(off, add_days("installation_date", ASSET_RUNS_DAYS)).otherwise(F.col("last_modified")))
+    return Sources(c.unionByName(moved), a.unionByName(opened), s.unionByName(ran), readings(t))
