@@ -8,6 +8,7 @@ split into deliveries (batch 1, then everything) is the scenario, not a cap.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ from ..session import apply_conf, scratch_path
 from ..sources import fixtures
 from ..sources.schema import meter_tables, to_struct
 from ..sources.state import WatermarkStore
-from ..streaming.loads import batch_loader, stream_load
+from ..streaming.dedup import stream_dedup
+from ..streaming.loads import stream_load
 from .build import read_vault, run_build
 from .ingest import (ingest, ingest_all, plan_ingest, register_new_files, registered_files,
                      unregistered_rows)
@@ -32,6 +34,7 @@ from .sinks import BATCH, merge, save_table, upsert
 LATE_WINDOW_HOURS = 48     # late rows: created within this many hours before batch 1 ended
 LOOKBACK_HOURS = 24        # re-read window behind the watermark
 EVENTS_WAVE2_START = "2024-01-16 00:00:00"
+EVENTS_DELAY = dt.timedelta(days=1)
 
 READINGS = meter_tables()["readings"]
 
@@ -276,14 +279,35 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_satellite_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer versions by micro-batches, the second one delivered twice."""
+    """Customer versions by micro-batches of one stream; the second delivery lands twice."""
     apply_conf(spark)
     root = scratch_path(spark, "stream-replay")
+    landing, ckpt, vault = f"{root}/landing", f"{root}/_checkpoint", f"{root}/vault"
     s1, s2 = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir, changed=True)
     for s in (s1, s2, s2):
-        load = batch_loader(["sat_customer_details"], root, lambda s=s: (s.assets, s.customer_accounts, s.customers))
-        load(s.readings, 0)
-    return spark.read.parquet(f"{root}/sat_customer_details")
+        _land(s.readings, landing)
+        stream_load(spark, landing, to_struct(READINGS), vault, ckpt, ["sat_customer_details"],
+                    lambda s=s: (s.assets, s.customer_accounts, s.customers))
+    return spark.read.parquet(f"{vault}/sat_customer_details")
+
+
+def q_stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as meter readings, each once: repeats within the delay are known to the stream's state, while rows and
+    repeats that come later than that are compared with the stored table. The stream is stopped and restarted."""
+    apply_conf(spark)
+    root = scratch_path(spark, "stream-dedup")
+    landing, ckpt, vault = f"{root}/landing", f"{root}/_checkpoint", f"{root}/vault"
+    ev = fixtures.events_as_readings(fixtures.read_tables(spark, sf_dir, ("events",)))
+    at, late = F.col("creation_time"), F.col("id") % 50 == 0
+    older = at < ntz_literal(EVENTS_WAVE2_START)
+    near = at >= F.timestamp_add("HOUR", F.lit(-12), ntz_literal(EVENTS_WAVE2_START))
+    for wave in (older & ~late,             # what is on time
+                 (older & near) | ~older,   # half a day again, and the rest
+                 older):                    # weeks late: rows that never came, and repeats of all others
+        _land(ev.filter(wave), landing)
+        stream_dedup(spark, landing, to_struct(READINGS), vault, ckpt, EVENTS_DELAY)
+    return spark.read.parquet(f"{vault}/{SAT_ASSET_MEASUREMENTS.name}") \
+        .select(*SAT_ASSET_MEASUREMENTS.columns)
 
 
 IO_QUERIES = {name[2:]: fn for name, fn in dict(globals()).items()

@@ -4,9 +4,10 @@ New reading files arrive in a landing folder; a file-source stream picks them
 up (its checkpoint records which files were consumed) and ``foreachBatch``
 runs the same hub / link / satellite / measurement loaders as the batch build
 against the stored tables. The loaders anti-join against what is stored, so
-replaying a micro-batch after a failure appends nothing twice. There is no watermark: a
+replaying a micro-batch after a failure appends nothing twice, and a ledger (``ledger.py``) lets it resume at the
+table it had reached. ``stream_load`` has no watermark: a
 reading is loaded however late it comes. Repeats inside a batch are reduced to one row, and
-those of earlier batches are in the target.
+those of earlier batches are in the target. ``stream_dedup`` (``dedup.py``) finds them in the stream's own state instead.
 
 ``trigger(availableNow=True)`` processes what has landed and stops, which is
 how a scheduled loader runs; ``processingTime`` keeps it running.
@@ -25,6 +26,7 @@ from ..operators.vault import (HUBS, LINKS, LOAD_DAY, SAT_ASSET_MEASUREMENTS, SA
 from ..operators.window import latest_by
 from ..plans.build import _load_satellite
 from ..plans.sinks import append, read_or_none
+from .ledger import DONE, Ledger, stream_name
 
 BINDINGS = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES, SAT_ASSET_MEASUREMENTS)}
 
@@ -51,22 +53,34 @@ def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> N
     append(rows, path)
 
 
+LEDGER = "_ledger"
+
+
 def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None = None,
-                 dedup_keys: Sequence[str] | None = None, event_time: str | None = None):
-    """The ``foreachBatch`` function: stage the micro-batch, run each load. Dimension tables of
-    the lake hold row versions; each key's current one is used."""
+                 dedup_keys: Sequence[str] | None = None, event_time: str | None = None,
+                 checkpoint: str | None = None):
+    """The ``foreachBatch`` function: stage the micro-batch, run each load that the ledger does not have for this epoch.
+    Dimension tables of the lake hold row versions; each key's current one is used. Without a ``checkpoint``
+    there is no ledger: every load runs."""
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        ledger = Ledger(spark, f"{root.rstrip('/')}/{LEDGER}", stream_name(spark, checkpoint)) if checkpoint else None
+        steps = ledger.steps(epoch_id) if ledger else {}
+        open_tables = [name for name in tables if steps.get(name) != DONE]
+        if not open_tables:
+            return
         if dedup_keys:
             batch = latest_by(batch, dedup_keys, [event_time] if event_time else [])
         if dimensions is not None:
             staged = stage_readings(batch, *dimensions(), dedup_sources=True)
         else:
             staged = stage_readings_only(batch)
-        staged = staged.persist()  # bounded by the trigger's file/byte limits
+        staged = staged.persist()  # bounded by the trigger's file limit; recomputed if an executor is lost
         try:
-            for name in tables:
+            for name in open_tables:
                 _load_one(spark, staged, name, root)
+                if ledger:
+                    ledger.note(epoch_id, name, DONE)
         finally:
             staged.unpersist()
     return load
@@ -84,9 +98,13 @@ def stream_load(spark: SparkSession, landing: str, schema, root: str, checkpoint
     """
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(landing))
-    w = (stream.writeStream.foreachBatch(batch_loader(tables, root, dimensions, dedup_keys,
-                                                         event_time))
-         .option("checkpointLocation", checkpoint))
+    load = batch_loader(tables, root, dimensions, dedup_keys, event_time, checkpoint)
+    return run_stream(stream.writeStream.foreachBatch(load), checkpoint, available_now)
+
+
+def run_stream(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
+    """Start a stream; ``available_now`` waits until what has landed is processed, and raises its failure."""
+    w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:
