@@ -15,9 +15,10 @@ patterns form a graph of patterns and instances, scored in rounds:
 
 Rounds end when nothing new is found, which comes since known instances only grow. The texts are read once; the graph holds
 mentions only, and all its steps are grouped aggregates and joins that Spark distributes. A frequent
-pattern or instance is pre-aggregated.
+pattern or instance is pre-aggregated. A text is scanned in linear time, whatever it holds.
 
-Edge cases: null is the empty text: no spans. Repeated rows are judged alike, and
+Edge cases: null is the empty text: no spans; an empty table gives no rows; a text of any length is read whole, and so are words
+of any length, but of a mention's neighbours only what lies within ``context`` characters of it is a pattern's word. Repeated rows are judged alike, and
 count as one instance. New spans never overlap base ones. Offsets are code points. Other columns are not read.
 """
 
@@ -36,10 +37,11 @@ from .words import slices
 
 KINDS = ("email", "ip", "card", "phone")
 
-# The forms of base entities.
+# The forms of base entities. An address begins at the first digit of a run and takes whole runs, so
+# a long run of digits is read once.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
