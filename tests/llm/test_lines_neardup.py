@@ -1,4 +1,5 @@
 import collections
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,18 @@ def test_line_dedup_edge_cases(odd_docs, no_docs):
     assert lines.deduplicated(no_docs).columns == no_docs.columns and lines.dedup_lines(no_docs).count() == 0
 
 
+def test_a_very_long_text_that_loses_a_run_is_rebuilt_in_linear_time(spark):
+    run = [f"passage line {i} with some words in it" for i in range(40)]
+    own = [f"line {i} of a very long text" for i in range(30_000)]
+    data = [(1, "\n".join(run)), (2, "\n".join(own[:20_000] + run + own[20_000:]))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r.row.doc_id: r for r in lines.dedup_lines(docs, lines.Settings()).collect()}
+    assert time.perf_counter() - began < 60
+    assert got[2].text == "\n".join(own) and got[2].n_removed == 40 and got[2].n_lines == 30_040
+    assert got[1].n_removed == 0
+
+
 def test_line_dedup_uses_no_python_nodes(few_docs):
     plan = lines.dedup_lines(few_docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

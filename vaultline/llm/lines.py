@@ -22,7 +22,7 @@ All steps are joins, grouped aggregates and sorts on fixed-width rows; a frequen
 is counted before it is shuffled, and joins on it can be split by adaptive execution. Windows
 run within one document.
 
-Edge cases: a null text stays null and an empty one stays empty; a text that loses all its lines becomes
+Edge cases: an empty table gives no rows; a text of any length is split and put together once; a null text stays null and an empty one stays empty; a text that loses all its lines becomes
 empty. Rows equal in ``doc_id`` and text are one document: they are judged once
 and come back alike. A null ``doc_id`` sorts first. Lines are compared as they are, by two
 independent 64-bit hashes. Other columns are carried in a struct and cannot clash.
@@ -156,8 +156,12 @@ def dedup_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     d, g = given.alias("d"), gone.alias("g")
     joined = d.join(g, [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in DOC], "left")
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    out = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    def rest(all_lines):
+        kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
+    # the lines are bound once per row; an expression inside a lambda would be evaluated for every line
+    out = F.get(F.transform(F.array(lines), rest), 0)
     return joined.select(
         "row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(out).alias("text"),
         F.coalesce(F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(WORD)))), F.lit(0)).cast("long").alias("n_lines"),
