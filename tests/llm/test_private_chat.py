@@ -2,10 +2,14 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 from vaultline.llm import chat, private
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
 def digits(s):
@@ -20,9 +24,9 @@ def luhn(d):
 def brute_base(s):
     s = s or ""
     out = [("email", m) for m in EMAIL.finditer(s)]
-    out += [("ip", m) for m in private.IP.finditer(s) if all(int(p) < 256 for p in m[0].split("."))]
-    out += [("card", m) for m in private.CARD.finditer(s) if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
-    out += [("phone", m) for m in private.PHONE.finditer(s) if 8 <= len(digits(m[0])) <= 15]
+    out += [("ip", m) for m in IP.finditer(s) if all(int(p) < 256 for p in m[0].split("."))]
+    out += [("card", m) for m in CARD.finditer(s) if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [("phone", m) for m in PHONE.finditer(s) if 8 <= len(digits(m[0])) <= 15]
     return [f"{k}:{m.start()}:{m.end()}" for k, m in out]
 
 
@@ -46,6 +50,16 @@ def test_base_entities_match_plain_scans(spark, few_docs, odd_docs, no_docs):
     assert private.find(no_docs).count() == 0
 
 
+def test_long_texts_are_scanned_in_linear_time():
+    s = private.Settings()
+    for unit in ("7", "1.", "1.1.1 ", "+1 (", "a@", "a.", "@b-", "4111 ", "+", "1@2.3 ", " "):
+        text = unit * (1_000_000 // len(unit))
+        began = time.process_time()
+        base = private.entities(text)
+        private.mentions(text, base, s)
+        assert time.process_time() - began < 12, unit
+
+
 def test_contexts_of_seeds_find_identifiers_of_another_form(spark):
     data = [(i, f"some text. Please charge card number: {c} today") for i, c in enumerate(
         ["4111111111111111", "4012888888881881", "5555555555554444", "5105105105105100"])]
@@ -112,6 +126,46 @@ def test_windows_keep_the_budget_the_system_turn_and_limited_history(spark):
     assert any(w.n_repeated == 3 for w in got)
 
 
+def test_long_turns_keep_the_budget(spark):
+    s = chat.Settings(budget=100, system_share=20, history_tokens=30, history_turns=2)
+    rng = random.Random(2)
+    data = []
+    for c in range(60):
+        sizes = [rng.choice([1, 5, 16, 17, 40, 300])] + [rng.choice([1, 3, 9, 46, 47, 60, 76, 90, 97, 150]) for _ in range(rng.randrange(9))]
+        data += [(c, i, "system" if i == 0 and c % 3 else ["user", "assistant"][i % 2], f"t{i} " + "w " * (n - 1)) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    full = []
+    for w in chat.windows(docs, s).collect():
+        turns = w.formatted[len(chat.BEGIN):].split(chat.END)[:-1]
+        tokens = [len(t.split("|>", 1)[1].split()) + s.turn_tokens for t in turns]
+        assert sum(tokens) <= s.budget or len(turns) == 1, w
+        full.append(sum(tokens) > s.budget)
+    assert any(full)
+    rows = docs.collect()
+    for r in chat.digests(docs, s).collect():
+        n, turns, loss = told(rows, r.conv_id)
+        assert (r.n_turns, r.turns_sha256) == (n, hashlib.sha256(turns.encode()).hexdigest())
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_chat_windows_equal_their_sql_on_odd_turns(spark):
+    import duckdb
+    import pandas as pd
+    from vaultline.llm.oracle import chat_windows
+    rng = random.Random(6)
+    data = []
+    for c in range(150):
+        for i in range(rng.randrange(1, 9)):
+            role = "system" if i == 0 and c % 3 else rng.choice(["user", "assistant", "system"])
+            data.append((c, i, role, "w " * rng.choice([1, 20, 120, 125, 300, 635, 640, 700, 900, 1020, 1100])))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"]))
+    expected = {r[0]: r[1:] for r in con.execute(chat_windows()).fetchall()}
+    docs = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: tuple(r)[1:] for r in chat.digests(docs).collect()}
+    assert len(got) == 150 and all(got[c] == expected[c] for c in got)
+
+
 def test_chat_empty_table_and_native_plan(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string, window int, n int")
     assert chat.digests(none).count() == 0

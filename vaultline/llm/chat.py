@@ -6,11 +6,14 @@ belongs to the piece it starts in, and one that crosses a cut is a span of its
 own; so a span never holds more than ``stride`` tokens unless it is one longer turn. Each
 window holds, in order,
 
-* the system turn (the first turn, if its role is ``system``), in every window;
+* the system turn (the first turn, if its role is ``system``), in every window that has room for it. Only one of at most
+  ``system_share`` tokens is a system turn in this sense; a longer one is an ordinary turn, told once;
 * limited history: the last ``history_turns`` turns before the span, as far as
-  they have at most ``history_tokens`` tokens together;
+  they have at most ``history_tokens`` tokens together; none before a turn longer than ``stride``;
 * the span itself.
 
+So a window has at most ``budget`` tokens, unless it is a single turn that alone has more.
+
 A window is ``<s>`` and its turns, each ``<|role|>text</s>``. Inside roles and
 texts ``\\``, ``<`` and ``|`` are written ``\\s``, ``\\l`` and ``\\p``, so no control
 string can occur there, and reading back is a plain replacement. The loss mask is a
@@ -22,7 +25,7 @@ conversation is one unit of work, as a text is: its turns meet in one task.
 
 Edge cases: a null text or role is empty; turns are ordered by ``turn`` (null
 first), then role and text, and repeated rows stay separate turns; a null ``conv_id`` is a
-conversation of its own; an empty table gives no rows; other columns are not read.
+conversation of its own; an empty table gives no rows; a text of any length is one turn; other columns are not read.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def spans(conversations: DataFrame, s: Settings = Settings()) -> DataFrame:
                                  F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     turns = turns.withColumn("n", F.regexp_count("text", F.lit(WORD)) + s.turn_tokens)
     turns = (turns.withColumn("pos", F.row_number().over(order))
-             .withColumn("is_system", (F.col("pos") == 1) & (F.col("role") == s.system_role)))
+             .withColumn("is_system", (F.col("pos") == 1) & (F.col("role") == s.system_role) & (F.col("n") <= s.system_share)))
     before = (F.sum(F.when(F.col("is_system"), 0).otherwise(F.col("n")))
               .over(order.rowsBetween(Window.unboundedPreceding, -1)))
     turns = turns.withColumn("before", F.coalesce(before, F.lit(0)))
@@ -81,7 +84,12 @@ def spans(conversations: DataFrame, s: Settings = Settings()) -> DataFrame:
     crosses = (F.col("before") + F.col("n")) > (piece + 1) * s.stride
     turns = turns.withColumn("cut", F.when(F.col("is_system"), F.lit(-1))
                              .otherwise(2 * piece + crosses.cast("int")))
-    changed = (F.col("cut") != F.lag("cut").over(order)) & (F.lag("cut").over(order) >= 0)
+    # a turn that is longer than a stride is a span of its own; alone, if the system turn does not fit beside it
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    system = F.max(F.when(F.col("is_system"), F.col("n")).otherwise(0)).over(whole)
+    turns = turns.withColumn("long", ~F.col("is_system") & (F.col("n") > s.stride)).withColumn(
+        "alone", F.col("long") & (F.col("n") + system > s.budget))
+    changed = (F.col("cut") != F.lag("cut").over(order)) & ((F.lag("cut").over(order) >= 0) | F.col("alone"))
     return turns.withColumn("span", F.sum(changed.cast("int")).over(order)).withColumn(
         "span", F.coalesce(F.col("span"), F.lit(0)))
 
@@ -98,9 +106,11 @@ def windows(conversations: DataFrame, s: Settings = Settings()) -> DataFrame:
         behind = behind + (F.col("n") if d == 1 else F.lead("n", d - 1).over(order))
         here, earlier = F.lead("span", d).over(order), (F.col("span") if d == 1
                                                        else F.lead("span", d - 1).over(order))
-        places.append(F.when((here != earlier) & (behind <= s.history_tokens) & ~F.col("is_system"),
+        room = (behind <= s.history_tokens) & ~F.lead("long", d).over(order)
+        places.append(F.when((here != earlier) & room & ~F.col("is_system"),
                              F.array(here)).otherwise(F.array().cast("array<bigint>")))
-    turns = turns.withColumn("windows", F.when(F.col("is_system"), F.sequence(F.lit(0).cast("bigint"), "last"))
+    full = F.collect_set(F.when(F.col("alone"), F.col("span"))).over(whole)  # windows without room for a system turn
+    turns = turns.withColumn("windows", F.when(F.col("is_system"), F.array_except(F.sequence(F.lit(0).cast("bigint"), "last"), full))
                              .otherwise(F.concat(*places)))
     turns = turns.select(
         "conv_id", "pos", "span", F.explode("windows").alias("window"),

@@ -55,7 +55,7 @@ def chat_windows(s: Chat = Chat()) -> str:
             behind += f" + lead(n, {d - 1}) OVER c"
         earlier = "span" if d == 1 else f"lead(span, {d - 1}) OVER c"
         held += (f" + CASE WHEN lead(span, {d}) OVER c <> {earlier} AND {behind} <= {s.history_tokens} "
-                 "THEN 1 ELSE 0 END")
+                 f"AND NOT lead(n, {d}) OVER c > {s.stride} THEN 1 ELSE 0 END")
     said = "'</s>[INST] ok [/INST]'"
     return f"""WITH t AS (
   SELECT conv_id, turn, ifnull(role, '') AS role, ifnull(text, '') AS text FROM conversations
@@ -63,7 +63,10 @@ def chat_windows(s: Chat = Chat()) -> str:
 placed AS (
   SELECT *, {WORDS.format("text")} + {s.turn_tokens} AS n,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
-marked AS (SELECT *, pos = 1 AND role = '{s.system_role}' AS is_system FROM placed),
+marked AS (
+  SELECT *, max(CASE WHEN is_system THEN n ELSE 0 END) OVER (PARTITION BY conv_id) AS system_n,
+         NOT is_system AND n > {s.stride} AND n + system_n > {s.budget} AS alone
+  FROM (SELECT *, pos = 1 AND role = '{s.system_role}' AND n <= {s.system_share} AS is_system FROM placed)),
 summed AS (
   SELECT *, ifnull(sum(CASE WHEN is_system THEN 0 ELSE n END) OVER (
     PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM marked),
@@ -72,15 +75,16 @@ cut AS (
     + CASE WHEN before + n > (before // {s.stride} + 1) * {s.stride} THEN 1 ELSE 0 END END AS piece FROM summed),
 spans AS (
   SELECT *, sum(CASE WHEN changed THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos) AS span
-  FROM (SELECT *, piece <> lag(piece) OVER (PARTITION BY conv_id ORDER BY pos) AS changed FROM cut)),
+  FROM (SELECT *, piece <> lag(piece) OVER (PARTITION BY conv_id ORDER BY pos)
+               OR (pos = 2 AND system_n > 0 AND alone) AS changed FROM cut)),
 counted AS (
-  SELECT *, max(span) OVER (PARTITION BY conv_id) + 1 AS windows,
+  SELECT *, max(span) OVER (PARTITION BY conv_id) + 1 AS windows, count(*) FILTER (alone) OVER (PARTITION BY conv_id) AS full_ones,
          CASE WHEN is_system THEN NULL ELSE {held} END AS held FROM spans
   WINDOW c AS (PARTITION BY conv_id ORDER BY pos))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   ifnull(sum(length(text)) FILTER (role = '{s.target_role}'), 0)::BIGINT AS loss_chars,
   sha256(ifnull(string_agg(text, '' ORDER BY pos) FILTER (role = '{s.target_role}'), '')) AS loss_sha256,
-  (3 * max(windows) + sum(ifnull(held, windows) * (8 + {escaped("role")} + {escaped("text")})))::BIGINT AS formatted_chars
+  (3 * max(windows) + sum(ifnull(held, windows - full_ones) * (8 + {escaped("role")} + {escaped("text")})))::BIGINT AS formatted_chars
 FROM counted GROUP BY conv_id"""
 
 
