@@ -71,16 +71,16 @@ def test_a_dedup_batch_that_died_is_finished_without_repeats(spark, tmp_root, mo
     land(spark, landing, reading(1, 0))
     stream_dedup(spark, landing, SCHEMA, vault, ckpt)
     land(spark, landing, reading(1, 0), reading(2, 1), reading(3, -500))
-    real = dedup.append
+    real = dedup.store
 
-    def failing(df, *a):
+    def failing(*a):
         if died == "after the append":
-            real(df, *a)
+            real(*a)
         raise RuntimeError("the driver died")
-    monkeypatch.setattr(dedup, "append", failing)
+    monkeypatch.setattr(dedup, "store", failing)
     with pytest.raises(StreamingQueryException):
         stream_dedup(spark, landing, SCHEMA, vault, ckpt)
-    monkeypatch.setattr(dedup, "append", real)
+    monkeypatch.setattr(dedup, "store", real)
     stream_dedup(spark, landing, SCHEMA, vault, ckpt)
     assert stored(spark, vault) == [1, 2, 3]
 

@@ -42,6 +42,17 @@ def _options(pairs: list[str]) -> dict:
     return out
 
 
+def _table_options(pairs: list[str]) -> dict[str, dict]:
+    """``table:key=value`` settings by table."""
+    out: dict[str, dict] = {}
+    for p in pairs or []:
+        name, colon, rest = p.partition(":")
+        if not colon:
+            raise ValueError(f"--table-option takes TABLE:KEY=VALUE, not {p!r}")
+        out.setdefault(name, {}).update(_options([rest]))
+    return out
+
+
 def cmd_ingest(a) -> int:
     from .plans.ingest import ingest_all
     from .sources.schema import load_config, meter_tables
@@ -53,19 +64,23 @@ def cmd_ingest(a) -> int:
     base = _options(a.option)
     lake = a.lake.rstrip("/")
 
+    by_table = _table_options(a.table_option)
+
     def options_for(t):
-        o = dict(base)
-        if a.kind == "jdbc":
+        """The run's options, over them those of the table's definition, and over those the command line's for it."""
+        o = {**base, **dict(t.source_options), **by_table.get(t.name, {})}
+        kind = t.source_kind or a.kind
+        if kind == "jdbc":
             o.setdefault("dbtable", f"{a.source_schema}.{t.name}" if a.source_schema else t.name)
-        elif a.kind == "table":
-            o["name"] = f"{a.source_schema}.{t.name}" if a.source_schema else t.name
-        else:
-            o["path"] = f"{a.source_root.rstrip('/')}/{t.name}"
+        elif kind == "table":
+            o.setdefault("name", f"{a.source_schema}.{t.name}" if a.source_schema else t.name)
+        elif kind != "sql":
+            o.setdefault("path", f"{(a.source_root or '').rstrip('/')}/{t.name}")
         return o
 
     state = WatermarkStore(spark, a.state or f"{lake}/_load_state")
     status = ingest_all(spark, tables, a.kind, options_for, lambda t: f"{lake}/{t.name}", state,
-                        raise_on_error=False)
+                        raise_on_error=False, fail_on_null=a.fail_on_null)
     status.show(len(tables), truncate=False)
     return 1 if status.filter("error IS NOT NULL").count() else 0
 
@@ -80,7 +95,7 @@ def cmd_build(a) -> int:
     res = run_build(spark, src, a.vault, load_ts=a.load_ts, key_mode=a.key_mode,
                     dedup_sources=True, run_checks=not a.no_checks,
                     raise_on_check_failure=False, compact=a.compact,
-                    lookback_hours=a.lookback_hours)
+                    lookback_hours=a.lookback_hours, catalog=a.catalog, buckets=a.buckets, key_sketch=a.key_sketch)
     for name, n in res.appended.items():
         print(f"{name}: +{n}")
     if res.checks is not None:
@@ -141,6 +156,8 @@ def main(argv=None) -> int:
     i.add_argument("--kind", default="parquet",
                    choices=["jdbc", "parquet", "csv", "json", "orc", "table"])
     i.add_argument("--option", action="append", help="reader option key=value")
+    i.add_argument("--table-option", action="append", help="reader option of one table, TABLE:key=value")
+    i.add_argument("--fail-on-null", action="store_true", help="NULLs in required columns fail the table's load")
     i.add_argument("--source-root", help="folder with one sub-folder per table (files)")
     i.add_argument("--source-schema", help="schema/namespace of the source tables")
     i.add_argument("--lake", required=True)
@@ -154,6 +171,9 @@ def main(argv=None) -> int:
     b.add_argument("--key-mode", default="natural", choices=["natural", "md5"])
     b.add_argument("--no-checks", action="store_true")
     b.add_argument("--compact", action="store_true", help="satellites keep change points only")
+    b.add_argument("--catalog", help="store the tables in this namespace; VAULT keeps the build's own state")
+    b.add_argument("--buckets", type=int, default=0, help="bucket catalog tables by their key")
+    b.add_argument("--key-sketch", action="store_true", help="keep a filter of the measurements' keys")
     b.add_argument("--lookback-hours", type=int, help="stage only readings this far behind the newest")
     b.set_defaults(fn=cmd_build)
     r = sub.add_parser("run", help="ingest, build and check in one job")

@@ -113,13 +113,17 @@ def customer_asset_hierarchy(v: VaultFrames) -> DataFrame:
                           "customer_hk", "customer_account_hk", "asset_hk"))
 
 
-def meters(assets: DataFrame, accounts: DataFrame, readings: DataFrame) -> DataFrame:
+def meters(assets: DataFrame, accounts: DataFrame, readings: DataFrame | None = None,
+           last: DataFrame | None = None) -> DataFrame:
     """Legacy view: one row per asset with its installation and last read time.
 
     Readings are reduced to one row per asset (``max(interval_end)``) before the
-    join; the outer grouping then sees at most one row per asset and account.
+    join; the outer grouping then sees at most one row per asset and account. ``last`` (``asset_id``, ``last_read``)
+    may supply that reduction, kept up to date batch by batch.
     """
-    last = readings.groupBy("asset_id").agg(F.max("interval_end").alias("last_read"))
+    if last is None:
+        last = readings.groupBy("asset_id").agg(F.max("interval_end").alias("last_read"))
+    last = last.select("asset_id", "last_read")
     a = assets.select("asset_id", "account_id", "asset_type", "installation_date", "status")
     ca = accounts.select("account_id", "installation_id")
     j = a.join(ca, "account_id", "left").join(last, "asset_id", "left")

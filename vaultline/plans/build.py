@@ -4,12 +4,13 @@ The reading-grain staging feeds four loads and the asset-grain staging five; eac
 computed once and written under the shared checkpoint folder (a lineage cut
 that survives executor loss), so the fact is read twice however many loads there
 are. The loads are independent jobs and are submitted together from a small thread
-pool so the cluster runs them side by side. Check failures are collected and
-raised at the end of the run; the staged copies are deleted.
+pool so the cluster runs them side by side. Checks count what each load adds (``check_state.py``); failures are
+raised at the end of the run; the staged copies are deleted. Tables are folders or catalog tables (``targets.py``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,8 +26,11 @@ from ..operators.vault import (HUBS, LINKS, LOAD_DAY, LOAD_TS, SAT_ASSET_MEASURE
 from ..operators.window import latest_by
 from ..session import delete_path, scratch_path, sized_shuffles
 from ..sources.fixtures import Sources
-from .ingest import late_filter
-from .sinks import append, create_view, observed, read_or_none
+from . import measurements
+from .check_state import CheckState, Counts, new_repeats, null_metrics, report
+from .ingest import late_filter, new_load_id
+from .sinks import create_view, observed, read_or_none
+from .targets import CatalogTarget, PathTarget
 
 VAULT_TABLES = ("hub_customer", "hub_customer_account", "hub_asset",
                 "link_customer_account", "link_account_asset", "sat_customer_details",
@@ -44,11 +48,11 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def read_vault(spark: SparkSession, root: str) -> VaultFrames:
+def read_vault(spark: SparkSession, root: str, target: PathTarget | CatalogTarget | None = None) -> VaultFrames:
     """The stored raw-vault tables (measurements without the partition column)."""
     frames = {}
     for n in VAULT_TABLES:
-        df = spark.read.parquet(table_path(root, n))
+        df = spark.read.parquet(table_path(root, n)) if target is None else target.read(n)
         frames[n] = df.drop(LOAD_DAY) if LOAD_DAY in df.columns else df
     return VaultFrames(**frames)
 
@@ -80,6 +84,7 @@ def register_views(spark: SparkSession, root: str, load_ts: str | None = None) -
 CURRENT_SUFFIX = "__current"
 MARKER_SUFFIX = "__current_marker"
 MARKER = "sat_rows"
+CHECK_STATE = "_check_state"
 BUCKET = "key_bucket"
 BUCKETS = 256
 
@@ -108,40 +113,77 @@ def _load_current(spark: SparkSession, root: str, sat: Satellite,
     return _bucketed(rebuilt, sat), n, True
 
 
+MOST_RANGES = 200
+
+
+def _days(rows: DataFrame) -> list:
+    """The distinct days of the rows' load times, ascending (as many values as the batch has days)."""
+    got = rows.select(F.to_date(LOAD_TS).alias("d")).filter("d IS NOT NULL").distinct().collect()
+    return sorted(r.d for r in got)
+
+
+def _day_ranges(days: list, most: int = MOST_RANGES) -> list[tuple]:
+    """Days as at most ``most`` ranges (first, last), neighbours together; then the smallest gaps are included."""
+    ranges: list[list] = []
+    for d in days:
+        if ranges and (d - ranges[-1][1]).days <= 1:
+            ranges[-1][1] = d
+        else:
+            ranges.append([d, d])
+    if len(ranges) > most:
+        gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i][0] - ranges[i - 1][1], reverse=True)
+        cut = [0, *sorted(gaps[:most - 1]), len(ranges)]
+        ranges = [[ranges[a][0], ranges[z - 1][1]] for a, z in zip(cut, cut[1:])]
+    return [tuple(r) for r in ranges]
+
+
 def _unstored(rows: DataFrame, stored: DataFrame, sat: Satellite) -> DataFrame:
     """Rows that are not stored already with the same key, time and content: a replayed batch
-    adds nothing, even where it holds several versions of a key. Only stored rows
-    of the batch's time range are read."""
-    lo, hi = rows.agg(F.min(LOAD_TS), F.max(LOAD_TS)).first()
-    if lo is None:
-        return rows
+    adds nothing, even where it holds several versions of a key. ``rows`` are written already; only stored rows of
+    the days that they touch are read (as ranges, which reach the scan), however late one of them is."""
+    near = F.lit(False)
+    for first, last in _day_ranges(_days(rows)):
+        begin, end = (F.to_timestamp_ntz(F.lit(f"{d} 00:00:00")) for d in (first, last + dt.timedelta(days=1)))
+        near = near | ((F.col(LOAD_TS) >= begin) & (F.col(LOAD_TS) < end))
     same = [sat.hk, LOAD_TS, sat.hashdiff]
-    near = stored.filter(F.col(LOAD_TS).between(F.lit(lo).cast("timestamp_ntz"),
-                                                F.lit(hi).cast("timestamp_ntz")))
-    return rows.join(near.select(*same), same, "left_anti").select(*rows.columns)
+    return rows.join(stored.filter(near).select(*same), same, "left_anti").select(*rows.columns)
+
+
+def _append_observed(rows: DataFrame, name: str, target, partition_by=None) -> dict[str, int]:
+    """Append and return what was written: ``rows`` and the NULLs of the checked columns."""
+    obs = Observation(f"load_{name}_{new_load_id()}")
+    metrics = [F.count(F.lit(1)).alias("rows"), *null_metrics(name)]
+    names = ["rows", *[f"null_{c}" for c in quality.VAULT_CHECKS[name].not_null]]
+    target.append(rows.observe(obs, *metrics), name, partition_by)
+    return {n: int(observed(obs, n, 0)) for n in names}
 
 
 def _load_satellite(spark: SparkSession, root: str, staged: DataFrame, sat: Satellite,
-                    stored: DataFrame | None) -> int:
-    """Append new satellite versions and keep the current-version table in step: new rows and
-    the buckets of the table that they touch -> scratch, append the rows, replace those buckets."""
+                    stored: DataFrame | None, target: PathTarget | CatalogTarget | None = None) -> dict[str, int]:
+    """Append new satellite versions and keep the current-version table in step. Later loads write what is new to scratch
+    first, and replace the buckets of the current-version table that it touches."""
+    target = target or PathTarget(spark, root)
     current, n, whole = _load_current(spark, root, sat, stored)
     scratch = scratch_path(spark, f"{sat.name}-load")
     rows = satellite_rows(staged, sat, existing=stored, current=current)
-    if stored is not None:  # a batch's changes, read several times below
-        _unstored(rows, stored, sat).write.parquet(f"{scratch}/rows")
-        rows = spark.read.parquet(f"{scratch}/rows")
-    before = current
-    if not whole:
-        touched = [r[0] for r in _bucketed(rows.select(sat.hk), sat).select(BUCKET).distinct().collect()]
-        before = current.filter(F.col(BUCKET).isin(touched))  # at most BUCKETS values
-    obs = Observation(f"versions_{sat.name}")
-    merged = merge_current(before, rows.observe(obs, F.count(F.lit(1)).alias("rows")), sat)
-    _bucketed(merged, sat).write.parquet(f"{scratch}/current")
-    k = int(observed(obs, "rows"))
-    if k:
-        append(rows, table_path(root, sat.name))
+    if stored is None:
+        got = _append_observed(rows, sat.name, target)
+        new = target.read(sat.name)
+        k, before = new.count() if new is not None else 0, None
+    else:
+        rows.write.parquet(f"{scratch}/changed")
+        _unstored(spark.read.parquet(f"{scratch}/changed"), stored, sat).write.parquet(f"{scratch}/rows")
+        new = spark.read.parquet(f"{scratch}/rows")
+        k, before = new.count(), current
+        got = {"rows": 0, **{f"null_{c}": 0 for c in quality.VAULT_CHECKS[sat.name].not_null}}
     if k or whole:
+        if not whole:
+            touched = [r[0] for r in _bucketed(new.select(sat.hk), sat).select(BUCKET).distinct().collect()]
+            before = current.filter(F.col(BUCKET).isin(touched))  # at most BUCKETS values
+        merged = merge_current(before, new, sat) if new is not None else before
+        _bucketed(merged, sat).write.parquet(f"{scratch}/current")
+        if stored is not None and k:
+            got = _append_observed(new, sat.name, target)
         mode = "static" if whole else "dynamic"
         (spark.read.parquet(f"{scratch}/current").hint("rebalance", BUCKET).write.mode("overwrite")
          .option("partitionOverwriteMode", mode).partitionBy(BUCKET)
@@ -150,14 +192,15 @@ def _load_satellite(spark: SparkSession, root: str, staged: DataFrame, sat: Sate
             .write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .parquet(table_path(root, sat.name + MARKER_SUFFIX))
     delete_path(spark, scratch)
-    return k
+    return {**got, "rows": k}
 
 
 def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None = None,
               key_mode: str = "natural", dedup_sources: bool = True,
               run_checks: bool = True, raise_on_check_failure: bool = True,
               parallelism: int = 4, compact: bool = False,
-              lookback_hours: int | None = None) -> BuildResult:
+              lookback_hours: int | None = None, catalog: str | None = None, buckets: int = 0,
+              key_sketch: bool = False) -> BuildResult:
     """Build (or incrementally extend) the vault stored under ``root``.
 
     Hubs and links come from the asset-grain staging (readings reduced per asset
@@ -169,21 +212,26 @@ def run_build(spark: SparkSession, src: Sources, root: str, load_ts: str | None
 
     ``dedup_sources`` (lake tables keep row versions) uses each dimension's current row.
     ``compact`` stores only the change points of satellites. ``lookback_hours`` stages only readings
-    that arrived later than that before the newest stored measurement (default: all).
+    that arrived later than that before the newest stored measurement (default: all). ``catalog`` stores the tables in that
+    namespace (``buckets``: by hash of their keys), with the build's own state still below ``root``. ``key_sketch`` keeps
+    a filter of the measurements' keys, so that new readings are loaded without a look at the table.
     """
+    target = CatalogTarget(spark, catalog, buckets) if catalog else PathTarget(spark, root)
+    if catalog and key_sketch:
+        raise ValueError("key_sketch needs a vault of folders")
     scratch = scratch_path(spark, "build")
     with sized_shuffles(spark, src.readings):
         try:
             return _run_build(spark, src, root, scratch, load_ts, key_mode, dedup_sources, run_checks,
-                              raise_on_check_failure, parallelism, compact, lookback_hours)
+                              raise_on_check_failure, parallelism, compact, lookback_hours, target, key_sketch)
         finally:
             delete_path(spark, scratch)
 
 
 def _run_build(spark, src, root, scratch, load_ts, key_mode, dedup_sources, run_checks,
-               raise_on_check_failure, parallelism, compact, lookback_hours) -> BuildResult:
+               raise_on_check_failure, parallelism, compact, lookback_hours, target, key_sketch) -> BuildResult:
     readings = src.readings
-    measured = read_or_none(spark, table_path(root, SAT_ASSET_MEASUREMENTS.name))
+    measured = target.read(SAT_ASSET_MEASUREMENTS.name)
     if lookback_hours is not None and measured is not None:
         readings = late_filter(readings, measured.select(F.col(LOAD_TS).alias("creation_time")),
                                "creation_time", lookback_hours)
@@ -196,42 +244,58 @@ def _run_build(spark, src, root, scratch, load_ts, key_mode, dedup_sources, run_
                                     key_mode=key_mode, dedup_sources=dedup_sources), "staged")
     first_seen = seen_rows(written(stage_asset_span(readings, src.assets, src.customer_accounts,
                                                     src.customers, key_mode, dedup_sources), "span"), "first")
-    stored = {n: df for n in VAULT_TABLES
-              if (df := read_or_none(spark, table_path(root, n))) is not None}
+    stored = {n: df for n in VAULT_TABLES if (df := target.read(n)) is not None}
     by_name = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES)}
+    check_state, load_id = CheckState(spark, table_path(root, CHECK_STATE)), new_load_id()
+    known = check_state.known()
+    check_state.mark(VAULT_TABLES, load_id)
 
-    def plan(name: str) -> DataFrame:
-        ex = stored.get(name)
-        if name in {h.name for h in HUBS}:
-            return hub_rows(first_seen, by_name[name], ex)
-        if name in {ln.name for ln in LINKS}:
-            return link_rows(first_seen, by_name[name], ex)
-        return with_load_day(measurement_rows(staged, SAT_ASSET_MEASUREMENTS, ex,
-                                              prune_days=True))
+    def keyed_rows(name: str) -> DataFrame:
+        rows = hub_rows if name in {h.name for h in HUBS} else link_rows
+        return rows(first_seen, by_name[name], stored.get(name))
 
-    def load(name: str) -> tuple[str, int]:
+    def load(name: str) -> tuple[str, dict[str, int], Counts]:
+        repeats: Counts = {}
         if name in {s.name for s in SATELLITES}:
             sat = by_name[name]
-            rows = staged
-            if compact:
-                rows = satellite_rows(staged, sat, compact=True)
-            return name, _load_satellite(spark, root, rows, sat, stored.get(name))
-        obs = Observation(f"load_{name}")
-        append(plan(name).observe(obs, F.count(F.lit(1)).alias("rows")),
-               table_path(root, name), PARTITIONED.get(name))
-        return name, int(observed(obs, "rows"))
+            got = _load_satellite(spark, root, satellite_rows(staged, sat, compact=True) if compact else staged,
+                                  sat, stored.get(name), target)
+        elif name == SAT_ASSET_MEASUREMENTS.name:
+            def put(rows: DataFrame) -> dict[str, int]:
+                return _append_observed(rows, name, target, PARTITIONED[name])
+            if isinstance(target, CatalogTarget):
+                got = put(with_load_day(measurement_rows(staged, SAT_ASSET_MEASUREMENTS, stored.get(name), prune_days=True)))
+            else:
+                got = measurements.load(spark, staged, target.path(name), key_sketch, put)
+        else:
+            rows = written(keyed_rows(name), name)  # small: read by the check of repeats, and by the append
+            for key in quality.VAULT_CHECKS[name].unique:
+                repeats[key, "unique"] = new_repeats(rows, stored.get(name), key).first()[0]
+            got = _append_observed(rows, name, target)
+        nulls = {(c.removeprefix("null_"), "not_null"): n for c, n in got.items() if c != "rows"}
+        return name, got, {**nulls, **repeats}
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        appended = dict(pool.map(load, VAULT_TABLES))
+        loaded = list(pool.map(load, VAULT_TABLES))
+    appended = {name: got["rows"] for name, got, _ in loaded}
 
     for ref in REFERENCE_ROWS:  # full refresh (small fixed tables)
-        reference_table(spark, ref, load_ts).coalesce(1).write.mode("overwrite") \
-            .parquet(table_path(root, ref))
-
+        target.replace(reference_table(spark, ref, load_ts).coalesce(1), ref)
+
+    # tables whose counts were complete, or that are new, add up; others are read in full, if checks are wanted
+    counted = {name: counts for name, _, counts in loaded if (name in known or name not in stored) and (
+        len(counts) == len(quality.VAULT_CHECKS[name].not_null) + len(quality.VAULT_CHECKS[name].unique))}
+    rest = [n for n in VAULT_TABLES if n not in counted] if run_checks else []
+    if rest:
+        frames = read_vault(spark, root, target).as_dict()
+        for r in quality.run_checks(frames, {n: quality.VAULT_CHECKS[n] for n in rest}).collect():
+            counted.setdefault(r.table_name, {})[r.column_name, r.test] = r.failures
+    check_state.add(load_id, counted, [n for n in counted if n in rest or n not in stored])
     checks = None
     if run_checks:
-        stored_now = read_vault(spark, root).as_dict()
-        checks = quality.run_checks(stored_now)
+        totals = {n: {c: v + (0 if n in rest else known.get(n, {}).get(c, 0)) for c, v in counts.items()}
+                  for n, counts in counted.items()}
+        checks = report(spark, totals)
         p = table_path(root, "_checks")
         checks.write.mode("overwrite").parquet(p)
         checks = spark.read.parquet(p)

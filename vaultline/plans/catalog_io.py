@@ -15,26 +15,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.temporal import ntz_literal
-from ..operators import quality
+from ..operators import business, quality
+from ..operators.references import reference_table
 from ..operators.staging import seen_rows, stage_asset_span, stage_readings
 from ..operators.vault import (HUB_CUSTOMER, SAT_ASSET_MEASUREMENTS, hub_rows,
                                measurement_rows)
 from ..session import apply_conf, scratch_path
 from ..sources import fixtures
-from ..sources.schema import meter_tables, to_struct
+from ..sources.readers import source_frame
+from ..sources.schema import FieldDef, TableDef, meter_tables, to_struct
 from ..sources.state import WatermarkStore
 from ..streaming.dedup import stream_dedup
 from ..streaming.loads import stream_load
+from . import measurements
 from .build import read_vault, run_build
+from .folds import fold, folded, meter_reads, quality_reads
 from .ingest import (ingest, ingest_all, plan_ingest, register_new_files, registered_files,
                      unregistered_rows)
 from .sinks import BATCH, merge, save_table, upsert
+from .targets import CatalogTarget
 
 # Fixed parameters of the scenarios.
 LATE_WINDOW_HOURS = 48     # late rows: created within this many hours before batch 1 ended
 LOOKBACK_HOURS = 24        # re-read window behind the watermark
 EVENTS_WAVE2_START = "2024-01-16 00:00:00"
 EVENTS_DELAY = dt.timedelta(days=1)
+HUB_BUCKETS = 16
 
 READINGS = meter_tables()["readings"]
 
@@ -231,6 +237,19 @@ def q_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                              registered_files(spark, target)).drop("__file")
 
 
+def q_registered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries registered file by file, from the last run's mark on; a third run finds nothing."""
+    apply_conf(spark)
+    root = scratch_path(spark, "registered")
+    landing, target, schema = f"{root}/landing", f"{root}/raw_readings", to_struct(READINGS)
+    r = fixtures.sources(spark, sf_dir).readings
+    for part in (_before_batch_end(), ~_before_batch_end(), None):
+        if part is not None:
+            _land(r.filter(part), landing)
+        register_new_files(spark, landing, schema, target, overlap_hours=24)
+    return spark.read.parquet(target).select(*READINGS.names)
+
+
 def q_stream_hub_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings arrive in two deliveries; a file stream stages each micro-batch
     against the dimensions and appends new customer hub keys."""
@@ -310,5 +329,81 @@ def q_stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*SAT_ASSET_MEASUREMENTS.columns)
 
 
+def q_meters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The legacy meters view from state that is folded batch by batch; the second batch comes twice."""
+    apply_conf(spark)
+    root, s = scratch_path(spark, "meters"), fixtures.sources(spark, sf_dir)
+    for batch, part in ((1, _before_batch_end()), (2, ~_before_batch_end()), (2, ~_before_batch_end())):
+        fold(spark, root, meter_reads(), s.readings.filter(part), batch)
+    return business.meters(s.assets, s.customer_accounts, last=folded(spark, root, meter_reads()))
+
+
+def q_quality_counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings by quality and status, folded batch by batch from the measurements."""
+    apply_conf(spark)
+    root, s = scratch_path(spark, "quality"), fixtures.sources(spark, sf_dir)
+    rows = measurement_rows(stage_readings(s.readings, s.assets, s.customer_accounts, s.customers))
+    first = F.col("load_ts") < ntz_literal(fixtures.BATCH1_END)
+    for batch, part in ((1, first), (2, ~first)):
+        fold(spark, root, quality_reads(), rows.filter(part), batch)
+    return folded(spark, root, quality_reads())
+
+
+def q_measurements_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of measurements, loaded by a filter of the stored keys; the second holds the first again."""
+    apply_conf(spark)
+    path = f"{scratch_path(spark, 'key-filter')}/sat_asset_measurements"
+    for batch in (1, None):
+        s = fixtures.sources(spark, sf_dir, batch=batch)
+        staged = stage_readings(s.readings, s.assets, s.customer_accounts, s.customers)
+        measurements.load(spark, staged, path, use_sketch=True)
+    return spark.read.parquet(path).select(*SAT_ASSET_MEASUREMENTS.columns)
+
+
+def q_hub_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New hub keys of the second delivery against a stored hub that is bucketed by its key."""
+    apply_conf(spark)
+    target = CatalogTarget(spark, "vaultline_" + scratch_path(spark, "x").rsplit("-", 1)[-1], buckets=HUB_BUCKETS)
+    s1, s = fixtures.sources(spark, sf_dir, batch=1), fixtures.sources(spark, sf_dir)
+
+    def hub(x, existing=None):
+        return hub_rows(seen_rows(stage_asset_span(x.readings, x.assets, x.customer_accounts, x.customers),
+                                  "first"), HUB_CUSTOMER, existing)
+    target.append(hub(s1), HUB_CUSTOMER.name)
+    return hub(s, target.read(HUB_CUSTOMER.name))
+
+
+def q_incremental_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vault's column checks after two builds: the second one adds what its rows bring to the counts of the first."""
+    apply_conf(spark)
+    root = scratch_path(spark, "incremental-checks")
+    for batch in (1, None):
+        got = run_build(spark, fixtures.sources(spark, sf_dir, batch=batch), root, raise_on_check_failure=False)
+    return got.checks
+
+
+def q_source_query_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose definition brings its own query: readings of suspect quality with their meter's type."""
+    apply_conf(spark)
+    s, name = fixtures.sources(spark, sf_dir), "q_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    s.readings.createOrReplaceTempView(f"{name}_readings")
+    s.assets.createOrReplaceTempView(f"{name}_assets")
+    table = TableDef("suspect_readings", (*READINGS.fields, FieldDef("asset_type", "string")), source_query=f"""
+        SELECT r.*, a.asset_type FROM {name}_readings r JOIN {name}_assets a USING (asset_id) WHERE r.quality_code = 'SUSPECT'""")
+    return source_frame(spark, table, "sql", {})
+
+
+def q_reference_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full-refresh reference table, refreshed twice, met by the readings that use its codes."""
+    apply_conf(spark)
+    path = f"{scratch_path(spark, 'reference')}/ref_reading_type"
+    for _ in range(2):
+        reference_table(spark, "ref_reading_type", "2025-01-01 00:00:00").coalesce(1).write.mode("overwrite").parquet(path)
+    codes = spark.read.parquet(path)
+    key = codes.columns[0]
+    used = fixtures.sources(spark, sf_dir).readings.groupBy(F.col("reading_type").alias(key)).agg(F.count(F.lit(1)).alias("readings"))
+    return codes.select(key).join(used, key, "left").select(F.col(key).alias("code"), F.coalesce("readings", F.lit(0)).alias("readings"))
+
+
 IO_QUERIES = {name[2:]: fn for name, fn in dict(globals()).items()
               if name.startswith("q_") and callable(fn)}

@@ -15,7 +15,9 @@ unregistered files are appended; each row keeps its source file.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import urllib.parse
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -146,9 +148,10 @@ def plan_ingest(spark: SparkSession, table: TableDef, source: DataFrame, target:
 
 def ingest(spark: SparkSession, table: TableDef, kind: str, options: dict, target: str,
            state: WatermarkStore | None = None, lookback_hours: int | None = None,
-           dedup_keys: Sequence[str] | None = None, source: DataFrame | None = None
-           ) -> IngestResult:
-    """Load one table from a source into the Parquet table at ``target``."""
+           dedup_keys: Sequence[str] | None = None, source: DataFrame | None = None,
+           fail_on_null: bool = False) -> IngestResult:
+    """Load one table from a source into the Parquet table at ``target``. NULLs in required columns are counted; with
+    ``fail_on_null`` they are the load's ``error`` (its rows stay in the raw layer, where they can be looked at)."""
     src = extract(source, table) if source is not None else source_frame(spark, table, kind,
                                                                           options)
     rows = plan_ingest(spark, table, src, target, state, lookback_hours, dedup_keys)
@@ -172,13 +175,14 @@ def ingest(spark: SparkSession, table: TableDef, kind: str, options: dict, targe
         last = state.last_value(table.name, wm_field) if state is not None else None
         if state is not None and (last is None or watermark > last):  # late rows don't move it back
             state.save(table.name, wm_field, watermark)
-    return IngestResult(table.name, int(observed(obs, "rows")), watermark,
-                        null_required=int(observed(obs, "missing") or 0) if table.required else 0)
+    missing = int(observed(obs, "missing") or 0) if table.required else 0
+    error = f"{missing} NULLs in required columns {list(table.required)}" if missing and fail_on_null else None
+    return IngestResult(table.name, int(observed(obs, "rows")), watermark, error, null_required=missing)
 
 
 def ingest_all(spark: SparkSession, tables: Sequence[TableDef], kind: str,
                options_for, target_for, state: WatermarkStore | None = None,
-               raise_on_error: bool = True) -> DataFrame:
+               raise_on_error: bool = True, fail_on_null: bool = False) -> DataFrame:
     """Load every table; a failing table does not stop the others, but the run
     fails at the end (after reporting) unless ``raise_on_error`` is False.
 
@@ -188,7 +192,7 @@ def ingest_all(spark: SparkSession, tables: Sequence[TableDef], kind: str,
     results = []
     for t in tables:
         try:
-            results.append(ingest(spark, t, kind, options_for(t), target_for(t), state))
+            results.append(ingest(spark, t, t.source_kind or kind, options_for(t), target_for(t), state, fail_on_null=fail_on_null))
         except Exception as ex:  # isolate the failure, report it below
             log.error("failed to load %s: %s", t.name, ex)
             results.append(IngestResult(t.name, 0, None, f"{type(ex).__name__}: {ex}"))
@@ -214,6 +218,7 @@ def unregistered_rows(landing: DataFrame, manifest: DataFrame | None) -> DataFra
 
 
 MANIFEST = "_manifest"
+MODIFIED = "modified_at"
 
 
 def manifest_path(target: str) -> str:
@@ -221,29 +226,50 @@ def manifest_path(target: str) -> str:
     return f"{target.rstrip('/')}/{MANIFEST}"
 
 
+def listed_files(spark: SparkSession, landing_path: str, after=None) -> DataFrame:
+    """``file_path`` and ``modified_at`` of the landing files, from the listing alone: no file is opened."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if after is not None:
+        r = r.option("modifiedAfter", after.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    # the path as the rows' own metadata tell it
+    return r.load(landing_path).select(F.col("_metadata.file_path").alias("file_path"),
+                                       F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"))
+
+
 def register_new_files(spark: SparkSession, landing_path: str, schema, target: str,
                        partition_by: Sequence[str] | None = None,
-                       file_col: str = SOURCE_FILE) -> int:
+                       file_col: str = SOURCE_FILE, overlap_hours: int | None = None) -> int:
     """Append the rows of landing files that are not registered in the target yet.
 
     The manifest holds one row per registered file, so finding new files is a
-    join over file names, not over the table's rows. The new names are noted as pending, the
+    join over file names, from a listing that opens none of them. With ``overlap_hours`` only files modified since that long
+    before the latest registered one are compared, with the manifest's rows of that time; a file that lands with an older
+    time (copied with its time kept) is then not seen, which is why the whole listing is the default. The new
+    names are noted as pending, the
     data is appended, and the names go to the manifest. A run that died in between
     leaves the note: the next run looks up which of its files have rows in the target, and
-    registers those instead of loading them again. File names stay in tables; only row
-    counts reach the driver. Returns the number of rows appended.
+    registers those instead of loading them again. The names of a run's new files reach the driver, which hands them to the
+    reader, so that old files are not opened. Returns the number of rows appended.
     """
     _settle_pending(spark, target, file_col)
-    landing = spark.read.schema(schema).parquet(landing_path)
-    files = landing.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-    manifest = read_or_none(spark, manifest_path(target))
+    manifest, after = read_or_none(spark, manifest_path(target)), None
+    if manifest is not None and MODIFIED in manifest.columns and overlap_hours is not None:
+        high = manifest.agg(F.max(MODIFIED)).first()[0]
+        if high is not None:
+            after = high - dt.timedelta(hours=overlap_hours)
+            manifest = manifest.filter((F.col(MODIFIED) >= F.lit(after).cast("timestamp_ntz")) | F.col(MODIFIED).isNull())
+    files = listed_files(spark, landing_path, after)
     if manifest is not None:
         files = files.join(manifest.select("file_path"), "file_path", "left_anti")
     note = f"{manifest_path(target)}_pending"
     files.write.mode("overwrite").parquet(note)
     pending = spark.read.parquet(note)
+    new = [r.file_path for r in pending.select("file_path").collect()]
+    if not new:
+        delete_path(spark, note)
+        return 0
+    landing = spark.read.schema(schema).option("basePath", landing_path).parquet(*[urllib.parse.unquote(f) for f in new])
     rows = landing.withColumn(file_col, F.col("_metadata.file_path"))
-    rows = rows.join(pending.select(F.col("file_path").alias(file_col)), file_col, "left_semi")
     obs = Observation("register_files")
     append(rows.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
     _record(pending, target)
@@ -267,7 +293,7 @@ def _settle_pending(spark: SparkSession, target: str, file_col: str) -> None:
 
 
 def _record(files: DataFrame, target: str) -> None:
-    (files.select("file_path", F.localtimestamp().alias("registered_at"))
+    (files.select("file_path", F.localtimestamp().alias("registered_at"), MODIFIED)
      .write.mode("append").parquet(manifest_path(target)))
 
 

@@ -70,17 +70,25 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
 
 
 def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-               fmt: str = "parquet", location: str | None = None, replace: bool = False) -> None:
+               fmt: str = "parquet", location: str | None = None, replace: bool = False,
+               bucket_by: tuple[int, str] | None = None) -> None:
     """Append to a catalog table, creating its namespace and the table (with ``location`` and
-    format) if missing; ``replace`` refreshes it in full."""
+    format) if missing; ``replace`` refreshes it in full. ``bucket_by`` (how many, column) stores the rows by hash of the
+    column and sorted by it; the batch is dealt by it first, so that each append adds one file per bucket."""
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if bucket_by:
+        df = df.repartition(*bucket_by)
     w = df.write.format(fmt).mode("overwrite" if replace else "append")
     if location:
         w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        w = w.bucketBy(*bucket_by).sortBy(bucket_by[1])
     w.saveAsTable(name)
 
 
@@ -176,9 +184,15 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
             values = [r[0] for r in source.select(c).distinct().collect()]
             named = F.col(c).isin([v for v in values if v is not None])
             current = current.filter(named | F.col(c).isNull() if None in values else named)
-    generation = scratch_path(spark, "upsert-generation")
-    upsert_rows(current, source.select(*columns), keys).write.mode("overwrite").parquet(generation)
-    note = spark.createDataFrame([(generation, parts)], PENDING)
+    replace_partitions(spark, upsert_rows(current, source.select(*columns), keys), path, parts)
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Put ``rows`` in place of the partitions that they have (without partitions: of the table); ``rows`` may read
+    the table. A run that dies once all rows are written is finished by the next read."""
+    generation = scratch_path(spark, "generation")
+    rows.write.mode("overwrite").parquet(generation)
+    note = spark.createDataFrame([(generation, list(partition_by))], PENDING)
     note.coalesce(1).write.mode("overwrite").parquet(_pending_path(path))
     finish_upsert(spark, path)
 
@@ -195,8 +209,8 @@ def write_checkpoint(df: DataFrame, name: str) -> DataFrame:
 def observed(obs, key: str, default=0):
     """A metric of a finished ``Observation``. When AQE proves the observed plan
     empty it removes the plan, metrics node included, and the observation ends
-    with a row without fields: nothing was written, so the default applies. Any other failure is raised."""
-    try:
-        return obs.get.get(key, default)
-    except TypeError:  # what a row without fields gives
+    with a row without a schema: nothing was written, so the default applies. A failure is raised."""
+    jvm_side = getattr(obs, "_jo", None)
+    if jvm_side is not None and jvm_side.getRow().schema() is None:
         return default
+    return obs.get.get(key, default)

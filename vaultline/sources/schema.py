@@ -63,6 +63,8 @@ class TableDef:
     primary_key: str | None = None
     lookback_hours: int = 0  # how far behind the watermark late rows are looked for
     dedup_keys: tuple[str, ...] = ()  # what makes a row the same row (default: all columns)
+    source_kind: str | None = None  # the reader of this table, if not the run's
+    source_options: tuple[tuple[str, str], ...] = ()  # of its reader, over the run's own
 
     @property
     def names(self) -> list[str]:
@@ -104,7 +106,8 @@ def parse_tables(config: dict | str) -> list[TableDef]:
                                incremental_field=t.get("incremental_field"),
                                primary_key=t.get("primary_key"),
                                lookback_hours=int(t.get("lookback_hours") or 0),
-                               dedup_keys=tuple(t.get("dedup_keys") or ())))
+                               dedup_keys=tuple(t.get("dedup_keys") or ()), source_kind=t.get("source_kind"),
+                               source_options=tuple((k, str(v)) for k, v in (t.get("source_options") or {}).items())))
     return tables
 
 
@@ -180,5 +183,9 @@ def to_config(tables) -> dict:
             d["lookback_hours"] = t.lookback_hours
         if t.dedup_keys:
             d["dedup_keys"] = list(t.dedup_keys)
+        if t.source_kind:
+            d["source_kind"] = t.source_kind
+        if t.source_options:
+            d["source_options"] = dict(t.source_options)
         out.append(d)
     return {"tables": out}

@@ -27,9 +27,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.temporal import ntz_literal
 from ..operators.staging import stage_readings_only
-from ..operators.vault import LOAD_DAY, SAT_ASSET_MEASUREMENTS, measurement_rows, with_load_day
+from ..operators.vault import SAT_ASSET_MEASUREMENTS, measurement_rows
 from ..operators.window import latest_by
-from ..plans.sinks import append, read_or_none
+from ..plans.measurements import store
+from ..plans.sinks import read_or_none
 from .ledger import BEGUN, DONE, Ledger, stream_name
 from .loads import FILES_PER_TRIGGER, LEDGER, run_stream
 
@@ -70,7 +71,7 @@ def dedup_loader(root: str, checkpoint: str, keys: Sequence[str], event_time: st
                 # a load that began in an earlier attempt may be in the table
                 existing = read_or_none(spark, path) if steps.get(first) == BEGUN else None
                 ledger.note(epoch, first, BEGUN)
-                append(with_load_day(measurement_rows(rows, SAT_ASSET_MEASUREMENTS, existing, prune_days=True)), path, [LOAD_DAY])
+                store(spark, measurement_rows(rows, SAT_ASSET_MEASUREMENTS, existing, prune_days=True), path)
                 ledger.note(epoch, first, DONE, top)
             if steps.get(later) != DONE:
                 high = ledger.high(epoch, first)
@@ -79,7 +80,7 @@ def dedup_loader(root: str, checkpoint: str, keys: Sequence[str], event_time: st
                     missed = missed | (F.col(event_time) <= ntz_literal(high - delay))
                 rows = latest_by(batch.filter(~F.col(ON_TIME) & missed).drop(EVENT, ON_TIME), keys, [])
                 rows = measurement_rows(stage_readings_only(rows), SAT_ASSET_MEASUREMENTS, read_or_none(spark, path), prune_days=True)
-                append(with_load_day(rows), path, [LOAD_DAY])
+                store(spark, rows, path)
                 ledger.note(epoch, later, DONE)
         finally:
             batch.unpersist()

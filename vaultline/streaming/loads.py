@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import stage_readings, stage_readings_only
-from ..operators.vault import (HUBS, LINKS, LOAD_DAY, SAT_ASSET_MEASUREMENTS, SATELLITES,
-                               hub_rows, link_rows, measurement_rows, with_load_day)
+from ..operators.vault import (HUBS, LINKS, SAT_ASSET_MEASUREMENTS, SATELLITES, hub_rows,
+                               link_rows, measurement_rows)
 from ..operators.window import latest_by
+from ..plans import measurements
 from ..plans.build import _load_satellite
 from ..plans.sinks import append, read_or_none
 from .ledger import DONE, Ledger, stream_name
@@ -44,8 +45,7 @@ def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> N
     elif name in {ln.name for ln in LINKS}:
         rows = link_rows(staged, b, existing)
     elif name == SAT_ASSET_MEASUREMENTS.name:
-        rows = with_load_day(measurement_rows(staged, b, existing, prune_days=True))
-        append(rows, path, [LOAD_DAY])
+        measurements.store(spark, measurement_rows(staged, b, existing, prune_days=True), path)
         return
     else:  # versions against the maintained current-version table, as in the batch build
         _load_satellite(spark, root, staged, b, existing)
