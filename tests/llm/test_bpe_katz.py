@@ -121,6 +121,63 @@ def test_scores_match_brute_force_over_blocks_and_parts(spark, few_docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)  # a better model than the base
 
 
+def brute_recursive(docs, trained, order):
+    """log10 of each text's probability by the definition, written as a recursion over histories."""
+    tokens = {k: [*words(t, lower=True), None] for k, t in docs}
+    counts = [collections.Counter() for _ in range(order)]
+
+    def history(t, i, m):
+        """The m - 1 words before place i, or as many as there are after the start."""
+        return tuple(["<s>", *t[:i]][-(m - 1):]) if m > 1 else ()
+    for k in trained:
+        t = tokens[k]
+        for i, w in enumerate(t):
+            for m in range(1, order + 1):
+                h = history(t, i, m)
+                if len(h) == m - 1:
+                    counts[m - 1][h, w] += 1
+    kept = []
+    for c in counts:
+        n = collections.Counter(c.values())
+        d, over = katz.discounts([n[x] for x in range(7)], 5)
+        kept.append(lambda x, d=d, over=over: x * d[x] if x <= 5 else x - over)
+    after = collections.defaultdict(dict)
+    for c in counts:
+        for (h, w), x in c.items():
+            after[h][w] = x
+    total = sum(counts[0].values())
+    unknown = 1 - sum(map(kept[0], counts[0].values())) / total
+    weights = {}
+
+    def p(h, w):
+        if not h:
+            return kept[0](after[()][w]) / total if w in after[()] else unknown
+        own = after.get(h)
+        if own is None:
+            return p(h[1:], w)
+        if w in own:
+            return kept[len(h)](own[w]) / sum(own.values())
+        if h not in weights:
+            weights[h] = ((1 - sum(kept[len(h)](x) for x in own.values()) / sum(own.values()))
+                          / (1 - sum(p(h[1:], v) for v in own)))
+        return weights[h] * p(h[1:], w)
+    for h in [h for h in after if len(h) == order - 1][:5]:  # every distribution sums to one
+        assert abs(sum(p(h, w) for w in after[()]) + p(h, "never seen at all") - 1) < 1e-9
+    return {k: sum(math.log10(p(history(t, i, order), w)) for i, w in enumerate(t)) for k, t in tokens.items()}
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_the_order_is_a_setting_and_backoff_recursive(spark, few_docs, order):
+    extra = [(-1, None), (-2, ""), (-3, "unheard of words The the"), (-4, "the")]
+    docs = few_docs.select("doc_id", "text").limit(60).union(spark.createDataFrame(extra, "doc_id long, text string")).cache()
+    data = [(r.doc_id, r.text) for r in docs.collect()]
+    trained = {k for k, _ in data if zlib.crc32(str(k).encode()) % 7 != 2}
+    s = katz.Settings(order=order, block_tokens=4_000, part_keys=9_000)
+    expect = brute_recursive(data, trained, order)
+    for r in katz.score(docs, ~held_out(F.col("doc_id"), 7), s).collect():
+        assert abs(r.score - expect[r.doc_id]) < 1e-9 * max(1, abs(expect[r.doc_id])), r
+
+
 def good_turing(n, k=5):
     """Katz ratios from counts of counts on the least-squares line of their logarithms, solved by hand."""
     x, y = [math.log(c) for c in range(1, k + 2)], [math.log(n[c]) for c in range(1, k + 2)]

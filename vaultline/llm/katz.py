@@ -1,16 +1,17 @@
-"""Language-model scoring by Katz backoff over words.
+"""Language-model scoring by Katz backoff.
 
-The model has two orders. A word seen after a history keeps its Good-Turing discounted share of
-the history's count; any other word shares what is left in proportion to its own discounted
-probability, and a word never seen has the mass that the seen words gave up:
+The model has ``order`` orders (n-grams of 1 to ``order`` words). A word seen after a history keeps its Good-Turing
+discounted share of the history's count; any other word shares what is left in proportion to its probability after the
+history without its first word, recursively; a word never seen has the mass that the seen words gave up:
 
-    p(w | h) = d2(c(h, w)) c(h, w) / c(h)     if c(h, w) > 0
-             = a(h) p(w)                      if the history is known
-             = p(w)                           otherwise
-    p(w)     = d1(c(w)) c(w) / N, and 1 - sum of these for an unknown word
-    a(h)     = (1 - sum of p(w | h) over words seen after h) / (1 - sum of p(w) over these)
+    p(w | h) = d(c(h, w)) c(h, w) / c(h)      if c(h, w) > 0
+             = a(h) p(w | h without its first word)   if the history is known
+             = p(w | h without its first word)        otherwise
+    p(w)     = d(c(w)) c(w) / N, and 1 - sum of these for an unknown word
+    a(h)     = (1 - sum of p(w | h) over words seen after h) / (1 - sum of p(w | shorter h) over these)
 
-so every distribution sums to one exactly. Counts over ``reliable`` lose the same absolute
+so every distribution sums to one exactly. The start of a text is a history of its own; longer histories begin there. Counts
+over ``reliable`` lose the same absolute
 amount as ``reliable`` does; each history therefore always leaves something. Copied documents put humps in
 the counts of counts, so these are smoothed before ratios are taken (Simple Good-Turing: a line through their logarithms).
 Only a count whose ratio still is not between 0 and 1 (no line, or one that falls too slowly: tiny
@@ -20,19 +21,20 @@ How it runs:
 
 1. Documents are read into blocks of about ``block_tokens`` tokens (whole documents), with tokens
    numbered within the block, and stored.
-2. Each block sends its distinct words and word pairs with their training counts to the
+2. Each block sends its distinct n-grams of each order with their training counts to the
    partitions of the key space (one packed cell per block and partition). A partition adds the
    counts up, and stores its part of the count tables as answers in the order of the blocks' keys,
    with the counts of counts. Of the blocks that hold a key one is named its owner.
-3. A block meets its answers and scores its documents as far as its own counts go. Owners send each pair's
-   share of ``a(h)``; what is still missing is ``log a(h)`` of unseen pairs, which are sent as (history,
-   document, how often).
+3. A block meets its answers and scores its documents as far as its own counts go. Owners send each n-gram's
+   share of ``a(h)``; what is still missing is ``log a(h)`` for each order that a token backs off from, which are sent as
+   (history, document, how often).
 4. ``a(h)`` is a grouped sum, stored, and joined to those needs. A frequent history is summed up before its shuffle.
 
 Memory per task is bounded by the block and by ``part_keys``. What is shuffled grows with the distinct
-pairs per block. Words and pairs are told apart by 64-bit hashes.
+n-grams per block. They are told apart by 64-bit hashes.
 
-Edge cases: null and empty texts are the end token alone. Rows are scored one by one, so repeated rows (and
+Edge cases: null and empty texts are the end token alone; a text of any length is scored whole, within one block (it may
+be longer than ``block_tokens``); an empty table gives no rows. Rows are scored one by one, so repeated rows (and
 repeated or null ids) stay. Without any training document every probability is one. Other columns are not read.
 """
 
@@ -51,12 +53,13 @@ from .packed import pack, pack_keys, unpack, unpack_keys
 from .tables import discard, stored, to_arrow
 
 END, START = np.uint64(0), np.uint64(1)  # keys of the end token and of the start of a text
-WORDS, PAIRS = 0, 1
+WORDS, PAIRS = 0, 1  # kinds of counts: order 1, order 2 and so on
 PAIR_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Settings:
+    order: int = 2
     reliable: int = 5  # counts over it are not estimated by Good-Turing
     block_tokens: int = 1_500_000
     part_keys: int = 1_000_000  # of a partition of the key space, summed over blocks
@@ -158,28 +161,45 @@ def blocks(docs: DataFrame, training: Column, s: Settings) -> DataFrame:
     return stored(given.mapInArrow(run, schema), "lm-blocks")
 
 
+class Grams:
+    """The distinct n-grams of one order in a block. ``at``: positions that end one; ``place``: which; ``history``: key
+    of the n-gram without its last word; ``first``: a position of each distinct one."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray, history: np.ndarray):
+        self.at, self.history = at, history
+        self.keys, first, self.place = np.unique(keys, return_index=True, return_inverse=True)
+        self.first = at[first]
+
+
 class Block:
-    """The tokens of one block, its distinct pairs, and who is who."""
+    """The tokens of one block, its distinct n-grams, and who is who."""
 
-    def __init__(self, n, train, keys: bytes, ids: bytes):
+    def __init__(self, n, train, keys: bytes, ids: bytes, order: int):
         self.n = np.asarray(n, np.int64)
         self.keys, self.ids = unpack_keys(keys), unpack(ids, np.uint32).astype(np.int64)
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
         self.train = np.asarray(train, bool)[self.doc]
-        before = np.empty(len(self.ids), np.int64)
-        before[1:] = self.ids[:-1]
         starts = np.cumsum(self.n) - self.n
-        before[starts] = -1  # the start of a text
-        self.before = before
-        history = np.where(before < 0, START, self.keys[before])
-        pair = W.mixed(history * PAIR_MIX + self.keys[self.ids])
-        self.pairs, self.first, self.pair = np.unique(pair, return_index=True, return_inverse=True)
+        pos = np.arange(len(self.ids)) - starts[self.doc]
+        token = self.keys[self.ids]
+        shorter = token  # key of the n-gram of the order before that ends at each position
+        self.grams: list[Grams] = []
+        for m in range(2, order + 1):
+            history = np.full(len(token), START)
+            history[1:][pos[1:] > 0] = shorter[:-1][pos[1:] > 0]
+            at = np.flatnonzero(pos >= m - 2)  # the start of a text is the shortest history
+            longer = np.zeros(len(token), np.uint64)
+            longer[at] = W.mixed(history[at] * PAIR_MIX + token[at])
+            self.grams.append(Grams(longer[at], at, history))
+            shorter = longer
+        self.starts = pos == 0
 
     def counts(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Keys and training counts of words and pairs."""
-        w = np.bincount(self.ids[self.train], minlength=len(self.keys))
-        p = np.bincount(self.pair[self.train], minlength=len(self.pairs))
-        return {WORDS: (self.keys, w), PAIRS: (self.pairs, p)}
+        """Keys and training counts of each order."""
+        out = {WORDS: (self.keys, np.bincount(self.ids[self.train], minlength=len(self.keys)))}
+        for k, g in enumerate(self.grams, PAIRS):
+            out[k] = (g.keys, np.bincount(g.place[self.train[g.at]], minlength=len(g.keys)))
+        return out
 
 
 def _cut(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,12 +221,14 @@ def counted(held: DataFrame, parts: int, s: Settings) -> DataFrame:
         for b in batches:
             for row in b.to_pylist():
                 rows = []
-                block = Block(row["n"], row["train"], row["keys"], row["ids"])
+                block = Block(row["n"], row["train"], row["keys"], row["ids"], s.order)
                 for kind, (keys, n) in block.counts().items():
+                    if not len(keys):  # texts too short for the order
+                        continue
                     part, edges = _cut(keys, parts)
                     for i, p in enumerate(part.tolist()):
                         a, z = edges[i], edges[i + 1]
-                        rows.append({"part": 2 * p + kind, "kind": kind, "block": row["block"],
+                        rows.append({"part": s.order * p + kind, "kind": kind, "block": row["block"],
                                      "keys": pack_keys(keys[a:z]), "n": pack(n[a:z].astype(np.uint32))})
                 yield pa.RecordBatch.from_pylist(rows, schema=to)
 
@@ -237,10 +259,10 @@ def counted(held: DataFrame, parts: int, s: Settings) -> DataFrame:
 
 
 def orders(counts: DataFrame, s: Settings) -> dict[int, Order]:
-    """Discounts of both orders, from the partitions' counts of counts (summed up by Spark)."""
+    """Discounts of all orders, from the partitions' counts of counts (summed up by Spark)."""
     got = (counts.filter("block is null").select("kind", F.posexplode("stats").alias("i", "x"))
            .groupBy("kind", "i").agg(F.sum("x").alias("x")).collect())
-    stats = {kind: np.zeros(s.reliable + 3, np.int64) for kind in (WORDS, PAIRS)}
+    stats = {kind: np.zeros(s.reliable + 3, np.int64) for kind in range(s.order)}
     for r in got:
         stats[r.kind][r.i] = r.x
     return {kind: Order.of(x, s.reliable) for kind, x in stats.items()}
@@ -253,7 +275,7 @@ def score(docs: DataFrame, training: Column, s: Settings = Settings()) -> DataFr
     tokens = held.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     counts = counted(held, max(1, -(-tokens // s.part_keys)), s)
     model = orders(counts, s)
-    one, two = model[WORDS], model[PAIRS]
+    one = model[WORDS]
     kind = held.schema["doc_id"].dataType.elementType.simpleString()
     schema = (f"what int, block long, i int, doc_id {kind}, train boolean, n_tokens long, n_known long, base double, "
               "part double, history long, n long, left double, beneath double")
@@ -265,43 +287,54 @@ def score(docs: DataFrame, training: Column, s: Settings = Settings()) -> DataFr
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        b = Block(row["n"], row["train"], row["keys"], row["ids"])
+        b = Block(row["n"], row["train"], row["keys"], row["ids"], s.order)
         right = right.sort_by([("kind", "ascending"), ("part", "ascending")])
-        got = {k: ([], []) for k in (WORDS, PAIRS)}
+        got = {k: ([], []) for k in range(s.order)}
         for k, n, own in zip(*(right.column(c).to_pylist() for c in ("kind", "n", "owner"))):
             got[k][0].append(unpack(n, np.uint64))
             got[k][1].append(unpack(own, np.bool_))
-        word, pair = (np.concatenate(got[k][0]).astype(np.int64) for k in (WORDS, PAIRS))
-        mine = np.concatenate(got[PAIRS][1])
+        count = [np.concatenate([np.zeros(0, np.uint64), *got[k][0]]).astype(np.int64) for k in range(s.order)]
+        word = count[WORDS]
 
         base = np.log10((word + 1) / (one.total + one.types + 1))
-        p = np.where(word > 0, one.kept(word) / max(one.total, 1), one.unknown)
-        log_p = np.log10(p)
-        after, history = b.ids[b.first], b.before[b.first]  # of each distinct pair
-        texts = word[0]  # the end token's key is the lowest
-        c = np.where(history < 0, texts, word[history])
-        log_pair = np.log10(np.where(pair > 0, two.kept(pair), 1) / np.maximum(c, 1))
-        seen = pair > 0
-        part = np.where(seen, log_pair, log_p[after])
+        p = np.where(word > 0, one.kept(word) / max(one.total, 1), one.unknown)  # of each distinct word
+        texts = word[0]  # the end token's key is the lowest; as often as it, a text starts
+        below, log_p = p[b.ids], np.log10(p)[b.ids]  # of each token, by the orders so far
+        ended = word[b.ids]  # how often what ends at each position was seen
+        shares, needs = [], []
+        for k, g in enumerate(b.grams, PAIRS):
+            c = np.zeros(len(b.ids), np.int64)
+            c[1:] = ended[:-1]
+            c[b.starts] = texts
+            seen = count[k] > 0
+            now = np.zeros(len(b.ids), np.int64)
+            now[g.at] = count[k][g.place]
+            use = np.concatenate([np.zeros(0, bool), *got[k][1]]) & seen  # what this block owns
+            at = g.first[use]
+            kept = model[k].kept(count[k][use])
+            shares.append((g.history[at], (count[k][use] - kept) / np.maximum(c[at], 1), below[at]))
+            direct = now > 0
+            miss = np.flatnonzero(~direct & (c > 0) & (np.bincount(g.at, minlength=len(b.ids)) > 0))
+            needs.append((b.doc[miss], g.history[miss]))
+            below = np.where(direct, model[k].kept(now) / np.maximum(c, 1), below)
+            log_p = np.where(direct, np.log10(np.where(direct, below, 1)), log_p)
+            ended = now
         d = len(b.n)
         docs = frame(d, what=np.zeros(d, np.int32), block=np.full(d, row["block"]), i=np.arange(d),
                      doc_id=row["doc_id"], train=row["train"], n_tokens=b.n,
                      n_known=np.bincount(b.doc, word[b.ids] > 0, d).astype(np.int64),
-                     base=np.bincount(b.doc, base[b.ids], d), part=np.bincount(b.doc, part[b.pair], d))
-
-        key = np.where(history < 0, START, b.keys[history]).view(np.int64)  # of each pair's history
-        use = mine & seen
-        hs, at = np.unique(key[use], return_inverse=True)
-        shares = frame(len(hs), what=np.full(len(hs), 1, np.int32), history=hs,
-                       left=np.bincount(at, ((pair - two.kept(pair)) / np.maximum(c, 1))[use], len(hs)),
-                       beneath=np.bincount(at, p[after][use], len(hs)))
-
-        miss = (~seen & (c > 0))[b.pair]
-        need = np.stack([b.doc[miss], key[b.pair[miss]]], axis=1)
-        need, n = np.unique(need, axis=0, return_counts=True) if len(need) else (need, np.zeros(0, np.int64))
-        needs = frame(len(need), what=np.full(len(need), 2, np.int32), block=np.full(len(need), row["block"]),
-                      i=need[:, 0], history=need[:, 1], n=n)
-        return pa.concat_tables([docs, shares, needs])
+                     base=np.bincount(b.doc, base[b.ids], d), part=np.bincount(b.doc, log_p, d))
+
+        key, left, beneath = (np.concatenate(x) for x in zip(*shares)) if shares else (np.zeros(0, np.uint64),) * 3
+        hs, at = np.unique(key.view(np.int64), return_inverse=True)
+        shared = frame(len(hs), what=np.full(len(hs), 1, np.int32), history=hs,
+                       left=np.bincount(at, left, len(hs)), beneath=np.bincount(at, beneath, len(hs)))
+
+        owing, key = (np.concatenate(x) for x in zip(*needs)) if needs else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        need, n = np.unique(np.stack([owing, key.view(np.int64)], axis=1), axis=0, return_counts=True)
+        needed = frame(len(need), what=np.full(len(need), 2, np.int32), block=np.full(len(need), row["block"]),
+                       i=need[:, 0], history=need[:, 1], n=n)
+        return pa.concat_tables([docs, shared, needed])
 
     answers = counts.filter("block is not null").select("block", "kind", "part", "n", "owner")
     told = stored(held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema),
