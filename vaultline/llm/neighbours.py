@@ -90,6 +90,9 @@ class Pivots:
         return order, place
 
 
+SLICE_CELLS = 4_000_000  # rows x pivots whose orders a task holds at once
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` largest scores, ties to the smaller id."""
     if len(scores) > k:
@@ -116,7 +119,10 @@ def search(table: DataFrame, is_query: Column, s: Settings = Settings()) -> Data
               if chosen else None)
 
     def post(batches):
-        for b in batches:
+        # the orders of a slice's rows take 24 bytes a row and pivot: bounded by SLICE_CELLS, not by the batch
+        rows_at_once = max(1, SLICE_CELLS // max(1, len(pivots.p) if pivots else 1))
+        for b in (batch.slice(i, rows_at_once) for batch in batches for i in range(0, batch.num_rows, rows_at_once)):
+            b = b.take(pa.array(np.arange(b.num_rows)))
             x = _matrix(b.column("v"), dim)
             q = b.column("is_query").to_numpy(zero_copy_only=False)
             near = pivots.places(x)[0]
