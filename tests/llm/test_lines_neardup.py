@@ -1,4 +1,5 @@
 import collections
+import random
 import time
 
 import numpy as np
@@ -132,6 +133,25 @@ def test_a_large_group_of_different_near_copies(spark):
     assert grouped(neardup.near_duplicates(docs)) == brute_groups(data)
 
 
+def test_documents_of_one_template_make_few_pairs(spark, monkeypatch):
+    """Similar to 0.8 and hardly linked: few of the pairs that share a bucket are looked at."""
+    rng = random.Random(1)
+    looked = []
+    real = neardup._likely
+    monkeypatch.setattr(neardup, "_likely", lambda pairs, s: looked.append(pairs.count()) or real(pairs, s))
+    for n in (100, 400):
+        docs = []
+        for d in range(n):
+            text = [f"t{i}" for i in range(300)]
+            for slot in range(0, 300, 42):
+                text[slot] = f"v{rng.randrange(60)}"
+            docs.append((d, " ".join(text)))
+        got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+        assert got.filter("kept").count() > 0.9 * n
+    star, cross = looked[2:]
+    assert star + cross < 79_800 / 5  # pairs of 400 documents
+
+
 def test_near_duplicate_edge_cases(odd_docs, no_docs):
     docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert grouped(neardup.near_duplicates(odd_docs)) == brute_groups(docs)

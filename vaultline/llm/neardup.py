@@ -12,9 +12,10 @@ the maxima of registers, and two sets agree in a register with about their Jacca
    shingles that other candidates have too and, of these, with the most company: an original rather than an edited copy. For a pair, the counts of
    registers that are larger, smaller and equal give the maximum-likelihood similarity (the set sizes are known); pairs
    that it puts clearly below the threshold go, by ``slack`` = seven standard deviations. The rest are verified on the full sets.
-4. Connected components of the confirmed links settle most buckets: all members in one component. In the other buckets the
-   members of different components are paired (once, in the first bucket that they share), estimated and
-   verified too, so no link is lost to the star.
+4. Connected components of the confirmed links settle most buckets: all members in one component. Members of the other
+   buckets are paired across components if they share a shingle of their prefixes, the rarest shingles that
+   hold at least one common one of any link, and estimated and verified too, so no link is lost to the star. What documents of one
+   template have in common is frequent, and makes no pairs.
 
 A pair is only made if its sets could be linked at all: shingles that no other candidate has
 cannot be common, which bounds the similarity from above without looking at the pair.
@@ -22,7 +23,7 @@ cannot be common, which bounds the similarity from above without looking at the
 Buckets are counted before they are joined; a class of equal sets never meets itself. Sets are
 read again from the texts only for documents that share a bucket, and move only for pairs that the estimate leaves.
 
-Edge cases: null, empty and blank texts have no shingles and link with nothing; a text of fewer words is one shingle.
+Edge cases: an empty table gives no rows; a text of any length is read whole; null, empty and blank texts have no shingles and link with nothing; a text of fewer words is one shingle.
 Repeated rows have equal sets. A null ``doc_id`` is never the smallest one; a component without any id
 has a null ``component_id``, and its documents are kept if they are alone. Other columns are not read.
 """
@@ -201,6 +202,30 @@ def _likely(pairs: DataFrame, s: Settings) -> DataFrame:
     return map_arrow(pairs.select("a", "b", "na", "nb", "ra", "rb"), run, "a long, b long")
 
 
+def _least(sizes: Column, times: int, by: int) -> Column:
+    """``sizes * times / by``, rounded up."""
+    return F.floor((sizes * times + (by - 1)) / by)
+
+
+def _prefixes(docs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """``docs`` times the shingles that a link must share one of (prefix filter), with their place ``at``.
+
+    Shingles are in one order for all, the rare ones first. Two sets with ``least`` shingles in common share one of
+    the first ``n - least + 1`` of each. ``least`` is ``percent`` of the size at the least, and more for the smaller set of a
+    pair, whose prefix is ``short``. Shingles that only one document has take their place in the order, and need no row."""
+    items = sets.join(docs.select("row"), "row", "left_semi").select("row", F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    order = items.join(often, "item").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("often", "item"))).alias("shared"))
+    n = F.col("n")
+    own = n - F.size("shared")
+    long, short = (n - least + 1 for least in (_least(n, s.percent, 100), _least(n, 2 * s.percent, 100 + s.percent)))
+    first = F.slice("shared", F.lit(1), F.greatest(long - own, F.lit(0)).cast("int"))
+    placed = docs.join(order, "row").select(*docs.columns, own.alias("own"), short.alias("short_to"),
+                                            F.posexplode(first).alias("i", "x"))
+    at = F.col("own") + F.col("i") + 1
+    return placed.select(*docs.columns, F.col("x.item").alias("item"), at.alias("at"), (at <= F.col("short_to")).alias("short"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """The pairs that are links by their full sets."""
     one = sets.select(F.col("row").alias("a"), F.col("items").alias("ia"))
@@ -254,20 +279,18 @@ def links(docs: DataFrame, drawn: DataFrame, s: Settings = Settings()) -> DataFr
     placed = members.join(label.select(F.col("node").alias("row"), "label"), "row", "left").withColumn(
         "label", F.coalesce("label", "row"))
     open_ = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
-    rest = placed.join(open_, "key", "left_semi")
-    keys = rest.groupBy("row").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # at most one per band
-    # rows bring their registers along, so that pairs are estimated as they are made
-    rest = stored(rest.join(keys, "row").join(held.select("row", "registers"), "row"), "open-buckets")
-    one, two = (rest.select("key", *[F.col(c).alias(c + x) for c in ("row", "label", "n", "common", "keys", "registers")])
-                for x in ("a", "b"))
-    cross = one.join(two, (one["key"] == two["key"]) & (F.col("rowa") < F.col("rowb"))
-                     & (F.col("labela") != F.col("labelb"))
-                     & _possible(F.col("na"), F.col("commona"), F.col("nb"), F.col("commonb"), s)
-                     & (F.get(F.array_intersect("keysa", "keysb"), F.lit(0)) == one["key"]))
-    cross = cross.select(F.col("rowa").alias("a"), F.col("rowb").alias("b"), "na", "nb",
-                         F.col("registersa").alias("ra"), F.col("registersb").alias("rb"))
-    out = components(near.unionByName(confirmed(_likely(cross, s), "cross")))
-    discard(reps, met, held, sets, members, rest)
+    # one row per document of an open bucket; what it may share with another one that it is linked with is in its prefix
+    rest = stored(placed.join(open_, "key", "left_semi").select("row", "label", "n", "common").distinct(), "open-documents")
+    posts = stored(_prefixes(rest, sets, s), "prefixes")
+    one, two = (posts.select("item", *[F.col(c).alias(c + x) for c in ("row", "label", "n", "common", "at", "short")]) for x in ("a", "b"))
+    least = _least(F.col("na") + F.col("nb"), s.percent, 100 + s.percent)
+    behind = 1 + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))  # this shingle and all after it
+    cross = one.filter("shorta").join(two, "item").filter(
+        (F.struct("na", "rowa") < F.struct("nb", "rowb")) & (F.col("labela") != F.col("labelb")) & (behind >= least)
+        & _possible(F.col("na"), F.col("commona"), F.col("nb"), F.col("commonb"), s))
+    cross = cross.select(F.col("rowa").alias("a"), F.col("rowb").alias("b")).distinct()
+    out = components(near.unionByName(confirmed(_estimated(cross, held, s), "cross")))
+    discard(reps, met, held, sets, members, rest, posts)
     return out
 
 
