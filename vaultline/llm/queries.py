@@ -63,7 +63,7 @@ def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = katz.score(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id"), 7))
+    out = katz.score(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id"), 7), katz.Settings(order=3))
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
                       "train_tokens", "base_score", "score")
 
