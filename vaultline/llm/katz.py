@@ -61,7 +61,7 @@ PAIR_MIX = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     order: int = 2
     reliable: int = 5  # counts over it are not estimated by Good-Turing
-    block_tokens: int = 1_000_000
+    block_tokens: int = 500_000
     part_keys: int = 1_000_000  # of a partition of the key space, summed over blocks
 
 
