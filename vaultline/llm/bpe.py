@@ -1,24 +1,31 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
 Words (matches of the split pattern) repeat a lot, and a word's tokens depend on
-nothing but the word. So a task numbers the words of a large block of texts, lays the bytes of the
-new ones end to end, and replays the merges over all of them at once: an inverted index
-leads from each mergeable pair (named by the rank of the token it makes) to the
-positions where it stands; ranks are taken from a heap, lowest first, and a rank's merges are applied
-to all its positions together, touching only their neighbours. Texts are then encoded
-by looking words up.
+nothing but the word. So the corpus is encoded in three steps:
+
+1. texts become sequences of word numbers, each unit of whole texts with a list of its
+   distinct words (``numbered``, stored);
+2. the words of all units, dealt by word, form the corpus's word table. The bytes of many distinct words
+   are laid end to end and the merges replayed over all of them at once: an inverted index
+   leads from each mergeable pair (named by the rank of the token it makes) to the
+   positions where it stands; ranks are taken from a heap, lowest first, and a rank's merges are applied
+   to all its positions together, touching only their neighbours (``Merger``, ``replayed``);
+3. each unit gets the ids of its words and puts its texts together (``encode``).
 
 Merges are ordered as the public tokenizer library orders them: lowest rank
 first, leftmost first, and a word that is a token itself is taken whole. A token that can be part of
 one with a lower rank (tokens can be split in several ways) is made once per word at a time, so the
 lower rank comes first.
 
-There is no shuffle. Memory per task is bounded: a block has ``block_words`` words, a
-long text is encoded over several blocks (its digests go on from block to block), and the
-word table is emptied at ``cache_words`` entries.
+Shuffled are each unit's distinct words, their ids, and the word numbers of the texts; never texts. A common word
+has one row per unit. Memory per task is bounded: a unit's words are numbered anew (a new block) at
+``block_words`` distinct ones, also within a text, a long text comes in pieces, and rows are read in order, one
+block's ids at a time. The distinct words of an Arrow block are replayed ``replay_bytes`` at a time; a
+longer word alone.
 
 Edge cases: null is encoded like the empty text: no tokens, digests of nothing.
-Repeated rows give repeated results. Other columns of the table are not read.
+Repeated rows give repeated results. Very long texts and very long words take several pieces or a replay of their
+own. An empty table gives no rows. Other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -32,10 +39,12 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import to_arrow
+from . import words as W
+from .tables import stored, to_arrow
 
 ID = np.dtype("<u4")
 
@@ -43,9 +52,11 @@ ID = np.dtype("<u4")
 @dataclass(frozen=True)
 class Settings:
     pattern: str
-    block_words: int = 3_000_000
+    unit_words: int = 1_000_000  # a unit ends with the text that reaches this many
+    block_words: int = 400_000  # distinct words numbered together
     piece_words: int = 100_000  # of a long text handled at once
-    cache_words: int = 800_000
+    replay_rows: int = 500_000  # of the word table held at once
+    replay_bytes: int = 2 << 20  # of distinct words replayed at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,7 +70,6 @@ class Merger:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {r: t for t, r in ranks.items()}
         self.size = max(ranks.values()) + 1
         self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = [(ranks[t[:k]] * self.size + ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t))
@@ -161,85 +171,147 @@ class Merger:
             out[i] = packed[edges[k]:edges[k + 1]]
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        """Bytes of packed ids."""
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, ID).tolist()))
-
-
-def _pieces(texts, pattern, most: int):
-    """(number of the text, some of its words) in order; a long text comes in several pieces."""
-    for i, text in enumerate(texts):
-        if not text:
-            continue
-        if len(text) <= most:
-            yield i, pattern.findall(text)
-        else:
-            found = (m[0] for m in pattern.finditer(text))
-            while words := list(islice(found, most)):
-                yield i, words
-
-
-class Encoder:
-    """Numbers words as they come and encodes the new ones block by block."""
-
-    def __init__(self, ranks: dict[bytes, int], s: Settings):
-        self.merger, self.s = Merger(ranks), s
-        self.number: dict[str, int] = {}
-        self.codes: list[bytes] = []  # of the words numbered so far
-
-    def blocks(self, pieces):
-        """Lists of (number of the text, packed ids of a piece), block by block."""
-        held, n = [], 0
-        for i, words in pieces:
-            number = self.number
-            held.append((i, np.array([number.setdefault(w, len(number)) for w in words], np.int32)))
-            n += len(words)
-            if n >= self.s.block_words or len(number) >= self.s.cache_words:
-                yield self._encoded(held)
-                held, n = [], 0
-                if len(number) >= self.s.cache_words:
-                    self.number, self.codes = {}, []
-        if held:
-            yield self._encoded(held)
 
-    def _encoded(self, held):
-        new = [w.encode() for w in islice(self.number, len(self.codes), None)]
-        self.codes += self.merger.replay(new)
-        codes = self.codes
-        return ((i, b"".join([codes[w] for w in ws.tolist()])) for i, ws in held)
+def _pieces(text: str | None, pattern, most: int):
+    """The words of a text in order, and whether they are its last; a long text comes in several pieces."""
+    if not text or len(text) <= most:
+        yield pattern.findall(text or ""), True
+        return
+    found = (m[0] for m in pattern.finditer(text))
+    last = False
+    while not last:
+        words = list(islice(found, most))
+        last = len(words) < most
+        yield words, last
+
+
+def _planes(numbers: list[int]) -> bytes:
+    """Numbers as their lowest bytes, then the next ones, and so on: the high ones compress to little."""
+    return np.array(numbers, ID).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> list[int]:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(ID).ravel().tolist()
+
+
+def numbered(docs: DataFrame, s: Settings) -> DataFrame:
+    """Texts as word numbers, and the words of each block by number. Rows of two kinds: a piece of a
+    text (``unit``, ``block``, ``at`` its place in the unit, ``doc_id``, ``last`` of its text, ``numbers``) and a word
+    (``unit``, ``block``, ``at`` its number, ``word``)."""
+    given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = given.schema["doc_id"].dataType.simpleString()
+    to = to_arrow(schema := f"unit long, block int, at int, doc_id {kind}, last boolean, numbers binary, word string")
+
+    def run(batches):
+        pattern, number = regex.compile(s.pattern), {}
+        unit, block, at, n = TaskContext.get().partitionId() << 33, 0, 0, 0
+
+        def table():
+            m = len(number)
+            cols = [pa.array(np.full(m, unit)), pa.array(np.full(m, block, np.int32)), pa.array(np.arange(m, dtype=np.int32)),
+                    *(pa.nulls(m, f.type) for f in list(to)[3:6]), pa.array(list(number), pa.string())]
+            number.clear()
+            return pa.RecordBatch.from_arrays(cols, schema=to)
+
+        def pieces(rows, ids):
+            cols = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), [*list(to)[:3], pa.field("i", pa.int64()), *list(to)[4:6]])]
+            cols[3] = ids.take(cols[3]).cast(to.field("doc_id").type)
+            return pa.RecordBatch.from_arrays([*cols, pa.nulls(len(rows), pa.string())], schema=to)
+
+        for part in batches:
+            ids, rows, held = part.column("doc_id"), [], 0
+            for i, text in enumerate(part.column("text")):
+                for words, last in _pieces(text.as_py(), pattern, s.piece_words):
+                    rows.append((unit, block, at, i, last, _planes([number.setdefault(w, len(number)) for w in words])))
+                    at, n, held = at + 1, n + len(words), held + len(words)
+                    ended = last and n >= s.unit_words
+                    if ended or len(number) >= s.block_words:
+                        yield table()
+                        unit, block = (unit + 1, 0) if ended else (unit, block + 1)
+                        at, n = (0, 0) if ended else (at, n)
+                    if held >= s.unit_words:
+                        yield pieces(rows, ids)
+                        rows, held = [], 0
+            if rows:
+                yield pieces(rows, ids)
+        if number:
+            yield table()
+    return stored(given.mapInArrow(run, schema), "word-numbers")
+
+
+def replayed(words: DataFrame, ranks: dict[bytes, int], s: Settings) -> DataFrame:
+    """``unit``, ``block``, ``at`` and ``ids`` (packed) of each row's ``word``. The rows are dealt and sorted by
+    word, so that the merges are replayed over each distinct word of the corpus once (twice at the edge of an Arrow block)."""
+    to = to_arrow(schema := "unit long, block int, at int, ids binary")
+
+    def run(batches):
+        merger, held, rows = Merger(ranks), [], 0
+
+        def done():
+            part = pa.Table.from_batches(held).combine_chunks()
+            of, distinct = W.numbered(part.column("word").combine_chunks())
+            plain = distinct.cast(pa.binary()).to_pylist()
+            group = np.cumsum([0] + [len(w) for w in plain[:-1]]) // s.replay_bytes
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(plain)]
+            codes = [c for a, b in zip(edges[:-1], edges[1:]) for c in merger.replay(plain[a:b])]
+            cols = [part.column(f.name).combine_chunks().cast(f.type) for f in list(to)[:3]]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(codes, pa.binary()).take(pa.array(of))], schema=to)
+
+        for part in batches:
+            if part.num_rows:
+                held.append(part)
+                rows += part.num_rows
+            if rows >= s.replay_rows or sum(x.nbytes for x in held) >= 4 * s.replay_bytes:
+                yield done()
+                held, rows = [], 0
+        if held:
+            yield done()
+    return words.select("unit", "block", "at", "word").repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool = False) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, ``with_ids``, ``ids``
     (array of int) of each document. Decoding starts from the ids alone."""
-    given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = given.schema["doc_id"].dataType.simpleString()
+    corpus = numbered(docs, s)
+    kind = corpus.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
               + ", ids array<int>" * with_ids)
     to = to_arrow(schema)
+    codes = replayed(corpus.filter("word IS NOT NULL"), ranks, s)
+    pieces = corpus.filter("word IS NULL").drop("word")
+    both = (pieces.unionByName(codes, allowMissingColumns=True).repartition("unit")
+            .sortWithinPartitions("unit", "block", F.col("numbers").isNotNull(), "at"))
 
     def run(batches):
-        encoder, pattern = Encoder(ranks, s), regex.compile(s.pattern)
+        tokens = {r: t for t, r in ranks.items()}
+        block, codes = None, []
+        ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
         for part in batches:
-            n = part.num_rows
-            ids = [hashlib.sha256() for _ in range(n)]
-            plain = [hashlib.sha256() for _ in range(n)]
-            count, all_ids = [0] * n, [[] for _ in range(n)]
-            texts = (x.as_py() for x in part.column("text"))
-            for block in encoder.blocks(_pieces(texts, pattern, s.piece_words)):
-                for i, got in block:
-                    count[i] += len(got) // 4
-                    ids[i].update(got)
-                    plain[i].update(encoder.merger.decode(got))
-                    if with_ids:
-                        all_ids[i].append(got)
-            cols = [part.column("doc_id"), pa.array(count, pa.int64()),
-                    pa.array([x.hexdigest() for x in ids], pa.string()),
-                    pa.array([x.hexdigest() for x in plain], pa.string())]
+            rows, out, lists = [], [], []
+            columns = (part.column(c).to_pylist() for c in ("unit", "block", "numbers", "last", "ids"))
+            for i, (unit, k, numbers, last, code) in enumerate(zip(*columns)):
+                if (unit, k) != block:
+                    block, codes = (unit, k), []
+                if numbers is None:
+                    codes.append(code)
+                    continue
+                got = b"".join([codes[w] for w in _numbers(numbers)])
+                count += len(got) // 4
+                ids.update(got)
+                plain.update(b"".join(map(tokens.__getitem__, np.frombuffer(got, ID).tolist())))
+                if with_ids:
+                    parts.append(got)
+                if last:
+                    rows.append(i)
+                    out.append((count, ids.hexdigest(), plain.hexdigest()))
+                    lists.append(b"".join(parts))
+                    ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
+            if not rows:
+                continue
+            cols = [part.column("doc_id").take(pa.array(rows)), *(pa.array(list(c)) for c in zip(*out))]
             if with_ids:
-                joined = [b"".join(x) for x in all_ids]
-                off = np.cumsum([0] + [len(x) // 4 for x in joined])
-                flat = np.frombuffer(b"".join(joined), ID).astype(np.int32)
+                off = np.cumsum([0] + [len(x) // 4 for x in lists])
+                flat = np.frombuffer(b"".join(lists), ID).astype(np.int32)
                 cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)))
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
-    return given.mapInArrow(run, schema)
+    return both.mapInArrow(run, schema)
