@@ -50,7 +50,7 @@ def test_a_merge_that_makes_a_lower_rank_goes_on_with_it():
 
 def test_documents_round_trip_and_match_the_library(few_docs, odd_docs, no_docs, ranks, library):
     for docs, s in ((few_docs, bpe.Settings(P.PATTERN)),
-                    (odd_docs, bpe.Settings(P.PATTERN, unit_words=700, block_words=500, piece_words=300, replay_rows=400,
+                    (odd_docs, bpe.Settings(P.PATTERN, unit_words=700, block_words=500, piece_words=300, share_bytes=3000,
                                             replay_bytes=1000))):
         texts = collections.defaultdict(list)
         for r in docs.select("doc_id", "text").collect():

@@ -17,11 +17,11 @@ first, leftmost first, and a word that is a token itself is taken whole. A token
 one with a lower rank (tokens can be split in several ways) is made once per word at a time, so the
 lower rank comes first.
 
-Shuffled are each unit's distinct words, their ids, and the word numbers of the texts; never texts. A common word
-has one row per unit. Memory per task is bounded: a unit's words are numbered anew (a new block) at
-``block_words`` distinct ones, also within a text, a long text comes in pieces, and rows are read in order, one
-block's ids at a time. The distinct words of an Arrow block are replayed ``replay_bytes`` at a time; a
-longer word alone.
+Shuffled are each unit's distinct words, packed and compressed by share of the word table, their ids alike, and the word
+numbers of the texts; never texts. A common word is there once per unit. Memory per task is bounded: a unit's words are
+numbered anew (a new block) at ``block_words`` distinct ones, also within a text, a long text comes in pieces, and
+rows are read in order, one block's ids at a time. Shares grow in number with the corpus; their distinct words are
+replayed ``replay_bytes`` at a time, a longer word alone.
 
 Edge cases: null is encoded like the empty text: no tokens, digests of nothing.
 Repeated rows give repeated results. Very long texts and very long words take several pieces or a replay of their
@@ -33,6 +33,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import zlib
 from dataclasses import dataclass
 from itertools import islice
 
@@ -43,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import words as W
+from ..session import estimated_bytes
 from .tables import stored, to_arrow
 
 ID = np.dtype("<u4")
@@ -52,10 +53,10 @@ ID = np.dtype("<u4")
 @dataclass(frozen=True)
 class Settings:
     pattern: str
-    unit_words: int = 1_000_000  # a unit ends with the text that reaches this many
-    block_words: int = 400_000  # distinct words numbered together
+    unit_words: int = 3_000_000  # a unit ends with the text that reaches this many
+    block_words: int = 800_000  # distinct words numbered together
     piece_words: int = 100_000  # of a long text handled at once
-    replay_rows: int = 500_000  # of the word table held at once
+    share_bytes: int = 8 << 20  # of input to one share of the word table, and of packed words held at once
     replay_bytes: int = 2 << 20  # of distinct words replayed at once
 
 
@@ -185,88 +186,115 @@ def _pieces(text: str | None, pattern, most: int):
         yield words, last
 
 
-def _planes(numbers: list[int]) -> bytes:
-    """Numbers as their lowest bytes, then the next ones, and so on: the high ones compress to little."""
-    return np.array(numbers, ID).view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(numbers) -> bytes:
+    """Numbers as their lowest bytes, then the next ones, and so on, compressed: the high ones take little."""
+    return zlib.compress(np.asarray(numbers, ID).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
-def _numbers(planes: bytes) -> list[int]:
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(ID).ravel().tolist()
+def _unpacked(planes: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(planes), np.uint8).reshape(4, -1).T.copy().view(ID).ravel()
+
+
+def _cut(joined: bytes, lengths: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _shares(docs: DataFrame, s: Settings) -> int:
+    size = estimated_bytes(docs)
+    return max(64, -(-(size or 0) // s.share_bytes))
 
 
 def numbered(docs: DataFrame, s: Settings) -> DataFrame:
-    """Texts as word numbers, and the words of each block by number. Rows of two kinds: a piece of a
-    text (``unit``, ``block``, ``at`` its place in the unit, ``doc_id``, ``last`` of its text, ``numbers``) and a word
-    (``unit``, ``block``, ``at`` its number, ``word``)."""
+    """Texts as word numbers, and the words of each block by share of the word table (a hash of the word). Rows, by ``kind``:
+    0, a share of a block's words in order of number (``at`` the share; ``sizes`` and ``packed`` words);
+    1, the share of each of its words by number (``packed``);
+    2, a piece of a text (``at`` its place in the unit, ``doc_id``, ``last`` of its text, ``packed`` numbers)."""
     given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
-    to = to_arrow(schema := f"unit long, block int, at int, doc_id {kind}, last boolean, numbers binary, word string")
+    to = to_arrow(schema := (f"unit long, block int, kind int, at int, doc_id {kind}, last boolean, sizes binary, "
+                             "packed binary"))
+    shares = _shares(given, s)
+
+    def rows_of(rows, ids):
+        cols = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), [*list(to)[:4], pa.field("i", pa.int64()), *list(to)[5:]])]
+        cols[4] = ids.take(cols[4]).cast(to.field("doc_id").type)
+        return pa.RecordBatch.from_arrays(cols, schema=to)
 
     def run(batches):
         pattern, number = regex.compile(s.pattern), {}
         unit, block, at, n = TaskContext.get().partitionId() << 33, 0, 0, 0
 
         def table():
-            m = len(number)
-            cols = [pa.array(np.full(m, unit)), pa.array(np.full(m, block, np.int32)), pa.array(np.arange(m, dtype=np.int32)),
-                    *(pa.nulls(m, f.type) for f in list(to)[3:6]), pa.array(list(number), pa.string())]
+            words = [w.encode() for w in number]
             number.clear()
-            return pa.RecordBatch.from_arrays(cols, schema=to)
-
-        def pieces(rows, ids):
-            cols = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), [*list(to)[:3], pa.field("i", pa.int64()), *list(to)[4:6]])]
-            cols[3] = ids.take(cols[3]).cast(to.field("doc_id").type)
-            return pa.RecordBatch.from_arrays([*cols, pa.nulls(len(rows), pa.string())], schema=to)
+            share = np.array([zlib.crc32(w) for w in words], np.int64) % shares
+            size = np.array([len(w) for w in words], ID)
+            order = np.argsort(share, kind="stable")
+            edges = np.flatnonzero(np.diff(share[order])) + 1
+            rows = [(unit, block, 1, 0, None, None, None, _packed(share))]
+            for part in np.split(order, edges):
+                some = zlib.compress(b"".join([words[k] for k in part.tolist()]), 1)
+                rows.append((unit, block, 0, int(share[part[0]]), None, None, _packed(size[part]), some))
+            return rows
 
         for part in batches:
             ids, rows, held = part.column("doc_id"), [], 0
             for i, text in enumerate(part.column("text")):
                 for words, last in _pieces(text.as_py(), pattern, s.piece_words):
-                    rows.append((unit, block, at, i, last, _planes([number.setdefault(w, len(number)) for w in words])))
-                    at, n, held = at + 1, n + len(words), held + len(words)
+                    got = [number.setdefault(w, len(number)) for w in words]
+                    rows.append((unit, block, 2, at, i, last, None, _packed(got)))
+                    at, n, held = at + 1, n + len(got), held + len(got)
                     ended = last and n >= s.unit_words
                     if ended or len(number) >= s.block_words:
-                        yield table()
+                        if number:
+                            rows += table()
                         unit, block = (unit + 1, 0) if ended else (unit, block + 1)
                         at, n = (0, 0) if ended else (at, n)
                     if held >= s.unit_words:
-                        yield pieces(rows, ids)
+                        yield rows_of(rows, ids)
                         rows, held = [], 0
             if rows:
-                yield pieces(rows, ids)
+                yield rows_of(rows, ids)
         if number:
-            yield table()
+            yield rows_of(table(), pa.nulls(1, to.field("doc_id").type))
     return stored(given.mapInArrow(run, schema), "word-numbers")
 
 
 def replayed(words: DataFrame, ranks: dict[bytes, int], s: Settings) -> DataFrame:
-    """``unit``, ``block``, ``at`` and ``ids`` (packed) of each row's ``word``. The rows are dealt and sorted by
-    word, so that the merges are replayed over each distinct word of the corpus once (twice at the edge of an Arrow block)."""
-    to = to_arrow(schema := "unit long, block int, at int, ids binary")
+    """``unit``, ``block``, ``kind`` 0, ``at`` (the share), ``sizes`` (bytes of each word's ids) and ``packed`` ids of each row's
+    words. Rows are dealt and sorted by share, so that the merges are replayed over each distinct word of a share
+    once, as long as it stays within the bytes held at once."""
+    to = to_arrow(schema := "unit long, block int, kind int, at int, sizes binary, packed binary")
 
     def run(batches):
-        merger, held, rows = Merger(ranks), [], 0
-
-        def done():
-            part = pa.Table.from_batches(held).combine_chunks()
-            of, distinct = W.numbered(part.column("word").combine_chunks())
-            plain = distinct.cast(pa.binary()).to_pylist()
-            group = np.cumsum([0] + [len(w) for w in plain[:-1]]) // s.replay_bytes
-            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(plain)]
-            codes = [c for a, b in zip(edges[:-1], edges[1:]) for c in merger.replay(plain[a:b])]
-            cols = [part.column(f.name).combine_chunks().cast(f.type) for f in list(to)[:3]]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(codes, pa.binary()).take(pa.array(of))], schema=to)
-
+        merger = Merger(ranks)
+
+        def done(rows):
+            number, of = {}, []
+            for *_, sizes, packed in rows:
+                of.append([number.setdefault(w, len(number)) for w in _cut(zlib.decompress(packed), _unpacked(sizes))])
+            words = list(number)
+            group = np.cumsum([0] + [len(w) for w in words[:-1]]) // s.replay_bytes
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(words)]
+            codes = [c for a, b in zip(edges[:-1], edges[1:]) for c in merger.replay(words[a:b])]
+            size = np.array([len(c) for c in codes], ID)
+            out = [(*row[:4], _packed(size[ws]), _packed(np.frombuffer(b"".join([codes[w] for w in ws]), ID)))
+                   for row, ws in zip(rows, of)]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), to)], schema=to)
+
+        rows, held, share = [], 0, None
         for part in batches:
-            if part.num_rows:
-                held.append(part)
-                rows += part.num_rows
-            if rows >= s.replay_rows or sum(x.nbytes for x in held) >= 4 * s.replay_bytes:
-                yield done()
-                held, rows = [], 0
-        if held:
-            yield done()
-    return words.select("unit", "block", "at", "word").repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
+            for row in zip(*(part.column(f.name).to_pylist() for f in to)):
+                if rows and (held >= s.share_bytes or held >= s.replay_bytes and row[3] != share):
+                    yield done(rows)
+                    rows, held = [], 0
+                rows.append(row)
+                held, share = held + 3 * len(row[5]), row[3]
+        if rows:
+            yield done(rows)
+    return (words.select(*[f.name for f in to]).repartition("at").sortWithinPartitions("at", "unit", "block")
+            .mapInArrow(run, schema))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool = False) -> DataFrame:
@@ -277,25 +305,31 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool
     schema = (f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
               + ", ids array<int>" * with_ids)
     to = to_arrow(schema)
-    codes = replayed(corpus.filter("word IS NOT NULL"), ranks, s)
-    pieces = corpus.filter("word IS NULL").drop("word")
-    both = (pieces.unionByName(codes, allowMissingColumns=True).repartition("unit")
-            .sortWithinPartitions("unit", "block", F.col("numbers").isNotNull(), "at"))
+    codes = replayed(corpus.filter("kind = 0"), ranks, s)
+    both = (corpus.filter("kind > 0").unionByName(codes, allowMissingColumns=True).repartition("unit")
+            .sortWithinPartitions("unit", "block", "kind", "at"))
 
     def run(batches):
         tokens = {r: t for t, r in ranks.items()}
-        block, codes = None, []
+        block, by_share, codes = None, [], []
         ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
         for part in batches:
             rows, out, lists = [], [], []
-            columns = (part.column(c).to_pylist() for c in ("unit", "block", "numbers", "last", "ids"))
-            for i, (unit, k, numbers, last, code) in enumerate(zip(*columns)):
+            columns = (part.column(c).to_pylist() for c in ("unit", "block", "kind", "last", "sizes", "packed"))
+            for i, (unit, k, what, last, sizes, packed) in enumerate(zip(*columns)):
                 if (unit, k) != block:
-                    block, codes = (unit, k), []
-                if numbers is None:
-                    codes.append(code)
+                    block, by_share, codes = (unit, k), [], []
+                if what == 0:
+                    by_share += _cut(_unpacked(packed).tobytes(), _unpacked(sizes))
+                    continue
+                if what == 1:  # shares came in order, and their words in order of number
+                    order = np.argsort(_unpacked(packed), kind="stable").tolist()
+                    codes = [b""] * len(order)
+                    for w, code in zip(order, by_share):
+                        codes[w] = code
+                    by_share = []
                     continue
-                got = b"".join([codes[w] for w in _numbers(numbers)])
+                got = b"".join([codes[w] for w in _unpacked(packed).tolist()])
                 count += len(got) // 4
                 ids.update(got)
                 plain.update(b"".join(map(tokens.__getitem__, np.frombuffer(got, ID).tolist())))
