@@ -33,6 +33,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import lzma
 import zlib
 from dataclasses import dataclass
 from itertools import islice
@@ -53,9 +54,9 @@ ID = np.dtype("<u4")
 @dataclass(frozen=True)
 class Settings:
     pattern: str
-    unit_words: int = 3_000_000  # a unit ends with the text that reaches this many
+    unit_words: int = 8_000_000  # a unit ends with the text that reaches this many
     block_words: int = 800_000  # distinct words numbered together
-    piece_words: int = 100_000  # of a long text handled at once
+    piece_words: int = 100_000  # of texts sent in one row; a longer text comes in several
     share_bytes: int = 8 << 20  # of input to one share of the word table, and of packed words held at once
     replay_bytes: int = 2 << 20  # of distinct words replayed at once
 
@@ -188,13 +189,33 @@ def _pieces(text: str | None, pattern, most: int):
 
 def _packed(numbers) -> bytes:
     """Numbers as their lowest bytes, then the next ones, and so on, compressed: the high ones take little."""
-    return zlib.compress(np.asarray(numbers, ID).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zlib.compress(np.asarray(numbers, ID).view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
 
 
 def _unpacked(planes: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(planes), np.uint8).reshape(4, -1).T.copy().view(ID).ravel()
 
 
+#: Words in order, four bytes each: contexts follow the byte's place.
+SEQUENCE = {"format": lzma.FORMAT_RAW, "filters": [{"id": lzma.FILTER_LZMA2, "preset": 2, "lc": 2, "lp": 2, "pb": 2, "dict_size": 1 << 20}]}
+
+
+def _sequence(numbers: list[int], known: int) -> bytes:
+    """Word numbers, where ``known`` words had one before: 0 is the first use of the next number, k + 1 the word k."""
+    a = np.array(numbers, np.int64)
+    top = np.maximum(known, np.concatenate([[0], np.maximum.accumulate(a)[:-1] + 1])) if len(a) else a
+    return lzma.compress(np.where(a == top, 0, a + 1).astype(">u4").tobytes(), **SEQUENCE)
+
+
+def _resolved(packed: bytes, known: int) -> tuple[np.ndarray, int]:
+    """Word numbers of a sequence, and how many words have one after it."""
+    a = np.frombuffer(lzma.decompress(packed, **SEQUENCE), ">u4").astype(np.int64) - 1
+    first = a < 0
+    n = int(first.sum())
+    a[first] = known + np.arange(n)
+    return a, known + n
+
+
 def _cut(joined: bytes, lengths: np.ndarray) -> list[bytes]:
     ends = np.cumsum(lengths, dtype=np.int64).tolist()
     return [joined[a:b] for a, b in zip([0, *ends], ends)]
@@ -209,16 +230,19 @@ def numbered(docs: DataFrame, s: Settings) -> DataFrame:
     """Texts as word numbers, and the words of each block by share of the word table (a hash of the word). Rows, by ``kind``:
     0, a share of a block's words in order of number (``at`` the share; ``sizes`` and ``packed`` words);
     1, the share of each of its words by number (``packed``);
-    2, a piece of a text (``at`` its place in the unit, ``doc_id``, ``last`` of its text, ``packed`` numbers)."""
+    2, texts in order (``at`` their place in the unit, ``docs`` the ids of those that end here, ``sizes`` the words of each,
+    ``last`` whether the last of them ends here, ``packed`` numbers)."""
     given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
-    to = to_arrow(schema := (f"unit long, block int, kind int, at int, doc_id {kind}, last boolean, sizes binary, "
+    to = to_arrow(schema := (f"unit long, block int, kind int, at int, docs array<{kind}>, last boolean, sizes binary, "
                              "packed binary"))
     shares = _shares(given, s)
 
-    def rows_of(rows, ids):
-        cols = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), [*list(to)[:4], pa.field("i", pa.int64()), *list(to)[5:]])]
-        cols[4] = ids.take(cols[4]).cast(to.field("doc_id").type)
+    def sent(rows, ids):
+        """``rows`` as Arrow; their fifth fields are row numbers of ``ids``."""
+        cols = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), [*list(to)[:4], pa.field("i", pa.list_(pa.int64())), *list(to)[5:]])]
+        of = cols[4]
+        cols[4] = pa.ListArray.from_arrays(of.offsets, ids.take(of.flatten()).cast(to.field("docs").type.value_type))
         return pa.RecordBatch.from_arrays(cols, schema=to)
 
     def run(batches):
@@ -232,32 +256,39 @@ def numbered(docs: DataFrame, s: Settings) -> DataFrame:
             size = np.array([len(w) for w in words], ID)
             order = np.argsort(share, kind="stable")
             edges = np.flatnonzero(np.diff(share[order])) + 1
-            rows = [(unit, block, 1, 0, None, None, None, _packed(share))]
+            rows = [(unit, block, 1, 0, [], None, None, _packed(share))]
             for part in np.split(order, edges):
-                some = zlib.compress(b"".join([words[k] for k in part.tolist()]), 1)
-                rows.append((unit, block, 0, int(share[part[0]]), None, None, _packed(size[part]), some))
+                some = zlib.compress(b"".join([words[k] for k in part.tolist()]), 6)
+                rows.append((unit, block, 0, int(share[part[0]]), [], None, _packed(size[part]), some))
             return rows
 
         for part in batches:
-            ids, rows, held = part.column("doc_id"), [], 0
+            ids, rows = part.column("doc_id"), []
+            ends, sizes, numbers, known = [], [], [], len(number)
             for i, text in enumerate(part.column("text")):
                 for words, last in _pieces(text.as_py(), pattern, s.piece_words):
-                    got = [number.setdefault(w, len(number)) for w in words]
-                    rows.append((unit, block, 2, at, i, last, None, _packed(got)))
-                    at, n, held = at + 1, n + len(got), held + len(got)
-                    ended = last and n >= s.unit_words
-                    if ended or len(number) >= s.block_words:
+                    numbers += [number.setdefault(w, len(number)) for w in words]
+                    sizes.append(len(words))
+                    if last:
+                        ends.append(i)
+                    n += len(words)
+                    ended, full = last and n >= s.unit_words, len(number) >= s.block_words
+                    if not (ended or full or len(numbers) >= s.piece_words):
+                        continue
+                    rows.append((unit, block, 2, at, ends, last, _packed(sizes), _sequence(numbers, known)))
+                    at += 1
+                    if ended or full:
                         if number:
                             rows += table()
                         unit, block = (unit + 1, 0) if ended else (unit, block + 1)
                         at, n = (0, 0) if ended else (at, n)
-                    if held >= s.unit_words:
-                        yield rows_of(rows, ids)
-                        rows, held = [], 0
-            if rows:
-                yield rows_of(rows, ids)
+                    yield sent(rows, ids)
+                    rows, ends, sizes, numbers, known = [], [], [], [], len(number)
+            if sizes:
+                yield sent([(unit, block, 2, at, ends, True, _packed(sizes), _sequence(numbers, known))], ids)
+                at += 1
         if number:
-            yield rows_of(table(), pa.nulls(1, to.field("doc_id").type))
+            yield sent(table(), pa.nulls(0, to.field("docs").type.value_type))
     return stored(given.mapInArrow(run, schema), "word-numbers")
 
 
@@ -301,7 +332,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, ``with_ids``, ``ids``
     (array of int) of each document. Decoding starts from the ids alone."""
     corpus = numbered(docs, s)
-    kind = corpus.schema["doc_id"].dataType.simpleString()
+    kind = corpus.schema["docs"].dataType.elementType.simpleString()
     schema = (f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
               + ", ids array<int>" * with_ids)
     to = to_arrow(schema)
@@ -309,16 +340,24 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool
     both = (corpus.filter("kind > 0").unionByName(codes, allowMissingColumns=True).repartition("unit")
             .sortWithinPartitions("unit", "block", "kind", "at"))
 
+    def result(docs, out, lists):
+        cols = [docs, *(pa.array(list(c)) for c in zip(*out))]
+        if with_ids:
+            off = np.cumsum([0] + [len(x) // 4 for x in lists])
+            flat = np.frombuffer(b"".join(lists), ID).astype(np.int32)
+            cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)))
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
+
     def run(batches):
         tokens = {r: t for t, r in ranks.items()}
-        block, by_share, codes = None, [], []
+        block, by_share, codes, known = None, [], [], 0
         ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
         for part in batches:
-            rows, out, lists = [], [], []
+            out, lists, docs, done, held = [], [], part.column("docs").flatten(), 0, 0
             columns = (part.column(c).to_pylist() for c in ("unit", "block", "kind", "last", "sizes", "packed"))
-            for i, (unit, k, what, last, sizes, packed) in enumerate(zip(*columns)):
+            for unit, k, what, last, sizes, packed in zip(*columns):
                 if (unit, k) != block:
-                    block, by_share, codes = (unit, k), [], []
+                    block, by_share, codes, known = (unit, k), [], [], 0
                 if what == 0:
                     by_share += _cut(_unpacked(packed).tobytes(), _unpacked(sizes))
                     continue
@@ -329,23 +368,25 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], s: Settings, with_ids: bool
                         codes[w] = code
                     by_share = []
                     continue
-                got = b"".join([codes[w] for w in _unpacked(packed).tolist()])
-                count += len(got) // 4
-                ids.update(got)
-                plain.update(b"".join(map(tokens.__getitem__, np.frombuffer(got, ID).tolist())))
-                if with_ids:
-                    parts.append(got)
-                if last:
-                    rows.append(i)
-                    out.append((count, ids.hexdigest(), plain.hexdigest()))
-                    lists.append(b"".join(parts))
-                    ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
-            if not rows:
-                continue
-            cols = [part.column("doc_id").take(pa.array(rows)), *(pa.array(list(c)) for c in zip(*out))]
-            if with_ids:
-                off = np.cumsum([0] + [len(x) // 4 for x in lists])
-                flat = np.frombuffer(b"".join(lists), ID).astype(np.int32)
-                cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
+                numbers, known = _resolved(packed, known)
+                sizes = _unpacked(sizes)
+                of = np.split(numbers, np.cumsum(sizes)[:-1])
+                for j, ws in enumerate(of):
+                    got = b"".join([codes[w] for w in ws.tolist()])
+                    count += len(got) // 4
+                    ids.update(got)
+                    plain.update(b"".join(map(tokens.__getitem__, np.frombuffer(got, ID).tolist())))
+                    if with_ids:
+                        parts.append(got)
+                    if last or j < len(of) - 1:
+                        out.append((count, ids.hexdigest(), plain.hexdigest()))
+                        lists.append(b"".join(parts))
+                        held += count
+                        ids, plain, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
+                if held >= s.unit_words:
+                    yield result(docs[done:done + len(out)], out, lists)
+                    done, held = done + len(out), 0
+                    out, lists = [], []
+            if out:
+                yield result(docs[done:], out, lists)
     return both.mapInArrow(run, schema)
