@@ -211,6 +211,31 @@ def test_new_readings_are_loaded_without_a_look_at_the_table(spark, tmp_root, de
     assert spark.read.parquet(path).count() == expected.count()
 
 
+def test_the_filter_is_read_for_the_months_of_the_batch(spark, tmp_root, deliveries, monkeypatch):
+    path = f"{tmp_root}/sat_asset_measurements"
+    staged = stage_readings_only(deliveries[1].readings)
+    measurements.load(spark, staged, path, use_sketch=True)
+    month = F.trunc(F.to_date(LOAD_TS), "month")
+    some = rows(staged.select(month).distinct())[0][0]
+    batch = staged.filter(month == F.lit(some)).withColumn("reading_type", F.lit("NEW"))
+    asked = []
+    real = Sketch.probe
+
+    def spy(sketch, batch_rows, filters, name="maybe"):
+        asked.append(filters)
+        return real(sketch, batch_rows, filters, name)
+    monkeypatch.setattr(Sketch, "probe", spy)
+    scratch = f"{tmp_root}/scratch"
+    out = measurements.unseen(spark, batch, path, scratch)
+    assert out.count() == batch.count()
+    plan = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_month" in plan or "PartitionFilters: [load_month" in plan
+    assert {r[0] for r in asked[0].select(F.trunc("load_day", "month")).distinct().collect()} == {some}
+    # the batch's own plan has run: what is left reads its stored answers, and the table
+    files = {f.split("/scratch/")[-1].split("/")[0] for f in out.inputFiles() if "/scratch/" in f}
+    assert files == {"asked"} and all("/scratch/" in f or "/sat_asset_measurements/" in f for f in out.inputFiles())
+
+
 def test_every_writer_teaches_the_filter(spark, tmp_root, deliveries):
     path = f"{tmp_root}/sat_asset_measurements"
     _, whole = deliveries
