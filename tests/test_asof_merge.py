@@ -196,3 +196,40 @@ def test_history_fixture_has_versions(spark):
     s = fixtures.history(spark, SF_SMALL)
     for df, key in ((s.customers, "installation_id"), (s.customer_accounts, "account_id"), (s.assets, "asset_id")):
         assert df.count() > df.select(key).distinct().count()
+
+
+def test_history_true_staging_repeats_no_version_columns_in_the_sequence(spark, monkeypatch):
+    """Every piece of time with readings repeats the version that opens it: only its time goes there."""
+    from vaultline.operators import staging
+    asked = []
+
+    def watched(facts, versions, *args, **kwargs):
+        asked.append(versions.columns)
+        return as_of_join(facts, versions, *args, **kwargs)
+    monkeypatch.setattr(staging, "as_of_join", watched)
+    r, s, a, c = sources(spark)
+    off = a.withColumns({"status": F.lit("CLOSED"), "last_modified": F.lit(t(2)).cast("timestamp_ntz")})
+    got = staging.stage_as_of(r, s, a.unionByName(off), c)
+    assert asked == [["asset_id", "valid_from"]]
+    assert {x.reading_id: x.account_status for x in got.collect()} == {
+        x.reading_id: "CLOSED" if x.load_ts >= t(2) else "ACTIVE" for x in stage_readings(r, s, a, c).collect()}
+
+
+def test_a_merge_settles_its_source_in_one_pass(spark, tmp_root, monkeypatch):
+    """One row per key and the contested keys come from one grouping; the upsert does not group a settled source again."""
+    from vaultline.operators import vault
+    from vaultline.plans import sinks
+    seen = []
+    monkeypatch.setattr(vault, "latest_by", lambda df, *args, **kwargs: seen.append(df) or df)
+    src = spark.createDataFrame(MIXED, ROW)
+    sinks.merge(spark, src, f"{tmp_root}/t", ["k", "j"], order=["at"], rejects=f"{tmp_root}/r")
+    assert not seen
+    assert rows(spark.read.parquet(f"{tmp_root}/t")) == [("a", 1, 1, "x"), ("b", 1, 2, "new"), ("c", 1, 1, "two"), ("e", 2, 1, None)]
+    assert spark.read.parquet(f"{tmp_root}/r").count() == 5
+
+
+def test_merge_of_nothing_with_rejects(spark, tmp_root):
+    src = spark.createDataFrame(MIXED, ROW)
+    merge(spark, src, f"{tmp_root}/t", ["k", "j"], order=["at"], rejects=f"{tmp_root}/r")
+    merge(spark, src.limit(0), f"{tmp_root}/t", ["k", "j"], order=["at"], rejects=f"{tmp_root}/r", batch="1")
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 4

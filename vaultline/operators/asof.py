@@ -59,33 +59,34 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, fact_time: str,
     clash = set(rest) & set(facts.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    version = F.struct(*[F.col(c) for c in rest])
+    payload = [c for c in rest if c != VALID_FROM]
     days = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(END_PIECES)).cast("int")
     at = F.coalesce(F.col(fact_time), F.timestamp_add("DAY", days, ntz_literal(END)))
     keyed = facts.filter(F.col(key).isNotNull())
     f = keyed.select(F.col(key).alias("__key"), at.alias("__at"), F.struct(*facts.columns).alias("__fact"))
+    # a version without other columns is its time alone: all but the fact then is of fixed width
+    held = F.struct(VALID_FROM, *payload) if payload else F.col(VALID_FROM)
     v = versions.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("__key"), F.col(VALID_FROM).alias("__at"), version.alias("__version"))
+        F.col(key).alias("__key"), F.col(VALID_FROM).alias("__at"), held.alias("__version"))
     v = v.withColumn("__piece", _piece(F.col("__at"), unit))
     f = f.withColumn("__piece", _piece(F.col("__at"), unit))
 
     # per piece: whether it has facts, and its last version; the piece opens with the last one before it
-    asked = keyed.select(F.col(key).alias("__key"), _piece(at, unit).alias("__piece")).distinct()
-    last = v.groupBy("__key", "__piece").agg(F.max(F.struct("__at", "__version")).alias("__last"))
-    none = F.lit(None).cast(last.schema["__last"].dataType)
-    pieces = (last.withColumn("__asked", F.lit(False)).unionByName(
-        asked.select("__key", "__piece", none.alias("__last"), F.lit(True).alias("__asked")))
-        .groupBy("__key", "__piece").agg(F.max("__last").alias("__last"), F.max("__asked").alias("__asked")))
+    none = F.lit(None).cast(v.schema["__version"].dataType)
+    asked = keyed.select(F.col(key).alias("__key"), _piece(at, unit).alias("__piece"), none.alias("__version"),
+                         F.lit(True).alias("__asked"))
+    last = v.select("__key", "__piece", "__version", F.lit(False).alias("__asked"))
+    pieces = asked.unionByName(last).groupBy("__key", "__piece").agg(
+        F.max("__version").alias("__last"), F.max("__asked").alias("__asked"))
     earlier = Window.partitionBy("__key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     openings = (pieces.withColumn("__open", F.last("__last", ignorenulls=True).over(earlier))
                 .filter(F.col("__asked") & F.col("__open").isNotNull())
                 .select("__key", "__piece", F.lit(None).cast("timestamp_ntz").alias("__at"),
-                        F.col("__open.__version").alias("__version")))
+                        F.col("__open").alias("__version")))
 
     no_fact = F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact")
-    no_version = F.lit(None).cast(v.schema["__version"].dataType).alias("__version")
     columns = ["__key", "__piece", "__at", "__fact", "__version"]
-    together = (f.select("__key", "__piece", "__at", "__fact", no_version)
+    together = (f.select("__key", "__piece", "__at", "__fact", none.alias("__version"))
                 .unionByName(v.select("__key", "__piece", "__at", no_fact, "__version"))
                 .unionByName(openings.select("__key", "__piece", "__at", no_fact, "__version"))).select(*columns)
     # a version that begins at a fact's time comes before the fact
@@ -95,7 +96,8 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, fact_time: str,
              .filter(F.col("__fact").isNotNull()))
     if how == "inner":
         found = found.filter(F.col("__in_force").isNotNull())
-    out = found.select("__fact.*", *[F.col(f"__in_force.{c}").alias(c) for c in rest])
+    one = {c: F.col(f"__in_force.{c}") if payload else F.col("__in_force") for c in rest}
+    out = found.select("__fact.*", *[held_in.alias(c) for c, held_in in one.items()])
     if how == "left":
         types = {x.name: x.dataType for x in versions.schema}
         out = out.unionByName(facts.filter(F.col(key).isNull()).select(

@@ -170,7 +170,8 @@ def stage_as_of(readings: DataFrame, assets: DataFrame, accounts: DataFrame, cus
 
     ``change_ts`` tells since when that state has been in force (NULL: since the beginning). A reading before the first known
     version takes the first one, one without a time the current one; readings without asset, account or customer vanish, as in
-    ``stage_readings``. The fact is shuffled once, by asset and piece of time (``unit``).
+    ``stage_readings``. The fact is shuffled twice: by asset and piece of time (``unit``) to find the version's time, and by
+    asset and that time to meet the version, which is stored and sent once and not once for each piece.
     """
     if key_mode not in ("natural", "md5"):
         raise ValueError(f"key_mode must be 'natural' or 'md5', not {key_mode!r}")
@@ -180,8 +181,9 @@ def stage_as_of(readings: DataFrame, assets: DataFrame, accounts: DataFrame, cus
         "interval_end", F.col("creation_time").alias("load_ts"), "reading_type", "unit_of_measure", "quality_code",
         F.col("status").alias("reading_status"),
         F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"))
-    found = as_of_join(r, dims, "asset_id", "load_ts", unit)
-    out = found.select(*_staged_dimension_columns(dims), *STAGED_COLUMNS[33:], VALID_FROM)
+    # in the sequence a version is its time alone, as it is repeated for every piece with facts; its columns join afterwards
+    found = as_of_join(r, dims.select("asset_id", VALID_FROM), "asset_id", "load_ts", unit)
+    out = found.join(dims, ["asset_id", VALID_FROM]).select(*_staged_dimension_columns(dims), *STAGED_COLUMNS[33:], VALID_FROM)
     since = F.when(F.col(VALID_FROM) > ntz_literal(BEGIN), F.col(VALID_FROM))
     return out.withColumn(CHANGE_TS, since).drop(VALID_FROM)
 
