@@ -4,13 +4,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from vaultline.operators.staging import STAGED_COLUMNS, stage_readings
+from vaultline.operators.staging import STAGED_COLUMNS, seen_rows, stage_asset_span, stage_readings
 from vaultline.operators.vault import (HUB_ASSET, HUB_CUSTOMER, LINK_ACCOUNT_ASSET,
                                        SAT_ASSET_MEASUREMENTS, SAT_CUSTOMER_DETAILS,
                                        build_vault, hub_rows, link_rows, measurement_rows,
-                                       satellite_rows, upsert_rows)
+                                       merge_current, satellite_rows, upsert_rows)
 
-from .conftest import rows
+from .conftest import SF_SMALL, rows
 
 T = dt.datetime(2025, 10, 1)
 
@@ -157,3 +157,33 @@ def test_one_row_per_key_is_skew_safe(staged):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan
         assert "partial_" in plan
+
+
+def test_asset_grain_rows_reach_their_hub_by_one_shuffle(spark):
+    """The staging at asset grain has next to no repeats: collapsing them first would shuffle all its rows once more."""
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    r, s, a, c = sources(spark)
+    first = seen_rows(stage_asset_span(r, s, a, c), "first")
+    assert shuffles(hub_rows(first, HUB_CUSTOMER, reduced=True)) == shuffles(hub_rows(first, HUB_CUSTOMER)) - 1
+    assert shuffles(link_rows(first, LINK_ACCOUNT_ASSET, reduced=True)) == shuffles(link_rows(first, LINK_ACCOUNT_ASSET)) - 1
+    twice = first.unionByName(first).unionByName(first.withColumn("load_ts", F.lit(None).cast("timestamp_ntz")))
+    for df in (first, twice):
+        assert rows(hub_rows(df, HUB_CUSTOMER, reduced=True)) == rows(hub_rows(df, HUB_CUSTOMER))
+        assert rows(link_rows(df, LINK_ACCOUNT_ASSET, reduced=True)) == rows(link_rows(df, LINK_ACCOUNT_ASSET))
+
+
+def test_the_hierarchy_takes_its_keys_from_asset_grain_by_one_shuffle_each(spark):
+    from vaultline.operators import business
+    from vaultline.plans.catalog import LazyVault
+    v = LazyVault(spark, SF_SMALL)
+    plan = business.customer_asset_hierarchy(v)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(customer_hk" in x and "record_source" in x]
+
+
+def test_merging_current_versions_collapses_repeats_before_it_sorts(spark):
+    rows_ = spark.createDataFrame([("a", T, "x"), ("a", t(1), "x"), ("a", t(1), "y"), ("b", None, "z")],
+                                  "customer_hk string, load_ts timestamp_ntz, customer_hashdiff string")
+    merged = merge_current(None, rows_, SAT_CUSTOMER_DETAILS)
+    assert rows(merged) == rows(spark.createDataFrame([("a", t(1), "y"), ("b", None, "z")], rows_.schema))
+    assert "max(load_ts" in merged._jdf.queryExecution().executedPlan().toString()

@@ -27,9 +27,9 @@ def current_asset_details(sat_asset_details: DataFrame) -> DataFrame:
     return latest_by(d, ["asset_hk"], ["load_ts"], reduce_first=True)
 
 
-def current_customer_details(sat_customer_details: DataFrame) -> DataFrame:
+def current_customer_details(sat_customer_details: DataFrame, reduced: bool = False) -> DataFrame:
     d = sat_customer_details.select("customer_hk", "load_ts", "customer_name", "customer_type")
-    return latest_by(d, ["customer_hk"], ["load_ts"], reduce_first=True)
+    return latest_by(d, ["customer_hk"], ["load_ts"], reduce_first=not reduced)
 
 
 def customer_accounts(v: VaultFrames) -> DataFrame:

@@ -5,8 +5,8 @@ collapse. Rows that share a key but differ are a conflict: no rule of the merge
 either the merge fails, or a stated order picks one and the others are handed back with a reason. A row with a
 NULL in its key can match nothing, now or at a later delivery; it is handed back as well.
 
-Conflicts are found by one grouped pass over fixed-width hashes, combined before the shuffle; only rows of
-contested keys are looked at again.
+Each key's row and whether it is contested (by hashes of its rows) come from one grouped pass, combined before the
+shuffle; only rows of contested keys are looked at again.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .window import latest_by
-
 REASON = "reject_reason"
 CONFLICT = "CONFLICTING_KEY"
 NO_KEY = "NULL_KEY"
@@ -43,18 +41,40 @@ def contested_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return groups.filter("min__a <> max__a OR min__b <> max__b").select(*keys, "n_rows")
 
 
-def split_conflicts(source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """``(clean, rejected)``: one row per key, the last by ``order`` and then by the other columns, and all other rows
-    of different content with their ``reject_reason``. Together they hold every distinct row of ``source``."""
+CONTESTED = "__contested"
+
+
+def settled(source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key of ``source``, the last by ``order`` and then by the other columns, and ``__contested``: whether rows
+    of different content share the key. One grouped pass; rows with a NULL in the key are left out."""
     keys, order = list(keys), [c for c in order if c not in keys]
-    clean = latest_by(source.filter(_keyed(keys)), keys, order)
-    rows = source.filter(_keyed(keys)).join(contested_keys(source, keys).select(*keys), keys, "left_semi").distinct()
-    kept = latest_by(rows, keys, order)
-    r, k = rows.alias("r"), kept.alias("k")
+    fields = order + [c for c in source.columns if c not in keys and c not in order]
+    if not fields:
+        return source.filter(_keyed(keys)).distinct().withColumn(CONTESTED, F.lit(False))
+    hashes = (F.xxhash64(*source.columns), F.xxhash64(F.lit(1), *source.columns))
+    differs = F.lit(False)
+    for h in hashes:
+        differs = differs | (F.min(h) != F.max(h))
+    picked = source.filter(_keyed(keys)).groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__last"), differs.alias(CONTESTED))
+    return picked.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in fields], CONTESTED).select(*source.columns, CONTESTED)
+
+
+def conflict_losers(source: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of ``source`` that lost to the row of their key in ``winners`` (the ``settled`` rows of contested keys), and
+    those without a key, each once, with their ``reject_reason``."""
+    rows = source.filter(_keyed(keys)).join(winners.select(*keys), list(keys), "left_semi").distinct()
+    r, k = rows.alias("r"), winners.alias("k")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in source.columns]
     losers = r.join(k, same, "left_anti").select("r.*", F.lit(CONFLICT).alias(REASON))
     unkeyed = source.filter(~_keyed(keys)).distinct().withColumn(REASON, F.lit(NO_KEY))
-    return clean, losers.unionByName(unkeyed)
+    return losers.unionByName(unkeyed)
+
+
+def split_conflicts(source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejected)``: one row per key, the last by ``order`` and then by the other columns, and all other rows
+    of different content with their ``reject_reason``. Together they hold every distinct row of ``source``."""
+    kept = settled(source, keys, order)
+    return kept.drop(CONTESTED), conflict_losers(source, kept.filter(CONTESTED).drop(CONTESTED), keys)
 
 
 def require_one_row_per_key(source: DataFrame, keys: Sequence[str]) -> None:

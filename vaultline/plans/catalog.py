@@ -74,10 +74,10 @@ class LazyVault:
         return span(self.spark, self.sf_dir)
 
     def _hub(self, h):
-        return hub_rows(seen_rows(self._span, "first"), h)
+        return hub_rows(seen_rows(self._span, "first"), h, reduced=True)
 
     def _link(self, ln):
-        return link_rows(seen_rows(self._span, "first"), ln)
+        return link_rows(seen_rows(self._span, "first"), ln, reduced=True)
 
     hub_customer = cached_property(lambda self: self._hub(HUB_CUSTOMER))
     hub_customer_account = cached_property(lambda self: self._hub(HUB_CUSTOMER_ACCOUNT))
@@ -102,7 +102,7 @@ class LazyVault:
 
     @cached_property
     def current_customer(self) -> DataFrame:
-        return business.current_customer_details(seen_rows(self._span, "last"))
+        return business.current_customer_details(seen_rows(self._span, "last"), reduced=True)
 
     def as_dict(self) -> dict[str, DataFrame]:
         names = ("hub_customer", "hub_customer_account", "hub_asset", "link_customer_account",
