@@ -155,3 +155,28 @@ def test_on_time_rows_and_raw_rows_share_one_stateful_plan(spark, tmp_root):
     assert out.isStreaming and out.columns == [*SCHEMA.names, "__event", "__on_time"]
     plan = out._jdf.queryExecution().logical().toString()
     assert "DeduplicateWithinWatermark" in plan
+
+
+def test_a_stream_of_hubs_stages_assets_and_one_of_a_satellite_keeps_no_copy(spark, tmp_root, monkeypatch):
+    """Hubs and links need the first row per asset, not every reading with all columns."""
+    s = fixtures.sources(spark, SF_SMALL)
+    s.readings.coalesce(1).write.parquet(f"{tmp_root}/landing")
+    staged, real = [], loads.stage_readings
+
+    def spy(*args, **kwargs):
+        staged.append(args)
+        return real(*args, **kwargs)
+    monkeypatch.setattr(loads, "stage_readings", spy)
+    dims = lambda: (s.assets, s.customer_accounts, s.customers)
+    stream_load(spark, f"{tmp_root}/landing", SCHEMA, f"{tmp_root}/hubs", f"{tmp_root}/c1", ["hub_customer", "link_account_asset"], dims)
+    assert not staged
+    kept = []
+    frame = type(s.readings)
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: kept.append(df) or persist(df, *a))
+    stream_load(spark, f"{tmp_root}/landing", SCHEMA, f"{tmp_root}/sat", f"{tmp_root}/c2", ["sat_customer_details"], dims)
+    assert staged and not kept
+    everything = real(s.readings, *dims())
+    for name, build, root in (("hub_customer", loads.hub_rows, "hubs"), ("link_account_asset", loads.link_rows, "hubs")):
+        assert rows(spark.read.parquet(f"{tmp_root}/{root}/{name}")) == rows(build(everything, loads.BINDINGS[name]))
+    assert spark.read.parquet(f"{tmp_root}/sat/sat_customer_details").count() == everything.count()

@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.staging import stage_readings, stage_readings_only
+from ..operators.staging import seen_rows, stage_asset_span, stage_readings, stage_readings_only
 from ..operators.vault import (HUBS, LINKS, SAT_ASSET_MEASUREMENTS, SATELLITES, hub_rows,
                                link_rows, measurement_rows)
 from ..operators.window import latest_by
@@ -30,20 +30,21 @@ from ..plans.sinks import append, read_or_none
 from .ledger import DONE, Ledger, stream_name
 
 BINDINGS = {b.name: b for b in (*HUBS, *LINKS, *SATELLITES, SAT_ASSET_MEASUREMENTS)}
+KEYED = {b.name for b in (*HUBS, *LINKS)}
 
 FILES_PER_TRIGGER = 1000
 
 Dimensions = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
-def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str) -> None:
+def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str, reduced: bool = False) -> None:
     b = BINDINGS[name]
     path = f"{root.rstrip('/')}/{name}"
     existing = read_or_none(spark, path)
     if name in {h.name for h in HUBS}:
-        rows = hub_rows(staged, b, existing)
+        rows = hub_rows(staged, b, existing, reduced)
     elif name in {ln.name for ln in LINKS}:
-        rows = link_rows(staged, b, existing)
+        rows = link_rows(staged, b, existing, reduced)
     elif name == SAT_ASSET_MEASUREMENTS.name:
         measurements.store(spark, measurement_rows(staged, b, existing, prune_days=True), path)
         return
@@ -71,18 +72,31 @@ def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None
             return
         if dedup_keys:
             batch = latest_by(batch, dedup_keys, [event_time] if event_time else [])
-        if dimensions is not None:
-            staged = stage_readings(batch, *dimensions(), dedup_sources=True)
-        else:
-            staged = stage_readings_only(batch)
-        staged = staged.persist()  # bounded by the trigger's file limit; recomputed if an executor is lost
-        try:
-            for name in open_tables:
-                _load_one(spark, staged, name, root)
-                if ledger:
-                    ledger.note(epoch_id, name, DONE)
-        finally:
-            staged.unpersist()
+        # hubs and links need the first row per asset alone, as in the batch build; the others every reading
+        keyed = [name for name in open_tables if name in KEYED] if dimensions is not None else []
+        detailed = [name for name in open_tables if name not in keyed]
+        inputs = []
+        if keyed:
+            inputs.append((keyed, seen_rows(stage_asset_span(batch, *dimensions(), dedup_sources=True), "first")))
+        if detailed:
+            inputs.append((detailed, stage_readings(batch, *dimensions(), dedup_sources=True) if dimensions is not None
+                           else stage_readings_only(batch)))
+        for names, staged in inputs:
+            # each table reads its own columns; a load of one table but the measurements (which look at the batch's days
+            # first) reads them once and needs no copy
+            wanted = {c for name in names for c in BINDINGS[name].columns}
+            staged = staged.select(*[c for c in staged.columns if c in wanted])
+            kept = len(names) > 1 or SAT_ASSET_MEASUREMENTS.name in names
+            if kept:
+                staged = staged.persist()  # bounded by the trigger's file limit; recomputed if an executor is lost
+            try:
+                for name in names:
+                    _load_one(spark, staged, name, root, names is keyed)
+                    if ledger:
+                        ledger.note(epoch_id, name, DONE)
+            finally:
+                if kept:
+                    staged.unpersist()
     return load
 
 
