@@ -13,9 +13,11 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.temporal import ntz_literal
 from ..operators import business, quality
+from ..operators.merge import REASON
 from ..operators.references import reference_table
 from ..operators.staging import seen_rows, stage_asset_span, stage_readings
 from ..operators.vault import (HUB_CUSTOMER, SAT_ASSET_MEASUREMENTS, hub_rows,
@@ -204,7 +206,8 @@ def q_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measurement_rows(stage_readings(s.readings, s.assets, s.customer_accounts, s.customers))
     merge(spark, rows, f"{root}/sat_asset_measurements", SAT_ASSET_MEASUREMENTS.key, order=["reading_id", "reading_value"],
           rejects=f"{root}/rejects")
-    return spark.read.parquet(f"{root}/rejects").drop(BATCH)
+    schema = StructType(rows.schema.fields).add(REASON, "string")  # no file is written where no key is contested
+    return spark.read.schema(schema).parquet(f"{root}/rejects").drop(BATCH)
 
 
 def q_vault_run(spark: SparkSession, sf_dir: str) -> DataFrame:
