@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from vaultline.operators import business, quality
 from vaultline.operators.sketch import Sketch, possible
 from vaultline.operators.staging import seen_rows, stage_asset_span, stage_readings, stage_readings_only
-from vaultline.operators.vault import HUB_CUSTOMER, LOAD_TS, SAT_ASSET_MEASUREMENTS, hub_rows, measurement_rows
+from vaultline.operators.vault import (HUB_CUSTOMER, LOAD_TS, SAT_ASSET_MEASUREMENTS, hub_rows, measurement_rows,
+                                       with_load_day)
 from vaultline.plans import build as builds
 from vaultline.plans import folds, measurements
 from vaultline.plans.build import _day_ranges, read_vault, run_build, table_path
@@ -247,6 +248,51 @@ def test_every_writer_teaches_the_filter(spark, tmp_root, deliveries):
     assert spark.read.parquet(path).count() == staged.count()
 
 
+def test_a_load_adds_to_the_filter_and_asks_it_for_days_that_it_has(spark, tmp_root, monkeypatch):
+    path = f"{tmp_root}/sat_asset_measurements"
+    start = dt.datetime(2024, 1, 1)
+
+    def batch(days, ids):
+        rows_ = [(f"A{i}", i, start, start, "T", "kWh", "GOOD", "VALID", None if d is None else start + dt.timedelta(days=d), "S")
+                 for d in days for i in ids]
+        return spark.createDataFrame(rows_, "asset_hk string, reading_id int, interval_start timestamp_ntz, interval_end timestamp_ntz, "
+                                     "reading_type string, unit_of_measure string, quality_code string, reading_status string, "
+                                     "load_ts timestamp_ntz, record_source string").withColumn("reading_value", F.lit(1).cast("decimal(15,3)"))
+    asked, compared = [], []
+    real, real_rows = Sketch.probe, measurements.measurement_rows
+
+    def probe(sketch, batch_rows, filters, name="maybe"):
+        asked.append({r[0] and r[0].day for r in batch_rows.select("load_day").distinct().collect()})
+        return real(sketch, batch_rows, filters, name)
+
+    def compare(staged, m=SAT_ASSET_MEASUREMENTS, existing=None, prune_days=False):
+        if existing is not None:
+            compared.append({r[0] and r[0].day for r in staged.select("load_day").distinct().collect()})
+        return real_rows(staged, m, existing, prune_days=prune_days)
+    monkeypatch.setattr(Sketch, "probe", probe)
+    monkeypatch.setattr(measurements, "measurement_rows", compare)
+    measurements.load(spark, batch([0, 1], range(20)), path, use_sketch=True)
+    before = set(spark.read.parquet(measurements.filter_path(path)).inputFiles())
+    # day 0 has new keys alone, day 1 both kinds, day 2 is new
+    one = batch([0], range(50, 60)).unionByName(batch([1], range(10, 30))).unionByName(batch([2], range(5)))
+    measurements.load(spark, one, path, use_sketch=True)
+    assert before < set(spark.read.parquet(measurements.filter_path(path)).inputFiles())  # nothing was written again
+    assert asked == [{1, 2}] and compared == [{2}]
+    assert spark.read.parquet(path).count() == 40 + 10 + 10 + 5
+    # keys of either load are known; rows without a time meet nothing, as in a load without a filter
+    both = batch([0, 1], range(60)).unionByName(batch([2, None], range(5)))
+    for _ in range(2):
+        n = spark.read.parquet(path).count()
+        expected = real_rows(both, existing=spark.read.parquet(path), prune_days=True).count()
+        measurements.load(spark, both, path, use_sketch=True)
+        assert spark.read.parquet(path).count() == n + expected
+    plan = measurements.SKETCH.build(with_load_day(both), ("m", F.trunc("load_day", "month")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    asking = real(measurements.SKETCH, with_load_day(both), measurements.SKETCH.build(with_load_day(one))).filter("maybe").select("load_day")
+    exchanged = asking._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+    assert "reading_value" not in exchanged.split("LogicalRDD")[0] and "__w0" not in exchanged
+
+
 # -- targets -----------------------------------------------------------------------
 
 def test_bucketed_target_is_met_where_it_lies(spark, deliveries):
