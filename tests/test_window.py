@@ -83,3 +83,29 @@ def test_change_points_passes_rows_without_key_through(spark):
     df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
     got = rows(change_points(df, ["k"], ["load_ts"], "hd"))
     assert got == rows(spark.createDataFrame([data[0], data[2], data[3]], df.schema))
+
+
+def test_change_points_compare_missing_times_and_values(spark):
+    # a row without a time comes first, and a missing value is a value
+    data = [("k", None, None, "x"), ("k", None, "A", "x"), ("k", ts(1), "A", "x"), ("k", ts(2), None, "y"), ("k", ts(2), None, "x"),
+            ("k", ts(30), None, "x"), ("k", ts(31), "A", "x"), ("j", None, None, "x"), ("j", ts(1), None, "x")]
+    df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
+    got = rows(change_points(df, ["k"], ["load_ts"], "hd"))
+    assert got == rows(spark.createDataFrame([data[i] for i in (0, 1, 4, 6, 7)], df.schema))
+
+
+def test_change_points_shuffle_the_other_columns_once(spark):
+    data = [("k", ts(h % 7), f"H{h % 3}", f"p{h}") for h in range(40)]
+    df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = change_points(df, ["k"], ["load_ts"], "hd")
+        assert rows(out) == brute_change_points([("k", *min(r[1:] for r in data if (r[1], r[2]) == key)) for key in
+                                                 {(r[1], r[2]) for r in data}])
+        plans = out._jdf.queryExecution()
+        final, lines = plans.executedPlan().toString(), plans.optimizedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [lines[i + 1] for i, line in enumerate(lines) if "RepartitionByExpression" in line]
+    assert dealt and all("Project [k#" in line and " p#" not in line and "__pick" not in line for line in dealt)
+    assert "ReusedExchange" in final.split("== Initial Plan ==")[0]

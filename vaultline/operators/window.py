@@ -84,41 +84,38 @@ def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     repeat the first of them, so they are collapsed to it first (a grouped minimum, combined
     before the shuffle): a bulk load stamped with one time costs a row per value. A window over
     the key would sort a hot key's whole history in one task, so the history is cut into pieces of an hour.
-    One window pass over (key, piece) gives each row its predecessor, its
-    position and its piece's size; the last row of every piece (one row per
-    piece) then feeds a small window over the key that hands each piece the
-    previous piece's last value, and that joins back on (key, piece), which is
-    the partitioning the big side already has. Rows with a NULL key are returned
-    unchanged.
+    One window pass over (key, piece) gives each row its predecessor; the pieces, each with its first and last row, then
+    feed a small window over the key that tells which of them start with another value than the one before ended with.
+    Both passes carry key, order and value alone. What they find meets the collapsed rows by key, order and
+    value, which is how these are partitioned already: the other columns are shuffled once. Rows with a NULL key
+    are returned unchanged.
     """
     from pyspark.sql import Window
 
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order and c != value]
-    sort_cols = order + [value] + rest
-    piece = "__piece"
+    at, piece = "__at", "__piece"
     keyed = None
     for k in keys:
         keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
     # A row without a key has no history to compare with: it is returned as is.
-    # Filtering the keyed rows explicitly (the join below would infer it on one
-    # branch only) keeps both branches on one shared exchange.
     unkeyed = df.filter(~keyed)
-    once = first_by(df.filter(keyed), [*keys, *order, value], rest)
-    pieced = once.withColumn(piece, F.date_trunc("HOUR", F.col(order[0])))
-    w = Window.partitionBy(*keys, piece).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols])
-    w_piece = Window.partitionBy(*keys, piece)
-    with_prev = (pieced.withColumn("__prev", F.lag(value).over(w))
-                 .withColumn("__pos", F.row_number().over(w))
-                 .withColumn("__size", F.count(F.lit(1)).over(w_piece)))
-    tails = with_prev.filter(F.col("__pos") == F.col("__size")) \
-        .select(*keys, piece, F.col(value).alias("__tail"))
-    wk = Window.partitionBy(*keys).orderBy(piece)
-    prev_tail = tails.select(*keys, piece,
-                             F.lag("__tail").over(wk).alias("__prev_tail"),
-                             F.lag(F.lit(1)).over(wk).isNotNull().alias("__has_prev"))
-    joined = with_prev.join(prev_tail, on=[*keys, piece], how="left")
-    prev = F.when(F.col("__pos") == 1, F.col("__prev_tail")).otherwise(F.col("__prev"))
-    has_prev = (F.col("__pos") > 1) | F.col("__has_prev")
-    changed = ~has_prev | ~F.col(value).eqNullSafe(prev)
-    return joined.filter(changed).select(*df.columns).unionByName(unkeyed)
+    # Order and value as one struct: it is never NULL itself, and equal to another one with NULLs in the same places.
+    placed = df.filter(keyed).select(*keys, F.struct(*order, value).alias(at), F.struct(*(rest or keys)).alias(_PICK))
+    once = placed.groupBy(*keys, at).agg(F.min(_PICK).alias(_PICK))
+    # The condition holds for every row. It keeps the picked row in this branch too, so that both share one exchange.
+    hour = F.date_trunc("HOUR", F.col(f"{at}.{order[0]}"))
+    points = once.filter(F.col(_PICK).isNotNull()).select(*keys, at).repartition(*keys, hour).withColumn(piece, hour)
+    w = Window.partitionBy(*keys, piece).orderBy(at)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    points = points.withColumn("__prev", F.lag(at).over(w)).withColumn("__tail", F.last(at).over(whole))
+    inside = points.filter(F.col("__prev").isNotNull() & ~F.col(f"{at}.{value}").eqNullSafe(F.col(f"__prev.{value}")))
+    ends = points.filter(F.col("__prev").isNull()).select(*keys, at, F.col(f"__tail.{value}").alias("__tail"))
+    wk = Window.partitionBy(*keys).orderBy(at)
+    heads = (ends.withColumn("__prev", F.lag("__tail").over(wk)).withColumn("__pos", F.row_number().over(wk))
+             .filter((F.col("__pos") == 1) | ~F.col(f"{at}.{value}").eqNullSafe(F.col("__prev"))))
+    found = inside.select(*keys, at).unionByName(heads.select(*keys, at))
+    out = {**{c: F.col(c) for c in keys}, **{c: F.col(f"{at}.{c}") for c in [*order, value]},
+           **{c: F.col(f"{_PICK}.{c}") for c in rest}}
+    return once.join(found, [*keys, at], "left_semi").select(
+        *[out[c].alias(c) for c in df.columns]).unionByName(unkeyed)
