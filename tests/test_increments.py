@@ -293,6 +293,61 @@ def test_a_load_adds_to_the_filter_and_asks_it_for_days_that_it_has(spark, tmp_r
     assert "reading_value" not in exchanged.split("LogicalRDD")[0] and "__w0" not in exchanged
 
 
+def test_a_repeated_load_asks_a_slice_compares_keys_and_looks_up_new_rows_alone(spark, tmp_root, monkeypatch):
+    path = f"{tmp_root}/sat_asset_measurements"
+    start = dt.datetime(2024, 1, 1)
+
+    def batch(days, ids, kind="T", value=1):
+        rows_ = [(f"A{i}", i, None if i == 7 else start, start, kind, "kWh", "GOOD", "VALID", start + dt.timedelta(days=d), "S")
+                 for d in days for i in ids]
+        return spark.createDataFrame(rows_, "asset_hk string, reading_id int, interval_start timestamp_ntz, interval_end timestamp_ntz, "
+                                     "reading_type string, unit_of_measure string, quality_code string, reading_status string, "
+                                     "load_ts timestamp_ntz, record_source string").withColumn("reading_value", F.lit(value).cast("decimal(15,3)"))
+    asked, compared = [], []
+    real, real_rows = Sketch.probe, measurements.measurement_rows
+
+    def probe(sketch, batch_rows, filters, name="maybe"):
+        asked.append({r[0].day for r in batch_rows.select("load_day").distinct().collect()})
+        return real(sketch, batch_rows, filters, name)
+
+    def compare(staged, m=SAT_ASSET_MEASUREMENTS, existing=None, prune_days=False):
+        out = real_rows(staged, m, existing, prune_days=prune_days)
+        if existing is not None:
+            compared.append(out)
+        return out
+    monkeypatch.setattr(Sketch, "probe", probe)
+    monkeypatch.setattr(measurements, "measurement_rows", compare)
+    stored = batch([0, 1, 2], range(10, 1500))
+    measurements.load(spark, stored, path, use_sketch=True)
+    # days 0 and 1 come again; day 1 has new keys as well, one twice with other values, and one with a NULL; day 3 is new
+    more = [batch([1], range(1500, 1503)), batch([1], [1500], value=2), batch([1], [7]), batch([3], range(5))]
+    second = batch([0, 1], range(10, 1500))
+    for b in more:
+        second = second.unionByName(b)
+    expected = real_rows(second, existing=spark.read.parquet(path), prune_days=True)
+    want = rows(expected.unionByName(stored.select(*expected.columns)))
+    out = measurements.unseen(spark, second, path, f"{tmp_root}/scratch")
+    assert rows(out.select(*expected.columns)) == rows(expected) and out.count() == 3 + 1 + 1 + 5
+    assert asked == []  # no day was left to ask in full
+    assert all("/scratch/" in f for f in out.inputFiles())
+    assert sorted(spark.read.parquet(f"{tmp_root}/scratch/keys").columns) == sorted({"load_day", *SAT_ASSET_MEASUREMENTS.key})
+    assert {r[0].day for r in spark.read.parquet(f"{tmp_root}/scratch/rows").select(F.to_date("load_ts")).distinct().collect()} == {2}
+    measurements.load(spark, second, path, use_sketch=True)
+    assert rows(spark.read.parquet(path).select(*expected.columns)) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = compared[0].select(*SAT_ASSET_MEASUREMENTS.key)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "reading_value" not in plan.split("Relation")[0]
+    # keys outside the slice are still found: a day with few stored keys is asked in full
+    for i in range(1490, 1500):
+        n = spark.read.parquet(path).count()
+        measurements.load(spark, batch([2], [i]), path, use_sketch=True)
+        assert spark.read.parquet(path).count() == n
+    assert {3} in asked
+
+
 # -- targets -----------------------------------------------------------------------
 
 def test_bucketed_target_is_met_where_it_lies(spark, deliveries):

@@ -187,3 +187,22 @@ def test_merging_current_versions_collapses_repeats_before_it_sorts(spark):
     merged = merge_current(None, rows_, SAT_CUSTOMER_DETAILS)
     assert rows(merged) == rows(spark.createDataFrame([("a", t(1), "y"), ("b", None, "z")], rows_.schema))
     assert "max(load_ts" in merged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staging_shuffles_intervals_as_spans_and_gives_every_value_back(spark):
+    _, s, a, c = sources(spark)
+    some = [None, t(0), dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999), dt.datetime(2025, 3, 30, 2, 30, 0, 1)]
+    times = [(x, y, z) for x in some for y in some for z in some]
+    r = spark.createDataFrame([(i, "M1", None, *xyz, "T", "kWh", "GOOD", "VALID", None) for i, xyz in enumerate(times)], READ)
+    st = stage_readings(r, s, a, c)
+    got = {x.reading_id: (x.interval_start, x.interval_end, x.load_ts) for x in st.collect()}
+    assert got == dict(enumerate(times))
+    assert dict(st.dtypes)["interval_start"] == dict(st.dtypes)["interval_end"] == "timestamp_ntz"
+    met = st.select("asset_id", "interval_end")._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    # the fact has its spans where it is shuffled, and accounts have met their customers before the assets meet them
+    assert " - coalesce(interval_start" in met[1]
+    assert "account_id" in met[2].split("\n")[0] and "installation_id" in met[3].split("\n")[0]
+    # columns of other types are staged as they are
+    other = r.withColumn("interval_end", F.to_date("interval_end"))
+    assert rows(stage_readings(other, s, a, c).select("reading_id", "interval_start", "interval_end")) == \
+        rows(other.select("id", "interval_start", "interval_end"))
