@@ -215,6 +215,37 @@ def test_history_true_staging_repeats_no_version_columns_in_the_sequence(spark,
         x.reading_id: "CLOSED" if x.load_ts >= t(2) else "ACTIVE" for x in stage_readings(r, s, a, c).collect()}
 
 
+def test_facts_are_asked_for_their_pieces_where_they_lie(spark):
+    """The pieces with facts, their openings and the sequence itself share the one exchange of the facts."""
+    facts = [(i, f"k{i % 7}", h(i % 50)) for i in range(200)]
+    versions = [(f"k{i % 5}", h(9 * i), f"v{i:02}") for i in range(12)]
+    line = timeline(spark.createDataFrame(versions, VERSIONS), "k", "changed").select("k", "v", "valid_from")
+    got = as_of_join(spark.createDataFrame(facts, FACTS), line, "k", "at")
+    assert sorted((r.id, r.v) for r in got.collect()) == brute(facts, versions)
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    union = final.index("Union")
+    assert "Exchange" not in final[:union]  # the sequence is put together where its parts lie
+
+
+def test_history_true_staging_puts_changes_alone_into_the_sequence(spark, monkeypatch):
+    """An asset's first version needs no place there, and a version is sent without keys and hash diffs."""
+    from vaultline.operators import staging
+    asked, hashed = [], []
+    real = staging._keys_and_hashes
+
+    def watched(facts, versions, *args, **kwargs):
+        asked.append(versions)
+        return as_of_join(facts, versions, *args, **kwargs)
+    monkeypatch.setattr(staging, "as_of_join", watched)
+    monkeypatch.setattr(staging, "_keys_and_hashes", lambda chain, mode: hashed.append(chain.columns) or real(chain, mode))
+    r, s, a, c = sources(spark)
+    got = staging.stage_as_of(r, s, a, c)
+    assert asked[0].count() == 0
+    assert "reading_id" in hashed[-1]
+    assert rows(got.select(*STAGED_COLUMNS)) == rows(stage_readings(r, s, a, c))
+
+
 def test_a_merge_settles_its_source_in_one_pass(spark, tmp_root, monkeypatch):
     """One row per key and the contested keys come from one grouping; the upsert does not group a settled source again."""
     from vaultline.operators import vault

@@ -3,8 +3,9 @@
 ``as_of_join`` is no range join. Facts and versions of a key are put in one sequence by time, and a
 fact takes the last version before it. A window over the key would sort a hot key's facts in one task, so time is
 cut into pieces: a window over (key, piece) sees the facts and versions of one piece, and one more row that opens it,
-the version in force when the piece begins. Openings come from a window over (key, piece) summaries, one row per piece in
-which a key has facts or versions; so a key's facts are never together anywhere, and the fact is shuffled once.
+the version in force when the piece begins. Openings come from a window over the key's versions and the pieces in which it has
+facts, one row each; so a key's facts are never together anywhere. The pieces are told where the facts lie already, and openings and
+versions are dealt to them there: the fact is shuffled once.
 
 ``timeline`` makes versions out of raw dimension rows; ``chained`` composes the timelines of a child and its
 parent at dimension grain, so that a chain of dimensions costs the fact one join.
@@ -35,7 +36,8 @@ def timeline(versions: DataFrame, key: str, changed: str, order: Sequence[str] =
     """
     rows = versions.filter(F.col(key).isNotNull())
     at = F.coalesce(F.col(changed), ntz_literal(BEGIN))
-    once = latest_by(rows.withColumn(VALID_FROM, at), [key, VALID_FROM], list(order))
+    # dealt by key at once, as the window below needs it: the versions are shuffled once
+    once = latest_by(rows.withColumn(VALID_FROM, at).repartition(key), [key, VALID_FROM], list(order))
     place = F.row_number().over(Window.partitionBy(key).orderBy(VALID_FROM))
     return once.withColumn(VALID_FROM, F.when(place == 1, ntz_literal(BEGIN)).otherwise(F.col(VALID_FROM))).select(
         *versions.columns, VALID_FROM)
@@ -63,32 +65,31 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, fact_time: str,
     days = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(END_PIECES)).cast("int")
     at = F.coalesce(F.col(fact_time), F.timestamp_add("DAY", days, ntz_literal(END)))
     keyed = facts.filter(F.col(key).isNotNull())
-    f = keyed.select(F.col(key).alias("__key"), at.alias("__at"), F.struct(*facts.columns).alias("__fact"))
+    f = keyed.select(F.col(key).alias("__key"), at.alias("__at"), F.struct(*[c for c in facts.columns if c != key]).alias("__fact"))
     # a version without other columns is its time alone: all but the fact then is of fixed width
     held = F.struct(VALID_FROM, *payload) if payload else F.col(VALID_FROM)
     v = versions.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), F.col(VALID_FROM).alias("__at"), held.alias("__version"))
+    spot = ["__key", "__piece"]
     v = v.withColumn("__piece", _piece(F.col("__at"), unit))
-    f = f.withColumn("__piece", _piece(F.col("__at"), unit))
+    f = f.withColumn("__piece", _piece(F.col("__at"), unit)).repartition(*spot)
 
-    # per piece: whether it has facts, and its last version; the piece opens with the last one before it
+    # a piece with facts opens with the last version before it: in the line it comes before the versions that begin in it
     none = F.lit(None).cast(v.schema["__version"].dataType)
-    asked = keyed.select(F.col(key).alias("__key"), _piece(at, unit).alias("__piece"), none.alias("__version"),
-                         F.lit(True).alias("__asked"))
-    last = v.select("__key", "__piece", "__version", F.lit(False).alias("__asked"))
-    pieces = asked.unionByName(last).groupBy("__key", "__piece").agg(
-        F.max("__version").alias("__last"), F.max("__asked").alias("__asked"))
-    earlier = Window.partitionBy("__key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    openings = (pieces.withColumn("__open", F.last("__last", ignorenulls=True).over(earlier))
-                .filter(F.col("__asked") & F.col("__open").isNotNull())
-                .select("__key", "__piece", F.lit(None).cast("timestamp_ntz").alias("__at"),
-                        F.col("__open").alias("__version")))
+    # the hash is there in every group. It keeps all columns of the facts in this branch too, so that both share one exchange
+    asked = f.groupBy(*spot).agg(F.max(F.xxhash64(*f.columns)).alias("__any")).filter(F.col("__any").isNotNull()).select(
+        *spot, F.lit(None).cast("timestamp_ntz").alias("__at"), none.alias("__version"))
+    line = asked.unionByName(v.select(*spot, "__at", "__version"))
+    earlier = Window.partitionBy("__key").orderBy("__piece", F.col("__at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    openings = (line.withColumn("__open", F.last("__version", ignorenulls=True).over(earlier))
+                .filter(F.col("__at").isNull() & F.col("__open").isNotNull())
+                .select(*spot, F.lit(None).cast("timestamp_ntz").alias("__at"), F.col("__open").alias("__version")))
 
     no_fact = F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact")
-    columns = ["__key", "__piece", "__at", "__fact", "__version"]
-    together = (f.select("__key", "__piece", "__at", "__fact", none.alias("__version"))
-                .unionByName(v.select("__key", "__piece", "__at", no_fact, "__version"))
-                .unionByName(openings.select("__key", "__piece", "__at", no_fact, "__version"))).select(*columns)
+    columns = [*spot, "__at", "__fact", "__version"]
+    together = (f.select(*spot, "__at", "__fact", none.alias("__version"))
+                .unionByName(v.select(*spot, "__at", "__version").repartition(*spot).select(*spot, "__at", no_fact, "__version"))
+                .unionByName(openings.repartition(*spot).select(*spot, "__at", no_fact, "__version"))).select(*columns)
     # a version that begins at a fact's time comes before the fact
     order = Window.partitionBy("__key", "__piece").orderBy(F.col("__at").asc_nulls_first(), F.col("__fact").isNotNull())
     found = (together.withColumn("__in_force", F.last("__version", ignorenulls=True)
@@ -97,7 +98,8 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, fact_time: str,
     if how == "inner":
         found = found.filter(F.col("__in_force").isNotNull())
     one = {c: F.col(f"__in_force.{c}") if payload else F.col("__in_force") for c in rest}
-    out = found.select("__fact.*", *[held_in.alias(c) for c, held_in in one.items()])
+    whole = [F.col("__key").alias(c) if c == key else F.col(f"__fact.{c}").alias(c) for c in facts.columns]
+    out = found.select(*whole, *[held_in.alias(c) for c, held_in in one.items()])
     if how == "left":
         types = {x.name: x.dataType for x in versions.schema}
         out = out.unionByName(facts.filter(F.col(key).isNull()).select(

@@ -11,6 +11,8 @@ auto-broadcast and to AQE, which re-plans with the measured sizes; a skewed
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -118,12 +120,23 @@ def keyed_dimensions(assets: DataFrame, accounts: DataFrame, customers: DataFram
 
 
 _DIM_OUT = [c for c in STAGED_COLUMNS[:33]]  # everything before the reading columns
+_HASHES = STAGED_COLUMNS[6:11]
+
+
+def _hashes(key_mode: str) -> list[str]:
+    return [*_HASHES, *(STAGED_COLUMNS[3:6] if key_mode == "md5" else [])]
 
 
-def _staged_dimension_columns(dims: DataFrame) -> list:
+def _sent(dims: DataFrame, key_mode: str) -> DataFrame:
+    """The dimensions as they are shuffled to the fact: hashes as their 16 bytes, not as text of twice that, which does not compress."""
+    return dims.withColumns({c: F.unhex(c) for c in _hashes(key_mode)})
+
+
+def _staged_dimension_columns(hashes: Sequence[str] = ()) -> list:
+    """Staging's columns of the dimensions; ``hashes`` are those that ``_sent`` has made bytes."""
     return [F.col("installation_id").alias("customer_id"),
             F.col("account_id").alias("customer_account_id"),
-            *[F.col(c) for c in _DIM_OUT[2:]]]
+            *[F.hex(c).alias(c) if c in hashes else F.col(c) for c in _DIM_OUT[2:]]]
 
 
 def _spans(readings: DataFrame) -> tuple[tuple[Column, Column], tuple[Column, Column]]:
@@ -156,9 +169,9 @@ def stage_readings(readings: DataFrame, assets: DataFrame, accounts: DataFrame,
         "reading_type", "unit_of_measure", "quality_code", F.col("status").alias("reading_status"), "source_system",
         length.alias("interval_end"), begin.alias("interval_start"), "creation_time", "reading_value",
         F.col("id").alias("reading_id"), "asset_id")
-    enriched = r.join(dims, "asset_id")
+    enriched = r.join(_sent(dims, key_mode), "asset_id")
     return enriched.select(
-        *_staged_dimension_columns(dims),
+        *_staged_dimension_columns(_hashes(key_mode)),
         "reading_id", "reading_value", start.alias("interval_start"), end.alias("interval_end"), "reading_type",
         "unit_of_measure", "quality_code", "reading_status",
         F.col("creation_time").alias("load_ts"),
@@ -189,19 +202,27 @@ def stage_as_of(readings: DataFrame, assets: DataFrame, accounts: DataFrame, cus
     ``change_ts`` tells since when that state has been in force (NULL: since the beginning). A reading before the first known
     version takes the first one, one without a time the current one; readings without asset, account or customer vanish, as in
     ``stage_readings``. The fact is shuffled twice: by asset and piece of time (``unit``) to find the version's time, and by
-    asset and that time to meet the version, which is stored and sent once and not once for each piece.
+    asset and that time to meet the version, which is stored and sent once and not once for each piece. Only changes go
+    into the sequence: a reading that none of them precedes has its asset's first version, in force since the beginning.
+    Keys and hash diffs are worked out after that, from the version's columns, as they would be over half of what is sent of it.
     """
     if key_mode not in ("natural", "md5"):
         raise ValueError(f"key_mode must be 'natural' or 'md5', not {key_mode!r}")
     dims = dimension_history(assets, accounts, customers, key_mode, changed)
-    r = readings.select(
-        "asset_id", F.col("id").alias("reading_id"), "reading_value", "interval_start",
-        "interval_end", F.col("creation_time").alias("load_ts"), "reading_type", "unit_of_measure", "quality_code",
-        F.col("status").alias("reading_status"),
-        F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"))
+    (begin, length), (start, end) = _spans(readings)
+    r = readings.filter(F.col("asset_id").isNotNull()).select(
+        "reading_type", "unit_of_measure", "quality_code", F.col("status").alias("reading_status"), "source_system",
+        length.alias("interval_end"), begin.alias("interval_start"), "creation_time", "reading_value",
+        F.col("id").alias("reading_id"), "asset_id")
     # in the sequence a version is its time alone, as it is repeated for every piece with facts; its columns join afterwards
-    found = as_of_join(r, dims.select("asset_id", VALID_FROM), "asset_id", "load_ts", unit)
-    out = found.join(dims, ["asset_id", VALID_FROM]).select(*_staged_dimension_columns(dims), *STAGED_COLUMNS[33:], VALID_FROM)
+    changes = dims.select("asset_id", VALID_FROM).filter(F.col(VALID_FROM) > ntz_literal(BEGIN))
+    found = as_of_join(r, changes, "asset_id", "creation_time", unit, how="left")
+    found = found.withColumn(VALID_FROM, F.coalesce(VALID_FROM, ntz_literal(BEGIN)))
+    plain = dims.select(*[c for c in dims.columns if c not in STAGED_COLUMNS[3:11]])
+    out = _keys_and_hashes(found.join(plain, ["asset_id", VALID_FROM]), key_mode).select(
+        *_staged_dimension_columns(), "reading_id", "reading_value", start.alias("interval_start"), end.alias("interval_end"),
+        "reading_type", "unit_of_measure", "quality_code", "reading_status", F.col("creation_time").alias("load_ts"),
+        F.coalesce(F.col("source_system"), F.lit(DEFAULT_RECORD_SOURCE)).alias("record_source"), VALID_FROM)
     since = F.when(F.col(VALID_FROM) > ntz_literal(BEGIN), F.col(VALID_FROM))
     return out.withColumn(CHANGE_TS, since).drop(VALID_FROM)
 
@@ -229,8 +250,8 @@ def stage_asset_span(readings: DataFrame, assets: DataFrame, accounts: DataFrame
          .alias("first_load_ts"),
         F.max(ts).alias("last_load_ts"))
     dims = keyed_dimensions(assets, accounts, customers, key_mode, dedup_sources)
-    return per_asset.join(dims, "asset_id").select(
-        *_staged_dimension_columns(dims), "first_load_ts", "last_load_ts", "record_source")
+    return per_asset.join(_sent(dims, key_mode), "asset_id").select(
+        *_staged_dimension_columns(_hashes(key_mode)), "first_load_ts", "last_load_ts", "record_source")
 
 
 def seen_rows(span: DataFrame, seen: str = "first") -> DataFrame:
