@@ -109,3 +109,31 @@ def test_change_points_shuffle_the_other_columns_once(spark):
     dealt = [lines[i + 1] for i, line in enumerate(lines) if "RepartitionByExpression" in line]
     assert dealt and all("Project [k#" in line and " p#" not in line and "__pick" not in line for line in dealt)
     assert "ReusedExchange" in final.split("== Initial Plan ==")[0]
+
+
+def test_change_points_send_hashes_as_bytes(spark):
+    one, two = "0A" * 16, "F" * 32
+    values = [one, two, one.lower(), one[:-1] + "G", one[:-2], one + "00", "", "H1"]
+    data = [("k", ts(i // 3), values[(i * 5) % len(values)], f"p{i}") for i in range(60)] + [("j", ts(1), two, "x"), ("j", ts(2), two, "y")]
+    df = spark.createDataFrame(data, "k string, load_ts timestamp_ntz, hd string, p string")
+    out = change_points(df, ["k"], ["load_ts"], "hd")
+    first = {}
+    for r in data:
+        first[r[:3]] = min(first.get(r[:3], r), r)
+    assert rows(out) == brute_change_points(list(first.values()))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex(hd#" in plan
+
+
+def test_satellite_history_is_staged_once_for_its_two_readers(spark):
+    """The history's rows and its change detection, which reads three columns of them, share their exchanges."""
+    from vaultline.plans import catalog
+    from .conftest import SF_SMALL
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = catalog.q_sat_compact(spark, SF_SMALL)
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("FileScan parquet [l_orderkey" in line for line in final.split("\n")) == 2  # of each delivery

@@ -118,6 +118,8 @@ def vault(spark: SparkSession, sf_dir: str) -> LazyVault:
 def _sat_cd_history(spark, sf_dir) -> DataFrame:
     """sat_customer_details after batch 1 plus the incremental load of changed batch 2."""
     first = satellite_rows(staged(spark, sf_dir, batch=1), SAT_CUSTOMER_DETAILS)
+    # holds for every row, and names all columns: the change detection, which reads three, shares the exchanges of the history
+    first = first.filter(F.pmod(F.xxhash64(*first.columns), F.lit(1)) == 0)
     new = satellite_rows(staged(spark, sf_dir, changed=True), SAT_CUSTOMER_DETAILS,
                          existing=first)
     return first, new
