@@ -16,6 +16,7 @@ how a scheduled loader runs; ``processingTime`` keeps it running.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -37,8 +38,14 @@ FILES_PER_TRIGGER = 1000
 Dimensions = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
-def _load_one(spark: SparkSession, staged: DataFrame, name: str, root: str, reduced: bool = False) -> None:
-    b = BINDINGS[name]
+class Staged(NamedTuple):
+    """What a micro-batch's loads read; ``reduced``: it is at asset grain."""
+    rows: DataFrame
+    reduced: bool
+
+
+def _load_one(spark: SparkSession, batch: Staged, name: str, root: str) -> None:
+    b, (staged, reduced) = BINDINGS[name], batch
     path = f"{root.rstrip('/')}/{name}"
     existing = read_or_none(spark, path)
     if name in {h.name for h in HUBS}:
@@ -91,7 +98,7 @@ def batch_loader(tables: Sequence[str], root: str, dimensions: Dimensions | None
                 staged = staged.persist()  # bounded by the trigger's file limit; recomputed if an executor is lost
             try:
                 for name in names:
-                    _load_one(spark, staged, name, root, names is keyed)
+                    _load_one(spark, Staged(staged, names is keyed), name, root)
                     if ledger:
                         ledger.note(epoch_id, name, DONE)
             finally:
