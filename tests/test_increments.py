@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from vaultline.operators import business, quality
 from vaultline.operators.sketch import Sketch, possible
 from vaultline.operators.staging import seen_rows, stage_asset_span, stage_readings, stage_readings_only
-from vaultline.operators.vault import (HUB_CUSTOMER, LOAD_TS, SAT_ASSET_MEASUREMENTS, hub_rows, measurement_rows,
-                                       with_load_day)
+from vaultline.operators.vault import (HUB_CUSTOMER, HUBS, LINKS, LOAD_TS, SAT_ASSET_MEASUREMENTS, hub_rows, link_rows,
+                                       measurement_rows, with_load_day)
 from vaultline.plans import build as builds
 from vaultline.plans import folds, measurements
 from vaultline.plans.build import _day_ranges, read_vault, run_build, table_path
@@ -115,6 +115,41 @@ def test_a_build_that_died_leaves_its_tables_to_a_full_check(spark, tmp_root, de
     assert rows(got.checks) == rows(quality.run_checks(read_vault(spark, root).as_dict()))
 
 
+def test_a_build_stages_once_and_releases_its_shuffles(spark, tmp_root, deliveries, monkeypatch):
+    """Hubs and links come from the staging that is stored already, and shuffle files go with the query that made them."""
+    from vaultline.operators import staging
+    from vaultline.session import RELEASE
+    joined, seen, real, run = [], [], staging.keyed_dimensions, builds._run_build
+    monkeypatch.setattr(staging, "keyed_dimensions", lambda *a, **kw: joined.append(a) or real(*a, **kw))
+    monkeypatch.setattr(builds, "_run_build", lambda *a: seen.append(spark.conf.get(RELEASE)) or run(*a))
+    before = spark.conf.get(RELEASE)
+    run_build(spark, deliveries[0], f"{tmp_root}/v", **BUILD)
+    assert len(joined) == 1 and seen == ["true"] and spark.conf.get(RELEASE) == before
+    s = deliveries[0]
+    first = seen_rows(stage_asset_span(s.readings, s.assets, s.customer_accounts, s.customers), "first")
+    for b in (*HUBS, *LINKS):
+        made = hub_rows(first, b) if b in HUBS else link_rows(first, b)
+        assert rows(spark.read.parquet(f"{tmp_root}/v/{b.name}")) == rows(made)
+
+
+def test_released_shuffles_leave_no_files(spark):
+    import time
+
+    from vaultline.session import released_shuffles
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+    before = files()
+    with released_shuffles(spark):
+        df = spark.range(5000).withColumn("k", F.col("id") % 97).groupBy("k").count()
+        assert sum(r["count"] for r in df.collect()) == 5000
+        end = time.time() + 20
+        while files() - before and time.time() < end:
+            time.sleep(0.2)
+    assert not files() - before
+
+
 def test_new_repeats_count_each_key_once(spark):
     def keys(*k):
         return spark.createDataFrame([(x,) for x in k], "k string")
